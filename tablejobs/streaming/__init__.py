@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The jobs this library reproduces are batch only; no stream sources, sinks,
+watermarks or stateful operators are part of them, so none are provided.
+"""
