@@ -164,16 +164,22 @@ def fd_violations(spark, sf_dir):
 
 # ------------------------------------------------ partitioning, reuse, staging
 
+def seven_steps_plan(spark, sf_dir) -> DataFrame:
+    """Steps 1-6: read -> select -> filter -> groupBy/count -> select -> filter.
+    Two stages around one shuffle: steps 1-4a pipeline in the map stage,
+    4b-6 in the reduce stage."""
+    return (_lineitem(spark, sf_dir)                                    # 1 read
+            .select("l_suppkey", "l_returnflag")                        # 2 select
+            .filter(F.col("l_returnflag") == "A")                       # 3 filter
+            .groupBy("l_suppkey").count()                               # 4 groupBy/count
+            .select("l_suppkey", F.col("count").alias("n"))             # 5 select
+            .filter(F.col("n") > 200))                                  # 6 filter
+
+
 def seven_steps(spark, sf_dir):
-    """read -> select -> filter -> groupBy/count -> select -> filter -> write."""
+    """The six steps above, then step 7: write the result as Parquet."""
     out = scratch_path(spark, "seven_steps")
-    staged = (_lineitem(spark, sf_dir)                                  # 1 read
-              .select("l_suppkey", "l_returnflag")                      # 2 select
-              .filter(F.col("l_returnflag") == "A")                     # 3 filter
-              .groupBy("l_suppkey").count()                             # 4 groupBy/count
-              .select("l_suppkey", F.col("count").alias("n"))           # 5 select
-              .filter(F.col("n") > 200))                                # 6 filter
-    write_files(staged, out, "parquet", "overwrite")                    # 7 write
+    write_files(seven_steps_plan(spark, sf_dir), out, "parquet", "overwrite")
     return read_parquet(spark, out)
 
 

@@ -86,7 +86,7 @@ def require_columns(spark: SparkSession, path: str, schema: StructType | str,
     Parquet silently returns NULL for a declared name it does not find and
     fails only at an action on a wrong type; this check fails early with the
     list of offending columns instead."""
-    declared = as_struct(schema)
+    declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     stored = spark.read.format(fmt).load(path).schema
     case_sensitive = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
     fields = {(f.name if case_sensitive else f.name.lower()): f for f in stored.fields}

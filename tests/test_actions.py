@@ -1,0 +1,74 @@
+"""Actions and user functions: bounded driver results, executor-side functions."""
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablejobs import operators as ops
+from tablejobs.operators.actions import (
+    collect_capped,
+    foreach_count,
+    iterate_rows,
+    partition_profile,
+)
+from tablejobs.session import table_path
+from tablejobs.sources import read_parquet
+
+
+@pytest.fixture(scope="module")
+def orders(spark, sf_dir):
+    return read_parquet(spark, table_path(sf_dir, "orders"))
+
+
+def test_collect_is_capped(orders):
+    assert len(collect_capped(orders.limit(10), cap=10)) == 10
+    with pytest.raises(ValueError, match="more than 100 rows"):
+        collect_capped(orders, cap=100)
+
+
+def test_count_action(orders, spark, sf_dir):
+    assert orders.count() == ops.row_count(orders).first()["n"]
+
+
+def test_first_and_take_are_deterministic_with_an_order(orders):
+    first = ops.first_row(orders, "o_orderkey").collect()
+    assert len(first) == 1
+    assert first[0]["o_orderkey"] == orders.agg(F.min("o_orderkey")).first()[0]
+    top = [r["o_orderkey"] for r in ops.top_n(orders, 5, "o_orderkey").collect()]
+    assert top == sorted(top) and top[0] == first[0]["o_orderkey"]
+
+
+def test_show_prints_a_table(orders):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        ops.top_n(orders, 3, "o_orderkey").show()
+    text = buf.getvalue()
+    assert "o_orderkey" in text and text.count("\n") >= 6
+
+
+def test_foreach_runs_on_executors_with_accumulator(orders):
+    n_f = foreach_count(orders.select("o_orderstatus"), lambda row: row[0] == "F")
+    assert n_f == orders.filter(F.col("o_orderstatus") == "F").count()
+
+
+def test_local_iterator_streams_all_rows(spark, sf_dir):
+    nation = read_parquet(spark, table_path(sf_dir, "nation")).repartition(3)
+    assert sorted(r["n_nationkey"] for r in iterate_rows(nation)) == list(range(25))
+
+
+def test_partition_profile_sums_batches(spark, sf_dir):
+    lineitem = read_parquet(spark, table_path(sf_dir, "lineitem")).repartition(5)
+    prof = partition_profile(lineitem.select("l_quantity"),
+                             lambda b: {"n": len(b), "big": int((b["l_quantity"] > 25).sum())},
+                             ["n", "big"]).first()
+    assert prof["n"] == lineitem.count()
+    assert prof["big"] == lineitem.filter(F.col("l_quantity") > 25).count()
+
+
+def test_reduce_equals_max_by_fold(orders):
+    best = ops.max_row(orders, "o_totalprice", "o_orderkey").first()
+    expected = orders.orderBy(F.desc("o_totalprice"), F.desc("o_orderkey")).first()
+    assert (best["o_totalprice"], best["o_orderkey"]) == (
+        expected["o_totalprice"], expected["o_orderkey"])
