@@ -81,7 +81,7 @@ ORACLE_SQL: dict[str, str] = {
     "schema_rows": ("SELECT * FROM (VALUES ('n_nationkey', 'int', true), "
                     "('n_name', 'string', true), ('n_regionkey', 'int', true)) "
                     "t(col_name, data_type, nullable)"),
-    "file_inventory": "SELECT CAST(3 AS BIGINT) AS n_files",
+    "file_inventory": "SELECT true AS files_match, count(*) AS n_rows FROM orders",
     # sinks
     "sink_overwrite": "SELECT * FROM nation WHERE n_regionkey = 1",
     "sink_append": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
