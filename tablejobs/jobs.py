@@ -280,7 +280,11 @@ def table_scan(spark, sf_dir):
 
 
 def schema_rows_job(spark, sf_dir):
-    return schema_rows(spark, _table(spark, sf_dir, "nation"))
+    """The schema of a Parquet copy Spark wrote: types survive the write and
+    every column comes back nullable."""
+    path = scratch_path(spark, "nation_copy")
+    write_files(_table(spark, sf_dir, "nation"), path, "parquet", "overwrite")
+    return schema_rows(spark, read_parquet(spark, path))
 
 
 def file_inventory_job(spark, sf_dir):

@@ -67,12 +67,6 @@ SCHEMA_ROWS_SCHEMA = StructType([
 ])
 
 
-def as_struct(schema: StructType | str) -> StructType | str:
-    """Accept either declared form (D1 object, D2 DDL text); readers take both,
-    and DDL text is parsed by the session when the reader is built."""
-    return schema
-
-
 def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
     """printSchema as data: one row per top-level column (driver-side metadata)."""
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]

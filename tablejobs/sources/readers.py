@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tablejobs.schemas import as_struct
-
 # Fixed value: text formats keep microseconds only with an explicit pattern
 # (the default cuts `timestamp_ntz` to milliseconds). Used on write and read.
 TEXT_TIMESTAMP_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -28,7 +26,7 @@ def read_csv(spark: SparkSession, path: str, *, header: bool = True,
     reader = spark.read.format("csv").option("header", header).option("sep", sep)
     reader = reader.options(**TEXT_TIMESTAMP_OPTIONS).options(**options)
     if schema is not None:
-        reader = reader.schema(as_struct(schema))
+        reader = reader.schema(schema)
     elif infer_schema:
         reader = reader.option("inferSchema", True)
     return reader.load(path)
@@ -40,7 +38,7 @@ def read_parquet(spark: SparkSession, path: str,
     A declared column missing from the files comes back as NULL."""
     reader = spark.read.format("parquet")
     if schema is not None:
-        reader = reader.schema(as_struct(schema))
+        reader = reader.schema(schema)
     return reader.load(path)
 
 
@@ -50,7 +48,7 @@ def read_json(spark: SparkSession, path: str,
     sorts the columns by name and returns timestamps as strings."""
     reader = spark.read.format("json").options(**TEXT_TIMESTAMP_OPTIONS).options(**options)
     if schema is not None:
-        reader = reader.schema(as_struct(schema))
+        reader = reader.schema(schema)
     return reader.load(path)
 
 
@@ -62,7 +60,7 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
     if fmt is not None:
         reader = reader.format(fmt)
     if schema is not None:
-        reader = reader.schema(as_struct(schema))
+        reader = reader.schema(schema)
     return reader.options(**options).load(path)
 
 

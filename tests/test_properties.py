@@ -1,0 +1,91 @@
+"""Property tests: operators against a plain-Python brute force on random data
+with NULLs and heavily repeated (hot) keys."""
+
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablejobs import operators as ops
+
+SETTINGS = settings(max_examples=12, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+keys = st.sampled_from(["a", "b", "c", None])
+attrs = st.sampled_from(["x", "y", None])
+rows = st.lists(st.tuples(keys, attrs, st.integers(-5, 5)), min_size=0, max_size=60)
+# one key holding most rows: the hot-key shape the operators must survive
+hot_rows = st.integers(20, 80).flatmap(
+    lambda n: st.lists(st.tuples(attrs, st.integers(-5, 5)), min_size=n, max_size=n).map(
+        lambda tail: [("hot", a, v) for a, v in tail] + [("cold", "x", 1)]))
+
+SCHEMA = "k STRING, a STRING, v INT"
+
+
+def _df(spark, data):
+    return spark.createDataFrame(data, SCHEMA).repartition(3)
+
+
+@SETTINGS
+@given(data=st.one_of(rows, hot_rows))
+def test_group_count_matches(spark, data):
+    got = {(r["k"], r["a"]): r["counts"]
+           for r in ops.group_count(_df(spark, data), "k", "a").collect()}
+    assert got == dict(Counter((k, a) for k, a, _ in data))
+
+
+@SETTINGS
+@given(data=st.one_of(rows, hot_rows))
+def test_fd_summary_and_violations_match(spark, data):
+    df = _df(spark, data)
+    combos = {(k, a) for k, a, _ in data}
+    per_key = Counter(k for k, _ in combos)
+    summary = ops.fd_summary(df, "k", ["a"]).first()
+    if data:
+        assert (summary["n_keys"], summary["n_combos"]) == (len(per_key), len(combos))
+    else:
+        assert summary["n_keys"] == 0
+    violations = {r["k"]: r["n_combos"] for r in ops.fd_violations(df, "k", ["a"]).collect()}
+    assert violations == {k: n for k, n in per_key.items() if n > 1}
+
+
+@SETTINGS
+@given(data=rows)
+def test_distinct_count_counts_null_tuples(spark, data):
+    got = ops.distinct_count(_df(spark, data), "k", "a").first()["n"]
+    assert got == len({(k, a) for k, a, _ in data})
+
+
+@SETTINGS
+@given(data=st.one_of(rows, hot_rows), threshold=st.integers(0, 10))
+def test_having_count_matches(spark, data, threshold):
+    got = {r["k"]: r["counts"]
+           for r in ops.having_count(_df(spark, data), "k", ">", threshold).collect()}
+    want = {k: n for k, n in Counter(k for k, _, _ in data).items() if n > threshold}
+    assert got == want
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(keys, attrs, st.integers(-5, 5)), min_size=1, max_size=60))
+def test_max_row_is_lexicographic_max(spark, data):
+    clean = [(k or "", a, v) for k, a, v in data]
+    got = ops.max_row(_df(spark, clean), "v", "k").first()
+    assert (got["v"], got["k"]) == max((v, k) for k, _, v in clean)
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(keys, attrs, st.integers(-5, 5)), min_size=1, max_size=60))
+def test_stats_by_matches(spark, data):
+    got = {r["k"]: r for r in ops.stats_by(_df(spark, data), "k", "v").collect()}
+    for key in {k for k, _, _ in data}:
+        values = [v for k, _, v in data if k == key]
+        assert got[key]["min_v"] == min(values) and got[key]["max_v"] == max(values)
+        assert abs(got[key]["avg_v"] - round(sum(values) / len(values), 6)) < 1e-9
+
+
+@SETTINGS
+@given(data=rows, n=st.integers(1, 10))
+def test_top_n_is_sorted_prefix(spark, data, n):
+    got = [r["v"] for r in ops.top_n(_df(spark, data), n, F.col("v")).collect()]
+    assert got == sorted(v for _, _, v in data)[:n]
