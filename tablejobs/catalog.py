@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from tablejobs.schemas import metadata_frame
 from tablejobs.session import scratch_path, unique_name
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
@@ -117,7 +118,7 @@ def list_tables(spark: SparkSession, database: str | None = None,
         db = t.database if getattr(t, "database", None) else (
             ".".join(namespace) if namespace else None)
         rows.append((t.name, db, t.description, t.tableType, bool(t.isTemporary)))
-    return spark.createDataFrame(rows, LIST_TABLES_SCHEMA)
+    return metadata_frame(spark, rows, LIST_TABLES_SCHEMA)
 
 
 def show_tables(spark: SparkSession, database: str, pattern: str | None = None) -> DataFrame:

@@ -67,7 +67,25 @@ SCHEMA_ROWS_SCHEMA = StructType([
 ])
 
 
+def metadata_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small driver-side listing (schema fields, catalog entries) as a
+    DataFrame. Built as a SQL ``VALUES`` relation with bound parameters, so it
+    plans as a LocalTableScan in the JVM and needs no Python worker."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    args, tuples = {}, []
+    for i, row in enumerate(rows):
+        names = [f"v{i}_{j}" for j in range(len(schema.fields))]
+        args.update(zip(names, row))
+        tuples.append("(" + ", ".join(f":{n}" for n in names) + ")")
+    cols = [f"c{j}" for j in range(len(schema.fields))]
+    casts = ", ".join(f"CAST({c} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                      for c, f in zip(cols, schema.fields))
+    return spark.sql(f"SELECT {casts} FROM VALUES {', '.join(tuples)} AS t({', '.join(cols)})",
+                     args=args)
+
+
 def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
     """printSchema as data: one row per top-level column (driver-side metadata)."""
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    return spark.createDataFrame(rows, SCHEMA_ROWS_SCHEMA)
+    return metadata_frame(spark, rows, SCHEMA_ROWS_SCHEMA)
