@@ -42,6 +42,30 @@ def foreach_count(df: DataFrame, predicate: Callable[[Row], bool]) -> int:
     return acc.value
 
 
+def foreach_partition_count(df: DataFrame, fn: Callable[[Iterator[Row]], int]) -> int:
+    """Run ``fn`` once per partition on the executors (``foreachPartition``);
+    each call returns an integer that an accumulator adds up."""
+    acc = df.sparkSession.sparkContext.accumulator(0)
+
+    def visit(rows):
+        acc.add(int(fn(rows)))
+
+    df.foreachPartition(visit)
+    return acc.value
+
+
+def fold_rows(df: DataFrame, fn: Callable[[Row, Row], Row], depth: int = 2) -> Row | None:
+    """``reduce(f)`` for an arbitrary associative, commutative binary function.
+
+    Each partition folds its own rows; the partial results are merged in a
+    tree of ``depth`` levels, so neither one task nor the driver receives more
+    than a handful of partial rows. Use ``operators.max_row`` when the fold is
+    a maximum: it stays in the JVM."""
+    if df.isEmpty():
+        return None
+    return df.rdd.treeReduce(fn, depth)
+
+
 def partition_profile(df: DataFrame, profile: Callable[[pd.DataFrame], dict[str, int]],
                       names: list[str]) -> DataFrame:
     """Apply ``profile`` to every Arrow batch of every partition and add the

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tablejobs import operators as ops
 from tablejobs.operators.actions import (
     collect_capped,
+    fold_rows,
     foreach_count,
+    foreach_partition_count,
     iterate_rows,
     partition_profile,
 )
@@ -72,3 +74,22 @@ def test_reduce_equals_max_by_fold(orders):
     expected = orders.orderBy(F.desc("o_totalprice"), F.desc("o_orderkey")).first()
     assert (best["o_totalprice"], best["o_orderkey"]) == (
         expected["o_totalprice"], expected["o_orderkey"])
+
+
+def test_take_returns_n_rows_in_order(orders):
+    taken = ops.top_n(orders, 7, "o_orderkey").take(3)
+    assert [r["o_orderkey"] for r in taken] == [
+        r["o_orderkey"] for r in ops.top_n(orders, 3, "o_orderkey").collect()]
+
+
+def test_foreach_partition_counts_rows(spark, sf_dir):
+    lineitem = read_parquet(spark, table_path(sf_dir, "lineitem")).repartition(4)
+    assert foreach_partition_count(lineitem, lambda rows: sum(1 for _ in rows)) == lineitem.count()
+
+
+def test_fold_rows_matches_jvm_max(orders):
+    pairs = orders.select("o_totalprice", "o_orderkey")
+    folded = fold_rows(pairs, lambda a, b: a if (a[0], a[1]) >= (b[0], b[1]) else b)
+    best = ops.max_row(orders, "o_totalprice", "o_orderkey").first()
+    assert (folded[0], folded[1]) == (best[0], best[1])
+    assert fold_rows(pairs.limit(0), lambda a, b: a) is None
