@@ -3,3 +3,7 @@
 from tablejobs.plans.inspect import count_nodes, exchanges, jobs_started, plan_text
 
 __all__ = ["count_nodes", "exchanges", "jobs_started", "plan_text"]
+
+from tablejobs.plans.lint import PlanReport, lint_plan  # noqa: E402
+
+__all__ += ["PlanReport", "lint_plan"]
