@@ -7,11 +7,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tablejobs import catalog
+from tablejobs import catalog, iris, weather
 from tablejobs import operators as ops
 from tablejobs.plans import jobs_started
 from tablejobs.schemas import IRIS_SCHEMA, WEATHER_DDL, WEATHER_SCHEMA
-from tablejobs.sources import file_inventory, read_csv, read_parquet, write_files
+from tablejobs.sources import file_inventory, read_csv, read_parquet
 from tests.fixtures import IRIS_EXTRA, IRIS_ROWS, WEATHER_STATIONS, write_iris, write_weather
 
 
@@ -37,8 +37,7 @@ def iris_path(folder):
 
 @pytest.fixture(scope="module")
 def counts(spark, weather_path):
-    weather = read_parquet(spark, weather_path, WEATHER_DDL)
-    return ops.group_count(weather, "NAME", "UNIT", name="counts")
+    return weather.counts_by_station(weather.load(spark, weather_path))
 
 
 def test_group_count_golden(counts):
@@ -48,7 +47,7 @@ def test_group_count_golden(counts):
 
 
 def test_like_tx_golden(counts):
-    rows = [tuple(r) for r in ops.filter_like(counts, "NAME", "%TX%").collect()]
+    rows = [tuple(r) for r in weather.stations_like(counts, "%TX%").collect()]
     assert rows == [("HOUSTON INTERCONTINENTAL AIRPORT, TX US", "F", 150),
                     ("HOUSTON WILLIAM P HOBBY AIRPORT, TX US", "C", 150)]
 
@@ -58,7 +57,7 @@ def test_like_is_case_sensitive(counts):
 
 
 def test_sum_by_unit_golden(counts):
-    summed = ops.group_sum(counts, "UNIT", "counts")
+    summed = weather.counts_by_unit(counts)
     assert summed.columns == ["UNIT", "sum(counts)"]
     assert {r[0]: r[1] for r in summed.collect()} == {"F": 1505, "C": 1054}
 
@@ -115,24 +114,20 @@ def test_iris_no_header(spark, folder):
 def test_iris_table_and_setosa_view(spark, folder, iris_path):
     """CSV -> Parquet -> CREATE TABLE ... LOCATION -> SQL view with a double-quoted literal."""
     db = catalog.new_database(spark, "iris")
-    iris = read_csv(spark, iris_path, header=True, schema=IRIS_SCHEMA)
-    out = os.path.join(folder, "iris_parquet")
-    write_files(iris.coalesce(1), out, "parquet", "overwrite")
+    out = iris.persist(iris.load(spark, iris_path), os.path.join(folder, "iris_parquet"), files=1)
     files = [r["name"] for r in file_inventory(spark, out).collect()]
     assert len(files) == 1 and files[0].endswith(".snappy.parquet")
     assert os.path.exists(os.path.join(out, "_SUCCESS"))
 
     table = f"{db}.iris"
-    catalog.drop_table(spark, table)
-    n_jobs, t = jobs_started(spark, lambda: catalog.register_files(spark, table, out))
+    iris.register(spark, out, table)
     n_jobs_table, again = jobs_started(spark, lambda: spark.table(table))
     assert n_jobs_table == 0
     assert [(f.name, f.dataType.simpleString(), f.nullable) for f in again.schema.fields] == [
         ("index", "int", True), ("sepal_length", "double", True), ("sepal_width", "double", True),
         ("petal_length", "double", True), ("petal_width", "double", True),
         ("species", "string", True)]
-    view_jobs, setosas = jobs_started(spark, lambda: catalog.view_from_sql(
-        spark, "setosas", f'SELECT * FROM {table} WHERE species = "setosa"'))
+    view_jobs, setosas = jobs_started(spark, lambda: iris.setosas_view(spark, table))
     assert view_jobs == 0
     assert setosas.count() == 20
 
@@ -140,13 +135,10 @@ def test_iris_table_and_setosa_view(spark, folder, iris_path):
 def test_lab_catalog_goldens(spark, folder, weather_path):
     """External table, managed table and an aggregate view; listing and DESCRIBE."""
     db = catalog.new_database(spark, "lab")
-    weather = read_parquet(spark, weather_path, WEATHER_SCHEMA)
-    catalog.save_external(weather, f"{db}.weather", os.path.join(folder, "weather_ext"))
-    catalog.save_managed(weather, f"{db}.weather_managed")
-    station_counts = catalog.view_from_sql(
-        spark, "station_counts",
-        f"SELECT STATION, unit, TAVG, COUNT(1) AS conteo FROM {db}.weather "
-        "GROUP BY STATION, UNIT, TAVG ORDER BY 1, 2, 3")
+    registered = weather.register(spark, weather_path, os.path.join(folder, "weather_ext"),
+                                  f"{db}.weather")
+    catalog.save_managed(registered, f"{db}.weather_managed")
+    station_counts = weather.station_counts_view(spark, f"{db}.weather")
     assert [(f.name, f.dataType.simpleString()) for f in station_counts.schema.fields] == [
         ("STATION", "string"), ("unit", "string"), ("TAVG", "float"), ("conteo", "bigint")]
 
@@ -165,49 +157,62 @@ def test_lab_catalog_goldens(spark, folder, weather_path):
         assert rows["Type"] == kind and rows["Provider"] == "parquet"
 
     # persist the aggregate view as Parquet (the lab's last step)
-    out = os.path.join(folder, "station_counts")
-    write_files(spark.table("station_counts"), out, "parquet", "overwrite")
+    out = weather.save(spark.table("station_counts"), os.path.join(folder, "station_counts"))
     assert read_parquet(spark, out).agg(F.sum("conteo")).first()[0] == 2559
 
 
-def test_counts_coded_vs_specified(spark, weather_extra_path):
+def test_counts_coded_vs_specified(spark, folder, weather_extra_path):
     """As coded TAVG is a key, so NULL temperatures form a group and are counted;
     as specified, COUNT(TAVG) skips them."""
-    weather = read_parquet(spark, weather_extra_path, WEATHER_DDL)
-    coded = weather.groupBy("STATION", "UNIT", "TAVG").agg(F.count(F.lit(1)).alias("conteo"))
-    spec = ops.count_values(weather, "STATION", "UNIT", value="TAVG")
+    db = catalog.new_database(spark, "nulls")
+    weather.register(spark, weather_extra_path, os.path.join(folder, "weather_nulls"),
+                     f"{db}.weather")
+    coded = weather.station_counts_view(spark, f"{db}.weather", "counts_coded")
+    spec = weather.station_counts_view(spark, f"{db}.weather", "counts_spec", coded=False)
     null_group = coded.filter(F.col("TAVG").isNull()).collect()
     assert [(r["STATION"], r["conteo"]) for r in null_group] == [("USW00000000", 2)]
-    first = spec.filter(F.col("STATION") == "USW00000000").first()
-    assert first["conteo"] == 151
+    assert spec.filter(F.col("STATION") == "USW00000000").first()["conteo"] == 151
     assert coded.agg(F.sum("conteo")).first()[0] == 2559 + 5
+    assert spec.agg(F.sum("conteo")).first()[0] == 2559 + 3
 
 
 def test_consistency_check(spark, weather_path, weather_extra_path):
-    attrs = ["STATION", "LATITUDE", "LONGITUDE", "ELEVATION"]
-    good = ops.fd_holds(read_parquet(spark, weather_path, WEATHER_DDL), "NAME", attrs).first()
+    good = weather.consistency(weather.load(spark, weather_path)).first()
     assert (good["n_keys"], good["n_combos"], good["consistent"]) == (17, 17, True)
-    extra = read_parquet(spark, weather_extra_path, WEATHER_DDL)
-    bad = ops.fd_holds(extra, "NAME", attrs).first()
+    extra = weather.load(spark, weather_extra_path)
+    bad = weather.consistency(extra).first()
     assert (bad["n_keys"], bad["n_combos"], bad["consistent"]) == (19, 20, False)
-    violations = [tuple(r) for r in ops.fd_violations(extra, "NAME", attrs).collect()]
+    violations = [tuple(r) for r in weather.inconsistent_names(extra).collect()]
     assert violations == [("MOVING STATION, XX US", 2)]
 
 
 def test_unique_names_and_rows_per_name(spark, weather_path):
-    weather = read_parquet(spark, weather_path, WEATHER_DDL)
-    assert ops.distinct_count(weather, "name").first()["n"] == 17
-    per_name = ops.group_count(weather, "name", order=False)
-    assert per_name.columns == ["name", "counts"]
+    readings = weather.load(spark, weather_path)
+    assert weather.unique_names(readings).count() == 17
+    assert weather.unique_name_count(readings).first()["n_names"] == 17
+    per_name = weather.rows_per_name(readings)
+    assert per_name.columns == ["NAME", "counts"]
     assert per_name.agg(F.min("counts"), F.max("counts")).first() == (149, 151)
+    # the lab's spelling: lower-case names resolve, the output keeps the query's spelling
+    assert ops.group_count(readings, "name", order=False).columns == ["name", "counts"]
 
 
-def test_convert_and_aggregate_units(spark, weather_path):
-    weather = read_parquet(spark, weather_path, WEATHER_DDL)
-    celsius = ops.convert_units(weather, "TAVG", "UNIT", keep=("NAME", "UNIT"))
+def test_limit_shows_twenty_rows(spark, weather_path):
+    assert len(weather.load(spark, weather_path).limit(20).collect()) == 20
+
+
+def test_convert_and_aggregate_units(spark, folder, weather_path):
+    readings = weather.load(spark, weather_path)
+    celsius = ops.convert_units(readings, "TAVG", "UNIT", keep=("NAME", "UNIT"))
     stats = {r["UNIT"]: r for r in ops.stats_by(celsius, "UNIT", "value_c").collect()}
     # every station's Celsius readings lie in 12 .. 19 whatever unit it reported in
     for row in stats.values():
         assert 12.0 - 1e-4 <= row["min_v"] <= row["max_v"] <= 19.0 + 1e-4
-    raw = {r["UNIT"]: r for r in ops.stats_by(weather, "UNIT", "TAVG").collect()}
+    raw = {r["UNIT"]: r for r in ops.stats_by(readings, "UNIT", "TAVG").collect()}
     assert raw["F"]["max_v"] > 50
+
+    monthly = weather.monthly_aggregates(readings)
+    out = weather.save(monthly, os.path.join(folder, "monthly"))
+    saved = read_parquet(spark, out)
+    assert saved.agg(F.sum("n_readings")).first()[0] == 2559
+    assert saved.agg(F.min("min_c"), F.max("max_c")).first()[0] >= 12.0 - 1e-4
