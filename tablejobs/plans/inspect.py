@@ -36,8 +36,8 @@ def exchanges(df: DataFrame) -> int:
     return count_nodes(plan_text(df, "simple"), "Exchange")
 
 
-def jobs_started(spark: SparkSession, action: Callable[[], object]) -> tuple[int, object]:
-    """Run ``action`` in a job group of its own; return (jobs started, result)."""
+def job_ids_of(spark: SparkSession, action: Callable[[], object]) -> tuple[list[int], object]:
+    """Run ``action`` in a job group of its own; return (its job ids, result)."""
     sc = spark.sparkContext
     group = f"tj-{uuid.uuid4().hex}"
     sc.setJobGroup(group, "tablejobs job count")
@@ -46,4 +46,10 @@ def jobs_started(spark: SparkSession, action: Callable[[], object]) -> tuple[int
     finally:
         with contextlib.suppress(Exception):
             sc.setLocalProperty("spark.jobGroup.id", None)
-    return len(sc.statusTracker().getJobIdsForGroup(group)), result
+    return list(sc.statusTracker().getJobIdsForGroup(group)), result
+
+
+def jobs_started(spark: SparkSession, action: Callable[[], object]) -> tuple[int, object]:
+    """Run ``action`` in a job group of its own; return (jobs started, result)."""
+    ids, result = job_ids_of(spark, action)
+    return len(ids), result

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,12 @@ SF_DIR = os.environ.get("TABLEJOBS_SF_DIR", "/root/testdata/sf0.01")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[8]", 8, "tablejobs-tests")
+    # The event log goes to a scratch folder of the test run; tests read task
+    # metrics from it (shuffle records per task) to measure skew handling.
+    log_dir = tempfile.mkdtemp(prefix="tablejobs-eventlog-")
+    session = build_session("local[8]", 8, "tablejobs-tests", extra={
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     yield session
     session.stop()
 
