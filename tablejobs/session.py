@@ -65,3 +65,19 @@ def unique_name(prefix: str) -> str:
 
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
+
+
+def release(spark: SparkSession, path: str) -> bool:
+    """Delete a job output that lives below this library's scratch area.
+
+    Round-trip and sink jobs leave their files under the shared scratch root
+    so the DataFrames they return stay readable; call this once a result is no
+    longer needed. Goes through the Hadoop FileSystem API, so it works on any
+    cluster file system, and refuses every path outside the scratch area."""
+    base = f"{scratch_root(spark)}/tablejobs/"
+    if not path.startswith(base) or ".." in path:
+        raise ValueError(f"{path!r} is not below {base!r}")
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

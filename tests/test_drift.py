@@ -168,3 +168,14 @@ def test_parquet_timestamp_ntz_is_kept(spark, sf_dir):
     assert dict(orders.dtypes)["o_orderdate"] == "timestamp_ntz"
     first = orders.orderBy("o_orderkey").first()["o_orderdate"]
     assert isinstance(first, dt.datetime) and first.tzinfo is None
+
+
+def test_release_deletes_only_scratch_outputs(spark, sf_dir):
+    from tablejobs.session import release
+    path = scratch_path(spark, "release_me")
+    write_files(read_parquet(spark, table_path(sf_dir, "region")), path, "parquet")
+    assert read_parquet(spark, path).count() == 5
+    assert release(spark, path) is True
+    assert not os.path.exists(path.removeprefix("file:"))
+    with pytest.raises(ValueError):
+        release(spark, table_path(sf_dir, "region"))
