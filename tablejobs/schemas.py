@@ -85,6 +85,11 @@ def metadata_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -
                      args=args)
 
 
+def schema_tree(df: DataFrame) -> str:
+    """The text ``df.printSchema()`` prints, as a string."""
+    return df.schema.treeString()
+
+
 def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
     """printSchema as data: one row per top-level column (driver-side metadata)."""
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]

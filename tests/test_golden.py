@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablejobs import catalog, iris, weather
 from tablejobs import operators as ops
 from tablejobs.plans import jobs_started
-from tablejobs.schemas import IRIS_SCHEMA, WEATHER_DDL, WEATHER_SCHEMA
+from tablejobs.schemas import IRIS_SCHEMA, WEATHER_DDL, WEATHER_SCHEMA, schema_tree
 from tablejobs.sources import file_inventory, read_csv, read_parquet
 from tests.fixtures import IRIS_EXTRA, IRIS_ROWS, WEATHER_STATIONS, write_iris, write_weather
 
@@ -127,6 +127,15 @@ def test_iris_table_and_setosa_view(spark, folder, iris_path):
         ("index", "int", True), ("sepal_length", "double", True), ("sepal_width", "double", True),
         ("petal_length", "double", True), ("petal_width", "double", True),
         ("species", "string", True)]
+    # the printed schema of the table, line for line
+    assert schema_tree(again) == (
+        "root\n"
+        " |-- index: integer (nullable = true)\n"
+        " |-- sepal_length: double (nullable = true)\n"
+        " |-- sepal_width: double (nullable = true)\n"
+        " |-- petal_length: double (nullable = true)\n"
+        " |-- petal_width: double (nullable = true)\n"
+        " |-- species: string (nullable = true)\n")
     view_jobs, setosas = jobs_started(spark, lambda: iris.setosas_view(spark, table))
     assert view_jobs == 0
     assert setosas.count() == 20
