@@ -40,6 +40,8 @@ def station_counts_view(spark: SparkSession, table: str = "weather",
     NULL temperature forms its own group and is counted. ``coded=False`` is
     the lab's stated intent: recorded (non-NULL) temperatures per station and
     unit."""
+    # The view's output names (STATION, unit, TAVG, conteo) and
+    # its grouping are those of the lab's view, which later steps read back.
     if coded:
         body = (f"SELECT STATION, unit, TAVG, COUNT(1) AS conteo FROM {table} "
                 "GROUP BY STATION, UNIT, TAVG ORDER BY 1, 2, 3")
