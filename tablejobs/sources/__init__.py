@@ -2,6 +2,7 @@
 
 from tablejobs.sources.inventory import file_inventory
 from tablejobs.sources.readers import (
+    NULL_MARKER_OPTIONS,
     TEXT_TIMESTAMP_OPTIONS,
     raw_preview,
     read_csv,
@@ -13,6 +14,7 @@ from tablejobs.sources.readers import (
 from tablejobs.sources.writers import SAVE_MODES, write_csv, write_files
 
 __all__ = [
-    "TEXT_TIMESTAMP_OPTIONS", "SAVE_MODES", "file_inventory", "raw_preview", "read_csv",
-    "read_files", "read_json", "read_parquet", "require_columns", "write_csv", "write_files",
+    "NULL_MARKER_OPTIONS", "TEXT_TIMESTAMP_OPTIONS", "SAVE_MODES", "file_inventory",
+    "raw_preview", "read_csv", "read_files", "read_json", "read_parquet", "require_columns",
+    "write_csv", "write_files",
 ]

@@ -16,13 +16,19 @@ from pyspark.sql.types import StructType
 # (the default cuts `timestamp_ntz` to milliseconds). Used on write and read.
 TEXT_TIMESTAMP_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
+# CSV writes NULL and the empty string alike unless NULL gets a marker of its
+# own; give these options to both the writer and the reader of a round trip.
+NULL_MARKER_OPTIONS = {"nullValue": "\\N"}
+
 
 def read_csv(spark: SparkSession, path: str, *, header: bool = True,
              infer_schema: bool = False, schema: StructType | str | None = None,
              sep: str = ",", **options) -> DataFrame:
     """CSV scan. With ``schema`` columns bind by position; the header (if any)
     is still skipped. Without schema and inference, every column is a string;
-    without a header, columns are ``_c0.._cN``."""
+    without a header, columns are ``_c0.._cN``. Values holding line breaks
+    need ``multiLine=True``, which makes each file one task: leave it off for
+    large inputs that have none."""
     reader = spark.read.format("csv").option("header", header).option("sep", sep)
     reader = reader.options(**TEXT_TIMESTAMP_OPTIONS).options(**options)
     if schema is not None:

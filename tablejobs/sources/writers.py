@@ -33,4 +33,9 @@ def write_files(df: DataFrame, path: str, fmt: str | None = "parquet",
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", *,
               header: bool = True, sep: str = ",", **options) -> str:
-    return write_files(df, path, "csv", mode, header=header, sep=sep, **options)
+    """CSV sink that keeps values as they are: Spark's writer would otherwise
+    trim leading and trailing spaces. NULL is written as an empty field; pass
+    ``**NULL_MARKER_OPTIONS`` here and to ``read_csv`` to keep NULL and the
+    empty string apart."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return write_files(df, path, "csv", mode, header=header, sep=sep, **{**keep, **options})
