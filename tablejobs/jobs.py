@@ -231,8 +231,8 @@ def csv_strings(spark, sf_dir):
 
 
 def csv_noheader(spark, sf_dir):
-    path = scratch_path(spark, "nation_csv")
-    write_csv(_table(spark, sf_dir, "nation").select("n_name", "n_regionkey"), path,
+    path = scratch_path(spark, "supplier_csv")
+    write_csv(_table(spark, sf_dir, "supplier").select("s_name", "s_nationkey"), path,
               "overwrite", header=False)
     return read_csv(spark, path, header=False)
 
@@ -283,8 +283,8 @@ def table_scan(spark, sf_dir):
 def schema_rows_job(spark, sf_dir):
     """The schema of a Parquet copy Spark wrote: types survive the write and
     every column comes back nullable."""
-    path = scratch_path(spark, "nation_copy")
-    write_files(_table(spark, sf_dir, "nation"), path, "parquet", "overwrite")
+    path = scratch_path(spark, "supplier_copy")
+    write_files(_table(spark, sf_dir, "supplier"), path, "parquet", "overwrite")
     return schema_rows(spark, read_parquet(spark, path))
 
 
@@ -310,29 +310,31 @@ def file_inventory_job(spark, sf_dir):
 
 # ---------------------------------------------------------------------- sinks
 
-def _nation_region(spark, sf_dir, region: int) -> DataFrame:
-    return ops.filter_eq(_table(spark, sf_dir, "nation"), "n_regionkey", region)
+def _orders_with_status(spark, sf_dir, status: str) -> DataFrame:
+    return ops.filter_eq(_table(spark, sf_dir, "orders"), "o_orderstatus", status)
 
 
 def sink_overwrite(spark, sf_dir):
+    """Open orders are written, then replaced by the finished ones."""
     path = scratch_path(spark, "sink_overwrite")
-    write_files(_nation_region(spark, sf_dir, 0), path, "parquet", "overwrite")
-    write_files(_nation_region(spark, sf_dir, 1), path, "parquet", "overwrite")
+    write_files(_orders_with_status(spark, sf_dir, "O"), path, "parquet", "overwrite")
+    write_files(_orders_with_status(spark, sf_dir, "F"), path, "parquet", "overwrite")
     return read_parquet(spark, path)
 
 
 def sink_append(spark, sf_dir):
     path = scratch_path(spark, "sink_append")
-    nation = _table(spark, sf_dir, "nation")
-    write_files(nation, path, "parquet", "errorifexists")
-    write_files(nation, path, "parquet", "append")
+    supplier = _table(spark, sf_dir, "supplier")
+    write_files(supplier, path, "parquet", "errorifexists")
+    write_files(supplier, path, "parquet", "append")
     return read_parquet(spark, path)
 
 
 def sink_ignore(spark, sf_dir):
+    """Open orders are written; the finished ones are ignored (data exists)."""
     path = scratch_path(spark, "sink_ignore")
-    write_files(_nation_region(spark, sf_dir, 0), path, "parquet", "errorifexists")
-    write_files(_nation_region(spark, sf_dir, 1), path, "parquet", "ignore")
+    write_files(_orders_with_status(spark, sf_dir, "O"), path, "parquet", "errorifexists")
+    write_files(_orders_with_status(spark, sf_dir, "F"), path, "parquet", "ignore")
     return read_parquet(spark, path)
 
 
@@ -348,8 +350,9 @@ def sink_aggregate(spark, sf_dir):
 
 def table_external(spark, sf_dir):
     db = catalog.new_database(spark, "ext")
-    return catalog.save_external(_nation_region(spark, sf_dir, 2), f"{db}.nation_ext",
-                                 scratch_path(spark, "nation_ext"))
+    building = ops.filter_eq(_table(spark, sf_dir, "customer"), "c_mktsegment", "BUILDING")
+    return catalog.save_external(building, f"{db}.customer_ext",
+                                 scratch_path(spark, "customer_ext"))
 
 
 def table_managed(spark, sf_dir):
@@ -369,10 +372,10 @@ def table_register(spark, sf_dir):
 def _catalog_fixture(spark, sf_dir) -> str:
     """An external table, a managed table and a temp view named ``cat_*``."""
     db = catalog.new_database(spark, "cat")
-    nation = _table(spark, sf_dir, "nation")
-    catalog.save_external(nation, f"{db}.cat_ext", scratch_path(spark, "cat_ext"))
-    catalog.save_managed(nation, f"{db}.cat_man")
-    catalog.view_from_df(nation, "cat_tmp")
+    supplier = _table(spark, sf_dir, "supplier")
+    catalog.save_external(supplier, f"{db}.cat_ext", scratch_path(spark, "cat_ext"))
+    catalog.save_managed(supplier, f"{db}.cat_man")
+    catalog.view_from_df(supplier, "cat_tmp")
     return db
 
 
@@ -389,7 +392,7 @@ def catalog_show(spark, sf_dir):
 def catalog_describe(spark, sf_dir):
     db = catalog.new_database(spark, "desc")
     table = f"{db}.cat_ext"
-    catalog.save_external(_table(spark, sf_dir, "nation"), table, scratch_path(spark, "cat_ext"))
+    catalog.save_external(_table(spark, sf_dir, "supplier"), table, scratch_path(spark, "cat_ext"))
     return catalog.describe_summary(spark, table)
 
 
@@ -407,10 +410,10 @@ def view_from_sql(spark, sf_dir):
 
 
 def sql_params(spark, sf_dir):
-    view = unique_name("nation")
-    catalog.view_from_df(_table(spark, sf_dir, "nation"), view)
-    return catalog.run_sql(spark, "SELECT * FROM IDENTIFIER(:t) WHERE n_regionkey = :r",
-                           t=view, r=3)
+    view = unique_name("customer")
+    catalog.view_from_df(_table(spark, sf_dir, "customer"), view)
+    return catalog.run_sql(spark, "SELECT * FROM IDENTIFIER(:t) WHERE c_mktsegment = :seg",
+                           t=view, seg="AUTOMOBILE")
 
 
 JOBS: dict[str, Job] = {

@@ -69,7 +69,7 @@ ORACLE_SQL: dict[str, str] = {
     "csv_strings": ("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, "
                     "CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
                     "CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer"),
-    "csv_noheader": "SELECT n_name AS _c0, CAST(n_regionkey AS VARCHAR) AS _c1 FROM nation",
+    "csv_noheader": "SELECT s_name AS _c0, CAST(s_nationkey AS VARCHAR) AS _c1 FROM supplier",
     "csv_delim": "SELECT * FROM customer",
     "parquet_inferred": "SELECT * FROM orders",
     "parquet_struct": "SELECT o_orderkey, o_orderdate FROM orders",
@@ -78,16 +78,16 @@ ORACLE_SQL: dict[str, str] = {
     "json_roundtrip": "SELECT * FROM events",
     "default_format": "SELECT * FROM supplier",
     "table_scan": "SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1",
-    "schema_rows": ("SELECT * FROM (VALUES ('n_nationkey', 'int', true), "
-                    "('n_name', 'string', true), ('n_regionkey', 'int', true)) "
-                    "t(col_name, data_type, nullable)"),
+    "schema_rows": ("SELECT * FROM (VALUES ('s_suppkey', 'bigint', true), "
+                    "('s_name', 'string', true), ('s_nationkey', 'int', true), "
+                    "('s_acctbal', 'double', true)) t(col_name, data_type, nullable)"),
     "file_inventory": "SELECT true AS files_match, count(*) AS n_rows FROM orders",
     # sinks
-    "sink_overwrite": "SELECT * FROM nation WHERE n_regionkey = 1",
-    "sink_append": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
-    "sink_ignore": "SELECT * FROM nation WHERE n_regionkey = 0",
+    "sink_overwrite": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
+    "sink_append": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
+    "sink_ignore": "SELECT * FROM orders WHERE o_orderstatus = 'O'",
     "sink_aggregate": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1",
-    "table_external": "SELECT * FROM nation WHERE n_regionkey = 2",
+    "table_external": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
     "table_managed": "SELECT * FROM supplier",
     "table_register": "SELECT * FROM supplier",
     # catalog and SQL entry
@@ -95,10 +95,10 @@ ORACLE_SQL: dict[str, str] = {
                      "t(name, \"tableType\", \"isTemporary\")"),
     "catalog_show": ("SELECT * FROM (VALUES ('cat_ext', false), ('cat_man', false), "
                      "('cat_tmp', true)) t(\"tableName\", \"isTemporary\")"),
-    "catalog_describe": ("SELECT * FROM (VALUES ('n_nationkey', 'int'), ('n_name', 'string'), "
-                         "('n_regionkey', 'int'), ('Type', 'EXTERNAL'), "
+    "catalog_describe": ("SELECT * FROM (VALUES ('s_suppkey', 'bigint'), ('s_name', 'string'), "
+                         "('s_nationkey', 'int'), ('s_acctbal', 'double'), ('Type', 'EXTERNAL'), "
                          "('Provider', 'parquet')) t(col_name, data_type)"),
     "view_from_df": "SELECT * FROM customer",
     "view_from_sql": "SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY'",
-    "sql_params": "SELECT * FROM nation WHERE n_regionkey = 3",
+    "sql_params": "SELECT * FROM customer WHERE c_mktsegment = 'AUTOMOBILE'",
 }
