@@ -4,7 +4,8 @@ Prints one JSON line. Each job is timed from DataFrame construction (so
 schema inference and footer jobs count) to the end of its action: a ``noop``
 sink for reads and queries, a real Parquet write for the writing jobs. One
 warm-up run, then the median of $BENCH_REPEATS runs. Afterwards every
-registered job runs once (``all_jobs``; off with BENCH_ALL_JOBS=0). The CSV copy of lineitem
+registered job runs once (``all_jobs``; off with BENCH_ALL_JOBS=0), and the
+shuffle volume of each headline job is read from the run's event log. The CSV copy of lineitem
 that the CSV jobs scan is written once, untimed, below the scratch root.
 """
 
@@ -14,12 +15,15 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tablejobs import jobs  # noqa: E402
 from tablejobs.jobs import JOBS  # noqa: E402
+from tablejobs.plans import job_ids_of  # noqa: E402
+from tablejobs.plans.eventlog import event_log_path, stages_of_jobs, task_records  # noqa: E402
 from tablejobs import operators as ops  # noqa: E402
 from tablejobs.schemas import LINEITEM_DDL  # noqa: E402
 from tablejobs.session import build_session, scratch_path, table_path  # noqa: E402
@@ -36,7 +40,11 @@ def noop(df) -> None:
 
 
 def main() -> None:
-    spark = build_session(f"local[{CPUS}]", CPUS, "tablejobs-bench")
+    # Event log of this local run, for shuffle volumes (read after each job).
+    log_dir = tempfile.mkdtemp(prefix="tablejobs-bench-eventlog-")
+    spark = build_session(f"local[{CPUS}]", CPUS, "tablejobs-bench", extra={
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     lineitem_path = table_path(SF_DIR, "lineitem")
     csv_path = scratch_path(spark, "bench_lineitem_csv")
     write_csv(read_parquet(spark, lineitem_path), csv_path, "overwrite")
@@ -90,6 +98,17 @@ def main() -> None:
             runs.append(time.perf_counter() - start)
         timings[name] = round(statistics.median(runs), 4)
 
+    # One more, untimed run of each headline job: how much it shuffled.
+    shuffles = {}
+    for name, fn in headline.items():
+        ids, _ = job_ids_of(spark, fn)
+        tasks = task_records(event_log_path(spark), stages_of_jobs(spark, ids))
+        shuffles[name] = {
+            "records": sum(t.shuffle_records_written for t in tasks),
+            "bytes": sum(t.shuffle_bytes_read for t in tasks),
+            "max_task_records_read": max((t.shuffle_records_read for t in tasks), default=0),
+        }
+
     # Every registered job once (after the warm-ups above), noop sink.
     all_jobs = {}
     if ALL_JOBS:
@@ -109,6 +128,7 @@ def main() -> None:
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
         "cpus": CPUS,
         "repeats": REPEATS,
+        "shuffle": shuffles,
         "all_jobs": all_jobs,
     }))
 
