@@ -115,3 +115,16 @@ def test_rerun_skips_shuffle_stages(spark, sf_dir):
     first, _ = jobs_started(spark, df.collect)
     again, _ = jobs_started(spark, df.collect)
     assert again < first
+
+
+@pytest.mark.parametrize("name, build, wide", [
+    ("filter", lambda o: o.filter(F.col("o_totalprice") > 100), False),
+    ("drop", lambda o: ops.drop_cols(o, "o_orderpriority"), False),
+    ("coalesce", lambda o: ops.narrow_to(o, 2), False),
+    ("distinct", lambda o: ops.distinct_rows(o, "o_orderstatus"), True),
+    ("groupBy.sum", lambda o: ops.group_sum(o, "o_orderstatus", "o_totalprice"), True),
+    ("repartition", lambda o: ops.spread(o, 4), True),
+])
+def test_narrow_and_wide_transformations(spark, sf_dir, name, build, wide):
+    orders = read_parquet(spark, table_path(sf_dir, "orders"))
+    assert (exchanges(build(orders)) == 1) == wide, name
