@@ -9,7 +9,9 @@ wire, not a third of the table in one reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import operator
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,14 +33,16 @@ def group_sum(df: DataFrame, key: str, column: str, name: str | None = None) ->
     return summed.withColumnRenamed(f"sum({column})", name) if name else summed
 
 
+_COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le,
+            "=": operator.eq}
+
+
 def having_count(df: DataFrame, key: str, op: str, threshold: int,
                  name: str = "counts") -> DataFrame:
-    """Count per key, then keep groups whose count passes ``op threshold``."""
+    """Count per key, then keep groups whose count passes ``op threshold``
+    (a HAVING clause: the filter runs after the final aggregate)."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    cmp = {">": F.col(name) > threshold, ">=": F.col(name) >= threshold,
-           "<": F.col(name) < threshold, "<=": F.col(name) <= threshold,
-           "=": F.col(name) == threshold}[op]
-    return counted.filter(cmp)
+    return counted.filter(_COMPARE[op](F.col(name), threshold))
 
 
 def row_count(df: DataFrame, name: str = "n") -> DataFrame:
@@ -59,7 +63,3 @@ def stats_by(df: DataFrame, key: str, value: str, digits: int = 6) -> DataFrame:
         F.min(value).alias("min_v"),
         F.max(value).alias("max_v"),
     )
-
-
-def total_of(df: DataFrame, column: str | Column, name: str) -> DataFrame:
-    return df.agg(F.sum(column).alias(name))

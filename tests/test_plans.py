@@ -120,6 +120,7 @@ def test_rerun_skips_shuffle_stages(spark, sf_dir):
 @pytest.mark.parametrize("name, build, wide", [
     ("filter", lambda o: o.filter(F.col("o_totalprice") > 100), False),
     ("drop", lambda o: ops.drop_cols(o, "o_orderpriority"), False),
+    ("rename", lambda o: ops.rename(o, {"o_totalprice": "price"}).filter(F.col("price") > 1), False),
     ("coalesce", lambda o: ops.narrow_to(o, 2), False),
     ("distinct", lambda o: ops.distinct_rows(o, "o_orderstatus"), True),
     ("groupBy.sum", lambda o: ops.group_sum(o, "o_orderstatus", "o_totalprice"), True),
