@@ -20,7 +20,7 @@ from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZTyp
 from tablejobs import catalog
 from tablejobs import operators as ops
 from tablejobs.operators.actions import partition_profile
-from tablejobs.schemas import CUSTOMER_SCHEMA, EVENTS_DDL, LINEITEM_DDL, schema_rows
+from tablejobs.schemas import CUSTOMER_SCHEMA, EVENTS_DDL, TABLE_DDL, schema_rows
 from tablejobs.session import scratch_path, table_path, unique_name
 from tablejobs.sources import (
     file_inventory,
@@ -36,18 +36,19 @@ from tablejobs.sources import (
 Job = Callable[[SparkSession, str], DataFrame]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, schema=None) -> DataFrame:
-    return read_parquet(spark, table_path(sf_dir, name), schema)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table read with its declared schema: no footer job when the
+    DataFrame is defined (``parquet_inferred`` shows the embedded schema)."""
+    return read_parquet(spark, table_path(sf_dir, name), TABLE_DDL[name])
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Declared schema: no footer job at definition time.
-    return _table(spark, sf_dir, "lineitem", LINEITEM_DDL)
+    return _table(spark, sf_dir, "lineitem")
 
 
 def _events_view(spark: SparkSession, sf_dir: str) -> str:
     name = unique_name("events")
-    catalog.view_from_df(_table(spark, sf_dir, "events", EVENTS_DDL), name)
+    catalog.view_from_df(_table(spark, sf_dir, "events"), name)
     return name
 
 

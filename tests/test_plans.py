@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tablejobs import catalog, jobs
 from tablejobs import operators as ops
 from tablejobs.plans import count_nodes, exchanges, jobs_started, plan_text
-from tablejobs.schemas import LINEITEM_DDL
+from tablejobs.schemas import LINEITEM_DDL, TABLE_DDL
 from tablejobs.session import scratch_path, table_path
-from tablejobs.sources import read_csv, read_parquet, write_csv
+from tablejobs.sources import read_csv, read_parquet, require_columns, write_csv
 
 
 def test_pushdown_of_like_filter(spark, sf_dir):
@@ -129,3 +129,29 @@ def test_rerun_skips_shuffle_stages(spark, sf_dir):
 def test_narrow_and_wide_transformations(spark, sf_dir, name, build, wide):
     orders = read_parquet(spark, table_path(sf_dir, "orders"))
     assert (exchanges(build(orders)) == 1) == wide, name
+
+
+# Jobs that neither write files nor infer a schema: defining them is free.
+READ_ONLY_JOBS = [
+    "group_count", "group_count_one", "view_counts_coded", "view_counts_spec", "group_sum",
+    "row_count", "distinct_count", "unit_stats", "filter_post_agg", "select_cols", "filter_eq",
+    "filter_like", "drop_cols", "derive_cols", "convert_units", "distinct_rows", "top_n",
+    "first_row", "reduce_row", "fd_check", "fd_pass", "fd_violations", "repartition_coalesce",
+    "cache_reuse", "partition_profile", "parquet_struct", "parquet_ddl", "view_from_df",
+    "view_from_sql", "sql_params",
+]
+
+
+@pytest.mark.parametrize("key", READ_ONLY_JOBS)
+def test_defining_a_read_only_job_starts_no_job(spark, sf_dir, key):
+    n, _ = jobs_started(spark, lambda: jobs.JOBS[key](spark, sf_dir))
+    assert n == 0
+
+
+@pytest.mark.parametrize("table", sorted(TABLE_DDL))
+def test_declared_schemas_equal_stored_ones(spark, sf_dir, table):
+    path = table_path(sf_dir, table)
+    declared = require_columns(spark, path, TABLE_DDL[table]).schema
+    stored = read_parquet(spark, path).schema
+    assert [(f.name, f.dataType) for f in declared.fields] == [
+        (f.name, f.dataType) for f in stored.fields]
