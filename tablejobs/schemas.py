@@ -82,12 +82,16 @@ SCHEMA_ROWS_SCHEMA = StructType([
 ])
 
 
+_VALUES_LIMIT = 500
+
+
 def metadata_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """A small driver-side listing (schema fields, catalog entries) as a
     DataFrame. Built as a SQL ``VALUES`` relation with bound parameters, so it
     plans as a LocalTableScan in the JVM and needs no Python worker."""
-    if not rows:
-        return spark.createDataFrame([], schema)
+    if not rows or len(rows) > _VALUES_LIMIT:
+        # empty, or too long for one SQL text: hand the rows over as data
+        return spark.createDataFrame(rows, schema)
     args, tuples = {}, []
     for i, row in enumerate(rows):
         names = [f"v{i}_{j}" for j in range(len(schema.fields))]

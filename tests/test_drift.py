@@ -203,3 +203,13 @@ def test_csv_writer_would_trim_spaces_by_default(spark):
     ours = scratch_path(spark, "trim_ours")
     write_csv(df, ours)
     assert read_csv(spark, ours, header=True, schema="id INT, v STRING").first()["v"] == " padded "
+
+
+def test_metadata_frame_small_and_large(spark):
+    from tablejobs.schemas import SCHEMA_ROWS_SCHEMA, metadata_frame
+    small = metadata_frame(spark, [("a", "int", True), ("b'q", "string", False)], SCHEMA_ROWS_SCHEMA)
+    assert [tuple(r) for r in small.collect()] == [("a", "int", True), ("b'q", "string", False)]
+    big_rows = [(f"c{i}", "int", i % 2 == 0) for i in range(501)]
+    big = metadata_frame(spark, big_rows, SCHEMA_ROWS_SCHEMA)
+    assert big.count() == 501 and big.schema == SCHEMA_ROWS_SCHEMA
+    assert metadata_frame(spark, [], SCHEMA_ROWS_SCHEMA).count() == 0
