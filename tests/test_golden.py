@@ -225,3 +225,23 @@ def test_convert_and_aggregate_units(spark, folder, weather_path):
     saved = read_parquet(spark, out)
     assert saved.agg(F.sum("n_readings")).first()[0] == 2559
     assert saved.agg(F.min("min_c"), F.max("max_c")).first()[0] >= 12.0 - 1e-4
+
+
+def test_describe_and_listing_layouts(spark, folder, weather_path):
+    """DESCRIBE EXTENDED: column rows, a blank row, then the detail section;
+    SHOW TABLES and listTables carry their documented fields."""
+    db = catalog.new_database(spark, "layout")
+    weather.register(spark, weather_path, os.path.join(folder, "weather_layout"),
+                     f"{db}.weather")
+    rows = [(r["col_name"], r["data_type"])
+            for r in catalog.describe_extended(spark, f"{db}.weather").collect()]
+    names = [c for c, _ in rows]
+    assert names[:8] == ["NAME", "STATION", "LATITUDE", "LONGITUDE", "ELEVATION", "DATE",
+                         "UNIT", "TAVG"]
+    assert names[8] == "" and names[9] == "# Detailed Table Information"
+    details = dict(rows[10:])
+    assert details["Type"] == "EXTERNAL" and details["Provider"] == "parquet"
+    assert details["Location"].endswith("weather_layout")
+    assert catalog.show_tables(spark, db).columns == ["namespace", "tableName", "isTemporary"]
+    assert catalog.list_tables(spark, db).columns == [
+        "name", "database", "description", "tableType", "isTemporary"]
