@@ -8,10 +8,10 @@ from tablejobs.operators.quality import combos_per_key, fd_holds, fd_summary, fd
 from tablejobs.operators.relational import (
     convert_units, derive_dates, drop_cols, filter_eq, filter_like, rename, select_cols,
 )
-from tablejobs.operators.reuse import cached, narrow_to, spread
+from tablejobs.operators.reuse import cached, checkpointed, narrow_to, spread
 
 __all__ = [
-    "cached", "combos_per_key", "convert_units", "count_values", "derive_dates",
+    "cached", "checkpointed", "combos_per_key", "convert_units", "count_values", "derive_dates",
     "distinct_count", "distinct_rows", "drop_cols", "fd_holds", "fd_summary",
     "fd_violations", "filter_eq", "filter_like", "first_row", "group_count", "group_sum",
     "having_count", "max_row", "narrow_to", "rename", "row_count", "select_cols", "spread",

@@ -3,7 +3,8 @@
 ``coalesce(n)`` merges partitions without a shuffle (narrow); ``repartition``
 redistributes with an Exchange (wide). ``cache`` keeps an intermediate result
 (MEMORY_AND_DISK) so later actions skip recomputing it; a lost executor's
-cached blocks are rebuilt from lineage.
+cached blocks are rebuilt from lineage. ``checkpointed`` writes the result to
+the shared checkpoint folder and cuts the lineage.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from tablejobs.session import scratch_root
+
 
 def narrow_to(df: DataFrame, n: int) -> DataFrame:
     """Fewer partitions without a shuffle (use on small, aggregated output)."""
@@ -24,3 +27,12 @@ def spread(df: DataFrame, n: int, *keys: str) -> DataFrame:
 
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     return df.persist(level)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the session's shared checkpoint folder and continue from
+    there: the lineage is cut, so a lost executor costs a re-read of the
+    checkpoint files instead of a recomputation from the sources. (A local
+    checkpoint would keep the data on executors and is never used.)"""
+    scratch_root(df.sparkSession)          # a shared folder must be set
+    return df.checkpoint(eager=True)

@@ -155,3 +155,11 @@ def test_declared_schemas_equal_stored_ones(spark, sf_dir, table):
     stored = read_parquet(spark, path).schema
     assert [(f.name, f.dataType) for f in declared.fields] == [
         (f.name, f.dataType) for f in stored.fields]
+
+
+def test_checkpoint_cuts_lineage(spark, sf_dir):
+    orders = read_parquet(spark, table_path(sf_dir, "orders"))
+    finished = ops.checkpointed(ops.filter_eq(orders, "o_orderstatus", "F"))
+    plan = plan_text(finished.groupBy("o_orderpriority").count(), "simple")
+    assert "FileScan" not in plan and "ExistingRDD" in plan
+    assert finished.count() == orders.filter(F.col("o_orderstatus") == "F").count()
