@@ -38,11 +38,18 @@ def _check(name: str) -> str:
     return name
 
 
+def _location(path: str) -> str:
+    """A path for a LOCATION clause (DDL takes no parameter markers)."""
+    if "'" in path or "\\" in path:
+        raise ValueError(f"unsupported character in location {path!r}")
+    return path
+
+
 def new_database(spark: SparkSession, label: str = "tj") -> str:
     """Create a fresh database whose files live below the shared scratch root."""
     db = unique_name(f"db_{label}")
     location = scratch_path(spark, db)
-    spark.sql(f"CREATE DATABASE {_check(db)} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE {_check(db)} LOCATION '{_location(location)}'")
     return db
 
 
@@ -69,7 +76,7 @@ def register_files(spark: SparkSession, table: str, path: str, fmt: str = "parqu
     """Register files already at ``path`` as a table; no data is copied."""
     if not re.match(r"^[A-Za-z0-9_]+$", fmt):
         raise ValueError(f"bad format {fmt!r}")
-    spark.sql(f"CREATE TABLE {_check(table)} USING {fmt} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {_check(table)} USING {fmt} LOCATION '{_location(path)}'")
     return spark.table(table)
 
 

@@ -213,3 +213,10 @@ def test_metadata_frame_small_and_large(spark):
     big = metadata_frame(spark, big_rows, SCHEMA_ROWS_SCHEMA)
     assert big.count() == 501 and big.schema == SCHEMA_ROWS_SCHEMA
     assert metadata_frame(spark, [], SCHEMA_ROWS_SCHEMA).count() == 0
+
+
+def test_catalog_rejects_unsafe_names_and_locations(spark):
+    with pytest.raises(ValueError):
+        catalog.register_files(spark, "t; DROP TABLE x", "/tmp/x")
+    with pytest.raises(ValueError):
+        catalog.register_files(spark, "safe_name", "/tmp/it's")
