@@ -1,7 +1,11 @@
 """Independent SQL for each registered job, as DuckDB runs it on the same
 Parquet tables. Column names and types are chosen to equal the Spark result
-(DuckDB sums BIGINT into HUGEINT, hence the casts). ``raw_preview`` has no
-oracle: which lines come first depends on the file layout Spark wrote.
+(DuckDB sums BIGINT into HUGEINT, hence the casts).
+
+``raw_preview`` shows the first lines of the CSV file Spark wrote: the header,
+then the first rows in table order. Its oracle relies on the supplied
+``customer`` file being one row group (one write task, one output file) and
+on DuckDB keeping file order for a LIMIT without ORDER BY.
 """
 
 from __future__ import annotations
@@ -77,6 +81,9 @@ ORACLE_SQL: dict[str, str] = {
                     "FROM orders"),
     "json_roundtrip": "SELECT * FROM events",
     "default_format": "SELECT * FROM supplier",
+    "raw_preview": ("SELECT 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS value "
+                    "UNION ALL SELECT value FROM (SELECT concat_ws(',', c_custkey, c_name, "
+                    "c_nationkey, c_acctbal, c_mktsegment) AS value FROM customer LIMIT 19)"),
     "table_scan": "SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1",
     "schema_rows": ("SELECT * FROM (VALUES ('s_suppkey', 'bigint', true), "
                     "('s_name', 'string', true), ('s_nationkey', 'int', true), "
