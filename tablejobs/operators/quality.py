@@ -26,7 +26,7 @@ def fd_summary(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     per_key = combos_per_key(df, key, attrs)
     return per_key.agg(
         F.count(F.lit(1)).alias("n_keys"),
-        F.sum("n_combos").cast("bigint").alias("n_combos"),
+        F.coalesce(F.sum("n_combos"), F.lit(0)).cast("bigint").alias("n_combos"),
     )
 
 
