@@ -81,4 +81,4 @@ def partition_profile(df: DataFrame, profile: Callable[[pd.DataFrame], dict[str,
         yield pd.DataFrame({k: [v] for k, v in totals.items()})
 
     parts = df.mapInPandas(per_partition, schema)
-    return parts.agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
+    return parts.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names])

@@ -93,3 +93,9 @@ def test_fold_rows_matches_jvm_max(orders):
     best = ops.max_row(orders, "o_totalprice", "o_orderkey").first()
     assert (folded[0], folded[1]) == (best[0], best[1])
     assert fold_rows(pairs.limit(0), lambda a, b: a) is None
+
+
+def test_partition_profile_of_empty_input_is_zero(spark):
+    empty = spark.range(0).select("id")
+    prof = partition_profile(empty, lambda b: {"n": len(b)}, ["n"]).first()
+    assert prof["n"] == 0
