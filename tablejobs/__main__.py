@@ -11,7 +11,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from tablejobs.jobs import JOBS
+from tablejobs.jobs import JOBS, UNORDERED_LIMIT_JOBS
 from tablejobs.oracle import ORACLE_SQL
 
 
@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
         df.show(args.n, truncate=False)
     elif args.command == "explain":
         print(plan_text(df, "formatted"))
-        report = lint_plan(df, allow_unordered_limit=args.job == "raw_preview")
+        report = lint_plan(df, allow_unordered_limit=args.job in UNORDERED_LIMIT_JOBS)
         print("scale checks:", "ok" if report.ok else report.problems)
     else:
         from tablejobs.compare import compare, duck_connection

@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tablejobs.schemas import metadata_frame
@@ -23,6 +22,11 @@ from tablejobs.session import scratch_path, unique_name
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
+DESCRIBE_SCHEMA = StructType([
+    StructField("col_name", StringType()),
+    StructField("data_type", StringType()),
+])
+
 LIST_TABLES_SCHEMA = StructType([
     StructField("name", StringType()),
     StructField("database", StringType()),
@@ -38,11 +42,14 @@ def _check(name: str) -> str:
     return name
 
 
-def _location(path: str) -> str:
-    """A path for a LOCATION clause (DDL takes no parameter markers)."""
-    if "'" in path or "\\" in path:
-        raise ValueError(f"unsupported character in location {path!r}")
-    return path
+def _literal(text: str) -> str:
+    """Text for a quoted literal in DDL or SHOW (no parameter markers there)."""
+    if "'" in text or "\\" in text:
+        raise ValueError(f"unsupported character in {text!r}")
+    return text
+
+
+_location = _literal
 
 
 def new_database(spark: SparkSession, label: str = "tj") -> str:
@@ -84,8 +91,10 @@ def append_to_table(df: DataFrame, table: str) -> DataFrame:
     """Append through the catalog so later reads of the table see the rows.
 
     Appending to a table's path directly leaves cached file listings stale
-    until the table is refreshed; going through the table avoids that."""
-    df.write.insertInto(_check(table))
+    until the table is refreshed; going through the table avoids that.
+    Columns are matched by name (``insertInto`` alone matches by position)."""
+    columns = df.sparkSession.table(_check(table)).columns
+    df.select(*columns).write.insertInto(table)
     df.sparkSession.catalog.refreshTable(table)
     return df.sparkSession.table(table)
 
@@ -130,9 +139,7 @@ def list_tables(spark: SparkSession, database: str | None = None,
 
 def show_tables(spark: SparkSession, database: str, pattern: str | None = None) -> DataFrame:
     """``SHOW TABLES IN db [LIKE pattern]``: namespace, tableName, isTemporary."""
-    like = f" LIKE '{pattern}'" if pattern else ""
-    if pattern and "'" in pattern:
-        raise ValueError("pattern must not contain quotes")
+    like = f" LIKE '{_literal(pattern)}'" if pattern else ""
     return spark.sql(f"SHOW TABLES IN {_check(database)}{like}")
 
 
@@ -143,8 +150,17 @@ def describe_extended(spark: SparkSession, table: str) -> DataFrame:
 
 def describe_summary(spark: SparkSession, table: str,
                      detail_keys: tuple[str, ...] = ("Type", "Provider")) -> DataFrame:
-    """Column rows plus selected detail rows of ``DESCRIBE EXTENDED``."""
-    columns = [f.name for f in spark.table(table).schema.fields]
-    desc = describe_extended(spark, table)
-    keep = F.col("col_name").isin(columns + list(detail_keys))
-    return desc.filter(keep).select("col_name", "data_type")
+    """The column section of ``DESCRIBE EXTENDED`` (rows before the first
+    blank or ``#`` row) plus selected rows of its detailed-information section.
+    The output is catalog metadata, read on the driver section by section."""
+    rows = [(r["col_name"], r["data_type"]) for r in describe_extended(spark, table).collect()]
+    out, section = [], "columns"
+    for name, dtype in rows:
+        if section == "columns" and (not name or name.startswith("#")):
+            section = "other"
+        if name == "# Detailed Table Information":
+            section = "details"
+            continue
+        if section == "columns" or (section == "details" and name in detail_keys):
+            out.append((name, dtype))
+    return metadata_frame(spark, out, DESCRIBE_SCHEMA)

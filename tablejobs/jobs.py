@@ -23,7 +23,6 @@ from tablejobs.operators.actions import partition_profile
 from tablejobs.schemas import CUSTOMER_SCHEMA, EVENTS_DDL, TABLE_DDL, schema_rows
 from tablejobs.session import scratch_path, table_path, unique_name
 from tablejobs.sources import (
-    file_inventory,
     raw_preview,
     read_csv,
     read_files,
@@ -31,6 +30,7 @@ from tablejobs.sources import (
     read_parquet,
     write_csv,
     write_files,
+    write_with_inventory,
 )
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -188,17 +188,18 @@ def seven_steps(spark, sf_dir):
 def repartition_coalesce(spark, sf_dir):
     """The aggregate's own Exchange redistributes; its small output is then
     merged to one partition without another shuffle."""
-    orders = _table(spark, sf_dir, "orders")
-    counted = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    counted = ops.group_count(_table(spark, sf_dir, "orders"), "o_orderpriority",
+                              name="n", order=False)
     return ops.narrow_to(counted, 1)
 
 
 def cache_reuse(spark, sf_dir):
     """Cache the filtered projection once; every later action scans it from
-    memory (spilling to disk) instead of re-reading and re-filtering orders."""
+    memory (spilling to disk) instead of re-reading and re-filtering orders.
+    The cache lives until ``unpersist()``; equal plans share one cache entry."""
     orders = _table(spark, sf_dir, "orders")
     finished = ops.cached(ops.filter_eq(orders, "o_orderstatus", "F").select("o_orderpriority"))
-    return finished.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    return ops.group_count(finished, "o_orderpriority", name="n", order=False)
 
 
 def partition_profile_job(spark, sf_dir):
@@ -278,7 +279,7 @@ def table_scan(spark, sf_dir):
     db = catalog.new_database(spark, "scan")
     table = f"{db}.supplier"
     catalog.save_external(_table(spark, sf_dir, "supplier"), table, scratch_path(spark, "supplier"))
-    return spark.table(table).groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    return ops.group_count(spark.table(table), "s_nationkey", name="n", order=False)
 
 
 def schema_rows_job(spark, sf_dir):
@@ -290,23 +291,10 @@ def schema_rows_job(spark, sf_dir):
 
 
 def file_inventory_job(spark, sf_dir):
-    """Write orders with its natural parallelism, list the part files, and
-    check that every non-empty write task left exactly one file holding its
-    rows. The three counts come from one union and one global aggregate (no
-    join); the scans behind them read footers and partition ids only."""
-    orders = _table(spark, sf_dir, "orders")
-    path = scratch_path(spark, "orders_files")
-    write_files(orders, path, "parquet", "overwrite", maxRecordsPerFile=0)
-    files = file_inventory(spark, path, "*.parquet").select(
-        F.lit(1).alias("f"), F.lit(0).alias("t"), F.lit(0).alias("r"))
-    tasks = orders.select(F.spark_partition_id().alias("pid")).distinct().select(
-        F.lit(0).alias("f"), F.lit(1).alias("t"), F.lit(0).alias("r"))
-    rows = read_parquet(spark, path).select(
-        F.lit(0).alias("f"), F.lit(0).alias("t"), F.lit(1).alias("r"))
-    totals = files.unionByName(tasks).unionByName(rows).agg(
-        F.sum("f").alias("n_files"), F.sum("t").alias("n_tasks"),
-        F.sum("r").cast("bigint").alias("n_rows"))
-    return totals.select((F.col("n_files") == F.col("n_tasks")).alias("files_match"), "n_rows")
+    """Write orders with its natural parallelism and check the part-file
+    listing against the write (see ``sources.write_with_inventory``)."""
+    return write_with_inventory(_table(spark, sf_dir, "orders"),
+                                scratch_path(spark, "orders_files"))
 
 
 # ---------------------------------------------------------------------- sinks
@@ -343,7 +331,7 @@ def sink_aggregate(spark, sf_dir):
     """Aggregate view -> table lookup -> Parquet files."""
     orders = _table(spark, sf_dir, "orders")
     view = unique_name("status_counts")
-    catalog.view_from_df(orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), view)
+    catalog.view_from_df(ops.group_count(orders, "o_orderstatus", name="n", order=False), view)
     path = scratch_path(spark, "status_counts")
     write_files(spark.table(view), path, "parquet", "overwrite")
     return read_parquet(spark, path)
@@ -417,6 +405,9 @@ def sql_params(spark, sf_dir):
                            t=view, seg="AUTOMOBILE")
 
 
+# Jobs whose limit without an ordering is the feature (the head of a file).
+UNORDERED_LIMIT_JOBS = frozenset({"raw_preview"})
+
 JOBS: dict[str, Job] = {
     # aggregation
     "group_count": group_count,

@@ -17,11 +17,15 @@ def distinct_rows(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def top_n(df: DataFrame, n: int, *order_by) -> DataFrame:
+    """The first ``n`` rows by the ordering (tied rows at the cut-off are
+    picked by the execution unless the ordering is unique)."""
     return df.orderBy(*order_by).limit(n)
 
 
 def first_row(df: DataFrame, *order_by) -> DataFrame:
-    """``first()``/``head()`` made deterministic: the smallest row by the key."""
+    """``first()``/``head()`` made deterministic: the smallest row by the
+    ordering. Give enough columns to break ties (a unique key); with ties,
+    which tied row comes back is up to the execution."""
     return df.orderBy(*order_by).limit(1)
 
 

@@ -35,7 +35,7 @@ def event_log_path(spark: SparkSession) -> str | None:
     conf = spark.sparkContext.getConf()
     if conf.get("spark.eventLog.enabled", "false").lower() != "true":
         return None
-    folder = conf.get("spark.eventLog.dir", "").removeprefix("file:")
+    folder = conf.get("spark.eventLog.dir", "/tmp/spark-events").removeprefix("file:")
     app_id = spark.sparkContext.applicationId
     matches = sorted(glob.glob(os.path.join(folder, f"{app_id}*")) +
                      glob.glob(os.path.join(folder, f"eventlog_v2_{app_id}")))
@@ -53,7 +53,7 @@ def task_records(path: str, stage_ids: set[int] | None = None) -> list[TaskRecor
     """Finished tasks (optionally of some stages) with their shuffle metrics."""
     out = []
     for part in _log_files(path):
-        if part.endswith((".zstd", ".lz4", ".snappy", ".lzf")):
+        if any(codec in os.path.basename(part) for codec in (".zstd", ".lz4", ".snappy", ".lzf")):
             raise ValueError(f"compressed event log {part}: set spark.eventLog.compress=false")
         out.extend(_read_tasks(part, stage_ids))
     return out
@@ -65,7 +65,10 @@ def _read_tasks(path: str, stage_ids: set[int] | None) -> list[TaskRecord]:
         for line in fh:
             if '"SparkListenerTaskEnd"' not in line:
                 continue
-            event = json.loads(line)
+            try:
+                event = json.loads(line)
+            except json.JSONDecodeError:       # last line of a log still being written
+                continue
             stage = event["Stage ID"]
             if stage_ids is not None and stage not in stage_ids:
                 continue

@@ -53,10 +53,24 @@ def _node(line: str) -> str:
     return m.group(1) if m else ""
 
 
+# Nodes that pass rows through unchanged in order between a limit and its sort.
+_ORDER_KEEPING = {"LocalLimit", "Project", "ColumnarToRow", "InputAdapter",
+                  "WholeStageCodegen", "AdaptiveSparkPlan"}
+
+
+def _limit_is_ordered(lines: list[str], i: int) -> bool:
+    """Whether the limit at line ``i`` sits directly on a global sort."""
+    for line in lines[i + 1:]:
+        name = _node(line)
+        if name in _ORDER_KEEPING:
+            continue
+        return name == "Sort" and "], true" in line
+    return False
+
+
 def lint_plan(df: DataFrame, allow_unordered_limit: bool = False) -> PlanReport:
     lines = [ln for ln in plan_text(df, "simple").splitlines() if ln.strip()]
     report = PlanReport()
-    has_order = any(_node(ln) in ("Sort", "TakeOrderedAndProject") for ln in lines)
     for i, line in enumerate(lines):
         name = _node(line)
         for bad, why in _FORBIDDEN.items():
@@ -64,7 +78,8 @@ def lint_plan(df: DataFrame, allow_unordered_limit: bool = False) -> PlanReport:
                 report.problems.append(f"{bad}: {why}")
         if name in ("MapInPandas", "FlatMapGroupsInPandas", "ArrowEvalPython", "MapInArrow"):
             report.python_nodes.append(name)
-        if name in ("CollectLimit", "GlobalLimit") and not has_order and not allow_unordered_limit:
+        if (name in ("CollectLimit", "GlobalLimit") and not allow_unordered_limit
+                and not _limit_is_ordered(lines, i)):
             report.problems.append(f"{name} without an ordering returns arbitrary rows")
         if name != "Exchange":
             continue

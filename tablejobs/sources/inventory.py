@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablejobs.sources.readers import read_parquet
+from tablejobs.sources.writers import write_files
+
 
 def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile")
@@ -22,3 +25,30 @@ def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> D
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("length").alias("size"),
     )
+
+
+def write_with_inventory(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet (natural parallelism, one file per task) and
+    check the part-file listing against the write.
+
+    Expected files: one per non-empty write task, plus the file task 0 always
+    leaves (even when empty) so the schema is kept. Returns one row:
+    ``files_match`` and ``n_rows`` (rows read back from the listed files). The
+    counts come from one union and one global aggregate (no join); the scans
+    behind them read footers and partition ids only."""
+    spark = df.sparkSession
+    write_files(df, path, "parquet", "overwrite", maxRecordsPerFile=0)
+    one, zero = F.lit(1), F.lit(0)
+    files = file_inventory(spark, path, "*.parquet").select(
+        one.alias("f"), zero.alias("t"), zero.alias("z"), zero.alias("r"))
+    tasks = df.select(F.spark_partition_id().alias("pid")).distinct().select(
+        zero.alias("f"), one.alias("t"), (F.col("pid") == 0).cast("int").alias("z"),
+        zero.alias("r"))
+    rows = read_parquet(spark, path).select(
+        zero.alias("f"), zero.alias("t"), zero.alias("z"), one.alias("r"))
+    totals = files.unionByName(tasks).unionByName(rows).agg(
+        F.sum("f").alias("n_files"), F.sum("t").alias("n_tasks"),
+        F.sum("z").alias("has_task0"), F.sum("r").cast("bigint").alias("n_rows"))
+    expected = F.col("n_tasks") + 1 - F.col("has_task0")
+    return totals.select((F.col("n_files") == expected).alias("files_match"),
+                         F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"))

@@ -12,9 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# Fixed value: text formats keep microseconds only with an explicit pattern
-# (the default cuts `timestamp_ntz` to milliseconds). Used on write and read.
-TEXT_TIMESTAMP_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+# Fixed value: text writers keep microseconds only with explicit patterns (the
+# defaults cut both timestamp types to milliseconds). Applied on write only:
+# readers keep Spark's lenient ISO parser, which reads these values exactly
+# and also accepts other spellings (a strict read pattern would turn them
+# into NULL).
+TEXT_TIMESTAMP_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
 
 # CSV writes NULL and the empty string alike unless NULL gets a marker of its
 # own; give these options to both the writer and the reader of a round trip.
@@ -30,7 +36,7 @@ def read_csv(spark: SparkSession, path: str, *, header: bool = True,
     need ``multiLine=True``, which makes each file one task: leave it off for
     large inputs that have none."""
     reader = spark.read.format("csv").option("header", header).option("sep", sep)
-    reader = reader.options(**TEXT_TIMESTAMP_OPTIONS).options(**options)
+    reader = reader.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
@@ -52,7 +58,7 @@ def read_json(spark: SparkSession, path: str,
               schema: StructType | str | None = None, **options) -> DataFrame:
     """JSON-lines scan. Give a schema: without it Spark infers (a full pass),
     sorts the columns by name and returns timestamps as strings."""
-    reader = spark.read.format("json").options(**TEXT_TIMESTAMP_OPTIONS).options(**options)
+    reader = spark.read.format("json").options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
@@ -70,10 +76,27 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
     return reader.options(**options).load(path)
 
 
+def first_data_file(spark: SparkSession, path: str) -> str:
+    """``path`` itself if it is a file; for a folder Spark wrote, its first
+    part file by name (marker and hidden files skipped). Driver-side listing
+    of one folder through the Hadoop FileSystem API."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(hpath).isDirectory():
+        return path
+    names = sorted(st.getPath().toString() for st in fs.listStatus(hpath)
+                   if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+    if not names:
+        raise FileNotFoundError(f"no data file in {path}")
+    return names[0]
+
+
 def raw_preview(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
-    """First ``n`` lines of a text file, unparsed (what ``head`` on the file
-    shows). The limit is the feature here; Spark stops reading after it."""
-    return spark.read.text(path).limit(n)
+    """First ``n`` lines of one text file, unparsed (what ``head`` on the
+    file shows); for a folder, of its first part file. The limit is the
+    feature here; Spark stops reading after it."""
+    return spark.read.text(first_data_file(spark, path)).limit(n)
 
 
 def _lookup(fields: dict, name: str, case_sensitive: bool):
@@ -99,7 +122,7 @@ def require_columns(spark: SparkSession, path: str, schema: StructType | str,
         found = _lookup(fields, f.name, case_sensitive)
         if found is None:
             missing.append(f.name)
-        elif found.dataType != f.dataType:
+        elif found.dataType.simpleString() != f.dataType.simpleString():
             wrong.append(f"{f.name}: declared {f.dataType.simpleString()}, "
                          f"stored {found.dataType.simpleString()}")
     if missing or wrong:

@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 import __spark_entry__ as entry_mod
+from tablejobs.jobs import UNORDERED_LIMIT_JOBS as UNORDERED_LIMIT_OK
 from tablejobs.plans import lint_plan
 
 QUERIES = entry_mod.queries()
-# The preview's limit is the feature: the first lines of a file.
-UNORDERED_LIMIT_OK = {"raw_preview"}
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
