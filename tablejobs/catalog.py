@@ -12,6 +12,7 @@ Listings are returned as DataFrames of catalog metadata: small by nature.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,21 +43,18 @@ def _check(name: str) -> str:
     return name
 
 
-def _literal(text: str) -> str:
+def _literal(text: str, what: str) -> str:
     """Text for a quoted literal in DDL or SHOW (no parameter markers there)."""
     if "'" in text or "\\" in text:
-        raise ValueError(f"unsupported character in {text!r}")
+        raise ValueError(f"unsupported character in {what} {text!r}")
     return text
 
 
-_location = _literal
-
-
 def new_database(spark: SparkSession, label: str = "tj") -> str:
     """Create a fresh database whose files live below the shared scratch root."""
     db = unique_name(f"db_{label}")
     location = scratch_path(spark, db)
-    spark.sql(f"CREATE DATABASE {_check(db)} LOCATION '{_location(location)}'")
+    spark.sql(f"CREATE DATABASE {_check(db)} LOCATION '{_literal(location, "location")}'")
     return db
 
 
@@ -83,7 +81,7 @@ def register_files(spark: SparkSession, table: str, path: str, fmt: str = "parqu
     """Register files already at ``path`` as a table; no data is copied."""
     if not re.match(r"^[A-Za-z0-9_]+$", fmt):
         raise ValueError(f"bad format {fmt!r}")
-    spark.sql(f"CREATE TABLE {_check(table)} USING {fmt} LOCATION '{_location(path)}'")
+    spark.sql(f"CREATE TABLE {_check(table)} USING {fmt} LOCATION '{_literal(path, "location")}'")
     return spark.table(table)
 
 
@@ -92,9 +90,15 @@ def append_to_table(df: DataFrame, table: str) -> DataFrame:
 
     Appending to a table's path directly leaves cached file listings stale
     until the table is refreshed; going through the table avoids that.
-    Columns are matched by name (``insertInto`` alone matches by position)."""
-    columns = df.sparkSession.table(_check(table)).columns
-    df.select(*columns).write.insertInto(table)
+    ``INSERT INTO ... BY NAME`` matches columns by name (``insertInto`` would
+    match by position) and fails on columns the table does not have."""
+    spark = df.sparkSession
+    source = unique_name("append_src")
+    df.createOrReplaceTempView(source)
+    try:
+        spark.sql(f"INSERT INTO {_check(table)} BY NAME SELECT * FROM {source}")
+    finally:
+        spark.catalog.dropTempView(source)
     df.sparkSession.catalog.refreshTable(table)
     return df.sparkSession.table(table)
 
@@ -139,7 +143,7 @@ def list_tables(spark: SparkSession, database: str | None = None,
 
 def show_tables(spark: SparkSession, database: str, pattern: str | None = None) -> DataFrame:
     """``SHOW TABLES IN db [LIKE pattern]``: namespace, tableName, isTemporary."""
-    like = f" LIKE '{_literal(pattern)}'" if pattern else ""
+    like = f" LIKE '{_literal(pattern, 'pattern')}'" if pattern else ""
     return spark.sql(f"SHOW TABLES IN {_check(database)}{like}")
 
 
@@ -148,19 +152,13 @@ def describe_extended(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE EXTENDED {_check(table)}")
 
 
-def describe_summary(spark: SparkSession, table: str,
-                     detail_keys: tuple[str, ...] = ("Type", "Provider")) -> DataFrame:
-    """The column section of ``DESCRIBE EXTENDED`` (rows before the first
-    blank or ``#`` row) plus selected rows of its detailed-information section.
-    The output is catalog metadata, read on the driver section by section."""
-    rows = [(r["col_name"], r["data_type"]) for r in describe_extended(spark, table).collect()]
-    out, section = [], "columns"
-    for name, dtype in rows:
-        if section == "columns" and (not name or name.startswith("#")):
-            section = "other"
-        if name == "# Detailed Table Information":
-            section = "details"
-            continue
-        if section == "columns" or (section == "details" and name in detail_keys):
-            out.append((name, dtype))
-    return metadata_frame(spark, out, DESCRIBE_SCHEMA)
+def describe_summary(spark: SparkSession, table: str) -> DataFrame:
+    """One row per column (name, type) followed by the table's ``Type``
+    (EXTERNAL / MANAGED) and ``Provider``: the parts of ``DESCRIBE EXTENDED``
+    that hold across catalogs. Columns come from the table schema, details
+    from the machine-readable ``DESCRIBE ... AS JSON``; catalog metadata."""
+    rows = [(f.name, f.dataType.simpleString())
+            for f in spark.table(_check(table)).schema.fields]
+    details = json.loads(spark.sql(f"DESCRIBE EXTENDED {table} AS JSON").first()[0])
+    rows += [("Type", details.get("type")), ("Provider", details.get("provider"))]
+    return metadata_frame(spark, rows, DESCRIBE_SCHEMA)

@@ -61,12 +61,18 @@ def fold_rows(df: DataFrame, fn: Callable[[Row, Row], Row], depth: int = 2) -> R
     tree of ``depth`` levels, so neither one task nor the driver receives more
     than a handful of partial rows. Use ``operators.max_row`` when the fold is
     a maximum: it stays in the JVM."""
-    try:
-        return df.rdd.treeReduce(fn, depth)
-    except ValueError as exc:               # one pass; an empty input has no fold
-        if "empty" in str(exc).lower():
-            return None
-        raise
+    def step(acc, row):
+        return (True, fn(acc[1], row) if acc[0] else row)
+
+    def merge(a, b):
+        if not a[0]:
+            return b
+        if not b[0]:
+            return a
+        return (True, fn(a[1], b[1]))
+
+    has_value, value = df.rdd.treeAggregate((False, None), step, merge, depth)
+    return value if has_value else None
 
 
 def partition_profile(df: DataFrame, profile: Callable[[pd.DataFrame], dict[str, int]],

@@ -60,31 +60,34 @@ def task_records(path: str, stage_ids: set[int] | None = None) -> list[TaskRecor
 
 
 def _read_tasks(path: str, stage_ids: set[int] | None) -> list[TaskRecord]:
-    out = []
     with open(path) as fh:
-        for line in fh:
-            if '"SparkListenerTaskEnd"' not in line:
-                continue
-            try:
-                event = json.loads(line)
-            except json.JSONDecodeError:       # last line of a log still being written
-                continue
-            stage = event["Stage ID"]
-            if stage_ids is not None and stage not in stage_ids:
-                continue
-            metrics = event.get("Task Metrics") or {}
-            read = metrics.get("Shuffle Read Metrics") or {}
-            write = metrics.get("Shuffle Write Metrics") or {}
-            info = event.get("Task Info") or {}
-            out.append(TaskRecord(
-                stage_id=stage,
-                task_id=info.get("Task ID", -1),
-                run_ms=metrics.get("Executor Run Time", 0),
-                shuffle_records_read=read.get("Total Records Read", 0),
-                shuffle_bytes_read=read.get("Remote Bytes Read", 0) + read.get("Local Bytes Read", 0),
-                shuffle_records_written=write.get("Shuffle Records Written", 0),
-                input_records=(metrics.get("Input Metrics") or {}).get("Records Read", 0),
-            ))
+        lines = fh.readlines()
+    out = []
+    for i, line in enumerate(lines):
+        if '"SparkListenerTaskEnd"' not in line:
+            continue
+        try:
+            event = json.loads(line)
+        except json.JSONDecodeError:
+            if i == len(lines) - 1 and not line.endswith("\n"):
+                continue                        # the tail of a log still being written
+            raise
+        stage = event["Stage ID"]
+        if stage_ids is not None and stage not in stage_ids:
+            continue
+        metrics = event.get("Task Metrics") or {}
+        read = metrics.get("Shuffle Read Metrics") or {}
+        write = metrics.get("Shuffle Write Metrics") or {}
+        info = event.get("Task Info") or {}
+        out.append(TaskRecord(
+            stage_id=stage,
+            task_id=info.get("Task ID", -1),
+            run_ms=metrics.get("Executor Run Time", 0),
+            shuffle_records_read=read.get("Total Records Read", 0),
+            shuffle_bytes_read=read.get("Remote Bytes Read", 0) + read.get("Local Bytes Read", 0),
+            shuffle_records_written=write.get("Shuffle Records Written", 0),
+            input_records=(metrics.get("Input Metrics") or {}).get("Records Read", 0),
+        ))
     return out
 
 

@@ -53,18 +53,36 @@ def _node(line: str) -> str:
     return m.group(1) if m else ""
 
 
-# Nodes that pass rows through unchanged in order between a limit and its sort.
-_ORDER_KEEPING = {"LocalLimit", "Project", "ColumnarToRow", "InputAdapter",
-                  "WholeStageCodegen", "AdaptiveSparkPlan"}
+# Nodes that keep the order of their input between a limit and its sort.
+_ORDER_KEEPING = {"LocalLimit", "GlobalLimit", "CollectLimit", "Project", "Filter",
+                  "ColumnarToRow", "InputAdapter", "WholeStageCodegen", "AdaptiveSparkPlan"}
 
 
-def _limit_is_ordered(lines: list[str], i: int) -> bool:
-    """Whether the limit at line ``i`` sits directly on a global sort."""
-    for line in lines[i + 1:]:
+def _single_partition_below(lines: list[str], j: int) -> bool:
+    """Whether the input of the node at line ``j`` is one partition."""
+    for line in lines[j + 1:]:
         name = _node(line)
+        if name == "Coalesce" and re.search(r"Coalesce 1\b", line):
+            return True
+        if name == "Exchange":
+            return "SinglePartition" in line
+        if name not in _ORDER_KEEPING:
+            return False
+    return False
+
+
+def _limit_is_ordered(lines: list[str], i: int) -> bool:
+    """Whether the limit at line ``i`` takes rows in a defined order: from a
+    global sort, a take-ordered, or a sort of a single partition."""
+    for j in range(i + 1, len(lines)):
+        name = _node(lines[j])
         if name in _ORDER_KEEPING:
             continue
-        return name == "Sort" and "], true" in line
+        if name == "TakeOrderedAndProject":
+            return True
+        if name == "Sort":
+            return "], true" in lines[j] or _single_partition_below(lines, j)
+        return False
     return False
 
 

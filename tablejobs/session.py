@@ -75,8 +75,8 @@ def release(spark: SparkSession, path: str) -> bool:
     longer needed. Goes through the Hadoop FileSystem API, so it works on any
     cluster file system, and refuses every path outside the scratch area."""
     base = f"{scratch_root(spark)}/tablejobs/"
-    below = path[len(base):].strip("/") if path.startswith(base) else ""
-    if not below or ".." in path or "//" in path[len(base) - 1:]:
+    parts = path[len(base):].split("/") if path.startswith(base) else []
+    if not parts or any(p in ("", ".", "..") for p in parts):
         raise ValueError(f"{path!r} is not one output below {base!r}")
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

@@ -31,24 +31,21 @@ def write_with_inventory(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet (natural parallelism, one file per task) and
     check the part-file listing against the write.
 
-    Expected files: one per non-empty write task, plus the file task 0 always
-    leaves (even when empty) so the schema is kept. Returns one row:
-    ``files_match`` and ``n_rows`` (rows read back from the listed files). The
-    counts come from one union and one global aggregate (no join); the scans
-    behind them read footers and partition ids only."""
+    Every listed file must belong to a distinct write task (the task number
+    is part of the file name) and task 0's file must be there (Spark keeps it
+    even when empty, so the schema survives). Returns one row: ``files_match``
+    and ``n_rows``, the rows read back from the listed files. ``df`` is
+    computed once, by the write; the checks read the listing and footers."""
     spark = df.sparkSession
     write_files(df, path, "parquet", "overwrite", maxRecordsPerFile=0)
-    one, zero = F.lit(1), F.lit(0)
+    task = F.regexp_extract("name", r"^part-(\d+)", 1).cast("int")
     files = file_inventory(spark, path, "*.parquet").select(
-        one.alias("f"), zero.alias("t"), zero.alias("z"), zero.alias("r"))
-    tasks = df.select(F.spark_partition_id().alias("pid")).distinct().select(
-        zero.alias("f"), one.alias("t"), (F.col("pid") == 0).cast("int").alias("z"),
-        zero.alias("r"))
+        F.lit(1).alias("f"), task.alias("task"), F.lit(0).alias("r"))
     rows = read_parquet(spark, path).select(
-        zero.alias("f"), zero.alias("t"), zero.alias("z"), one.alias("r"))
-    totals = files.unionByName(tasks).unionByName(rows).agg(
-        F.sum("f").alias("n_files"), F.sum("t").alias("n_tasks"),
-        F.sum("z").alias("has_task0"), F.sum("r").cast("bigint").alias("n_rows"))
-    expected = F.col("n_tasks") + 1 - F.col("has_task0")
-    return totals.select((F.col("n_files") == expected).alias("files_match"),
+        F.lit(0).alias("f"), F.lit(None).cast("int").alias("task"), F.lit(1).alias("r"))
+    totals = files.unionByName(rows).agg(
+        F.sum("f").alias("n_files"), F.count_distinct("task").alias("n_tasks"),
+        F.min("task").alias("first_task"), F.sum("r").cast("bigint").alias("n_rows"))
+    match = (F.col("n_files") == F.col("n_tasks")) & (F.col("first_task") == 0)
+    return totals.select(F.coalesce(match, F.lit(False)).alias("files_match"),
                          F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"))

@@ -10,6 +10,7 @@ full scan of the input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Fixed value: text writers keep microseconds only with explicit patterns (the
@@ -77,25 +78,23 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
 
 
 def first_data_file(spark: SparkSession, path: str) -> str:
-    """``path`` itself if it is a file; for a folder Spark wrote, its first
-    part file by name (marker and hidden files skipped). Driver-side listing
-    of one folder through the Hadoop FileSystem API."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.getFileStatus(hpath).isDirectory():
-        return path
-    names = sorted(st.getPath().toString() for st in fs.listStatus(hpath)
-                   if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
-    if not names:
-        raise FileNotFoundError(f"no data file in {path}")
-    return names[0]
+    """The first non-empty data file under ``path`` (a file, a folder or a
+    glob; partition folders included), by path name. Listed with the
+    ``binaryFile`` source with file contents pruned: one small job, and one
+    row reaches the driver however many files there are."""
+    listing = spark.read.format("binaryFile").load(path)
+    first = listing.filter(F.col("length") > 0).agg(F.min("path")).first()[0]
+    if first is None:
+        raise FileNotFoundError(f"no non-empty data file in {path}")
+    return first
 
 
 def raw_preview(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
     """First ``n`` lines of one text file, unparsed (what ``head`` on the
-    file shows); for a folder, of its first part file. The limit is the
-    feature here; Spark stops reading after it."""
+    file shows); for a folder or glob, of its first non-empty file by name.
+    A write task that had no rows may leave a part file holding only a
+    header, and its head is then that header. The limit is the feature here;
+    Spark stops reading after it."""
     return spark.read.text(first_data_file(spark, path)).limit(n)
 
 

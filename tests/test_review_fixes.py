@@ -100,3 +100,54 @@ def test_lint_flags_a_limit_over_a_partition_local_sort(spark):
 def test_fold_rows_of_empty_input_is_none_in_one_pass(spark):
     assert fold_rows(spark.range(0), lambda a, b: a) is None
     assert fold_rows(spark.range(5), lambda a, b: a if a[0] > b[0] else b)[0] == 4
+
+
+def test_release_refuses_dot_components(spark):
+    base = f"{scratch_root(spark)}/tablejobs"
+    for bad in (base + "/.", base + "/./", base + "/x/.", base + "/./x"):
+        with pytest.raises(ValueError):
+            release(spark, bad)
+
+
+def test_fold_rows_lets_user_errors_through(spark):
+    def bad(a, b):
+        return max([])                      # raises ValueError mentioning "empty"
+    with pytest.raises(Exception, match="empty"):
+        fold_rows(spark.range(0, 4, numPartitions=4), bad)
+
+
+def test_append_by_name_handles_dotted_names_and_rejects_extra_columns(spark):
+    db = catalog.new_database(spark, "append2")
+    catalog.save_managed(spark.createDataFrame([("a1", "d1")], "a STRING, `x.y` STRING"),
+                         f"{db}.t")
+    moved = spark.createDataFrame([("d2", "a2")], "`x.y` STRING, a STRING")
+    rows = {tuple(r) for r in catalog.append_to_table(moved, f"{db}.t").collect()}
+    assert rows == {("a1", "d1"), ("a2", "d2")}
+    extra = spark.createDataFrame([("a3", "d3", "e3")], "a STRING, `x.y` STRING, e STRING")
+    with pytest.raises(Exception):
+        catalog.append_to_table(extra, f"{db}.t")
+
+
+def test_raw_preview_accepts_globs_and_partition_folders(spark, sf_dir):
+    path = scratch_path(spark, "preview_glob")
+    customer = read_parquet(spark, table_path(sf_dir, "customer"))
+    write_csv(customer, path)
+    assert len(raw_preview(spark, path + "/*.csv", 5).collect()) == 5
+    parted = scratch_path(spark, "preview_parted")
+    customer.write.partitionBy("c_mktsegment").option("header", True).csv(parted)
+    assert len(raw_preview(spark, parted, 5).collect()) == 5
+
+
+def test_describe_summary_odd_column_names_and_defaults(spark):
+    db = catalog.new_database(spark, "odd")
+    spark.sql(f"CREATE TABLE {db}.d (`#id` INT, Type INT DEFAULT 5) USING parquet")
+    rows = [tuple(r) for r in catalog.describe_summary(spark, f"{db}.d").collect()]
+    assert rows == [("#id", "int"), ("Type", "int"), ("Type", "MANAGED"), ("Provider", "parquet")]
+
+
+def test_lint_accepts_deterministic_limits(spark):
+    df = spark.range(100).withColumn("k", F.col("id") % 7)
+    assert lint_plan(df.orderBy("k", "id").limit(10).filter(F.col("k") > 1).limit(5)).ok
+    assert lint_plan(df.orderBy("k").filter(F.col("id") > 3).limit(5)).ok
+    assert lint_plan(df.coalesce(1).sortWithinPartitions("k").limit(5)).ok
+    assert not lint_plan(df.repartition(4).sortWithinPartitions("k").limit(5)).ok
