@@ -30,8 +30,10 @@ _FORBIDDEN = {
     "CartesianProduct": "cartesian product",
     "BatchEvalPython": "row-at-a-time Python UDF",
 }
+# A pre-aggregate feeding an Exchange: no functions (a distinct), or partial /
+# merge steps (the map side of a plain or a distinct aggregate).
 _PARTIAL = re.compile(r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(keys?=\[[^\]]*\], "
-                      r"functions=\[(partial_[^\]]*|)\]")
+                      r"functions=\[((partial_|merge_)[^\]]*|)\]")
 _NODE = re.compile(r"^[\s:|+\-]*(?:\*\(\d+\)\s*)?([A-Za-z]+)")
 
 
