@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
@@ -54,7 +55,7 @@ def new_database(spark: SparkSession, label: str = "tj") -> str:
     """Create a fresh database whose files live below the shared scratch root."""
     db = unique_name(f"db_{label}")
     location = scratch_path(spark, db)
-    spark.sql(f"CREATE DATABASE {_check(db)} LOCATION '{_literal(location, "location")}'")
+    spark.sql(f"CREATE DATABASE {_check(db)} LOCATION '{_literal(location, 'location')}'")
     return db
 
 
@@ -81,7 +82,7 @@ def register_files(spark: SparkSession, table: str, path: str, fmt: str = "parqu
     """Register files already at ``path`` as a table; no data is copied."""
     if not re.match(r"^[A-Za-z0-9_]+$", fmt):
         raise ValueError(f"bad format {fmt!r}")
-    spark.sql(f"CREATE TABLE {_check(table)} USING {fmt} LOCATION '{_literal(path, "location")}'")
+    spark.sql(f"CREATE TABLE {_check(table)} USING {fmt} LOCATION '{_literal(path, 'location')}'")
     return spark.table(table)
 
 
@@ -91,8 +92,15 @@ def append_to_table(df: DataFrame, table: str) -> DataFrame:
     Appending to a table's path directly leaves cached file listings stale
     until the table is refreshed; going through the table avoids that.
     ``INSERT INTO ... BY NAME`` matches columns by name (``insertInto`` would
-    match by position) and fails on columns the table does not have."""
+    match by position); the column sets must be equal, so a missing or extra
+    column fails instead of being filled with NULL or dropped."""
     spark = df.sparkSession
+    fold = (lambda c: c) if _case_sensitive(spark) else str.lower
+    table_cols = {fold(c) for c in spark.table(_check(table)).columns}
+    df_cols = {fold(c) for c in df.columns}
+    if table_cols != df_cols:
+        raise ValueError(f"columns differ from {table}: missing={sorted(table_cols - df_cols)} "
+                         f"extra={sorted(df_cols - table_cols)}")
     source = unique_name("append_src")
     df.createOrReplaceTempView(source)
     try:
@@ -103,6 +111,10 @@ def append_to_table(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
+def _case_sensitive(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+
+
 def refresh(spark: SparkSession, table: str) -> DataFrame:
     """Re-list a table's files after something wrote to its path directly."""
     spark.catalog.refreshTable(_check(table))
@@ -159,6 +171,26 @@ def describe_summary(spark: SparkSession, table: str) -> DataFrame:
     from the machine-readable ``DESCRIBE ... AS JSON``; catalog metadata."""
     rows = [(f.name, f.dataType.simpleString())
             for f in spark.table(_check(table)).schema.fields]
-    details = json.loads(spark.sql(f"DESCRIBE EXTENDED {table} AS JSON").first()[0])
-    rows += [("Type", details.get("type")), ("Provider", details.get("provider"))]
+    try:
+        details = json.loads(spark.sql(f"DESCRIBE EXTENDED {table} AS JSON").first()[0])
+        kind, provider = details.get("type"), details.get("provider")
+    except AnalysisException:
+        # catalogs without the JSON form: read the detail section of the text form
+        kind, provider = _detail_rows(spark, table, ("Type", "Provider"))
+    rows += [("Type", kind), ("Provider", provider)]
     return metadata_frame(spark, rows, DESCRIBE_SCHEMA)
+
+
+def _detail_rows(spark: SparkSession, table: str, keys: tuple[str, ...]) -> list[str | None]:
+    """Values of ``keys`` in the section after '# Detailed Table Information'."""
+    found: dict[str, str] = {}
+    in_details = False
+    for row in describe_extended(spark, table).collect():
+        name = row["col_name"]
+        if name == "# Detailed Table Information":
+            in_details = True
+        elif in_details and name.startswith("#"):
+            break
+        elif in_details and name in keys and name not in found:
+            found[name] = row["data_type"]
+    return [found.get(k) for k in keys]

@@ -25,6 +25,7 @@ class TaskRecord:
     shuffle_records_read: int
     shuffle_bytes_read: int
     shuffle_records_written: int
+    shuffle_bytes_written: int
     input_records: int
 
 
@@ -59,38 +60,51 @@ def task_records(path: str, stage_ids: set[int] | None = None) -> list[TaskRecor
     return out
 
 
+def settle(spark: SparkSession, timeout_ms: int = 10_000) -> None:
+    """Wait until Spark's listener bus has delivered every event so far (the
+    event log is written by a listener, asynchronously), so a read after an
+    action sees that action's tasks."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(timeout_ms)
+
+
 def _read_tasks(path: str, stage_ids: set[int] | None) -> list[TaskRecord]:
-    with open(path) as fh:
-        lines = fh.readlines()
     out = []
-    for i, line in enumerate(lines):
-        if '"SparkListenerTaskEnd"' not in line:
-            continue
-        try:
-            event = json.loads(line)
-        except json.JSONDecodeError:
-            if i == len(lines) - 1 and not line.endswith("\n"):
-                continue                        # the tail of a log still being written
-            raise
-        stage = event["Stage ID"]
-        if stage_ids is not None and stage not in stage_ids:
-            continue
-        metrics = event.get("Task Metrics") or {}
-        read = metrics.get("Shuffle Read Metrics") or {}
-        write = metrics.get("Shuffle Write Metrics") or {}
-        info = event.get("Task Info") or {}
-        out.append(TaskRecord(
-            stage_id=stage,
-            task_id=info.get("Task ID", -1),
-            run_ms=metrics.get("Executor Run Time", 0),
-            shuffle_records_read=read.get("Total Records Read", 0),
-            shuffle_bytes_read=read.get("Remote Bytes Read", 0) + read.get("Local Bytes Read", 0),
-            shuffle_records_written=write.get("Shuffle Records Written", 0),
-            input_records=(metrics.get("Input Metrics") or {}).get("Records Read", 0),
-        ))
+    with open(path) as fh:
+        for line in fh:
+            record = _task_record(line, stage_ids)
+            if record is not None:
+                out.append(record)
     return out
 
 
+def _task_record(line: str, stage_ids: set[int] | None) -> TaskRecord | None:
+    if '"SparkListenerTaskEnd"' not in line:
+        return None
+    try:
+        event = json.loads(line)
+    except json.JSONDecodeError:
+        if not line.endswith("\n"):
+            return None                         # the unfinished tail of a live log
+        raise
+    stage = event["Stage ID"]
+    if stage_ids is not None and stage not in stage_ids:
+        return None
+    metrics = event.get("Task Metrics") or {}
+    read = metrics.get("Shuffle Read Metrics") or {}
+    write = metrics.get("Shuffle Write Metrics") or {}
+    info = event.get("Task Info") or {}
+    return TaskRecord(
+        stage_id=stage,
+        task_id=info.get("Task ID", -1),
+        run_ms=metrics.get("Executor Run Time", 0),
+        shuffle_records_read=read.get("Total Records Read", 0),
+        shuffle_bytes_read=read.get("Remote Bytes Read", 0) + read.get("Local Bytes Read", 0),
+        shuffle_records_written=write.get("Shuffle Records Written", 0),
+        shuffle_bytes_written=write.get("Shuffle Bytes Written", 0),
+        input_records=(metrics.get("Input Metrics") or {}).get("Records Read", 0),
+    )
+
+
 def stages_of_jobs(spark: SparkSession, job_ids: list[int]) -> set[int]:
     tracker = spark.sparkContext.statusTracker()
     stages: set[int] = set()

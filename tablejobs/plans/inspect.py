@@ -39,13 +39,16 @@ def exchanges(df: DataFrame) -> int:
 def job_ids_of(spark: SparkSession, action: Callable[[], object]) -> tuple[list[int], object]:
     """Run ``action`` in a job group of its own; return (its job ids, result)."""
     sc = spark.sparkContext
+    keys = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+    before = {k: sc.getLocalProperty(k) for k in keys}
     group = f"tj-{uuid.uuid4().hex}"
     sc.setJobGroup(group, "tablejobs job count")
     try:
         result = action()
     finally:
-        with contextlib.suppress(Exception):
-            sc.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():    # give the caller's job group back
+            with contextlib.suppress(Exception):
+                sc.setLocalProperty(key, value)
     return list(sc.statusTracker().getJobIdsForGroup(group)), result
 
 

@@ -48,6 +48,9 @@ def scratch_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares; "
+                               "a driver-local folder is only usable with a local master")
         configured = tempfile.mkdtemp(prefix="tablejobs-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
@@ -67,6 +70,17 @@ def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
 
 
+def release_all(spark: SparkSession) -> bool:
+    """Delete every output this application's jobs wrote. The checkpoint
+    folder Spark uses is unique to the application, so other applications'
+    outputs are untouched. Call it when the application ends (the tests and
+    the bench do); DataFrames that read those outputs stop working."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/tablejobs")
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
 def release(spark: SparkSession, path: str) -> bool:
     """Delete a job output that lives below this library's scratch area.
 

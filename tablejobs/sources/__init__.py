@@ -1,6 +1,7 @@
 """Sources and sinks: file readers, writers with save modes, file listings."""
 
-from tablejobs.sources.inventory import file_inventory, write_with_inventory
+from tablejobs.sources.inventory import check_inventory, write_with_inventory
+from tablejobs.sources.listing import file_inventory
 from tablejobs.sources.readers import (
     NULL_MARKER_OPTIONS,
     TEXT_TIMESTAMP_OPTIONS,
@@ -16,5 +17,5 @@ from tablejobs.sources.writers import SAVE_MODES, write_csv, write_files
 __all__ = [
     "NULL_MARKER_OPTIONS", "TEXT_TIMESTAMP_OPTIONS", "SAVE_MODES", "file_inventory",
     "raw_preview", "read_csv", "read_files", "read_json", "read_parquet", "require_columns",
-    "write_csv", "write_files", "write_with_inventory",
+    "write_csv", "write_files", "write_with_inventory", "check_inventory",
 ]

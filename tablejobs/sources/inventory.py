@@ -1,51 +1,50 @@
-"""Listing of the data files a write produced (path, name, size).
-
-Uses the ``binaryFile`` source with only ``path`` and ``length`` selected, so
-file contents are pruned and never read; the listing itself is distributed
-for large directories. Hidden and marker files (``_SUCCESS``, ``.crc``) are
-skipped by the file index like any other Spark read.
-"""
+"""Check a write against the files it left: one part file per write task,
+task 0's file present, and every row found again in the listed files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablejobs.sources.listing import file_inventory
 from tablejobs.sources.readers import read_parquet
 from tablejobs.sources.writers import write_files
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select("path", "length")
-    return files.select(
-        "path",
-        F.element_at(F.split("path", "/"), -1).alias("name"),
-        F.col("length").alias("size"),
-    )
-
-
-def write_with_inventory(df: DataFrame, path: str) -> DataFrame:
+def write_with_inventory(df: DataFrame, path: str, verify_rows: bool = True) -> DataFrame:
     """Write ``df`` as Parquet (natural parallelism, one file per task) and
     check the part-file listing against the write.
 
-    Every listed file must belong to a distinct write task (the task number
-    is part of the file name) and task 0's file must be there (Spark keeps it
-    even when empty, so the schema survives). Returns one row: ``files_match``
-    and ``n_rows``, the rows read back from the listed files. ``df`` is
-    computed once, by the write; the checks read the listing and footers."""
-    spark = df.sparkSession
+    Every listed file must belong to a distinct write task (the task number is
+    part of the file name; other names count as a mismatch) and task 0's file
+    must be there (Spark keeps it even when empty, so the schema survives).
+    With ``verify_rows`` the rows read back from the listed files must equal
+    the rows of ``df``, which also catches a missing file; that counts ``df``
+    once more (footers only for a plain file scan). Returns one row:
+    ``files_match`` and ``n_rows`` (rows read back)."""
     write_files(df, path, "parquet", "overwrite", maxRecordsPerFile=0)
-    task = F.regexp_extract("name", r"^part-(\d+)", 1).cast("int")
-    files = file_inventory(spark, path, "*.parquet").select(
-        F.lit(1).alias("f"), task.alias("task"), F.lit(0).alias("r"))
-    rows = read_parquet(spark, path).select(
-        F.lit(0).alias("f"), F.lit(None).cast("int").alias("task"), F.lit(1).alias("r"))
-    totals = files.unionByName(rows).agg(
+    return check_inventory(df, path, verify_rows)
+
+
+def check_inventory(df: DataFrame, path: str, verify_rows: bool = True) -> DataFrame:
+    """The checks of ``write_with_inventory`` for Parquet files already at ``path``."""
+    spark = df.sparkSession
+    digits = F.regexp_extract("name", r"^part-(\d+)", 1)
+    task = F.when(digits != "", digits.cast("int"))
+    one, zero, none = F.lit(1), F.lit(0), F.lit(None).cast("int")
+    parts = file_inventory(spark, path, "*.parquet").select(
+        one.alias("f"), task.alias("task"), zero.alias("r"), zero.alias("s"))
+    parts = parts.unionByName(read_parquet(spark, path, df.schema).select(
+        zero.alias("f"), none.alias("task"), one.alias("r"), zero.alias("s")))
+    if verify_rows:
+        parts = parts.unionByName(df.select(
+            zero.alias("f"), none.alias("task"), zero.alias("r"), one.alias("s")))
+    totals = parts.agg(
         F.sum("f").alias("n_files"), F.count_distinct("task").alias("n_tasks"),
-        F.min("task").alias("first_task"), F.sum("r").cast("bigint").alias("n_rows"))
+        F.min("task").alias("first_task"), F.sum("r").cast("bigint").alias("n_rows"),
+        F.sum("s").cast("bigint").alias("n_source"))
     match = (F.col("n_files") == F.col("n_tasks")) & (F.col("first_task") == 0)
+    if verify_rows:
+        match = match & (F.coalesce("n_rows", F.lit(0)) == F.coalesce("n_source", F.lit(0)))
     return totals.select(F.coalesce(match, F.lit(False)).alias("files_match"),
                          F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablejobs.sources.listing import file_inventory
+
 # Fixed value: text writers keep microseconds only with explicit patterns (the
 # defaults cut both timestamp types to milliseconds). Applied on write only:
 # readers keep Spark's lenient ISO parser, which reads these values exactly
@@ -80,13 +82,19 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
 def first_data_file(spark: SparkSession, path: str) -> str:
     """The first non-empty data file under ``path`` (a file, a folder or a
     glob; partition folders included), by path name. Listed with the
-    ``binaryFile`` source with file contents pruned: one small job, and one
-    row reaches the driver however many files there are."""
-    listing = spark.read.format("binaryFile").load(path)
-    first = listing.filter(F.col("length") > 0).agg(F.min("path")).first()[0]
-    if first is None:
-        raise FileNotFoundError(f"no non-empty data file in {path}")
-    return first
+    ``binaryFile`` source, contents pruned: one small job, and one row reaches
+    the driver however many files there are. File scans skip zero-length
+    files; a path that names one is returned as it is."""
+    first = file_inventory(spark, path).agg(F.min("path")).first()[0]
+    if first is not None:
+        return first
+    # Spark's scans skip zero-length files; a path naming one is still a file.
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
+        return path
+    raise FileNotFoundError(f"no data file in {path}")
 
 
 def raw_preview(spark: SparkSession, path: str, n: int = 20) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tablejobs.session import build_session  # noqa: E402
+from tablejobs.session import build_session, release_all  # noqa: E402
 
 SF_DIR = os.environ.get("TABLEJOBS_SF_DIR", "/root/testdata/sf0.01")
 
@@ -20,6 +20,7 @@ def spark():
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
         "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     yield session
+    release_all(session)          # this application's outputs only
     session.stop()
 
 

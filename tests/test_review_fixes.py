@@ -151,3 +151,77 @@ def test_lint_accepts_deterministic_limits(spark):
     assert lint_plan(df.orderBy("k").filter(F.col("id") > 3).limit(5)).ok
     assert lint_plan(df.coalesce(1).sortWithinPartitions("k").limit(5)).ok
     assert not lint_plan(df.repartition(4).sortWithinPartitions("k").limit(5)).ok
+
+
+def test_append_refuses_missing_columns(spark):
+    db = catalog.new_database(spark, "append3")
+    catalog.save_managed(spark.createDataFrame([("a1", "b1")], "a STRING, b STRING"), f"{db}.t")
+    with pytest.raises(ValueError, match="missing=\\['b'\\]"):
+        catalog.append_to_table(spark.createDataFrame([("a2",)], "a STRING"), f"{db}.t")
+    assert spark.table(f"{db}.t").count() == 1
+
+
+def test_inventory_catches_a_missing_file_and_odd_names(spark):
+    from tablejobs.sources import check_inventory
+    df = spark.range(0, 1000, numPartitions=4)
+    path = scratch_path(spark, "inv_missing")
+    assert write_with_inventory(df, path).first()["files_match"] is True
+    local = path.removeprefix("file:")
+    victim = sorted(f for f in os.listdir(local) if f.startswith("part-00003"))[0]
+    os.remove(os.path.join(local, victim))
+    assert check_inventory(df, path).first()["files_match"] is False
+
+    odd = scratch_path(spark, "inv_odd")
+    assert write_with_inventory(df, odd).first()["files_match"] is True
+    df.limit(1).coalesce(1).write.parquet(odd + "_tmp")
+    tmp_local = (odd + "_tmp").removeprefix("file:")
+    extra = [f for f in os.listdir(tmp_local) if f.endswith(".parquet")][0]
+    os.rename(os.path.join(tmp_local, extra),
+              os.path.join(odd.removeprefix("file:"), "other.snappy.parquet"))
+    assert check_inventory(df, odd, verify_rows=False).first()["files_match"] is False
+
+
+def test_raw_preview_of_an_empty_file_is_empty(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="tj-empty-"), "empty.csv")
+    open(path, "w").close()
+    assert raw_preview(spark, path, 5).count() == 0
+
+
+def test_job_count_keeps_the_callers_job_group(spark):
+    from tablejobs.plans import jobs_started
+    sc = spark.sparkContext
+    sc.setJobGroup("callers-group", "mine")
+    try:
+        jobs_started(spark, lambda: spark.range(3).count())
+        assert sc.getLocalProperty("spark.jobGroup.id") == "callers-group"
+        assert sc.getLocalProperty("spark.job.description") == "mine"
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+
+
+def test_scratch_root_refuses_a_driver_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+
+
+def test_describe_text_fallback_reads_details(spark):
+    db = catalog.new_database(spark, "fallback")
+    catalog.save_external(spark.range(3), f"{db}.e", scratch_path(spark, "fallback_e"))
+    assert catalog._detail_rows(spark, f"{db}.e", ("Type", "Provider")) == ["EXTERNAL", "parquet"]
