@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tablejobs.schemas import metadata_frame
-from tablejobs.session import scratch_path, unique_name
+from tablejobs.session import case_sensitive, scratch_path, unique_name
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -92,15 +92,18 @@ def append_to_table(df: DataFrame, table: str) -> DataFrame:
     Appending to a table's path directly leaves cached file listings stale
     until the table is refreshed; going through the table avoids that.
     ``INSERT INTO ... BY NAME`` matches columns by name (``insertInto`` would
-    match by position); the column sets must be equal, so a missing or extra
-    column fails instead of being filled with NULL or dropped."""
+    match by position). A column the table has but ``df`` lacks must carry a
+    DEFAULT (which Spark fills in); otherwise, and for extra columns, the
+    append fails instead of writing NULLs or dropping data."""
     spark = df.sparkSession
-    fold = (lambda c: c) if _case_sensitive(spark) else str.lower
-    table_cols = {fold(c) for c in spark.table(_check(table)).columns}
-    df_cols = {fold(c) for c in df.columns}
-    if table_cols != df_cols:
-        raise ValueError(f"columns differ from {table}: missing={sorted(table_cols - df_cols)} "
-                         f"extra={sorted(df_cols - table_cols)}")
+    fold = (lambda c: c) if case_sensitive(spark) else str.lower
+    fields = {fold(f.name): f for f in spark.table(_check(table)).schema.fields}
+    given = {fold(c) for c in df.columns}
+    missing = sorted(c for c in set(fields) - given
+                     if "CURRENT_DEFAULT" not in fields[c].metadata)
+    extra = sorted(given - set(fields))
+    if missing or extra:
+        raise ValueError(f"columns differ from {table}: missing={missing} extra={extra}")
     source = unique_name("append_src")
     df.createOrReplaceTempView(source)
     try:
@@ -111,10 +114,6 @@ def append_to_table(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def _case_sensitive(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
-
-
 def refresh(spark: SparkSession, table: str) -> DataFrame:
     """Re-list a table's files after something wrote to its path directly."""
     spark.catalog.refreshTable(_check(table))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import glob
 import json
 import os
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -60,11 +61,17 @@ def task_records(path: str, stage_ids: set[int] | None = None) -> list[TaskRecor
     return out
 
 
-def settle(spark: SparkSession, timeout_ms: int = 10_000) -> None:
-    """Wait until Spark's listener bus has delivered every event so far (the
-    event log is written by a listener, asynchronously), so a read after an
-    action sees that action's tasks."""
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(timeout_ms)
+def settle(spark: SparkSession, timeout_ms: int = 10_000) -> bool:
+    """Wait until Spark's listener bus has delivered every event so far. The
+    event log and the job status store are filled by listeners, asynchronously,
+    so a read right after an action may miss its last events otherwise.
+    Returns False (after a short pause) when the bus cannot be waited on."""
+    try:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(timeout_ms)
+        return True
+    except Exception:                       # internal API moved, or the wait timed out
+        time.sleep(0.5)
+        return False
 
 
 def _read_tasks(path: str, stage_ids: set[int] | None) -> list[TaskRecord]:

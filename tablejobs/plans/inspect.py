@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablejobs.plans.eventlog import settle
+
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The text ``df.explain(mode)`` prints, returned instead of printed."""
@@ -49,6 +51,7 @@ def job_ids_of(spark: SparkSession, action: Callable[[], object]) -> tuple[list[
         for key, value in before.items():    # give the caller's job group back
             with contextlib.suppress(Exception):
                 sc.setLocalProperty(key, value)
+    settle(spark)                            # the status store fills asynchronously
     return list(sc.statusTracker().getJobIdsForGroup(group)), result
 
 

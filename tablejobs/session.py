@@ -56,9 +56,23 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_TAG_KEY = "tablejobs.session.tag"
+
+
+def session_scratch(spark: SparkSession) -> str:
+    """This session's own folder below the shared scratch root. Sessions that
+    share a SparkContext (notebooks, ``newSession``) share the checkpoint
+    folder; the tag, kept in the session's runtime config, separates them."""
+    tag = spark.conf.get(_TAG_KEY, None)
+    if not tag:
+        tag = uuid.uuid4().hex[:12]
+        spark.conf.set(_TAG_KEY, tag)
+    return f"{scratch_root(spark)}/tablejobs/{tag}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused location below the shared scratch root."""
-    return f"{scratch_root(spark)}/tablejobs/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused location in this session's scratch folder."""
+    return f"{session_scratch(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def unique_name(prefix: str) -> str:
@@ -70,29 +84,42 @@ def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
 
 
-def release_all(spark: SparkSession) -> bool:
-    """Delete every output this application's jobs wrote. The checkpoint
-    folder Spark uses is unique to the application, so other applications'
-    outputs are untouched. Call it when the application ends (the tests and
-    the bench do); DataFrames that read those outputs stop working."""
+def case_sensitive(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) of ``path`` through the session's Hadoop config, so
+    file operations work on whatever file system the cluster uses."""
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/tablejobs")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def release_all(spark: SparkSession) -> bool:
+    """Delete everything this session's jobs wrote and drop the databases they
+    created there. Other sessions, even on the same SparkContext, keep theirs.
+    Call it when the work is done (the tests and the bench do); DataFrames
+    reading those outputs stop working. Spark's own RDD checkpoint data is
+    left to Spark's cleaner settings."""
+    folder = session_scratch(spark)
+    for db in spark.catalog.listDatabases():
+        if (db.locationUri or "").startswith(folder + "/"):
+            spark.sql(f"DROP DATABASE IF EXISTS `{db.name}` CASCADE")
+    fs, hpath = hadoop_fs(spark, folder)
     return bool(fs.delete(hpath, True))
 
 
 def release(spark: SparkSession, path: str) -> bool:
-    """Delete a job output that lives below this library's scratch area.
+    """Delete one job output in this session's scratch folder.
 
-    Round-trip and sink jobs leave their files under the shared scratch root
-    so the DataFrames they return stay readable; call this once a result is no
-    longer needed. Goes through the Hadoop FileSystem API, so it works on any
-    cluster file system, and refuses every path outside the scratch area."""
-    base = f"{scratch_root(spark)}/tablejobs/"
+    Round-trip and sink jobs leave their files there so the DataFrames they
+    return stay readable; call this once a result is no longer needed. Goes
+    through the Hadoop FileSystem API, so it works on any cluster file system,
+    and refuses every path outside the folder (and the folder itself)."""
+    base = f"{session_scratch(spark)}/"
     parts = path[len(base):].split("/") if path.startswith(base) else []
     if not parts or any(p in ("", ".", "..") for p in parts):
         raise ValueError(f"{path!r} is not one output below {base!r}")
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = hadoop_fs(spark, path)
     return bool(fs.delete(hpath, True))

@@ -3,48 +3,49 @@ task 0's file present, and every row found again in the listed files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tablejobs.session import unique_name
 from tablejobs.sources.listing import file_inventory
 from tablejobs.sources.readers import read_parquet
 from tablejobs.sources.writers import write_files
 
 
-def write_with_inventory(df: DataFrame, path: str, verify_rows: bool = True) -> DataFrame:
+def write_with_inventory(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet (natural parallelism, one file per task) and
     check the part-file listing against the write.
 
-    Every listed file must belong to a distinct write task (the task number is
-    part of the file name; other names count as a mismatch) and task 0's file
-    must be there (Spark keeps it even when empty, so the schema survives).
-    With ``verify_rows`` the rows read back from the listed files must equal
-    the rows of ``df``, which also catches a missing file; that counts ``df``
-    once more (footers only for a plain file scan). Returns one row:
-    ``files_match`` and ``n_rows`` (rows read back)."""
-    write_files(df, path, "parquet", "overwrite", maxRecordsPerFile=0)
-    return check_inventory(df, path, verify_rows)
-
-
-def check_inventory(df: DataFrame, path: str, verify_rows: bool = True) -> DataFrame:
-    """The checks of ``write_with_inventory`` for Parquet files already at ``path``."""
-    spark = df.sparkSession
+    The write counts its own rows as it goes (an observed metric), so ``df``
+    is computed once, and the count is exactly what was written even for an
+    input that would differ on a second run. Returns one row: ``files_match``
+    and ``n_rows`` (rows read back from the listed files)."""
+    observed = Observation(unique_name("written"))
+    write_files(df.observe(observed, F.count(F.lit(1)).alias("rows")), path, "parquet",
+                "overwrite", maxRecordsPerFile=0)
+    return check_inventory(df.sparkSession, path, observed.get["rows"], df.schema)
+
+
+def check_inventory(spark: SparkSession, path: str, expected_rows: int | None = None,
+                    schema: StructType | None = None) -> DataFrame:
+    """Check Parquet part files at ``path``: every listed file belongs to a
+    distinct write task (the task number is in the file name; other names count
+    as a mismatch), task 0's file is there (Spark keeps it even when empty, so
+    the schema survives), and, when ``expected_rows`` is given, the listed files
+    hold exactly that many rows, which also catches a missing file. The counts
+    come from one union and one global aggregate over the listing and footers."""
     digits = F.regexp_extract("name", r"^part-(\d+)", 1)
     task = F.when(digits != "", digits.cast("int"))
-    one, zero, none = F.lit(1), F.lit(0), F.lit(None).cast("int")
-    parts = file_inventory(spark, path, "*.parquet").select(
-        one.alias("f"), task.alias("task"), zero.alias("r"), zero.alias("s"))
-    parts = parts.unionByName(read_parquet(spark, path, df.schema).select(
-        zero.alias("f"), none.alias("task"), one.alias("r"), zero.alias("s")))
-    if verify_rows:
-        parts = parts.unionByName(df.select(
-            zero.alias("f"), none.alias("task"), zero.alias("r"), one.alias("s")))
-    totals = parts.agg(
+    files = file_inventory(spark, path, "*.parquet").select(
+        F.lit(1).alias("f"), task.alias("task"), F.lit(0).alias("r"))
+    rows = read_parquet(spark, path, schema).select(
+        F.lit(0).alias("f"), F.lit(None).cast("int").alias("task"), F.lit(1).alias("r"))
+    totals = files.unionByName(rows).agg(
         F.sum("f").alias("n_files"), F.count_distinct("task").alias("n_tasks"),
-        F.min("task").alias("first_task"), F.sum("r").cast("bigint").alias("n_rows"),
-        F.sum("s").cast("bigint").alias("n_source"))
+        F.min("task").alias("first_task"),
+        F.coalesce(F.sum("r"), F.lit(0)).cast("bigint").alias("n_rows"))
     match = (F.col("n_files") == F.col("n_tasks")) & (F.col("first_task") == 0)
-    if verify_rows:
-        match = match & (F.coalesce("n_rows", F.lit(0)) == F.coalesce("n_source", F.lit(0)))
-    return totals.select(F.coalesce(match, F.lit(False)).alias("files_match"),
-                         F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"))
+    if expected_rows is not None:
+        match = match & (F.col("n_rows") == F.lit(expected_rows))
+    return totals.select(F.coalesce(match, F.lit(False)).alias("files_match"), "n_rows")

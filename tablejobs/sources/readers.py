@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablejobs.session import case_sensitive, hadoop_fs
 from tablejobs.sources.listing import file_inventory
 
 # Fixed value: text writers keep microseconds only with explicit patterns (the
@@ -89,9 +90,7 @@ def first_data_file(spark: SparkSession, path: str) -> str:
     if first is not None:
         return first
     # Spark's scans skip zero-length files; a path naming one is still a file.
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = hadoop_fs(spark, path)
     if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
         return path
     raise FileNotFoundError(f"no data file in {path}")
@@ -122,11 +121,11 @@ def require_columns(spark: SparkSession, path: str, schema: StructType | str,
     list of offending columns instead."""
     declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     stored = spark.read.format(fmt).load(path).schema
-    case_sensitive = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
-    fields = {(f.name if case_sensitive else f.name.lower()): f for f in stored.fields}
+    sensitive = case_sensitive(spark)
+    fields = {(f.name if sensitive else f.name.lower()): f for f in stored.fields}
     missing, wrong = [], []
     for f in declared.fields:
-        found = _lookup(fields, f.name, case_sensitive)
+        found = _lookup(fields, f.name, sensitive)
         if found is None:
             missing.append(f.name)
         elif found.dataType.simpleString() != f.dataType.simpleString():

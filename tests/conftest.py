@@ -20,8 +20,10 @@ def spark():
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
         "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     yield session
-    release_all(session)          # this application's outputs only
-    session.stop()
+    try:
+        release_all(session)      # this session's outputs only
+    finally:
+        session.stop()
 
 
 @pytest.fixture(scope="session")

@@ -76,7 +76,8 @@ def test_describe_summary_lists_partition_columns_once(spark):
 
 
 def test_release_refuses_the_scratch_area_itself(spark):
-    base = f"{scratch_root(spark)}/tablejobs"
+    from tablejobs.session import session_scratch
+    base = session_scratch(spark)
     for bad in (base, base + "/", base + "//", base + "/x/../.."):
         with pytest.raises(ValueError):
             release(spark, bad)
@@ -103,7 +104,8 @@ def test_fold_rows_of_empty_input_is_none_in_one_pass(spark):
 
 
 def test_release_refuses_dot_components(spark):
-    base = f"{scratch_root(spark)}/tablejobs"
+    from tablejobs.session import session_scratch
+    base = session_scratch(spark)
     for bad in (base + "/.", base + "/./", base + "/x/.", base + "/./x"):
         with pytest.raises(ValueError):
             release(spark, bad)
@@ -169,7 +171,7 @@ def test_inventory_catches_a_missing_file_and_odd_names(spark):
     local = path.removeprefix("file:")
     victim = sorted(f for f in os.listdir(local) if f.startswith("part-00003"))[0]
     os.remove(os.path.join(local, victim))
-    assert check_inventory(df, path).first()["files_match"] is False
+    assert check_inventory(spark, path, 1000).first()["files_match"] is False
 
     odd = scratch_path(spark, "inv_odd")
     assert write_with_inventory(df, odd).first()["files_match"] is True
@@ -178,7 +180,7 @@ def test_inventory_catches_a_missing_file_and_odd_names(spark):
     extra = [f for f in os.listdir(tmp_local) if f.endswith(".parquet")][0]
     os.rename(os.path.join(tmp_local, extra),
               os.path.join(odd.removeprefix("file:"), "other.snappy.parquet"))
-    assert check_inventory(df, odd, verify_rows=False).first()["files_match"] is False
+    assert check_inventory(spark, odd).first()["files_match"] is False
 
 
 def test_raw_preview_of_an_empty_file_is_empty(spark):
@@ -196,8 +198,8 @@ def test_job_count_keeps_the_callers_job_group(spark):
         assert sc.getLocalProperty("spark.jobGroup.id") == "callers-group"
         assert sc.getLocalProperty("spark.job.description") == "mine"
     finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
-        sc.setLocalProperty("spark.job.description", None)
+        for key in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            sc.setLocalProperty(key, None)
 
 
 def test_scratch_root_refuses_a_driver_folder_on_a_cluster():
@@ -225,3 +227,34 @@ def test_describe_text_fallback_reads_details(spark):
     db = catalog.new_database(spark, "fallback")
     catalog.save_external(spark.range(3), f"{db}.e", scratch_path(spark, "fallback_e"))
     assert catalog._detail_rows(spark, f"{db}.e", ("Type", "Provider")) == ["EXTERNAL", "parquet"]
+
+
+def test_append_may_leave_out_columns_with_defaults(spark):
+    db = catalog.new_database(spark, "defaults")
+    spark.sql(f"CREATE TABLE {db}.d (a STRING, b INT DEFAULT 7) USING parquet")
+    rows = catalog.append_to_table(spark.createDataFrame([("x",)], "a STRING"), f"{db}.d")
+    assert [tuple(r) for r in rows.collect()] == [("x", 7)]
+
+
+def test_write_inventory_counts_what_was_written_once(spark):
+    from tablejobs.plans import jobs_started
+    df = spark.range(0, 500, numPartitions=3).filter(F.rand(7) < 2)
+    n_jobs, result = jobs_started(
+        spark, lambda: write_with_inventory(df, scratch_path(spark, "inv_once")).first())
+    assert result["files_match"] is True and result["n_rows"] == 500
+
+
+def test_release_all_is_per_session(spark):
+    from tablejobs.session import release_all, session_scratch
+    other = spark.newSession()
+    mine = scratch_path(spark, "keep_me")
+    theirs = scratch_path(other, "drop_me")
+    assert session_scratch(spark) != session_scratch(other)
+    write_files(spark.range(3), mine, "parquet")
+    write_files(other.range(3), theirs, "parquet")
+    db = catalog.new_database(other, "gone")
+    catalog.save_managed(other.range(2), f"{db}.t")
+    assert release_all(other) is True
+    assert read_parquet(spark, mine).count() == 3
+    assert not os.path.exists(theirs.removeprefix("file:"))
+    assert db not in [d.name for d in spark.catalog.listDatabases()]
