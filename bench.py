@@ -23,7 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tablejobs import jobs  # noqa: E402
 from tablejobs.jobs import JOBS  # noqa: E402
 from tablejobs.plans import job_ids_of  # noqa: E402
-from tablejobs.plans.eventlog import event_log_path, settle, stages_of_jobs, task_records  # noqa: E402
+from tablejobs.plans.eventlog import event_log_path, stages_of_jobs, task_records  # noqa: E402
 from tablejobs import operators as ops  # noqa: E402
 from tablejobs.schemas import LINEITEM_DDL  # noqa: E402
 from tablejobs.session import build_session, release_all, scratch_path, table_path  # noqa: E402
@@ -107,8 +107,8 @@ def main() -> None:
         timings[name] = round(statistics.median(runs), 4)
         stages[name] = stages_of_jobs(spark, ids)   # looked up while still retained
 
-    # How much each headline job shuffled (map side), from the event log.
-    settle(spark)
+    # How much each headline job shuffled (map side), from the event log
+    # (job_ids_of has already waited for the listener bus to drain).
     tasks = task_records(event_log_path(spark))
     shuffles = {}
     for name in headline:
@@ -129,7 +129,7 @@ def main() -> None:
                 all_jobs[name] = round(time.perf_counter() - start, 4)
             except Exception as exc:  # recorded, not hidden
                 all_jobs[name] = f"error: {type(exc).__name__}"
-    release_all(spark)             # this run's outputs (the folder is per application)
+    release_all(spark)             # this session's outputs and databases
     spark.stop()
     print(json.dumps({
         "metric": "sum_of_median_job_seconds",

@@ -10,6 +10,7 @@ from __future__ import annotations
 import contextlib
 import re
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +52,9 @@ def job_ids_of(spark: SparkSession, action: Callable[[], object]) -> tuple[list[
         for key, value in before.items():    # give the caller's job group back
             with contextlib.suppress(Exception):
                 sc.setLocalProperty(key, value)
-    settle(spark)                            # the status store fills asynchronously
+    if not settle(spark):                    # the status store fills asynchronously
+        warnings.warn("Spark's listener bus did not drain; the job list may be incomplete",
+                      RuntimeWarning, stacklevel=2)
     return list(sc.statusTracker().getJobIdsForGroup(group)), result
 
 

@@ -56,18 +56,12 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-_TAG_KEY = "tablejobs.session.tag"
-
-
 def session_scratch(spark: SparkSession) -> str:
     """This session's own folder below the shared scratch root. Sessions that
     share a SparkContext (notebooks, ``newSession``) share the checkpoint
-    folder; the tag, kept in the session's runtime config, separates them."""
-    tag = spark.conf.get(_TAG_KEY, None)
-    if not tag:
-        tag = uuid.uuid4().hex[:12]
-        spark.conf.set(_TAG_KEY, tag)
-    return f"{scratch_root(spark)}/tablejobs/{tag}"
+    folder; the session's fixed id, assigned by Spark, separates them."""
+    session_id = str(spark._jsparkSession.sessionUUID()).replace("-", "")
+    return f"{scratch_root(spark)}/tablejobs/{session_id}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -89,11 +83,13 @@ def case_sensitive(spark: SparkSession) -> bool:
 
 
 def hadoop_fs(spark: SparkSession, path: str):
-    """(FileSystem, Path) of ``path`` through the session's Hadoop config, so
-    file operations work on whatever file system the cluster uses."""
+    """(FileSystem, Path) of ``path`` through the session's Hadoop config
+    (including file-system settings made on this session), so file operations
+    work on whatever file system the cluster uses."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return hpath.getFileSystem(conf), hpath
 
 
 def release_all(spark: SparkSession) -> bool:
@@ -103,8 +99,11 @@ def release_all(spark: SparkSession) -> bool:
     reading those outputs stop working. Spark's own RDD checkpoint data is
     left to Spark's cleaner settings."""
     folder = session_scratch(spark)
-    for db in spark.catalog.listDatabases():
+    current = spark.catalog.currentDatabase()
+    for db in spark.catalog.listDatabases("db_*"):       # the names new_database gives
         if (db.locationUri or "").startswith(folder + "/"):
+            if db.name == current:
+                spark.catalog.setCurrentDatabase("default")
             spark.sql(f"DROP DATABASE IF EXISTS `{db.name}` CASCADE")
     fs, hpath = hadoop_fs(spark, folder)
     return bool(fs.delete(hpath, True))

@@ -105,8 +105,8 @@ def raw_preview(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
     return spark.read.text(first_data_file(spark, path)).limit(n)
 
 
-def _lookup(fields: dict, name: str, case_sensitive: bool):
-    if case_sensitive:
+def _lookup(fields: dict, name: str, sensitive: bool):
+    if sensitive:
         return fields.get(name)
     return fields.get(name.lower())
 

@@ -236,12 +236,40 @@ def test_append_may_leave_out_columns_with_defaults(spark):
     assert [tuple(r) for r in rows.collect()] == [("x", 7)]
 
 
-def test_write_inventory_counts_what_was_written_once(spark):
-    from tablejobs.plans import jobs_started
-    df = spark.range(0, 500, numPartitions=3).filter(F.rand(7) < 2)
-    n_jobs, result = jobs_started(
-        spark, lambda: write_with_inventory(df, scratch_path(spark, "inv_once")).first())
+def test_write_inventory_computes_its_input_once(spark):
+    """A row-counting UDF shows the input is evaluated by the write only."""
+    from pyspark.sql.functions import udf
+    seen = spark.sparkContext.accumulator(0)
+
+    @udf("long")
+    def touch(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(0, 500, numPartitions=3).select(touch("id").alias("id"))
+    result = write_with_inventory(df, scratch_path(spark, "inv_once")).first()
     assert result["files_match"] is True and result["n_rows"] == 500
+    assert seen.value == 500
+
+
+def test_inventory_of_a_folder_without_files_is_a_mismatch(spark):
+    from tablejobs.sources import check_inventory
+    path = scratch_path(spark, "inv_gone")
+    write_with_inventory(spark.range(10), path)
+    local = path.removeprefix("file:")
+    for name in os.listdir(local):
+        if name.endswith(".parquet"):
+            os.remove(os.path.join(local, name))
+    assert tuple(check_inventory(spark, path, 10).first()) == (False, 0)
+
+
+def test_session_folder_is_fixed_per_session(spark):
+    from tablejobs.session import session_scratch
+    other = spark.newSession()             # RESET only this throwaway session
+    first = session_scratch(other)
+    other.sql("RESET")
+    assert session_scratch(other) == first
+    assert session_scratch(spark) != first
 
 
 def test_release_all_is_per_session(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablejobs import operators as ops
 from tablejobs.plans import job_ids_of
-from tablejobs.plans.eventlog import event_log_path, settle, stages_of_jobs, task_records
+from tablejobs.plans.eventlog import event_log_path, stages_of_jobs, task_records
 from tablejobs.session import table_path
 from tablejobs.sources import read_parquet
 
@@ -48,8 +48,7 @@ def _uncoalesced(spark):
 def _shuffle_metrics(spark, action):
     """(records written by map tasks, most records read by one task, result)."""
     with _uncoalesced(spark):
-        ids, result = job_ids_of(spark, action)
-    settle(spark)
+        ids, result = job_ids_of(spark, action)     # waits for the listener bus
     path = event_log_path(spark)
     assert path, "event log is not enabled in the test session"
     tasks = task_records(path, stages_of_jobs(spark, ids))
