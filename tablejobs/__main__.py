@@ -13,6 +13,7 @@ import sys
 
 from tablejobs.jobs import JOBS, UNORDERED_LIMIT_JOBS
 from tablejobs.oracle import ORACLE_SQL
+from tablejobs.survey_map import ids_of_job
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -26,7 +27,8 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.command == "list":
         for key in JOBS:
-            print(f"{key:24s}{'oracle' if key in ORACLE_SQL else 'rows only'}")
+            oracle = "oracle" if key in ORACLE_SQL else "rows only"
+            print(f"{key:24s}{oracle:11s}{' '.join(ids_of_job(key))}")
         return 0
     if args.job not in JOBS:
         parser.error(f"unknown job {args.job!r}; see 'list'")
