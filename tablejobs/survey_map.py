@@ -93,3 +93,26 @@ COVERAGE: dict[str, list[str]] = {
 def ids_of_job(key: str) -> list[str]:
     """Inventory items a registered job covers."""
     return [item for item, refs in COVERAGE.items() if f"job:{key}" in refs]
+
+
+# SURVEY §2.12: drift between the notebooks' claims and Spark 4, one test each.
+DRIFT: dict[str, list[str]] = {
+    "V1": ["test:test_drift.py::test_v1_parenthesised_names_roundtrip"],
+    "V2": ["test:test_drift.py::test_v2_wrong_schema_is_caught_early"],
+    "V3": ["test:test_drift.py::test_v3_path_writes_need_refresh_table_writes_do_not"],
+    "V4": ["test:test_drift.py::test_v4_external_and_managed_need_separate_names"],
+    "V5": ["test:test_golden.py::test_counts_coded_vs_specified"],
+    "V6": ["test:test_golden.py::test_unique_names_and_rows_per_name"],
+    "V7": ["test:test_drift.py::test_v7_schema_without_header_keeps_header_as_row"],
+    "V8": ["test:test_drift.py::test_v8_declared_names_override_header"],
+    "V9": ["test:test_drift.py::test_v9_database_is_flattened"],
+    "V10": ["test:test_golden.py::test_describe_and_listing_layouts"],
+    "V11": ["test:test_plans.py::test_reduce_row_has_no_sort"],
+    # V13 needs a Hive metastore (an embedded database); not run here, see README.
+    "V13": [],
+    "V12": ["test:test_drift.py::test_v12_null_tuples_count_once"],
+    "V14": ["test:test_drift.py::test_v14_output_is_part_files_and_success_marker"],
+    "V15": ["test:test_drift.py::test_v15_text_formats_keep_microseconds",
+            "test:test_review_fixes.py::test_text_roundtrip_keeps_microseconds_for_both_timestamp_types"],
+    "V16": ["test:test_drift.py::test_v16_managed_name_reusable_across_runs"],
+}

@@ -4,7 +4,7 @@ import importlib
 import re
 
 from tablejobs.jobs import JOBS
-from tablejobs.survey_map import COVERAGE
+from tablejobs.survey_map import COVERAGE, DRIFT
 
 EXPECTED = ([f"S{i}" for i in range(1, 14)] + [f"D{i}" for i in range(1, 5)]
             + [f"K{i}" for i in range(1, 9)] + [f"T{i}" for i in range(1, 9)]
@@ -32,3 +32,12 @@ def test_every_reference_exists():
 def test_every_job_covers_some_item():
     covered = {ref[4:] for refs in COVERAGE.values() for ref in refs if ref.startswith("job:")}
     assert covered == set(JOBS)
+
+
+def test_every_drift_item_has_a_test_except_the_metastore_one():
+    assert sorted(DRIFT) == sorted(f"V{i}" for i in range(1, 17))
+    assert [item for item, refs in DRIFT.items() if not refs] == ["V13"]
+    for refs in DRIFT.values():
+        for ref in refs:
+            module, func = re.match(r"test:(\w+)\.py::(\w+)$", ref).groups()
+            assert hasattr(importlib.import_module(f"tests.{module}"), func), ref
