@@ -197,8 +197,7 @@ def cache_reuse(spark, sf_dir):
     """Cache the filtered projection once; every later action scans it from
     memory (spilling to disk) instead of re-reading and re-filtering orders.
     The cache lives until ``unpersist()``; equal plans share one cache entry."""
-    orders = _table(spark, sf_dir, "orders")
-    finished = ops.cached(ops.filter_eq(orders, "o_orderstatus", "F").select("o_orderpriority"))
+    finished = ops.cached(_orders_with_status(spark, sf_dir, "F").select("o_orderpriority"))
     return ops.group_count(finished, "o_orderpriority", name="n", order=False)
 
 
@@ -245,6 +244,8 @@ def csv_delim(spark, sf_dir):
 
 
 def parquet_inferred(spark, sf_dir):
+    """The schema stored in the file (timestamps come back as timestamp_ntz
+    under Spark's default ``spark.sql.parquet.inferTimestampNTZ.enabled``)."""
     return read_parquet(spark, table_path(sf_dir, "orders"))
 
 
@@ -268,11 +269,13 @@ def json_roundtrip(spark, sf_dir):
 def default_format(spark, sf_dir):
     path = scratch_path(spark, "supplier_default")
     write_files(_table(spark, sf_dir, "supplier"), path, None, "overwrite")
-    return read_files(spark, path)
+    # Declared schema: names and types hold whatever the session's default format is.
+    return read_files(spark, path, schema=TABLE_DDL["supplier"])
 
 
 def raw_preview_job(spark, sf_dir):
-    return raw_preview(spark, _written_customer_csv(spark, sf_dir), 20)
+    # One file per write task whatever the session's maxRecordsPerFile says.
+    return raw_preview(spark, _written_customer_csv(spark, sf_dir, maxRecordsPerFile=0), 20)
 
 
 def table_scan(spark, sf_dir):
@@ -368,14 +371,18 @@ def _catalog_fixture(spark, sf_dir) -> str:
     return db
 
 
+_CATALOG_NAMES = "cat_ext|cat_man|cat_tmp"     # exactly the fixture's three names
+
+
 def catalog_list(spark, sf_dir):
     db = _catalog_fixture(spark, sf_dir)
-    return catalog.list_tables(spark, db, "cat_*").select("name", "tableType", "isTemporary")
+    return catalog.list_tables(spark, db, _CATALOG_NAMES).select(
+        "name", "tableType", "isTemporary")
 
 
 def catalog_show(spark, sf_dir):
     db = _catalog_fixture(spark, sf_dir)
-    return catalog.show_tables(spark, db, "cat_*").select("tableName", "isTemporary")
+    return catalog.show_tables(spark, db, _CATALOG_NAMES).select("tableName", "isTemporary")
 
 
 def catalog_describe(spark, sf_dir):

@@ -18,10 +18,11 @@ _CATALOG_ROWS = ("('cat_ext', 'EXTERNAL', false), ('cat_man', 'MANAGED', false),
 
 ORACLE_SQL: dict[str, str] = {
     # aggregation
-    "group_count": _GROUP_COUNT + " ORDER BY 1, 2",
+    "group_count": _GROUP_COUNT + " ORDER BY 1 NULLS FIRST, 2 NULLS FIRST",
     "group_count_one": "SELECT user_id, count(*) AS counts FROM events GROUP BY 1",
     "view_counts_coded": ("SELECT user_id, event_type, value, count(*) AS conteo "
-                          "FROM events GROUP BY ALL ORDER BY 1, 2, 3"),
+                          "FROM events GROUP BY ALL ORDER BY 1 NULLS FIRST, 2 NULLS FIRST, "
+                          "3 NULLS FIRST"),
     "view_counts_spec": ("SELECT user_id, event_type, count(value) AS conteo "
                          "FROM events GROUP BY ALL"),
     "group_sum": (f"SELECT l_linestatus, CAST(sum(counts) AS BIGINT) AS total "
@@ -64,8 +65,7 @@ ORACLE_SQL: dict[str, str] = {
     "repartition_coalesce": "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1",
     "cache_reuse": ("SELECT o_orderpriority, count(*) AS n FROM orders "
                     "WHERE o_orderstatus = 'F' GROUP BY 1"),
-    "partition_profile": ("SELECT count(*) AS n_rows, CAST(count(l_shipdate) AS BIGINT) "
-                          "AS n_ship FROM lineitem"),
+    "partition_profile": "SELECT count(*) AS n_rows, count(l_shipdate) AS n_ship FROM lineitem",
     # sources
     "csv_infer": ("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, "
                   "c_acctbal, c_mktsegment FROM customer"),

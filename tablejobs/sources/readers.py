@@ -81,14 +81,18 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
 
 
 def first_data_file(spark: SparkSession, path: str) -> str:
-    """The first non-empty data file under ``path`` (a file, a folder or a
-    glob; partition folders included), by path name. Listed with the
+    """The data file to preview under ``path`` (a file, a folder or a glob;
+    partition folders included): the largest one, the first by name among
+    equals. A write task without rows can leave a part file holding only a
+    header, so the largest file is the one that surely holds data; it is also
+    where Spark's own read of the folder starts. Listed with the
     ``binaryFile`` source, contents pruned: one small job, and one row reaches
     the driver however many files there are. File scans skip zero-length
     files; a path that names one is returned as it is."""
-    first = file_inventory(spark, path).agg(F.min("path")).first()[0]
-    if first is not None:
-        return first
+    best = (file_inventory(spark, path)
+            .agg(F.min_by("path", F.struct(-F.col("size"), F.col("path")))).first()[0])
+    if best is not None:
+        return best
     # Spark's scans skip zero-length files; a path naming one is still a file.
     fs, hpath = hadoop_fs(spark, path)
     if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
@@ -98,10 +102,9 @@ def first_data_file(spark: SparkSession, path: str) -> str:
 
 def raw_preview(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
     """First ``n`` lines of one text file, unparsed (what ``head`` on the
-    file shows); for a folder or glob, of its first non-empty file by name.
-    A write task that had no rows may leave a part file holding only a
-    header, and its head is then that header. The limit is the feature here;
-    Spark stops reading after it."""
+    file shows); for a folder or glob, of its largest file (see
+    ``first_data_file``). The limit is the feature here; Spark stops reading
+    after it."""
     return spark.read.text(first_data_file(spark, path)).limit(n)
 
 
