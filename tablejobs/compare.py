@@ -48,8 +48,9 @@ def spark_types(df: DataFrame) -> dict[str, str]:
             for f in df.schema.fields}
 
 
-def compare(df: DataFrame, con, sql: str) -> list[str]:
-    """Return a list of mismatch descriptions (empty when equal)."""
+def compare(df: DataFrame, con, sql: str, ordered: bool = False) -> list[str]:
+    """Return a list of mismatch descriptions (empty when equal). With
+    ``ordered`` the rows must also come in the same order."""
     problems = []
     rel = con.sql(sql)
     duck_cols = rel.columns
@@ -67,6 +68,8 @@ def compare(df: DataFrame, con, sql: str) -> list[str]:
     oracle_rows = [tuple(_norm(r[i]) for i in idx) for r in duck_rows]
     if len(spark_rows) != len(oracle_rows):
         problems.append(f"row count: spark={len(spark_rows)} oracle={len(oracle_rows)}")
+    elif ordered and spark_rows != oracle_rows:
+        problems.append("row order differs")
     elif sorted(spark_rows) != sorted(oracle_rows):
         diff = sorted(set(spark_rows) ^ set(oracle_rows))[:3]
         problems.append(f"values differ, e.g. {diff}")

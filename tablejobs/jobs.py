@@ -269,13 +269,20 @@ def json_roundtrip(spark, sf_dir):
 def default_format(spark, sf_dir):
     path = scratch_path(spark, "supplier_default")
     write_files(_table(spark, sf_dir, "supplier"), path, None, "overwrite")
-    # Declared schema: names and types hold whatever the session's default format is.
+    # Declared schema: names and types hold for any default format that can
+    # store these types (parquet, orc, json, csv; text cannot).
     return read_files(spark, path, schema=TABLE_DDL["supplier"])
 
 
 def raw_preview_job(spark, sf_dir):
-    # One file per write task whatever the session's maxRecordsPerFile says.
-    return raw_preview(spark, _written_customer_csv(spark, sf_dir, maxRecordsPerFile=0), 20)
+    """Head of the CSV written from customer: the first part file holding
+    rows (a file holding only the header, left by a write task without rows,
+    is skipped by its size). One file per write task whatever the session's
+    maxRecordsPerFile says."""
+    customer = _table(spark, sf_dir, "customer")
+    path = _written_customer_csv(spark, sf_dir, maxRecordsPerFile=0)
+    header_only = len(",".join(customer.columns).encode()) + 1
+    return raw_preview(spark, path, 20, min_size=header_only + 1)
 
 
 def table_scan(spark, sf_dir):
@@ -361,19 +368,23 @@ def table_register(spark, sf_dir):
 
 # -------------------------------------------------------------------- catalog
 
+# The names of the catalog fixture's external table, managed
+# table and temp view (the listings return exactly these).
+_CATALOG_OBJECTS = ("cat_ext", "cat_man", "cat_tmp")
+_CATALOG_NAMES = "|".join(_CATALOG_OBJECTS)
+
+
 def _catalog_fixture(spark, sf_dir) -> str:
-    """An external table, a managed table and a temp view named ``cat_*``."""
+    """An external table, a managed table and a temp view (``_CATALOG_OBJECTS``)."""
+    ext, man, tmp = _CATALOG_OBJECTS
     db = catalog.new_database(spark, "cat")
     supplier = _table(spark, sf_dir, "supplier")
-    catalog.save_external(supplier, f"{db}.cat_ext", scratch_path(spark, "cat_ext"))
-    catalog.save_managed(supplier, f"{db}.cat_man")
-    catalog.view_from_df(supplier, "cat_tmp")
+    catalog.save_external(supplier, f"{db}.{ext}", scratch_path(spark, ext))
+    catalog.save_managed(supplier, f"{db}.{man}")
+    catalog.view_from_df(supplier, tmp)
     return db
 
 
-_CATALOG_NAMES = "cat_ext|cat_man|cat_tmp"     # exactly the fixture's three names
-
-
 def catalog_list(spark, sf_dir):
     db = _catalog_fixture(spark, sf_dir)
     return catalog.list_tables(spark, db, _CATALOG_NAMES).select(

@@ -2,10 +2,11 @@
 Parquet tables. Column names and types are chosen to equal the Spark result
 (DuckDB sums BIGINT into HUGEINT, hence the casts).
 
-``raw_preview`` shows the first lines of the CSV file Spark wrote: the header,
-then the first rows in table order. Its oracle relies on the supplied
-``customer`` file being one row group (one write task, one output file) and
-on DuckDB keeping file order for a LIMIT without ORDER BY.
+``raw_preview`` shows the first lines of the first CSV part file holding rows:
+the header, then the first rows in table order. Its oracle relies on the
+supplied ``customer`` file being one row group (the rows land in one part
+file, whichever task reads the row group) and on DuckDB keeping file order for
+a LIMIT without ORDER BY.
 """
 
 from __future__ import annotations

@@ -80,32 +80,31 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
     return reader.options(**options).load(path)
 
 
-def first_data_file(spark: SparkSession, path: str) -> str:
-    """The data file to preview under ``path`` (a file, a folder or a glob;
-    partition folders included): the largest one, the first by name among
-    equals. A write task without rows can leave a part file holding only a
-    header, so the largest file is the one that surely holds data; it is also
-    where Spark's own read of the folder starts. Listed with the
-    ``binaryFile`` source, contents pruned: one small job, and one row reaches
-    the driver however many files there are. File scans skip zero-length
-    files; a path that names one is returned as it is."""
-    best = (file_inventory(spark, path)
-            .agg(F.min_by("path", F.struct(-F.col("size"), F.col("path")))).first()[0])
-    if best is not None:
-        return best
-    # Spark's scans skip zero-length files; a path naming one is still a file.
+def first_data_file(spark: SparkSession, path: str, min_size: int = 1) -> str:
+    """The first data file by name under ``path`` (a file, a folder or a
+    glob; partition folders included) holding at least ``min_size`` bytes.
+    A caller that knows its files start with a header passes the header's
+    size plus one, so a part file holding only the header (what a write task
+    without rows leaves) is skipped. Listed with the ``binaryFile`` source,
+    contents pruned: one small job, and one row reaches the driver however
+    many files there are. File scans skip zero-length files; a path that
+    names one is returned as it is."""
+    first = (file_inventory(spark, path).filter(F.col("size") >= min_size)
+             .agg(F.min("path")).first()[0])
+    if first is not None:
+        return first
     fs, hpath = hadoop_fs(spark, path)
     if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
         return path
     raise FileNotFoundError(f"no data file in {path}")
 
 
-def raw_preview(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
+def raw_preview(spark: SparkSession, path: str, n: int = 20, min_size: int = 1) -> DataFrame:
     """First ``n`` lines of one text file, unparsed (what ``head`` on the
-    file shows); for a folder or glob, of its largest file (see
-    ``first_data_file``). The limit is the feature here; Spark stops reading
-    after it."""
-    return spark.read.text(first_data_file(spark, path)).limit(n)
+    file shows); for a folder or glob, of its first file by name with at least
+    ``min_size`` bytes (see ``first_data_file``). The limit is the feature
+    here; Spark stops reading after it."""
+    return spark.read.text(first_data_file(spark, path, min_size)).limit(n)
 
 
 def _lookup(fields: dict, name: str, sensitive: bool):

@@ -25,7 +25,8 @@ def write_files(df: DataFrame, path: str, fmt: str | None = "parquet",
     writer = df.write.mode(mode)
     if fmt is not None:
         writer = writer.format(fmt)
-    if fmt in TEXT_FORMATS:
+    effective = fmt or df.sparkSession.conf.get("spark.sql.sources.default")
+    if effective.lower() in TEXT_FORMATS:
         writer = writer.options(**TEXT_TIMESTAMP_OPTIONS)
     writer.options(**options).save(path)
     return path

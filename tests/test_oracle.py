@@ -14,10 +14,14 @@ def con(sf_dir):
     return duck_connection(sf_dir)
 
 
+# Jobs whose result order is part of the result (ORDER BY in the oracle too).
+ORDERED = {"group_count", "view_counts_coded", "top_n", "first_row", "raw_preview"}
+
+
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_matches_oracle(spark, sf_dir, con, key):
     df = QUERIES[key](spark, sf_dir)
-    assert compare(df, con, ORACLES[key]) == []
+    assert compare(df, con, ORACLES[key], ordered=key in ORDERED) == []
 
 
 def test_every_query_has_an_oracle():

@@ -286,3 +286,17 @@ def test_release_all_is_per_session(spark):
     assert read_parquet(spark, mine).count() == 3
     assert not os.path.exists(theirs.removeprefix("file:"))
     assert db not in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_default_format_writes_keep_microseconds_when_the_default_is_text(spark):
+    session = spark.newSession()
+    try:
+        session.conf.set("spark.sql.sources.default", "json")
+        ddl = "id INT, ts TIMESTAMP_NTZ"
+        df = session.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0, 0, 123456))], ddl)
+        path = scratch_path(session, "default_json_ts")
+        write_files(df, path, None)
+        assert session.read.schema(ddl).load(path).first()["ts"] == df.first()["ts"]
+    finally:
+        from tablejobs.session import release_all
+        release_all(session)

@@ -5,6 +5,7 @@ import pytest
 from tablejobs.compare import compare, duck_connection
 from tablejobs.jobs import JOBS
 from tablejobs.oracle import ORACLE_SQL
+from tablejobs.session import release_all
 
 CASES = [
     ({"spark.sql.files.openCostInBytes": "1024"}, ["raw_preview", "file_inventory"]),
@@ -13,8 +14,9 @@ CASES = [
     ({"spark.sql.sources.default": "csv"}, ["default_format"]),
     ({"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"},
      ["group_count", "fd_check", "view_counts_coded", "distinct_count"]),
+    # timestamp_ntz values must not move with the session time zone
     ({"spark.sql.ansi.enabled": "false", "spark.sql.session.timeZone": "America/Lima"},
-     ["derive_cols", "json_roundtrip", "csv_infer", "convert_units"]),
+     ["derive_cols", "json_roundtrip", "csv_infer", "convert_units", "select_cols"]),
 ]
 
 
@@ -23,18 +25,24 @@ def con(sf_dir):
     return duck_connection(sf_dir)
 
 
-@pytest.mark.parametrize("conf, keys", CASES, ids=[",".join(c) for c, _ in CASES])
+@pytest.mark.parametrize("conf, keys", CASES,
+                         ids=[",".join(f"{k}={v}" for k, v in c.items()) for c, _ in CASES])
 def test_jobs_hold_under_session_settings(spark, sf_dir, con, conf, keys):
     session = spark.newSession()
-    for key, value in conf.items():
-        session.conf.set(key, value)
-    session.range(1).createOrReplaceTempView("cat_x")      # a stray view must not leak in
-    for key in keys:
-        assert compare(JOBS[key](session, sf_dir), con, ORACLE_SQL[key]) == [], (conf, key)
+    try:
+        for key, value in conf.items():
+            session.conf.set(key, value)
+        for key in keys:
+            assert compare(JOBS[key](session, sf_dir), con, ORACLE_SQL[key]) == [], (conf, key)
+    finally:
+        release_all(session)
 
 
 def test_catalog_listing_ignores_other_views(spark, sf_dir, con):
     session = spark.newSession()
-    session.range(1).createOrReplaceTempView("cat_other")
-    for key in ("catalog_list", "catalog_show"):
-        assert compare(JOBS[key](session, sf_dir), con, ORACLE_SQL[key]) == []
+    try:
+        session.range(1).createOrReplaceTempView("cat_other")
+        for key in ("catalog_list", "catalog_show"):
+            assert compare(JOBS[key](session, sf_dir), con, ORACLE_SQL[key]) == []
+    finally:
+        release_all(session)
