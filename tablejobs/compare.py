@@ -68,9 +68,9 @@ def compare(df: DataFrame, con, sql: str, ordered: bool = False) -> list[str]:
     oracle_rows = [tuple(_norm(r[i]) for i in idx) for r in duck_rows]
     if len(spark_rows) != len(oracle_rows):
         problems.append(f"row count: spark={len(spark_rows)} oracle={len(oracle_rows)}")
-    elif ordered and spark_rows != oracle_rows:
-        problems.append("row order differs")
     elif sorted(spark_rows) != sorted(oracle_rows):
         diff = sorted(set(spark_rows) ^ set(oracle_rows))[:3]
         problems.append(f"values differ, e.g. {diff}")
+    elif ordered and spark_rows != oracle_rows:
+        problems.append("same rows, different order")
     return problems

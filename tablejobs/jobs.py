@@ -275,14 +275,12 @@ def default_format(spark, sf_dir):
 
 
 def raw_preview_job(spark, sf_dir):
-    """Head of the CSV written from customer: the first part file holding
-    rows (a file holding only the header, left by a write task without rows,
-    is skipped by its size). One file per write task whatever the session's
+    """Head of the CSV written from customer: the first part file holding a
+    header and at least one row (a write task without rows leaves a file with
+    the header only). One file per write task whatever the session's
     maxRecordsPerFile says."""
-    customer = _table(spark, sf_dir, "customer")
     path = _written_customer_csv(spark, sf_dir, maxRecordsPerFile=0)
-    header_only = len(",".join(customer.columns).encode()) + 1
-    return raw_preview(spark, path, 20, min_size=header_only + 1)
+    return raw_preview(spark, path, 20, min_lines=2)
 
 
 def table_scan(spark, sf_dir):
@@ -397,9 +395,10 @@ def catalog_show(spark, sf_dir):
 
 
 def catalog_describe(spark, sf_dir):
+    ext = _CATALOG_OBJECTS[0]
     db = catalog.new_database(spark, "desc")
-    table = f"{db}.cat_ext"
-    catalog.save_external(_table(spark, sf_dir, "supplier"), table, scratch_path(spark, "cat_ext"))
+    table = f"{db}.{ext}"
+    catalog.save_external(_table(spark, sf_dir, "supplier"), table, scratch_path(spark, ext))
     return catalog.describe_summary(spark, table)
 
 
@@ -426,6 +425,10 @@ def sql_params(spark, sf_dir):
 # Jobs whose limit without an ordering is the feature (the head of a file).
 UNORDERED_LIMIT_JOBS = frozenset({"raw_preview"})
 
+# Jobs whose row order is part of the result.
+ORDERED_JOBS = frozenset({"group_count", "view_counts_coded", "top_n", "first_row",
+                          "raw_preview"})
+
 JOBS: dict[str, Job] = {
     # aggregation
     "group_count": group_count,

@@ -80,31 +80,35 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
     return reader.options(**options).load(path)
 
 
-def first_data_file(spark: SparkSession, path: str, min_size: int = 1) -> str:
-    """The first data file by name under ``path`` (a file, a folder or a
-    glob; partition folders included) holding at least ``min_size`` bytes.
-    A caller that knows its files start with a header passes the header's
-    size plus one, so a part file holding only the header (what a write task
-    without rows leaves) is skipped. Listed with the ``binaryFile`` source,
-    contents pruned: one small job, and one row reaches the driver however
-    many files there are. File scans skip zero-length files; a path that
-    names one is returned as it is."""
-    first = (file_inventory(spark, path).filter(F.col("size") >= min_size)
-             .agg(F.min("path")).first()[0])
-    if first is not None:
-        return first
-    fs, hpath = hadoop_fs(spark, path)
+def first_data_file(spark: SparkSession, path: str, min_lines: int = 1,
+                    probe_files: int = 16) -> str:
+    """The first data file by path under ``path`` (a file, a folder or a glob;
+    partition folders included) holding at least ``min_lines`` lines. Files
+    that start with a header pass ``min_lines=2``, so a part file holding only
+    the header (what a write task without rows leaves) is skipped. The listing
+    uses the ``binaryFile`` source with contents pruned, and only the first
+    ``probe_files`` names reach the driver; each candidate is checked with
+    Spark's own line reader, reading its first lines only. If none of them
+    qualifies, the first file by path is returned."""
+    names = [r["path"] for r in file_inventory(spark, path).select("path")
+             .orderBy("path").limit(probe_files).collect()]
+    for name in names:
+        if spark.read.text(name).limit(min_lines).count() >= min_lines:
+            return name
+    if names:
+        return names[0]
+    fs, hpath = hadoop_fs(spark, path)      # file scans skip zero-length files
     if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
         return path
     raise FileNotFoundError(f"no data file in {path}")
 
 
-def raw_preview(spark: SparkSession, path: str, n: int = 20, min_size: int = 1) -> DataFrame:
+def raw_preview(spark: SparkSession, path: str, n: int = 20, min_lines: int = 1) -> DataFrame:
     """First ``n`` lines of one text file, unparsed (what ``head`` on the
-    file shows); for a folder or glob, of its first file by name with at least
-    ``min_size`` bytes (see ``first_data_file``). The limit is the feature
-    here; Spark stops reading after it."""
-    return spark.read.text(first_data_file(spark, path, min_size)).limit(n)
+    file shows); for a folder or glob, of its first file by path holding at
+    least ``min_lines`` lines (see ``first_data_file``). The limit is the
+    feature here; Spark stops reading after it."""
+    return spark.read.text(first_data_file(spark, path, min_lines)).limit(n)
 
 
 def _lookup(fields: dict, name: str, sensitive: bool):

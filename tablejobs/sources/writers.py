@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from tablejobs.sources.readers import TEXT_TIMESTAMP_OPTIONS
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
-TEXT_FORMATS = ("csv", "json", "text")
 
 
 def write_files(df: DataFrame, path: str, fmt: str | None = "parquet",
@@ -25,9 +24,9 @@ def write_files(df: DataFrame, path: str, fmt: str | None = "parquet",
     writer = df.write.mode(mode)
     if fmt is not None:
         writer = writer.format(fmt)
-    effective = fmt or df.sparkSession.conf.get("spark.sql.sources.default")
-    if effective.lower() in TEXT_FORMATS:
-        writer = writer.options(**TEXT_TIMESTAMP_OPTIONS)
+    # Text formats (csv, json, xml, ... under any name) use these; binary
+    # formats ignore them, so they go with every write.
+    writer = writer.options(**TEXT_TIMESTAMP_OPTIONS)
     writer.options(**options).save(path)
     return path
 

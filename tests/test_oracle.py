@@ -14,8 +14,7 @@ def con(sf_dir):
     return duck_connection(sf_dir)
 
 
-# Jobs whose result order is part of the result (ORDER BY in the oracle too).
-ORDERED = {"group_count", "view_counts_coded", "top_n", "first_row", "raw_preview"}
+from tablejobs.jobs import ORDERED_JOBS as ORDERED  # noqa: E402
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))

@@ -288,11 +288,14 @@ def test_release_all_is_per_session(spark):
     assert db not in [d.name for d in spark.catalog.listDatabases()]
 
 
-def test_default_format_writes_keep_microseconds_when_the_default_is_text(spark):
+@pytest.mark.parametrize("default", ["json", "csv", "JSON",
+                                     "org.apache.spark.sql.execution.datasources.json.JsonFileFormat"])
+@pytest.mark.parametrize("ts_type", ["TIMESTAMP_NTZ", "TIMESTAMP"])
+def test_default_format_writes_keep_microseconds_when_the_default_is_text(spark, default, ts_type):
     session = spark.newSession()
     try:
-        session.conf.set("spark.sql.sources.default", "json")
-        ddl = "id INT, ts TIMESTAMP_NTZ"
+        session.conf.set("spark.sql.sources.default", default)
+        ddl = f"id INT, ts {ts_type}"
         df = session.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0, 0, 123456))], ddl)
         path = scratch_path(session, "default_json_ts")
         write_files(df, path, None)
@@ -300,3 +303,17 @@ def test_default_format_writes_keep_microseconds_when_the_default_is_text(spark)
     finally:
         from tablejobs.session import release_all
         release_all(session)
+
+
+def test_raw_preview_skips_header_only_files_when_asked(spark, sf_dir):
+    customer = read_parquet(spark, table_path(sf_dir, "customer"))
+    no_task0 = customer.repartition(4).filter(F.spark_partition_id() != 0)
+    path = scratch_path(spark, "preview_no_task0")
+    write_csv(no_task0, path)
+    assert len(raw_preview(spark, path, 20).collect()) == 1          # part-00000: header only
+    lines = [r["value"] for r in raw_preview(spark, path, 20, min_lines=2).collect()]
+    assert len(lines) == 20 and lines[0].startswith("c_custkey")
+    empty = scratch_path(spark, "preview_all_empty")
+    write_csv(customer.filter(F.lit(False)), empty)
+    assert [r["value"] for r in raw_preview(spark, empty, 20, min_lines=2).collect()] == [
+        ",".join(customer.columns)]
