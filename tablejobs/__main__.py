@@ -11,7 +11,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from tablejobs.jobs import JOBS, UNORDERED_LIMIT_JOBS
+from tablejobs.jobs import JOBS, ORDERED_JOBS, UNORDERED_LIMIT_JOBS
 from tablejobs.oracle import ORACLE_SQL
 from tablejobs.survey_map import ids_of_job
 
@@ -49,7 +49,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.job not in ORACLE_SQL:
             print("no oracle for this job (rows-only)")
             return 0
-        problems = compare(df, duck_connection(args.sf_dir), ORACLE_SQL[args.job])
+        problems = compare(df, duck_connection(args.sf_dir), ORACLE_SQL[args.job],
+                           ordered=args.job in ORDERED_JOBS)
         print("match" if not problems else "\n".join(problems))
         return 1 if problems else 0
     return 0

@@ -21,6 +21,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tablejobs.schemas import metadata_frame
 from tablejobs.session import case_sensitive, scratch_path, unique_name
+from tablejobs.sources.readers import TEXT_TIMESTAMP_OPTIONS
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -67,14 +68,15 @@ def drop_table(spark: SparkSession, table: str) -> None:
 def save_external(df: DataFrame, table: str, path: str, mode: str = "overwrite",
                   fmt: str = "parquet") -> DataFrame:
     """Write ``df`` to ``path`` and register it as an external table."""
-    df.write.format(fmt).mode(mode).option("path", path).saveAsTable(_check(table))
+    (df.write.format(fmt).mode(mode).options(**TEXT_TIMESTAMP_OPTIONS).option("path", path)
+     .saveAsTable(_check(table)))
     return df.sparkSession.table(table)
 
 
 def save_managed(df: DataFrame, table: str, mode: str = "overwrite",
                  fmt: str = "parquet") -> DataFrame:
     """Write ``df`` as a managed table (the catalog owns the files)."""
-    df.write.format(fmt).mode(mode).saveAsTable(_check(table))
+    df.write.format(fmt).mode(mode).options(**TEXT_TIMESTAMP_OPTIONS).saveAsTable(_check(table))
     return df.sparkSession.table(table)
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -69,8 +70,9 @@ def compare(df: DataFrame, con, sql: str, ordered: bool = False) -> list[str]:
     if len(spark_rows) != len(oracle_rows):
         problems.append(f"row count: spark={len(spark_rows)} oracle={len(oracle_rows)}")
     elif sorted(spark_rows) != sorted(oracle_rows):
-        diff = sorted(set(spark_rows) ^ set(oracle_rows))[:3]
-        problems.append(f"values differ, e.g. {diff}")
+        extra = list((Counter(spark_rows) - Counter(oracle_rows)).elements())[:3]
+        missing = list((Counter(oracle_rows) - Counter(spark_rows)).elements())[:3]
+        problems.append(f"values differ: spark has {extra}, oracle has {missing}")
     elif ordered and spark_rows != oracle_rows:
         problems.append("same rows, different order")
     return problems

@@ -395,7 +395,7 @@ def catalog_show(spark, sf_dir):
 
 
 def catalog_describe(spark, sf_dir):
-    ext = _CATALOG_OBJECTS[0]
+    ext = "cat_ext"                       # fixed value: the described table's name
     db = catalog.new_database(spark, "desc")
     table = f"{db}.{ext}"
     catalog.save_external(_table(spark, sf_dir, "supplier"), table, scratch_path(spark, ext))
@@ -427,7 +427,7 @@ UNORDERED_LIMIT_JOBS = frozenset({"raw_preview"})
 
 # Jobs whose row order is part of the result.
 ORDERED_JOBS = frozenset({"group_count", "view_counts_coded", "top_n", "first_row",
-                          "raw_preview"})
+                          "raw_preview", "schema_rows", "catalog_describe"})
 
 JOBS: dict[str, Job] = {
     # aggregation

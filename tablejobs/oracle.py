@@ -5,9 +5,8 @@ Parquet tables. Column names and types are chosen to equal the Spark result
 ``raw_preview`` shows the first lines of the first CSV part file holding rows:
 the header, then the first rows in table order. Its oracle relies on the
 supplied ``customer`` file being one row group (the rows land in one part
-file, whichever task reads the row group) and on DuckDB numbering and limiting
-rows of a single-file scan in file order (its default insertion-order
-preservation).
+file, whichever task reads the row group) and on that file being stored in
+``c_custkey`` order, so the first rows in the file are the smallest keys.
 """
 
 from __future__ import annotations
@@ -85,9 +84,9 @@ ORACLE_SQL: dict[str, str] = {
     "default_format": "SELECT * FROM supplier",
     "raw_preview": ("SELECT value FROM (SELECT 0 AS part, 0 AS pos, "
                     "'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS value "
-                    "UNION ALL SELECT * FROM (SELECT 1, row_number() OVER (), "
+                    "UNION ALL SELECT * FROM (SELECT 1, c_custkey, "
                     "concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment) "
-                    "FROM customer LIMIT 19)) ORDER BY part, pos"),
+                    "FROM customer ORDER BY c_custkey LIMIT 19)) ORDER BY part, pos"),
     "table_scan": "SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1",
     "schema_rows": ("SELECT * FROM (VALUES ('s_suppkey', 'bigint', true), "
                     "('s_name', 'string', true), ('s_nationkey', 'int', true), "

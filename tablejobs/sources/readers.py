@@ -80,23 +80,23 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
     return reader.options(**options).load(path)
 
 
-def first_data_file(spark: SparkSession, path: str, min_lines: int = 1,
-                    probe_files: int = 16) -> str:
+def first_data_file(spark: SparkSession, path: str, min_lines: int = 1) -> str:
     """The first data file by path under ``path`` (a file, a folder or a glob;
     partition folders included) holding at least ``min_lines`` lines. Files
     that start with a header pass ``min_lines=2``, so a part file holding only
     the header (what a write task without rows leaves) is skipped. The listing
-    uses the ``binaryFile`` source with contents pruned, and only the first
-    ``probe_files`` names reach the driver; each candidate is checked with
-    Spark's own line reader, reading its first lines only. If none of them
-    qualifies, the first file by path is returned."""
-    names = [r["path"] for r in file_inventory(spark, path).select("path")
-             .orderBy("path").limit(probe_files).collect()]
-    for name in names:
-        if spark.read.text(name).limit(min_lines).count() >= min_lines:
-            return name
-    if names:
-        return names[0]
+    uses the ``binaryFile`` source with contents pruned (zero-length files are
+    left out) and reaches the driver one partition at a time, in path order;
+    a candidate is checked by taking its first lines with Spark's own line
+    reader (one task). If no file qualifies, the first one is returned."""
+    listing = file_inventory(spark, path).select("path").orderBy("path")
+    first = None
+    for row in listing.toLocalIterator():
+        first = first or row["path"]
+        if min_lines <= 1 or len(spark.read.text(row["path"]).take(min_lines)) >= min_lines:
+            return row["path"]
+    if first is not None:
+        return first
     fs, hpath = hadoop_fs(spark, path)      # file scans skip zero-length files
     if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
         return path

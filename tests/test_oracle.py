@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from tablejobs.compare import compare, duck_connection
+from tablejobs.jobs import ORDERED_JOBS as ORDERED
 
 QUERIES = entry_mod.queries()
 ORACLES = entry_mod.oracle_sql()
@@ -14,7 +15,6 @@ def con(sf_dir):
     return duck_connection(sf_dir)
 
 
-from tablejobs.jobs import ORDERED_JOBS as ORDERED  # noqa: E402
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
@@ -40,3 +40,14 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
     keys = [(r[0], r[1]) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_ordered_compare_reports_order_and_value_differences(spark, con):
+    sql = "SELECT * FROM (VALUES (1, 'a'), (2, 'b')) t(k, v) ORDER BY k"
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING")
+    swapped = spark.createDataFrame([(2, "b"), (1, "a")], "k INT, v STRING")
+    doubled = spark.createDataFrame([(1, "a"), (1, "a")], "k INT, v STRING")
+    assert compare(good, con, sql, ordered=True) == []
+    assert compare(swapped, con, sql, ordered=True) == ["same rows, different order"]
+    assert compare(swapped, con, sql) == []
+    assert compare(doubled, con, sql)[0].startswith("values differ")
