@@ -45,6 +45,11 @@ def _check(name: str) -> str:
     return name
 
 
+def check_identifier(name: str) -> str:
+    """``name`` if it is a plain (optionally database-qualified) identifier."""
+    return _check(name)
+
+
 def _literal(text: str, what: str) -> str:
     """Text for a quoted literal in DDL or SHOW (no parameter markers there)."""
     if "'" in text or "\\" in text:

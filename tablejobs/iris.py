@@ -31,4 +31,5 @@ def register(spark: SparkSession, parquet_path: str, table: str = "iris") -> Dat
 
 
 def setosas_view(spark: SparkSession, table: str = "iris", view: str = "setosas") -> DataFrame:
+    table = catalog.check_identifier(table)
     return catalog.view_from_sql(spark, view, f'SELECT * FROM {table} WHERE species = "setosa"')

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 def group_count(df: DataFrame, *keys: str, name: str = "counts",
                 order: bool = True) -> DataFrame:
     """groupBy(keys).count(), renamed, sorted by the keys (ascending, NULLS FIRST)."""
-    counted = df.groupBy(*keys).count().withColumnRenamed("count", name)
+    if name.lower() in {k.lower() for k in keys}:
+        raise ValueError(f"count column {name!r} would collide with a grouping key")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return counted.orderBy(*keys) if order else counted
 
 
@@ -34,13 +36,15 @@ def group_sum(df: DataFrame, key: str, column: str, name: str | None = None) ->
 
 
 _COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le,
-            "=": operator.eq}
+            "=": operator.eq, "==": operator.eq, "!=": operator.ne, "<>": operator.ne}
 
 
 def having_count(df: DataFrame, key: str, op: str, threshold: int,
                  name: str = "counts") -> DataFrame:
     """Count per key, then keep groups whose count passes ``op threshold``
     (a HAVING clause: the filter runs after the final aggregate)."""
+    if op not in _COMPARE:
+        raise ValueError(f"unknown comparison {op!r}; use one of {sorted(_COMPARE)}")
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
     return counted.filter(_COMPARE[op](F.col(name), threshold))
 
@@ -51,9 +55,10 @@ def row_count(df: DataFrame, name: str = "n") -> DataFrame:
 
 
 def distinct_count(df: DataFrame, *cols: str, name: str = "n") -> DataFrame:
-    """Number of distinct tuples of ``cols``; an all-NULL tuple counts once
-    (``countDistinct`` would drop it)."""
-    return df.select(*cols).distinct().agg(F.count(F.lit(1)).alias(name))
+    """Number of distinct tuples of ``cols`` (whole rows when none are given);
+    an all-NULL tuple counts once (``countDistinct`` would drop it)."""
+    distinct = df.select(*cols).distinct() if cols else df.distinct()
+    return distinct.agg(F.count(F.lit(1)).alias(name))
 
 
 def stats_by(df: DataFrame, key: str, value: str, digits: int = 6) -> DataFrame:

@@ -34,5 +34,12 @@ def max_row(df: DataFrame, *cols: str) -> DataFrame:
 
     This is the distributed form of ``reduce((a, b) => max(a, b))``: each task
     folds its rows to one struct, and the partial results are folded again."""
-    best = F.max(F.struct(*[F.col(c) for c in cols])).alias("best")
-    return df.agg(best).select(*[F.col(f"best.{c}").alias(c) for c in cols])
+    fields = [f"f{i}" for i in range(len(cols))]
+    best = F.max(F.struct(*[F.col(_quoted(c)).alias(f) for c, f in zip(cols, fields)]))
+    folded = df.agg(best.alias("best")).filter(F.col("best").isNotNull())   # empty input: no row
+    return folded.select(*[F.col("best")[f].alias(c) for c, f in zip(cols, fields)])
+
+
+def _quoted(name: str) -> str:
+    """A column name as an identifier, so names with dots stay one column."""
+    return "`" + name.replace("`", "``") + "`"

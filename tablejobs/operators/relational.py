@@ -32,6 +32,11 @@ def drop_cols(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Rename columns; a name that is not a column is an error, not a no-op."""
+    present = {c.lower() for c in df.columns}
+    unknown = [old for old in mapping if old.lower() not in present]
+    if unknown:
+        raise ValueError(f"no such columns to rename: {unknown}")
     return df.withColumnsRenamed(mapping)
 
 
@@ -42,6 +47,7 @@ def derive_dates(df: DataFrame, ts: str, keep: tuple[str, ...] = ()) -> DataFram
 
 
 def convert_units(df: DataFrame, value: str, unit: str, fahrenheit: str = "F",
-                  keep: tuple[str, ...] = (), out: str = "value_c") -> DataFrame:
-    """Bring a temperature recorded in F or C to Celsius."""
-    return df.select(*keep, to_celsius(value, unit, fahrenheit).alias(out))
+                  keep: tuple[str, ...] = (), out: str = "value_c",
+                  celsius: str | None = None) -> DataFrame:
+    """Bring a temperature recorded in F or C to Celsius (see ``to_celsius``)."""
+    return df.select(*keep, to_celsius(value, unit, fahrenheit, celsius).alias(out))

@@ -25,14 +25,17 @@ def spread(df: DataFrame, n: int, *keys: str) -> DataFrame:
     return df.repartition(n, *keys) if keys else df.repartition(n)
 
 
-def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER) -> DataFrame:
+    """Persist at the level ``df.cache()`` uses unless told otherwise."""
     return df.persist(level)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's shared checkpoint folder and continue from
-    there: the lineage is cut, so a lost executor costs a re-read of the
+    """Write ``df`` to the application's shared checkpoint folder and continue
+    from there: the lineage is cut, so a lost executor costs a re-read of the
     checkpoint files instead of a recomputation from the sources. (A local
-    checkpoint would keep the data on executors and is never used.)"""
+    checkpoint would keep the data on executors and is never used.) These
+    files are Spark's: ``release_all`` does not touch them; Spark removes them
+    when ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on."""
     scratch_root(df.sparkSession)          # a shared folder must be set
     return df.checkpoint(eager=True)

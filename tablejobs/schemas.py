@@ -98,8 +98,13 @@ def metadata_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -
         args.update(zip(names, row))
         tuples.append("(" + ", ".join(f":{n}" for n in names) + ")")
     cols = [f"c{j}" for j in range(len(schema.fields))]
-    casts = ", ".join(f"CAST({c} AS {f.dataType.simpleString()}) AS `{f.name}`"
-                      for c, f in zip(cols, schema.fields))
+    # VALUES makes a column non-nullable when no value is NULL; the identity
+    # CASE below is analysed as nullable, so declared-nullable columns stay so.
+    casts = ", ".join(
+        (f"CASE WHEN {c} IS NOT NULL THEN CAST({c} AS {f.dataType.simpleString()}) END"
+         if f.nullable else f"CAST({c} AS {f.dataType.simpleString()})")
+        + " AS `" + f.name.replace("`", "``") + "`"
+        for c, f in zip(cols, schema.fields))
     return spark.sql(f"SELECT {casts} FROM VALUES {', '.join(tuples)} AS t({', '.join(cols)})",
                      args=args)
 
