@@ -40,7 +40,7 @@ LIST_TABLES_SCHEMA = StructType([
 
 
 def _check(name: str) -> str:
-    if not _IDENT.match(name):
+    if not _IDENT.fullmatch(name):
         raise ValueError(f"not a plain identifier: {name!r}")
     return name
 

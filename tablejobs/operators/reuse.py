@@ -2,7 +2,7 @@
 
 ``coalesce(n)`` merges partitions without a shuffle (narrow); ``repartition``
 redistributes with an Exchange (wide). ``cache`` keeps an intermediate result
-(MEMORY_AND_DISK) so later actions skip recomputing it; a lost executor's
+(at ``df.cache()``'s level, memory then disk) so later actions skip recomputing it; a lost executor's
 cached blocks are rebuilt from lineage. ``checkpointed`` writes the result to
 the shared checkpoint folder and cuts the lineage.
 """

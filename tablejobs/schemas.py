@@ -89,6 +89,10 @@ def metadata_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -
     """A small driver-side listing (schema fields, catalog entries) as a
     DataFrame. Built as a SQL ``VALUES`` relation with bound parameters, so it
     plans as a LocalTableScan in the JVM and needs no Python worker."""
+    for row in rows:
+        for value, field in zip(row, schema.fields):
+            if value is None and not field.nullable:
+                raise ValueError(f"NULL in non-nullable field {field.name!r}")
     if not rows or len(rows) > _VALUES_LIMIT:
         # empty, or too long for one SQL text: hand the rows over as data
         return spark.createDataFrame(rows, schema)

@@ -62,5 +62,34 @@ def test_celsius_with_unknown_units(spark):
 
 def test_cached_uses_the_cache_level(spark):
     df = ops.cached(spark.range(3))
-    assert df.storageLevel.deserialized is True and df.storageLevel.useDisk is True
-    df.unpersist()
+    try:
+        assert df.storageLevel.deserialized is True and df.storageLevel.useDisk is True
+    finally:
+        df.unpersist()
+
+
+def test_collision_guards_and_case_rules(spark):
+    df = spark.createDataFrame([(1,), (1,)], "counts INT")
+    with pytest.raises(ValueError):
+        ops.having_count(df, "counts", ">", 0)
+    from pyspark.sql import functions as F
+    assert ops.group_count(df, F.col("counts"), name="n", order=False).count() == 1
+    session = spark.newSession()
+    session.conf.set("spark.sql.caseSensitive", "true")
+    cs = session.createDataFrame([(1,)], "a INT")
+    with pytest.raises(ValueError):
+        ops.rename(cs, {"A": "b"})
+    assert ops.group_count(cs, "a", name="A", order=False).columns == ["a", "A"]
+
+
+def test_max_row_accepts_quoted_names_and_identifiers_must_be_whole(spark):
+    from tablejobs import catalog
+    df = spark.createDataFrame([(1.5, 1)], "`a.b` DOUBLE, k INT")
+    assert ops.max_row(df, "`a.b`", "k").columns == ["a.b", "k"]
+    with pytest.raises(ValueError):
+        catalog.check_identifier("iris\n")
+
+
+def test_metadata_frame_refuses_null_in_non_nullable_fields(spark):
+    with pytest.raises(ValueError):
+        metadata_frame(spark, [("a", None, True)], SCHEMA_ROWS_SCHEMA)
