@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tablejobs.schemas import metadata_frame
-from tablejobs.session import case_sensitive, scratch_path, unique_name
+from tablejobs.session import name_fold, scratch_path, unique_name
 from tablejobs.sources.readers import TEXT_TIMESTAMP_OPTIONS
 
-_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
+_IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?")     # fullmatch
 
 DESCRIBE_SCHEMA = StructType([
     StructField("col_name", StringType()),
@@ -87,7 +87,7 @@ def save_managed(df: DataFrame, table: str, mode: str = "overwrite",
 
 def register_files(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> DataFrame:
     """Register files already at ``path`` as a table; no data is copied."""
-    if not re.match(r"^[A-Za-z0-9_]+$", fmt):
+    if not re.fullmatch(r"[A-Za-z0-9_]+", fmt):
         raise ValueError(f"bad format {fmt!r}")
     spark.sql(f"CREATE TABLE {_check(table)} USING {fmt} LOCATION '{_literal(path, 'location')}'")
     return spark.table(table)
@@ -103,7 +103,7 @@ def append_to_table(df: DataFrame, table: str) -> DataFrame:
     DEFAULT (which Spark fills in); otherwise, and for extra columns, the
     append fails instead of writing NULLs or dropping data."""
     spark = df.sparkSession
-    fold = (lambda c: c) if case_sensitive(spark) else str.lower
+    fold = name_fold(spark)
     fields = {fold(f.name): f for f in spark.table(_check(table)).schema.fields}
     given = {fold(c) for c in df.columns}
     missing = sorted(c for c in set(fields) - given

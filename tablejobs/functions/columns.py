@@ -18,13 +18,15 @@ def fahrenheit_to_celsius(value: str | Column) -> Column:
 def to_celsius(value: str | Column, unit: str | Column, fahrenheit: str = "F",
                celsius: str | None = None) -> Column:
     """Temperature in Celsius whatever unit a row was recorded in: rows whose
-    unit equals ``fahrenheit`` are converted. With ``celsius`` given, rows in
+    unit equals ``fahrenheit`` (ignoring case and surrounding spaces) are
+    converted. With ``celsius`` given, rows in
     that unit pass through and any other unit (or a NULL unit) gives NULL;
     without it, every other row passes through unchanged."""
-    converted = F.when(_col(unit) == F.lit(fahrenheit), fahrenheit_to_celsius(value))
+    label = F.upper(F.trim(_col(unit)))            # units compare case-blind
+    converted = F.when(label == F.lit(fahrenheit.upper()), fahrenheit_to_celsius(value))
     if celsius is None:
         return converted.otherwise(_col(value).cast("double"))
-    return converted.when(_col(unit) == F.lit(celsius), _col(value).cast("double"))
+    return converted.when(label == F.lit(celsius.upper()), _col(value).cast("double"))
 
 
 def date_parts(ts: str | Column) -> dict[str, Column]:

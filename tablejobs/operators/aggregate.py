@@ -15,36 +15,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.operators.ordering import distinct_rows
-from tablejobs.session import case_sensitive
-
-
-def _new_column(df: DataFrame, name: str, keys) -> str:
-    """``name`` for a result column, refused if it equals a grouping key."""
-    fold = (lambda c: c) if case_sensitive(df.sparkSession) else str.lower
-    if fold(name) in {fold(k) for k in keys if isinstance(k, str)}:
-        raise ValueError(f"result column {name!r} would collide with a grouping key")
-    return name
+from tablejobs.session import ensure_unique_columns
 
 
 def group_count(df: DataFrame, *keys: str, name: str = "counts",
                 order: bool = True) -> DataFrame:
     """Rows per group as ``name``, sorted by the keys (ascending, NULLS FIRST)."""
-    _new_column(df, name, keys)
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    counted = ensure_unique_columns(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)))
     return counted.orderBy(*keys) if order else counted
 
 
 def count_values(df: DataFrame, *keys: str, value: str, name: str = "conteo") -> DataFrame:
     """Per group, how many rows have a non-NULL ``value``."""
-    _new_column(df, name, keys)
-    return df.groupBy(*keys).agg(F.count(value).alias(name))
+    return ensure_unique_columns(df.groupBy(*keys).agg(F.count(value).alias(name)))
 
 
 def group_sum(df: DataFrame, key: str, column: str, name: str | None = None) -> DataFrame:
     """groupBy(key).sum(column); Spark names the result ``sum(column)``."""
-    _new_column(df, name or f"sum({column})", [key])
     summed = df.groupBy(key).sum(column)
-    return summed.withColumnRenamed(f"sum({column})", name) if name else summed
+    return ensure_unique_columns(
+        summed.withColumnRenamed(f"sum({column})", name) if name else summed)
 
 
 _COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le,
@@ -57,8 +47,7 @@ def having_count(df: DataFrame, key: str, op: str, threshold: int,
     (a HAVING clause: the filter runs after the final aggregate)."""
     if op not in _COMPARE:
         raise ValueError(f"unknown comparison {op!r}; use one of {sorted(_COMPARE)}")
-    _new_column(df, name, [key])
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    counted = ensure_unique_columns(df.groupBy(key).agg(F.count(F.lit(1)).alias(name)))
     return counted.filter(_COMPARE[op](F.col(name), threshold))
 
 
@@ -75,8 +64,8 @@ def distinct_count(df: DataFrame, *cols: str, name: str = "n") -> DataFrame:
 
 def stats_by(df: DataFrame, key: str, value: str, digits: int = 6) -> DataFrame:
     """Average (rounded), minimum and maximum of ``value`` per ``key``."""
-    return df.groupBy(key).agg(
+    return ensure_unique_columns(df.groupBy(key).agg(
         F.round(F.avg(value), digits).alias("avg_v"),
         F.min(value).alias("min_v"),
         F.max(value).alias("max_v"),
-    )
+    ))

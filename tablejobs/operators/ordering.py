@@ -37,18 +37,9 @@ def max_row(df: DataFrame, *cols: str) -> DataFrame:
     fields = [f"f{i}" for i in range(len(cols))]
     best = F.max(F.struct(*[F.col(_quoted(c)).alias(f) for c, f in zip(cols, fields)]))
     folded = df.agg(best.alias("best")).filter(F.col("best").isNotNull())   # empty input: no row
-    return folded.select(*[F.col("best")[f].alias(_plain(c)) for c, f in zip(cols, fields)])
+    return folded.select(*[F.col("best")[f].alias(c) for c, f in zip(cols, fields)])
 
 
 def _quoted(name: str) -> str:
-    """A column name as an identifier, so names with dots stay one column
-    (a name the caller already quoted is kept)."""
-    if name.startswith("`") and name.endswith("`"):
-        return name
+    """A column name (as in ``df.columns``, dots allowed) as an identifier."""
     return "`" + name.replace("`", "``") + "`"
-
-
-def _plain(name: str) -> str:
-    if name.startswith("`") and name.endswith("`"):
-        return name[1:-1].replace("``", "`")
-    return name

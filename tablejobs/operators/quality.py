@@ -14,11 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablejobs.session import ensure_unique_columns
+
 
 def combos_per_key(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """One row per key with the number of distinct attribute combinations."""
-    return (df.select(key, *attrs).distinct()
-            .groupBy(key).agg(F.count(F.lit(1)).alias("n_combos")))
+    return ensure_unique_columns(df.select(key, *attrs).distinct()
+                                 .groupBy(key).agg(F.count(F.lit(1)).alias("n_combos")))
 
 
 def fd_summary(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.functions.columns import date_parts, to_celsius
-from tablejobs.session import case_sensitive
+from tablejobs.session import ensure_unique_columns, name_fold
 
 
 def select_cols(df: DataFrame, *cols: str | Column) -> DataFrame:
@@ -34,12 +34,12 @@ def drop_cols(df: DataFrame, *cols: str) -> DataFrame:
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename columns; a name that is not a column is an error, not a no-op."""
-    fold = (lambda c: c) if case_sensitive(df.sparkSession) else str.lower
+    fold = name_fold(df.sparkSession)
     present = {fold(c) for c in df.columns}
     unknown = [old for old in mapping if fold(old) not in present]
     if unknown:
         raise ValueError(f"no such columns to rename: {unknown}")
-    return df.withColumnsRenamed(mapping)
+    return ensure_unique_columns(df.withColumnsRenamed(mapping))
 
 
 def derive_dates(df: DataFrame, ts: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -42,7 +42,7 @@ ORACLE_SQL: dict[str, str] = {
                   "FROM orders"),
     "derive_cols": ("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, "
                     "CAST(year(o_orderdate) AS INTEGER) AS y FROM orders"),
-    "convert_units": ("SELECT event_id, CASE WHEN event_type = 'click' "
+    "convert_units": ("SELECT event_id, CASE WHEN upper(trim(event_type)) = 'CLICK' "
                       "THEN (value - 32) * 5 / 9 ELSE value END AS value_c FROM events"),
     # sort, distinct, top-n, reduce
     "distinct_rows": "SELECT DISTINCT p_name FROM part",

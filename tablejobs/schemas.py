@@ -90,6 +90,8 @@ def metadata_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -
     DataFrame. Built as a SQL ``VALUES`` relation with bound parameters, so it
     plans as a LocalTableScan in the JVM and needs no Python worker."""
     for row in rows:
+        if len(row) != len(schema.fields):
+            raise ValueError(f"row {row!r} does not have {len(schema.fields)} fields")
         for value, field in zip(row, schema.fields):
             if value is None and not field.nullable:
                 raise ValueError(f"NULL in non-nullable field {field.name!r}")

@@ -82,6 +82,23 @@ def case_sensitive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
 
 
+def name_fold(spark: SparkSession):
+    """How Spark compares column names in this session."""
+    return (lambda name: name) if case_sensitive(spark) else str.lower
+
+
+def ensure_unique_columns(df):
+    """``df`` itself, or a ValueError when two of its columns share a name
+    (as Spark compares names): checked on the analysed result, no job runs."""
+    fold = name_fold(df.sparkSession)
+    seen: dict[str, str] = {}
+    for column in df.columns:
+        if fold(column) in seen:
+            raise ValueError(f"result would have two columns named {column!r}")
+        seen[fold(column)] = column
+    return df
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """(FileSystem, Path) of ``path`` through the session's Hadoop config
     (including file-system settings made on this session), so file operations

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablejobs.session import case_sensitive, hadoop_fs
+from tablejobs.session import hadoop_fs, name_fold
 from tablejobs.sources.listing import file_inventory
 
 # Fixed value: text writers keep microseconds only with explicit patterns (the
@@ -111,12 +111,6 @@ def raw_preview(spark: SparkSession, path: str, n: int = 20, min_lines: int = 1)
     return spark.read.text(first_data_file(spark, path, min_lines)).limit(n)
 
 
-def _lookup(fields: dict, name: str, sensitive: bool):
-    if sensitive:
-        return fields.get(name)
-    return fields.get(name.lower())
-
-
 def require_columns(spark: SparkSession, path: str, schema: StructType | str,
                     fmt: str = "parquet") -> DataFrame:
     """Read ``path`` with a declared schema after checking it against the
@@ -127,11 +121,11 @@ def require_columns(spark: SparkSession, path: str, schema: StructType | str,
     list of offending columns instead."""
     declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     stored = spark.read.format(fmt).load(path).schema
-    sensitive = case_sensitive(spark)
-    fields = {(f.name if sensitive else f.name.lower()): f for f in stored.fields}
+    fold = name_fold(spark)
+    fields = {fold(f.name): f for f in stored.fields}
     missing, wrong = [], []
     for f in declared.fields:
-        found = _lookup(fields, f.name, sensitive)
+        found = fields.get(fold(f.name))
         if found is None:
             missing.append(f.name)
         elif found.dataType.simpleString() != f.dataType.simpleString():

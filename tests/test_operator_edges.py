@@ -55,9 +55,9 @@ def test_celsius_with_unknown_units(spark):
     df = spark.createDataFrame([(50.0, "F"), (10.0, "C"), (50.0, "f"), (10.0, None)],
                                "t DOUBLE, u STRING")
     strict = [r[0] for r in df.select(to_celsius("t", "u", "F", "C")).collect()]
-    assert strict == [10.0, 10.0, None, None]
+    assert strict == [10.0, 10.0, 10.0, None]              # 'f' counts as F
     loose = [r[0] for r in df.select(to_celsius("t", "u", "F")).collect()]
-    assert loose == [10.0, 10.0, 50.0, 10.0]
+    assert loose == [10.0, 10.0, 10.0, 10.0]
 
 
 def test_cached_uses_the_cache_level(spark):
@@ -82,10 +82,10 @@ def test_collision_guards_and_case_rules(spark):
     assert ops.group_count(cs, "a", name="A", order=False).columns == ["a", "A"]
 
 
-def test_max_row_accepts_quoted_names_and_identifiers_must_be_whole(spark):
+def test_max_row_takes_literal_names_and_identifiers_must_be_whole(spark):
     from tablejobs import catalog
     df = spark.createDataFrame([(1.5, 1)], "`a.b` DOUBLE, k INT")
-    assert ops.max_row(df, "`a.b`", "k").columns == ["a.b", "k"]
+    assert ops.max_row(df, "a.b", "k").columns == ["a.b", "k"]
     with pytest.raises(ValueError):
         catalog.check_identifier("iris\n")
 
@@ -93,3 +93,16 @@ def test_max_row_accepts_quoted_names_and_identifiers_must_be_whole(spark):
 def test_metadata_frame_refuses_null_in_non_nullable_fields(spark):
     with pytest.raises(ValueError):
         metadata_frame(spark, [("a", None, True)], SCHEMA_ROWS_SCHEMA)
+
+
+def test_result_columns_are_unique_for_every_operator(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, 2)], "counts INT, n_combos INT")
+    with pytest.raises(ValueError):
+        ops.group_count(df, F.col("counts"), order=False)
+    with pytest.raises(ValueError):
+        ops.combos_per_key(df, "n_combos", ["counts"])
+    with pytest.raises(ValueError):
+        ops.rename(df, {"counts": "n_combos"})
+    with pytest.raises(ValueError):
+        metadata_frame(spark, [("a", "int")], SCHEMA_ROWS_SCHEMA)
