@@ -23,10 +23,10 @@ def to_celsius(value: str | Column, unit: str | Column, fahrenheit: str = "F",
     that unit pass through and any other unit (or a NULL unit) gives NULL;
     without it, every other row passes through unchanged."""
     label = F.upper(F.trim(_col(unit)))            # units compare case-blind
-    converted = F.when(label == F.lit(fahrenheit.upper()), fahrenheit_to_celsius(value))
+    converted = F.when(label == F.lit(fahrenheit.strip().upper()), fahrenheit_to_celsius(value))
     if celsius is None:
         return converted.otherwise(_col(value).cast("double"))
-    return converted.when(label == F.lit(celsius.upper()), _col(value).cast("double"))
+    return converted.when(label == F.lit(celsius.strip().upper()), _col(value).cast("double"))
 
 
 def date_parts(ts: str | Column) -> dict[str, Column]:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablejobs.session import ensure_unique_columns
+
 
 def distinct_rows(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*cols).distinct() if cols else df.distinct()
@@ -37,7 +39,8 @@ def max_row(df: DataFrame, *cols: str) -> DataFrame:
     fields = [f"f{i}" for i in range(len(cols))]
     best = F.max(F.struct(*[F.col(_quoted(c)).alias(f) for c, f in zip(cols, fields)]))
     folded = df.agg(best.alias("best")).filter(F.col("best").isNotNull())   # empty input: no row
-    return folded.select(*[F.col("best")[f].alias(c) for c, f in zip(cols, fields)])
+    return ensure_unique_columns(
+        folded.select(*[F.col("best")[f].alias(c) for c, f in zip(cols, fields)]))
 
 
 def _quoted(name: str) -> str:

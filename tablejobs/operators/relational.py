@@ -7,6 +7,8 @@ wide operators.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,17 +41,23 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     unknown = [old for old in mapping if fold(old) not in present]
     if unknown:
         raise ValueError(f"no such columns to rename: {unknown}")
-    return ensure_unique_columns(df.withColumnsRenamed(mapping))
+    renamed = df.withColumnsRenamed(mapping)
+    counts = Counter(fold(c) for c in renamed.columns)
+    clashes = sorted({new for new in mapping.values() if counts[fold(new)] > 1})
+    if clashes:                      # only the names this rename creates are checked
+        raise ValueError(f"renaming would duplicate columns: {clashes}")
+    return renamed
 
 
 def derive_dates(df: DataFrame, ts: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Keep ``keep`` columns and add the calendar date ``d`` and year ``y`` of ``ts``."""
     parts = date_parts(ts)
-    return df.select(*keep, parts["d"].alias("d"), parts["y"].alias("y"))
+    return ensure_unique_columns(df.select(*keep, parts["d"].alias("d"), parts["y"].alias("y")))
 
 
 def convert_units(df: DataFrame, value: str, unit: str, fahrenheit: str = "F",
                   keep: tuple[str, ...] = (), out: str = "value_c",
                   celsius: str | None = None) -> DataFrame:
     """Bring a temperature recorded in F or C to Celsius (see ``to_celsius``)."""
-    return df.select(*keep, to_celsius(value, unit, fahrenheit, celsius).alias(out))
+    return ensure_unique_columns(
+        df.select(*keep, to_celsius(value, unit, fahrenheit, celsius).alias(out)))

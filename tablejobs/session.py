@@ -84,18 +84,19 @@ def case_sensitive(spark: SparkSession) -> bool:
 
 def name_fold(spark: SparkSession):
     """How Spark compares column names in this session."""
-    return (lambda name: name) if case_sensitive(spark) else str.lower
+    return (lambda name: name) if case_sensitive(spark) else str.casefold
 
 
 def ensure_unique_columns(df):
     """``df`` itself, or a ValueError when two of its columns share a name
     (as Spark compares names): checked on the analysed result, no job runs."""
     fold = name_fold(df.sparkSession)
-    seen: dict[str, str] = {}
+    seen: set[str] = set()
     for column in df.columns:
-        if fold(column) in seen:
+        key = fold(column)
+        if key in seen:
             raise ValueError(f"result would have two columns named {column!r}")
-        seen[fold(column)] = column
+        seen.add(key)
     return df
 
 

@@ -106,3 +106,25 @@ def test_result_columns_are_unique_for_every_operator(spark):
         ops.rename(df, {"counts": "n_combos"})
     with pytest.raises(ValueError):
         metadata_frame(spark, [("a", "int")], SCHEMA_ROWS_SCHEMA)
+
+
+def test_rename_checks_only_the_names_it_creates(spark):
+    df = spark.createDataFrame([(1, 2)], "a INT, ts INT")
+    joined = df.alias("x").join(df.alias("y"), "a")          # columns a, ts, ts
+    assert ops.rename(df, {"ts": "t2"}).columns == ["a", "t2"]
+    with pytest.raises(ValueError):
+        ops.rename(df, {"ts": "a"})
+    assert joined.columns.count("ts") == 2
+
+
+def test_projection_operators_refuse_duplicate_outputs(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1), 1, 50.0, "F")],
+                               "ts TIMESTAMP_NTZ, y INT, value_c DOUBLE, u STRING")
+    with pytest.raises(ValueError):
+        ops.derive_dates(df, "ts", keep=("y",))
+    with pytest.raises(ValueError):
+        ops.convert_units(df, "value_c", "u", keep=("value_c",))
+    with pytest.raises(ValueError):
+        ops.max_row(df, "y", "y")
+    assert [r[0] for r in df.select(to_celsius("value_c", "u", " f ")).collect()] == [10.0]
