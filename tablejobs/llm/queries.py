@@ -1,8 +1,12 @@
 """The operators' queries over the supplied tables, by name."""
 
+from tablejobs.llm.bpe import op5_bpe
+from tablejobs.llm.language_id import op7_language_id
 from tablejobs.llm.quality_rules import op9_quality_rules
 
 QUERIES = {
+    "op5_bpe": op5_bpe,
+    "op7_language_id": op7_language_id,
     "op9_quality_rules": op9_quality_rules,
 }
 
