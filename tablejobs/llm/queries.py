@@ -1,14 +1,22 @@
 """The operators' queries over the supplied tables, by name."""
 
 from tablejobs.llm.bpe import op5_bpe
+from tablejobs.llm.decontamination import op10_decontamination
+from tablejobs.llm.hilbert import op4_hilbert_sharding
 from tablejobs.llm.language_id import op7_language_id
 from tablejobs.llm.quality_rules import op9_quality_rules
+from tablejobs.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
+    "op3_warc": op3_warc,
+    "op4_hilbert_sharding": op4_hilbert_sharding,
     "op5_bpe": op5_bpe,
     "op7_language_id": op7_language_id,
     "op9_quality_rules": op9_quality_rules,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": OP3_SQL,
+}
