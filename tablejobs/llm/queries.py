@@ -3,6 +3,7 @@
 from tablejobs.llm.bpe import op5_bpe
 from tablejobs.llm.decontamination import op10_decontamination
 from tablejobs.llm.hilbert import op4_hilbert_sharding
+from tablejobs.llm.jaccard import op6_jaccard
 from tablejobs.llm.language_id import op7_language_id
 from tablejobs.llm.quality_rules import op9_quality_rules
 from tablejobs.llm.repeats import op8_suffix_repeats
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_hilbert_sharding": op4_hilbert_sharding,
     "op5_bpe": op5_bpe,
+    "op6_jaccard": op6_jaccard,
     "op7_language_id": op7_language_id,
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_quality_rules": op9_quality_rules,
