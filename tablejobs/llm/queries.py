@@ -5,11 +5,13 @@ from tablejobs.llm.decontamination import op10_decontamination
 from tablejobs.llm.hilbert import op4_hilbert_sharding
 from tablejobs.llm.jaccard import op6_jaccard
 from tablejobs.llm.language_id import op7_language_id
+from tablejobs.llm.lm_scoring import op1_lm_scoring
 from tablejobs.llm.quality_rules import op9_quality_rules
 from tablejobs.llm.repeats import op8_suffix_repeats
 from tablejobs.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op3_warc": op3_warc,
     "op4_hilbert_sharding": op4_hilbert_sharding,
     "op5_bpe": op5_bpe,

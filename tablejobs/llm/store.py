@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+import os
+
+import tablejobs
 from pyspark.sql import DataFrame, SparkSession
 
 from tablejobs.session import scratch_path
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(tablejobs.__file__)))
+
+
+def shipped(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, also when
+    they start in another folder. (A cluster gets the package by --py-files.)"""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
+
 
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: a lost
@@ -17,9 +31,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def partitions(spark: SparkSession) -> int:
     """How many parts a shuffle is dealt to, as the session sets it."""
+    shipped(spark)
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
