@@ -9,9 +9,11 @@ from tablejobs.llm.lm_scoring import op1_lm_scoring
 from tablejobs.llm.quality_rules import op9_quality_rules
 from tablejobs.llm.repeats import op8_suffix_repeats
 from tablejobs.llm.warc import OP3_SQL, op3_warc
+from tablejobs.llm.wrappers import op2_html_wrappers
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_html_wrappers": op2_html_wrappers,
     "op3_warc": op3_warc,
     "op4_hilbert_sharding": op4_hilbert_sharding,
     "op5_bpe": op5_bpe,
