@@ -54,6 +54,11 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int], stop: int = 1) -> list[
     return parts
 
 
+_BYTES = [bytes((b,)) for b in range(256)]
+#: Alive places of a state without pending bytes.
+_START = ((0, 0),)
+
+
 class Transducer:
     """Encodes byte strings; shared by all pre-tokens of a task."""
 
@@ -67,9 +72,10 @@ class Transducer:
         self.reset()
 
     def reset(self) -> None:
-        #: state: token before, pending bytes, and (place, length of the last token there)
-        #: for each place of ``pending`` at which a later token can still start
-        self.states: list[tuple] = [(None, b"", ((0, 0),))]
+        #: state: token before; pending bytes; (place, length of the last token there) for each
+        #: place of ``pending`` at which a later token can still start; the same for other cuts
+        #: on the way to those places
+        self.states: list[tuple] = [(None, b"", ((0, 0),), ())]
         self.numbers = {self.states[0]: 0}
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.ends: dict[int, tuple[int, ...]] = {}
@@ -82,19 +88,16 @@ class Transducer:
             known = self.halves[token] = (parts[0], parts[1]) if whole else None
         return known
 
-    def reachable(self, token: bytes) -> bool:
-        """Whether merging a token's bytes gives that token (so for any trained vocabulary)."""
-        return len(token) == 1 or self.split(token) is not None
-
     def stay_apart(self, a: bytes | None, b: bytes) -> bool:
-        """Whether the bytes of ``a`` and ``b``, merged together, end as ``a`` and ``b``.
+        """Whether the bytes of ``a`` and ``b``, merged together, end as ``a`` and ``b``
+        (which needs ``b`` to be what its own bytes merge to, as in any trained vocabulary).
 
         Undoes the merges inside both, the latest first: the two would have joined
         if at some moment the parts that touched had a merge due before the next one."""
-        if a is None:
-            return True
-        known = self.apart.get((a, b))
-        if known is not None:
+        if len(self.apart) > 4 * MAX_STATES:
+            self.apart.clear()
+        if a is None or len(b) > 1 and self.split(b) is None:
+            known = self.apart[a, b] = len(b) == 1 or self.split(b) is not None
             return known
         ranks, left, right, due = self.ranks, a, b, 1 << 60
         while True:
@@ -111,63 +114,76 @@ class Transducer:
                 due, left = ranks[left], l[1]
             else:
                 due, right = ranks[right] + 1, r[0]
-        if len(self.apart) > 4 * MAX_STATES:
-            self.apart.clear()
         self.apart[a, b] = known
         return known
 
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The transition on ``byte``: (next state, ids emitted)."""
-        before, pending, alive = self.states[state]
-        ranks, beginnings = self.ranks, self.beginnings
-        pending += bytes((byte,))
-        n, size, ongoing, last = len(pending), 0, [], {}
-        for p, k in alive:
-            last[p] = k
-            token = pending[p:]
-            if not size and token in ranks and self.reachable(token) \
-                    and self.stay_apart(pending[p - k:p] if p else before, token):
-                size = n - p                    # the longest: places ascend
+        before, pending, alive, others = self.states[state]
+        pending += _BYTES[byte]
+        n, size, ongoing = len(pending), 0, []
+        ranks, beginnings, apart = self.ranks, self.beginnings, self.apart
+        for place in alive:
+            p, k = place
+            token = pending[p:] if p else pending
+            if not size and token in ranks:
+                previous = pending[p - k:p] if p else before
+                fits = apart.get((previous, token))
+                if fits if fits is not None else self.stay_apart(previous, token):
+                    size = n - p                    # the longest: places ascend
             if token in beginnings:
-                ongoing.append(p)
+                ongoing.append(place)
         if not size:
             raise ValueError("bytes that no token covers")
-        ongoing.append(n)
+        last = dict(alive)
+        last.update(others)
         last[n] = size
-        # The encodings up to these places form a tree of cuts; its deepest common
-        # cut is final, as every continuation starts from one of them.
-        nodes = set(ongoing)
-        while len(nodes) > 1:
-            deepest = max(nodes)
-            nodes.remove(deepest)
-            nodes.add(deepest - last[deepest])
-        agreed = cut = nodes.pop()
-        emitted = []
+        ongoing.append((n, size))
+        if len(ongoing) == 1:
+            agreed = n
+        else:
+            # The encodings up to these places form a tree of cuts; its deepest common
+            # cut is final, as every continuation starts from one of them.
+            nodes = {p for p, _ in ongoing}
+            while len(nodes) > 1:
+                deepest = max(nodes)
+                nodes.remove(deepest)
+                nodes.add(deepest - last[deepest])
+            agreed = nodes.pop()
+        emitted, cut = (), agreed
         while cut:
-            emitted.append(ranks[pending[cut - last[cut]:cut]])
+            emitted = (ranks[pending[cut - last[cut]:cut]], *emitted)
             cut -= last[cut]
-        if agreed:
-            before = pending[agreed - last[agreed]:agreed]
-            pending = pending[agreed:]
-        # Cuts on the way to the places that matter are needed as well.
-        need, stack = {0: 0}, list(ongoing)
-        while stack:
-            p = stack.pop()
-            if p > agreed and p - agreed not in need:
-                need[p - agreed] = last[p]
-                stack.append(p - last[p])
-        new = (before, pending, tuple(sorted(need.items())))
+        if agreed == n:
+            new = (pending[n - size:], b"", _START, ())
+        else:
+            if agreed:
+                before = pending[agreed - last[agreed]:agreed]
+                pending = pending[agreed:]
+            here = {p for p, _ in ongoing}
+            here.add(agreed)
+            more = {}
+            for p, k in ongoing:
+                while p > agreed:
+                    p -= last[p]
+                    if p not in here:
+                        more[p - agreed] = last[p]
+            # Without a token that may start there, what comes before the first place is of no use.
+            if ongoing[0][0] > agreed:
+                before = None
+            new = (before, pending, tuple([(p - agreed, k if p > agreed else 0) for p, k in ongoing]),
+                   tuple(sorted(more.items())) if more else ())
         number = self.numbers.get(new)
         if number is None:
             number = self.numbers[new] = len(self.states)
             self.states.append(new)
-        move = self.moves[state << 8 | byte] = (number, tuple(emitted[::-1]))
+        move = self.moves[state << 8 | byte] = (number, emitted)
         return move
 
     def finish(self, state: int) -> tuple[int, ...]:
         """The ids of the bytes still pending."""
-        _, pending, places = self.states[state]
-        last, cut, out = dict(places), len(pending), []
+        _, pending, alive, others = self.states[state]
+        last, cut, out = dict(alive) | dict(others), len(pending), []
         while cut:
             out.append(self.ranks[pending[cut - last[cut]:cut]])
             cut -= last[cut]

@@ -62,7 +62,7 @@ def fit_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang"
     shares = spark.createDataFrame([(k, v, want[k]) for k, v in share.items()], "lang string, share double, want long")
     # Copies share a hash: a text that a third of the rows repeat counts once.
     h = F.xxhash64("text")
-    picked = (rows.filter("size is not null").join(shares, "lang")
+    picked = (rows.filter("size is not null").join(F.broadcast(shares), "lang")   # one row per language
               .withColumn("h", h)
               .filter((F.col("h") / F.lit(2.0**64) + 0.5) <= F.col("share"))
               .groupBy("lang", "h").agg(F.min("text").alias("text"), F.min("want").alias("want"))

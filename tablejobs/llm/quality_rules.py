@@ -197,18 +197,16 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
 
 
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The documents worth keeping, all their columns as they were. Two passes:
-    one fits the rules' accuracies, one judges each row where it is read, so
-    that no text is shuffled."""
-    slim = docs.select(F.col(f"`{text}`").alias("_q_text"))
-    measured = saved(measures(slim, "_q_text").drop("_q_text"), "quality_votes")
-    odds, ratios = fit(vote_patterns(measured), len(RULES))
+    """The documents worth keeping, all their columns as they were. The documents are
+    written once with their measures, then judged as they are read back: the
+    texts are split into words only once, and nothing is shuffled."""
     prefix = "_q_"
     while any(x.startswith(prefix) for x in docs.columns):
         prefix = "_" + prefix
-    judged = measures(docs, text, prefix)
+    measured = saved(measures(docs, text, prefix), "quality_measured")
+    odds, ratios = fit(vote_patterns(measured, prefix), len(RULES))
     kept = ~base_failed(prefix) & (posterior(odds, ratios, prefix) >= threshold)
-    return judged.filter(kept).select(*[F.col(f"`{x}`") for x in docs.columns])
+    return measured.filter(kept).select(*[F.col(f"`{x}`") for x in docs.columns])
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
