@@ -1,9 +1,8 @@
-"""Command line: list, show, explain or check the registered jobs.
+"""Command line: list, show or explain the registered jobs.
 
     python -m tablejobs list
     python -m tablejobs show group_count --sf-dir /root/testdata/sf0.01 -n 20
     python -m tablejobs explain fd_check
-    python -m tablejobs check group_count      # against its DuckDB oracle
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from tablejobs.survey_map import ids_of_job
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tablejobs")
-    parser.add_argument("command", choices=["list", "show", "explain", "check"])
+    parser.add_argument("command", choices=["list", "show", "explain"])
     parser.add_argument("job", nargs="?")
     parser.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     parser.add_argument("--master", default="local[8]")
@@ -44,15 +43,6 @@ def main(argv: list[str] | None = None) -> int:
         print(plan_text(df, "formatted"))
         report = lint_plan(df, allow_unordered_limit=args.job in UNORDERED_LIMIT_JOBS)
         print("scale checks:", "ok" if report.ok else report.problems)
-    else:
-        from tablejobs.compare import compare, duck_connection
-        if args.job not in ORACLE_SQL:
-            print("no oracle for this job (rows-only)")
-            return 0
-        problems = compare(df, duck_connection(args.sf_dir), ORACLE_SQL[args.job],
-                           ordered=args.job in ORDERED_JOBS)
-        print("match" if not problems else "\n".join(problems))
-        return 1 if problems else 0
     return 0
 
 

@@ -15,18 +15,14 @@ def fahrenheit_to_celsius(value: str | Column) -> Column:
     return (_col(value) - 32) * 5 / 9
 
 
-def to_celsius(value: str | Column, unit: str | Column, fahrenheit: str = "F",
-               celsius: str | None = None) -> Column:
-    """Temperature in Celsius whatever unit a row was recorded in: rows whose
-    unit equals ``fahrenheit`` (ignoring case and surrounding spaces) are
-    converted. With ``celsius`` given, rows in
-    that unit pass through and any other unit (or a NULL unit) gives NULL;
-    without it, every other row passes through unchanged."""
+def to_celsius(value: str | Column, unit: str | Column, fahrenheit: str,
+               celsius: str) -> Column:
+    """Temperature in Celsius: rows whose unit is ``fahrenheit`` (ignoring case
+    and surrounding spaces) are converted, rows in ``celsius`` pass through, and
+    any other unit, or none, gives NULL."""
     label = F.upper(F.trim(_col(unit)))            # units compare case-blind
-    converted = F.when(label == F.lit(fahrenheit.strip().upper()), fahrenheit_to_celsius(value))
-    if celsius is None:
-        return converted.otherwise(_col(value).cast("double"))
-    return converted.when(label == F.lit(celsius.strip().upper()), _col(value).cast("double"))
+    return (F.when(label == F.lit(fahrenheit.strip().upper()), fahrenheit_to_celsius(value))
+            .when(label == F.lit(celsius.strip().upper()), _col(value).cast("double")))
 
 
 def date_parts(ts: str | Column) -> dict[str, Column]:

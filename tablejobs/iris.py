@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tablejobs import catalog
+from tablejobs import operators as ops
 from tablejobs.schemas import IRIS_SCHEMA
 from tablejobs.sources import read_csv, write_files
 
@@ -18,10 +19,9 @@ def load(spark: SparkSession, path: str, declared: bool = True, sep: str = ",")
     return read_csv(spark, path, header=True, infer_schema=True, sep=sep)
 
 
-def persist(df: DataFrame, path: str, files: int | None = None) -> str:
-    """Write as Parquet (overwrite); ``files`` merges partitions first without a
-    shuffle, for small outputs."""
-    return write_files(df.coalesce(files) if files else df, path, "parquet", "overwrite")
+def persist(df: DataFrame, path: str) -> str:
+    """Write as Parquet (overwrite), one file per task."""
+    return write_files(df, path, "parquet", "overwrite")
 
 
 def register(spark: SparkSession, parquet_path: str, table: str = "iris") -> DataFrame:
@@ -31,5 +31,5 @@ def register(spark: SparkSession, parquet_path: str, table: str = "iris") -> Dat
 
 
 def setosas_view(spark: SparkSession, table: str = "iris", view: str = "setosas") -> DataFrame:
-    table = catalog.check_identifier(table)
-    return catalog.view_from_sql(spark, view, f'SELECT * FROM {table} WHERE species = "setosa"')
+    source = spark.table(catalog.check_identifier(table))
+    return catalog.view_from_df(ops.filter_eq(source, "species", "setosa"), view)

@@ -13,14 +13,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import (
+    DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType,
+)
 
 from tablejobs import catalog
 from tablejobs import operators as ops
 from tablejobs.operators.actions import partition_profile
-from tablejobs.schemas import CUSTOMER_SCHEMA, EVENTS_DDL, TABLE_DDL, schema_rows
+from tablejobs.schemas import CUSTOMER_SCHEMA, EVENTS_DDL, TABLE_DDL
 from tablejobs.session import scratch_path, table_path, unique_name
 from tablejobs.sources import (
     raw_preview,
@@ -46,12 +49,6 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem")
 
 
-def _events_view(spark: SparkSession, sf_dir: str) -> str:
-    name = unique_name("events")
-    catalog.view_from_df(_table(spark, sf_dir, "events"), name)
-    return name
-
-
 # ---------------------------------------------------------------- aggregation
 
 def group_count(spark, sf_dir):
@@ -66,19 +63,17 @@ def group_count_one(spark, sf_dir):
 
 
 def view_counts_coded(spark, sf_dir):
-    """Temp view as coded: the measured value is a grouping key, ordered by position."""
-    source = _events_view(spark, sf_dir)
-    body = (f"SELECT user_id, event_type, value, COUNT(1) AS conteo FROM {source} "
-            "GROUP BY user_id, event_type, value ORDER BY 1, 2, 3")
-    return catalog.view_from_sql(spark, unique_name("station_counts"), body)
+    """Temp view with the measured value as a grouping key, sorted by the keys."""
+    events = _table(spark, sf_dir, "events")
+    counted = ops.group_count(events, "user_id", "event_type", "value", name="n_readings")
+    return catalog.view_from_df(counted, unique_name("station_counts"))
 
 
 def view_counts_spec(spark, sf_dir):
-    """Temp view as specified: recorded (non-NULL) values per station and unit."""
-    source = _events_view(spark, sf_dir)
-    body = (f"SELECT user_id, event_type, COUNT(value) AS conteo FROM {source} "
-            "GROUP BY user_id, event_type")
-    return catalog.view_from_sql(spark, unique_name("station_counts"), body)
+    """Temp view of the recorded (non-NULL) values per station and unit."""
+    events = _table(spark, sf_dir, "events")
+    counted = ops.count_values(events, "user_id", "event_type", value="value", name="n_readings")
+    return catalog.view_from_df(counted, unique_name("station_counts"))
 
 
 def group_sum(spark, sf_dir):
@@ -126,9 +121,10 @@ def derive_cols(spark, sf_dir):
 
 
 def convert_units(spark, sf_dir):
-    # In the supplied events the 'click' rows play the Fahrenheit readings.
+    # In the supplied events the 'click' rows play the Fahrenheit readings and the
+    # 'view' rows the Celsius ones; the other types are no temperature.
     return ops.convert_units(_table(spark, sf_dir, "events"), "value", "event_type",
-                             fahrenheit="click", keep=("event_id",))
+                             fahrenheit="click", celsius="view", keep=("event_id",))
 
 
 # ------------------------------------------------------ sort, distinct, top-n
@@ -185,20 +181,34 @@ def seven_steps(spark, sf_dir):
     return read_parquet(spark, out)
 
 
+def _parts(spark: SparkSession) -> int:
+    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def repartition_rows(spark, sf_dir):
+    """All orders dealt out evenly, whatever their keys (wide)."""
+    return ops.spread(_table(spark, sf_dir, "orders"), _parts(spark))
+
+
 def repartition_coalesce(spark, sf_dir):
-    """The aggregate's own Exchange redistributes; its small output is then
-    merged to one partition without another shuffle."""
-    counted = ops.group_count(_table(spark, sf_dir, "orders"), "o_orderpriority",
-                              name="n", order=False)
-    return ops.narrow_to(counted, 1)
+    """The same rows, with neighbouring partitions then merged without another
+    shuffle (narrow); many tasks still read them."""
+    return ops.narrow_to(repartition_rows(spark, sf_dir), _parts(spark) // 2)
+
+
+def cache_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(cached counts per status and priority, both totals made from them). The
+    aggregate is cached after the groupBy and read by two consumers; call
+    ``unpersist()`` on the first when done."""
+    counted = ops.cached(ops.group_count(_table(spark, sf_dir, "orders"), "o_orderstatus",
+                                         "o_orderpriority", name="n", order=False))
+    totals = [ops.group_sum(counted.withColumnRenamed(key, "key"), "key", "n", name="n")
+              for key in ("o_orderstatus", "o_orderpriority")]
+    return counted, totals[0].unionByName(totals[1])
 
 
 def cache_reuse(spark, sf_dir):
-    """Cache the filtered projection once; every later action scans it from
-    memory (spilling to disk) instead of re-reading and re-filtering orders.
-    The cache lives until ``unpersist()``; equal plans share one cache entry."""
-    finished = ops.cached(_orders_with_status(spark, sf_dir, "F").select("o_orderpriority"))
-    return ops.group_count(finished, "o_orderpriority", name="n", order=False)
+    return cache_parts(spark, sf_dir)[1]
 
 
 def partition_profile_job(spark, sf_dir):
@@ -206,7 +216,8 @@ def partition_profile_job(spark, sf_dir):
     shipdates = _lineitem(spark, sf_dir).select("l_shipdate")
     return partition_profile(
         shipdates,
-        lambda batch: {"n_rows": len(batch), "n_ship": int(batch["l_shipdate"].notna().sum())},
+        lambda batch: {"n_rows": batch.num_rows,
+                       "n_ship": batch.num_rows - batch.column(0).null_count},
         ["n_rows", "n_ship"])
 
 
@@ -233,8 +244,7 @@ def csv_strings(spark, sf_dir):
 
 def csv_noheader(spark, sf_dir):
     path = scratch_path(spark, "supplier_csv")
-    write_csv(_table(spark, sf_dir, "supplier").select("s_name", "s_nationkey"), path,
-              "overwrite", header=False)
+    write_csv(_table(spark, sf_dir, "supplier"), path, "overwrite", header=False)
     return read_csv(spark, path, header=False)
 
 
@@ -251,7 +261,11 @@ def parquet_inferred(spark, sf_dir):
 
 def parquet_struct(spark, sf_dir):
     schema = StructType([StructField("o_orderkey", LongType()),
-                         StructField("o_orderdate", TimestampNTZType())])
+                         StructField("o_custkey", LongType()),
+                         StructField("o_orderstatus", StringType()),
+                         StructField("o_totalprice", DoubleType()),
+                         StructField("o_orderdate", TimestampNTZType()),
+                         StructField("o_orderpriority", StringType())])
     return read_parquet(spark, table_path(sf_dir, "orders"), schema)
 
 
@@ -275,12 +289,10 @@ def default_format(spark, sf_dir):
 
 
 def raw_preview_job(spark, sf_dir):
-    """Head of the CSV written from customer: the first part file holding a
-    header and at least one row (a write task without rows leaves a file with
-    the header only). One file per write task whatever the session's
+    """Head of the CSV written from customer: its first part file (task 0 writes
+    one in any case). One file per write task whatever the session's
     maxRecordsPerFile says."""
-    path = _written_customer_csv(spark, sf_dir, maxRecordsPerFile=0)
-    return raw_preview(spark, path, 20, min_lines=2)
+    return raw_preview(spark, _written_customer_csv(spark, sf_dir, maxRecordsPerFile=0), 20)
 
 
 def table_scan(spark, sf_dir):
@@ -290,14 +302,6 @@ def table_scan(spark, sf_dir):
     return ops.group_count(spark.table(table), "s_nationkey", name="n", order=False)
 
 
-def schema_rows_job(spark, sf_dir):
-    """The schema of a Parquet copy Spark wrote: types survive the write and
-    every column comes back nullable."""
-    path = scratch_path(spark, "supplier_copy")
-    write_files(_table(spark, sf_dir, "supplier"), path, "parquet", "overwrite")
-    return schema_rows(spark, read_parquet(spark, path))
-
-
 def file_inventory_job(spark, sf_dir):
     """Write orders with its natural parallelism and check the part-file
     listing against the write (see ``sources.write_with_inventory``)."""
@@ -307,18 +311,27 @@ def file_inventory_job(spark, sf_dir):
 
 # ---------------------------------------------------------------------- sinks
 
-def _orders_with_status(spark, sf_dir, status: str) -> DataFrame:
-    return ops.filter_eq(_table(spark, sf_dir, "orders"), "o_orderstatus", status)
-
-
 def sink_overwrite(spark, sf_dir):
-    """Open orders are written, then replaced by the finished ones."""
+    """Customers are written, then replaced by the orders."""
     path = scratch_path(spark, "sink_overwrite")
-    write_files(_orders_with_status(spark, sf_dir, "O"), path, "parquet", "overwrite")
-    write_files(_orders_with_status(spark, sf_dir, "F"), path, "parquet", "overwrite")
+    write_files(_table(spark, sf_dir, "customer"), path, "parquet", "overwrite")
+    write_files(_table(spark, sf_dir, "orders"), path, "parquet", "overwrite")
     return read_parquet(spark, path)
 
 
+def sink_error(spark, sf_dir):
+    """Suppliers are written; the default mode refuses the customers after them."""
+    path = scratch_path(spark, "sink_error")
+    write_files(_table(spark, sf_dir, "supplier"), path, "parquet")
+    try:
+        write_files(_table(spark, sf_dir, "customer"), path, "parquet")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return read_parquet(spark, path)
+    raise AssertionError(f"{path} was written over")
+
+
 def sink_append(spark, sf_dir):
     path = scratch_path(spark, "sink_append")
     supplier = _table(spark, sf_dir, "supplier")
@@ -328,18 +341,17 @@ def sink_append(spark, sf_dir):
 
 
 def sink_ignore(spark, sf_dir):
-    """Open orders are written; the finished ones are ignored (data exists)."""
+    """Orders are written; the customers are ignored (data exists)."""
     path = scratch_path(spark, "sink_ignore")
-    write_files(_orders_with_status(spark, sf_dir, "O"), path, "parquet", "errorifexists")
-    write_files(_orders_with_status(spark, sf_dir, "F"), path, "parquet", "ignore")
+    write_files(_table(spark, sf_dir, "orders"), path, "parquet", "errorifexists")
+    write_files(_table(spark, sf_dir, "customer"), path, "parquet", "ignore")
     return read_parquet(spark, path)
 
 
 def sink_aggregate(spark, sf_dir):
     """Aggregate view -> table lookup -> Parquet files."""
-    orders = _table(spark, sf_dir, "orders")
     view = unique_name("status_counts")
-    catalog.view_from_df(ops.group_count(orders, "o_orderstatus", name="n", order=False), view)
+    catalog.view_from_df(sink_aggregate_plan(spark, sf_dir), view)
     path = scratch_path(spark, "status_counts")
     write_files(spark.table(view), path, "parquet", "overwrite")
     return read_parquet(spark, path)
@@ -347,11 +359,21 @@ def sink_aggregate(spark, sf_dir):
 
 def table_external(spark, sf_dir):
     db = catalog.new_database(spark, "ext")
-    building = ops.filter_eq(_table(spark, sf_dir, "customer"), "c_mktsegment", "BUILDING")
-    return catalog.save_external(building, f"{db}.customer_ext",
+    return catalog.save_external(_table(spark, sf_dir, "customer"), f"{db}.customer_ext",
                                  scratch_path(spark, "customer_ext"))
 
 
+def table_drop(spark, sf_dir):
+    """Save an external table, drop it, and read the files it leaves."""
+    table = f"{catalog.new_database(spark, 'drop')}.customer_drop"
+    path = scratch_path(spark, "customer_drop")
+    catalog.save_external(_table(spark, sf_dir, "customer"), table, path)
+    catalog.drop_table(spark, table)
+    if spark.catalog.tableExists(table):
+        raise AssertionError(f"{table} is still there")
+    return read_parquet(spark, path)
+
+
 def table_managed(spark, sf_dir):
     db = catalog.new_database(spark, "man")
     return catalog.save_managed(_table(spark, sf_dir, "supplier"), f"{db}.supplier_man")
@@ -366,42 +388,6 @@ def table_register(spark, sf_dir):
 
 # -------------------------------------------------------------------- catalog
 
-# The names of the catalog fixture's external table, managed
-# table and temp view (the listings return exactly these).
-_CATALOG_OBJECTS = ("cat_ext", "cat_man", "cat_tmp")
-_CATALOG_NAMES = "|".join(_CATALOG_OBJECTS)
-
-
-def _catalog_fixture(spark, sf_dir) -> str:
-    """An external table, a managed table and a temp view (``_CATALOG_OBJECTS``)."""
-    ext, man, tmp = _CATALOG_OBJECTS
-    db = catalog.new_database(spark, "cat")
-    supplier = _table(spark, sf_dir, "supplier")
-    catalog.save_external(supplier, f"{db}.{ext}", scratch_path(spark, ext))
-    catalog.save_managed(supplier, f"{db}.{man}")
-    catalog.view_from_df(supplier, tmp)
-    return db
-
-
-def catalog_list(spark, sf_dir):
-    db = _catalog_fixture(spark, sf_dir)
-    return catalog.list_tables(spark, db, _CATALOG_NAMES).select(
-        "name", "tableType", "isTemporary")
-
-
-def catalog_show(spark, sf_dir):
-    db = _catalog_fixture(spark, sf_dir)
-    return catalog.show_tables(spark, db, _CATALOG_NAMES).select("tableName", "isTemporary")
-
-
-def catalog_describe(spark, sf_dir):
-    ext = "cat_ext"                       # fixed value: the described table's name
-    db = catalog.new_database(spark, "desc")
-    table = f"{db}.{ext}"
-    catalog.save_external(_table(spark, sf_dir, "supplier"), table, scratch_path(spark, ext))
-    return catalog.describe_summary(spark, table)
-
-
 def view_from_df(spark, sf_dir):
     view = unique_name("customer")
     catalog.view_from_df(_table(spark, sf_dir, "customer"), view)
@@ -427,7 +413,31 @@ UNORDERED_LIMIT_JOBS = frozenset({"raw_preview"})
 
 # Jobs whose row order is part of the result.
 ORDERED_JOBS = frozenset({"group_count", "view_counts_coded", "top_n", "first_row",
-                          "raw_preview", "schema_rows", "catalog_describe"})
+                          "raw_preview"})
+
+# What the jobs that write files have Spark run before they read the files back;
+# the plan checks look at these. Jobs that write a supplied table as it is have a
+# plain scan here.
+_WHOLE = {
+    "customer": ["csv_infer", "csv_schema", "csv_strings", "csv_delim", "raw_preview",
+                 "table_external", "table_drop"],
+    "supplier": ["csv_noheader", "default_format", "table_scan", "sink_append", "table_managed",
+                 "table_register", "sink_error"],
+    "orders": ["file_inventory", "sink_overwrite", "sink_ignore"],
+    "events": ["json_roundtrip"],
+}
+
+
+def sink_aggregate_plan(spark, sf_dir) -> DataFrame:
+    return ops.group_count(_table(spark, sf_dir, "orders"), "o_orderstatus", name="n", order=False)
+
+
+WRITE_PLANS: dict[str, Job] = {
+    "seven_steps": seven_steps_plan,
+    "sink_aggregate": sink_aggregate_plan,
+    **{key: (lambda spark, sf_dir, table=table: _table(spark, sf_dir, table))
+       for table, keys in _WHOLE.items() for key in keys},
+}
 
 JOBS: dict[str, Job] = {
     # aggregation
@@ -458,6 +468,7 @@ JOBS: dict[str, Job] = {
     "fd_violations": fd_violations,
     # partitioning, reuse, staged write, per-partition function
     "seven_steps": seven_steps,
+    "repartition_rows": repartition_rows,
     "repartition_coalesce": repartition_coalesce,
     "cache_reuse": cache_reuse,
     "partition_profile": partition_profile_job,
@@ -474,20 +485,18 @@ JOBS: dict[str, Job] = {
     "default_format": default_format,
     "raw_preview": raw_preview_job,
     "table_scan": table_scan,
-    "schema_rows": schema_rows_job,
     "file_inventory": file_inventory_job,
     # sinks
     "sink_overwrite": sink_overwrite,
     "sink_append": sink_append,
     "sink_ignore": sink_ignore,
+    "sink_error": sink_error,
     "sink_aggregate": sink_aggregate,
     "table_external": table_external,
     "table_managed": table_managed,
     "table_register": table_register,
+    "table_drop": table_drop,
     # catalog and SQL entry
-    "catalog_list": catalog_list,
-    "catalog_show": catalog_show,
-    "catalog_describe": catalog_describe,
     "view_from_df": view_from_df,
     "view_from_sql": view_from_sql,
     "sql_params": sql_params,

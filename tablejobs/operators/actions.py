@@ -1,29 +1,20 @@
 """Result delivery (actions) and user functions over rows or partitions.
 
-Actions that bring rows to the driver are bounded: ``collect_capped`` refuses
-results above a row cap instead of exhausting driver memory. User functions
-run on executors; per-partition work is Arrow-batched (``mapInPandas``) and
-only small per-batch summaries travel on.
+Large results are written out (``sources.write_files``), not collected. User
+functions run on executors; per-partition work gets Arrow batches
+(``mapInArrow``) and only small per-batch summaries travel on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 
-def collect_capped(df: DataFrame, cap: int = 10_000) -> list[Row]:
-    """``collect()`` that fails instead of pulling more than ``cap`` rows."""
-    rows = df.limit(cap + 1).collect()
-    if len(rows) > cap:
-        raise ValueError(f"result has more than {cap} rows; write it out instead")
-    return rows
-
-
 def iterate_rows(df: DataFrame, prefetch: bool = False) -> Iterator[Row]:
     """Rows partition by partition; the driver holds one partition at a time."""
     return df.toLocalIterator(prefetchPartitions=prefetch)
@@ -75,19 +66,19 @@ def fold_rows(df: DataFrame, fn: Callable[[Row, Row], Row], depth: int = 2) -> R
     return value if has_value else None
 
 
-def partition_profile(df: DataFrame, profile: Callable[[pd.DataFrame], dict[str, int]],
+def partition_profile(df: DataFrame, profile: Callable[[pa.RecordBatch], dict[str, int]],
                       names: list[str]) -> DataFrame:
     """Apply ``profile`` to every Arrow batch of every partition and add the
     per-batch integer summaries up to one row (``foreachPartition`` with a
     result). Project ``df`` to the columns ``profile`` needs before calling."""
     schema = StructType([StructField(n, LongType(), False) for n in names])
 
-    def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = dict.fromkeys(names, 0)
         for batch in batches:
             for key, value in profile(batch).items():
                 totals[key] += int(value)
-        yield pd.DataFrame({k: [v] for k, v in totals.items()})
+        yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.int64()) for k, v in totals.items()})
 
-    parts = df.mapInPandas(per_partition, schema)
+    parts = df.mapInArrow(per_partition, schema)
     return parts.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names])

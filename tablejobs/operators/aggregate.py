@@ -25,16 +25,15 @@ def group_count(df: DataFrame, *keys: str, name: str = "counts",
     return counted.orderBy(*keys) if order else counted
 
 
-def count_values(df: DataFrame, *keys: str, value: str, name: str = "conteo") -> DataFrame:
+def count_values(df: DataFrame, *keys: str, value: str, name: str = "counts") -> DataFrame:
     """Per group, how many rows have a non-NULL ``value``."""
     return ensure_unique_columns(df.groupBy(*keys).agg(F.count(value).alias(name)))
 
 
 def group_sum(df: DataFrame, key: str, column: str, name: str | None = None) -> DataFrame:
-    """groupBy(key).sum(column); Spark names the result ``sum(column)``."""
-    summed = df.groupBy(key).sum(column)
+    """Sum of ``column`` per ``key``, as ``name`` (``sum(column)`` if not given)."""
     return ensure_unique_columns(
-        summed.withColumnRenamed(f"sum({column})", name) if name else summed)
+        df.groupBy(key).agg(F.sum(column).alias(name or f"sum({column})")))
 
 
 _COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le,

@@ -57,7 +57,7 @@ def derive_dates(df: DataFrame, ts: str, keep: tuple[str, ...] = ()) -> DataFram
 
 def convert_units(df: DataFrame, value: str, unit: str, fahrenheit: str = "F",
                   keep: tuple[str, ...] = (), out: str = "value_c",
-                  celsius: str | None = None) -> DataFrame:
+                  celsius: str = "C") -> DataFrame:
     """Bring a temperature recorded in F or C to Celsius (see ``to_celsius``)."""
     return ensure_unique_columns(
         df.select(*keep, to_celsius(value, unit, fahrenheit, celsius).alias(out)))

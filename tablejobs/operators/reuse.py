@@ -20,9 +20,10 @@ def narrow_to(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
-def spread(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """Redistribute to ``n`` partitions: round-robin, or hashed on ``keys``."""
-    return df.repartition(n, *keys) if keys else df.repartition(n)
+def spread(df: DataFrame, n: int) -> DataFrame:
+    """Redistribute rows to ``n`` partitions, round-robin: no key decides where a
+    row goes, so none can be hot."""
+    return df.repartition(n)
 
 
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER) -> DataFrame:

@@ -82,37 +82,16 @@ SCHEMA_ROWS_SCHEMA = StructType([
 ])
 
 
-_VALUES_LIMIT = 500
-
-
 def metadata_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
-    """A small driver-side listing (schema fields, catalog entries) as a
-    DataFrame. Built as a SQL ``VALUES`` relation with bound parameters, so it
-    plans as a LocalTableScan in the JVM and needs no Python worker."""
+    """A driver-side listing (schema fields, catalog entries) as a DataFrame with
+    exactly the declared names, types and nullability."""
     for row in rows:
         if len(row) != len(schema.fields):
             raise ValueError(f"row {row!r} does not have {len(schema.fields)} fields")
         for value, field in zip(row, schema.fields):
             if value is None and not field.nullable:
                 raise ValueError(f"NULL in non-nullable field {field.name!r}")
-    if not rows or len(rows) > _VALUES_LIMIT:
-        # empty, or too long for one SQL text: hand the rows over as data
-        return spark.createDataFrame(rows, schema)
-    args, tuples = {}, []
-    for i, row in enumerate(rows):
-        names = [f"v{i}_{j}" for j in range(len(schema.fields))]
-        args.update(zip(names, row))
-        tuples.append("(" + ", ".join(f":{n}" for n in names) + ")")
-    cols = [f"c{j}" for j in range(len(schema.fields))]
-    # VALUES makes a column non-nullable when no value is NULL; the identity
-    # CASE below is analysed as nullable, so declared-nullable columns stay so.
-    casts = ", ".join(
-        (f"CASE WHEN {c} IS NOT NULL THEN CAST({c} AS {f.dataType.simpleString()}) END"
-         if f.nullable else f"CAST({c} AS {f.dataType.simpleString()})")
-        + " AS `" + f.name.replace("`", "``") + "`"
-        for c, f in zip(cols, schema.fields))
-    return spark.sql(f"SELECT {casts} FROM VALUES {', '.join(tuples)} AS t({', '.join(cols)})",
-                     args=args)
+    return spark.createDataFrame(rows, schema)
 
 
 def schema_tree(df: DataFrame) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from tablejobs.session import hadoop_fs, name_fold
 from tablejobs.sources.listing import file_inventory
 
-# Fixed value: text writers keep microseconds only with explicit patterns (the
+# Text writers keep microseconds only with explicit patterns (the
 # defaults cut both timestamp types to milliseconds). Applied on write only:
 # readers keep Spark's lenient ISO parser, which reads these values exactly
 # and also accepts other spellings (a strict read pattern would turn them
@@ -80,21 +80,12 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None,
     return reader.options(**options).load(path)
 
 
-def first_data_file(spark: SparkSession, path: str, min_lines: int = 1) -> str:
+def first_data_file(spark: SparkSession, path: str) -> str:
     """The first data file by path under ``path`` (a file, a folder or a glob;
-    partition folders included) holding at least ``min_lines`` lines. Files
-    that start with a header pass ``min_lines=2``, so a part file holding only
-    the header (what a write task without rows leaves) is skipped. The listing
-    uses the ``binaryFile`` source with contents pruned (zero-length files are
-    left out) and reaches the driver one partition at a time, in path order;
-    a candidate is checked by taking its first lines with Spark's own line
-    reader (one task). If no file qualifies, the first one is returned."""
-    listing = file_inventory(spark, path).select("path").orderBy("path")
-    first = None
-    for row in listing.toLocalIterator():
-        first = first or row["path"]
-        if min_lines <= 1 or len(spark.read.text(row["path"]).take(min_lines)) >= min_lines:
-            return row["path"]
+    partition folders included): the minimum over a ``binaryFile`` listing whose
+    contents are pruned, in one job. Zero-length files are left out; a file that
+    holds only a header (what a write task without rows leaves) counts as one."""
+    first = file_inventory(spark, path).agg(F.min("path")).first()[0]
     if first is not None:
         return first
     fs, hpath = hadoop_fs(spark, path)      # file scans skip zero-length files
@@ -103,12 +94,12 @@ def first_data_file(spark: SparkSession, path: str, min_lines: int = 1) -> str:
     raise FileNotFoundError(f"no data file in {path}")
 
 
-def raw_preview(spark: SparkSession, path: str, n: int = 20, min_lines: int = 1) -> DataFrame:
+def raw_preview(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
     """First ``n`` lines of one text file, unparsed (what ``head`` on the
-    file shows); for a folder or glob, of its first file by path holding at
-    least ``min_lines`` lines (see ``first_data_file``). The limit is the
-    feature here; Spark stops reading after it."""
-    return spark.read.text(first_data_file(spark, path, min_lines)).limit(n)
+    file shows); for a folder or glob, of its first file by path (see
+    ``first_data_file``). The limit is the feature here; Spark stops reading
+    after it."""
+    return spark.read.text(first_data_file(spark, path)).limit(n)
 
 
 def require_columns(spark: SparkSession, path: str, schema: StructType | str,

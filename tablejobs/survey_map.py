@@ -23,25 +23,25 @@ COVERAGE: dict[str, list[str]] = {
     # 2.2 schemas
     "D1": ["job:parquet_struct", "job:csv_schema"],
     "D2": ["job:parquet_ddl"],
-    "D3": ["job:schema_rows", "test:test_golden.py::test_iris_table_and_setosa_view"],
-    "D4": ["job:schema_rows", "test:test_golden.py::test_iris_table_and_setosa_view"],
+    "D3": ["test:test_golden.py::test_iris_table_and_setosa_view"],
+    "D4": ["test:test_golden.py::test_iris_table_and_setosa_view"],
     # 2.3 sinks
     "K1": ["job:sink_overwrite"],
     "K2": ["job:sink_append"],
     "K3": ["job:sink_ignore"],
-    "K4": ["test:test_drift.py::test_k4_error_mode_refuses_existing_path"],
+    "K4": ["job:sink_error", "test:test_drift.py::test_k4_error_mode_refuses_existing_path"],
     "K5": ["job:csv_schema", "job:json_roundtrip", "test:test_roundtrips.py::test_csv_roundtrip_is_exact_with_null_marker"],
     "K6": ["job:table_external", "test:test_golden.py::test_lab_catalog_goldens"],
     "K7": ["job:table_managed", "test:test_drift.py::test_v16_managed_name_reusable_across_runs"],
     "K8": ["job:sink_aggregate", "test:test_golden.py::test_lab_catalog_goldens"],
     # 2.4 catalog and SQL entry
-    "T1": ["test:test_drift.py::test_t1_drop_keeps_external_files_removes_managed"],
+    "T1": ["job:table_drop", "test:test_drift.py::test_t1_drop_keeps_external_files_removes_managed"],
     "T2": ["job:table_register", "test:test_golden.py::test_iris_table_and_setosa_view"],
-    "T3": ["job:view_from_df"],
-    "T4": ["job:view_from_sql", "job:view_counts_coded"],
-    "T5": ["job:catalog_list", "test:test_golden.py::test_lab_catalog_goldens"],
-    "T6": ["job:catalog_show", "test:test_golden.py::test_describe_and_listing_layouts"],
-    "T7": ["job:catalog_describe", "test:test_golden.py::test_describe_and_listing_layouts"],
+    "T3": ["job:view_from_df", "job:view_counts_coded"],
+    "T4": ["job:view_from_sql"],
+    "T5": ["test:test_golden.py::test_lab_catalog_goldens"],
+    "T6": ["test:test_golden.py::test_describe_and_listing_layouts"],
+    "T7": ["test:test_golden.py::test_describe_and_listing_layouts"],
     "T8": ["job:sql_params"],
     # 2.5 projections, filters, column edits
     "P1": ["job:view_from_df", "job:table_scan"],
@@ -73,12 +73,12 @@ COVERAGE: dict[str, list[str]] = {
     # 2.8 set operators, partitioning, reuse
     "U1": ["job:distinct_rows"],
     "R1": ["job:repartition_coalesce", "test:test_plans.py::test_coalesce_is_narrow_repartition_is_wide"],
-    "R2": ["test:test_plans.py::test_coalesce_is_narrow_repartition_is_wide"],
+    "R2": ["job:repartition_rows", "test:test_plans.py::test_coalesce_is_narrow_repartition_is_wide"],
     "R3": ["job:cache_reuse", "test:test_plans.py::test_cache_is_scanned_from_memory"],
     "R4": ["job:seven_steps", "test:test_plans.py::test_seven_steps_have_one_shuffle"],
     # 2.9 actions
     "X1": ["job:top_n", "test:test_actions.py::test_show_prints_a_table"],
-    "X2": ["test:test_actions.py::test_collect_is_capped"],
+    "X2": ["test:test_actions.py::test_collect_returns_the_rows"],
     "X3": ["job:row_count", "test:test_actions.py::test_count_action"],
     "X4": ["job:first_row", "test:test_actions.py::test_first_and_take_are_deterministic_with_an_order"],
     "X5": ["test:test_actions.py::test_take_returns_n_rows_in_order"],

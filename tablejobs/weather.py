@@ -40,16 +40,14 @@ def station_counts_view(spark: SparkSession, table: str = "weather",
     NULL temperature forms its own group and is counted. ``coded=False`` is
     the lab's stated intent: recorded (non-NULL) temperatures per station and
     unit."""
-    # The view's output names (STATION, unit, TAVG, conteo) and
-    # its grouping are those of the lab's view, which later steps read back.
-    table = catalog.check_identifier(table)
+    readings = spark.table(catalog.check_identifier(table))
     if coded:
-        body = (f"SELECT STATION, UNIT AS unit, TAVG, COUNT(1) AS conteo FROM {table} "
-                "GROUP BY STATION, UNIT, TAVG ORDER BY 1, 2, 3")
+        counted = ops.group_count(readings, "STATION", "UNIT", "TAVG", name="n")
     else:
-        body = (f"SELECT STATION, UNIT AS unit, COUNT(TAVG) AS conteo FROM {table} "
-                "GROUP BY STATION, UNIT ORDER BY 1, 2")
-    return catalog.view_from_sql(spark, view, body)
+        counted = ops.count_values(readings, "STATION", "UNIT", value="TAVG", name="n") \
+            .orderBy("STATION", "UNIT")
+    # The view's output names, which later steps read back.
+    return catalog.view_from_df(ops.rename(counted, {"UNIT": "unit", "n": "conteo"}), view)
 
 
 def counts_by_station(df: DataFrame) -> DataFrame:

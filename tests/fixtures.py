@@ -27,6 +27,7 @@ IRIS_ROWS = [
 # Our own extra rows of another species, so the species filter removes some.
 IRIS_EXTRA = [(21, "7", "3.2", "4.7", "1.4"), (22, "6.4", "3.2", "4.5", "1.5"),
               (23, "6.9", "3.1", "4.9", "1.5")]
+# Fixed value: the header line.
 IRIS_HEADER = ["", "Sepal.Length", "Sepal.Width", "Petal.Length", "Petal.Width", "Species"]
 
 # Station name, unit and number of daily rows (the golden counts).

@@ -33,7 +33,7 @@ def test_metadata_frame_keeps_declared_nullability(spark):
     small = metadata_frame(spark, [("a", "int", True)], SCHEMA_ROWS_SCHEMA)
     assert small.schema == SCHEMA_ROWS_SCHEMA
     from tablejobs.catalog import DESCRIBE_SCHEMA
-    assert metadata_frame(spark, [("a", "int")], DESCRIBE_SCHEMA).schema == DESCRIBE_SCHEMA
+    assert metadata_frame(spark, [("a", "int")] * 700, DESCRIBE_SCHEMA).schema == DESCRIBE_SCHEMA
 
 
 def test_having_count_operators(spark):
@@ -56,8 +56,15 @@ def test_celsius_with_unknown_units(spark):
                                "t DOUBLE, u STRING")
     strict = [r[0] for r in df.select(to_celsius("t", "u", "F", "C")).collect()]
     assert strict == [10.0, 10.0, 10.0, None]              # 'f' counts as F
-    loose = [r[0] for r in df.select(to_celsius("t", "u", "F")).collect()]
-    assert loose == [10.0, 10.0, 10.0, 10.0]
+    kelvin = spark.createDataFrame([(300.0, "K"), (50.0, None)], "t DOUBLE, u STRING")
+    assert [r[0] for r in kelvin.select(to_celsius("t", "u", "F", "C")).collect()] == [None, None]
+
+
+def test_group_sum_names_its_result(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "k STRING, `x.y` INT")
+    assert ops.group_sum(df, "k", "`x.y`", name="s").columns == ["k", "s"]
+    plain = spark.createDataFrame([("a", 1)], "k STRING, x INT")
+    assert ops.group_sum(plain, "k", "x").columns == ["k", "sum(x)"]
 
 
 def test_cached_uses_the_cache_level(spark):
@@ -127,4 +134,4 @@ def test_projection_operators_refuse_duplicate_outputs(spark):
         ops.convert_units(df, "value_c", "u", keep=("value_c",))
     with pytest.raises(ValueError):
         ops.max_row(df, "y", "y")
-    assert [r[0] for r in df.select(to_celsius("value_c", "u", " f ")).collect()] == [10.0]
+    assert [r[0] for r in df.select(to_celsius("value_c", "u", " f ", "C")).collect()] == [10.0]

@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry_mod
-from tablejobs.compare import compare, duck_connection
+from tablejobs.oracle import ORACLE_SQL
+from tests.compare import compare, duck_connection
+from tablejobs.jobs import JOBS
 from tablejobs.jobs import ORDERED_JOBS as ORDERED
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+QUERIES = {k: entry_mod.queries()[k] for k in JOBS}
+ORACLES = {k: entry_mod.oracle_sql()[k] for k in JOBS}
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +25,8 @@ def test_matches_oracle(spark, sf_dir, con, key):
     assert compare(df, con, ORACLES[key], ordered=key in ORDERED) == []
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_job_has_an_oracle():
+    assert set(JOBS) == set(ORACLE_SQL)
 
 
 def test_raw_preview_rows(spark, sf_dir):

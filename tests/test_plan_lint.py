@@ -4,12 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-import __spark_entry__ as entry_mod
+from tablejobs.jobs import JOBS as QUERIES
 from tablejobs.jobs import UNORDERED_LIMIT_JOBS as UNORDERED_LIMIT_OK
+from tablejobs.jobs import WRITE_PLANS
 from tablejobs.plans import lint_plan
 
-QUERIES = entry_mod.queries()
-
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_plan_scales(spark, sf_dir, key):
@@ -17,7 +16,21 @@ def test_plan_scales(spark, sf_dir, key):
                        allow_unordered_limit=key in UNORDERED_LIMIT_OK)
     assert report.ok, report.problems
     # the only Python in any plan is the Arrow-batched per-partition profile
-    assert report.python_nodes == (["MapInPandas"] if key == "partition_profile" else [])
+    assert report.python_nodes == (["MapInArrow"] if key == "partition_profile" else [])
+
+
+@pytest.mark.parametrize("key", sorted(WRITE_PLANS))
+def test_what_writing_jobs_run_scales(spark, sf_dir, key):
+    """The DataFrame a writing job returns is a read-back; this is what it wrote."""
+    report = lint_plan(WRITE_PLANS[key](spark, sf_dir))
+    assert report.ok, report.problems
+    assert report.exchanges == (1 if key in ("seven_steps", "sink_aggregate") else 0)
+
+
+def test_every_writing_job_has_its_plan(spark, sf_dir):
+    from tests.test_plans import READ_ONLY_JOBS
+
+    assert set(WRITE_PLANS) == set(QUERIES) - set(READ_ONLY_JOBS) - {"parquet_inferred"}
 
 
 def test_lint_catches_raw_shuffles_and_broadcasts(spark, sf_dir):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablejobs import catalog
 from tablejobs import operators as ops
 from tablejobs.operators.actions import fold_rows
-from tablejobs.plans import lint_plan
+from tablejobs.plans import jobs_started, lint_plan
 from tablejobs.session import release, scratch_path, scratch_root, table_path
 from tablejobs.sources import (
     raw_preview,
@@ -305,15 +305,11 @@ def test_default_format_writes_keep_microseconds_when_the_default_is_text(spark,
         release_all(session)
 
 
-def test_raw_preview_skips_header_only_files_when_asked(spark, sf_dir):
+def test_raw_preview_takes_the_first_file_by_path(spark, sf_dir):
     customer = read_parquet(spark, table_path(sf_dir, "customer"))
     no_task0 = customer.repartition(4).filter(F.spark_partition_id() != 0)
     path = scratch_path(spark, "preview_no_task0")
     write_csv(no_task0, path)
     assert len(raw_preview(spark, path, 20).collect()) == 1          # part-00000: header only
-    lines = [r["value"] for r in raw_preview(spark, path, 20, min_lines=2).collect()]
-    assert len(lines) == 20 and lines[0].startswith("c_custkey")
-    empty = scratch_path(spark, "preview_all_empty")
-    write_csv(customer.filter(F.lit(False)), empty)
-    assert [r["value"] for r in raw_preview(spark, empty, 20, min_lines=2).collect()] == [
-        ",".join(customer.columns)]
+    jobs, _ = jobs_started(spark, lambda: raw_preview(spark, path, 20))
+    assert jobs <= 3                          # two listings and the minimum, whatever the files
