@@ -88,7 +88,8 @@ ORACLE_SQL: dict[str, str] = {
                     "concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment) "
                     "FROM customer ORDER BY c_custkey LIMIT 19)) ORDER BY part, pos"),
     "table_scan": "SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1",
-    "file_inventory": "SELECT true AS files_match, count(*) AS n_rows FROM orders",
+    "file_inventory": ("SELECT true AS files_match, true AS sizes_match, count(*) AS n_rows "
+                       "FROM orders"),
     # sinks
     "sink_overwrite": "SELECT * FROM orders",
     "sink_append": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",

@@ -20,8 +20,8 @@ def write_with_inventory(df: DataFrame, path: str) -> DataFrame:
 
     The write counts its own rows as it goes (an observed metric), so ``df``
     is computed once, and the count is exactly what was written even for an
-    input that would differ on a second run. Returns one row: ``files_match``
-    and ``n_rows`` (rows read back from the listed files)."""
+    input that would differ on a second run. Returns one row: ``files_match``,
+    ``sizes_match`` and ``n_rows`` (rows read back from the listed files)."""
     observed = Observation(unique_name("written"))
     write_files(df.observe(observed, F.count(F.lit(1)).alias("rows")), path, "parquet",
                 "overwrite", maxRecordsPerFile=0)
@@ -34,25 +34,34 @@ def check_inventory(spark: SparkSession, path: str, expected_rows: int | None =
     distinct write task (the task number is in the file name; other names count
     as a mismatch), task 0's file is there (Spark keeps it even when empty, so
     the schema survives), and, when ``expected_rows`` is given, the listed files
-    hold exactly that many rows, which also catches a missing file. The counts
-    come from one union and one global aggregate over the listing and footers."""
+    hold exactly that many rows, which also catches a missing file. Per file, the
+    listed size is held against the one its rows were read with (``sizes_match``).
+    All of it is one union of listing and rows, aggregated by file and then in all."""
     digits = F.regexp_extract("name", r"^part-(\d+)", 1)
     task = F.when(digits != "", digits.cast("int"))
     files = file_inventory(spark, path, "*.parquet").select(
-        F.lit(1).alias("f"), task.alias("task"), F.lit(0).alias("r"))
+        "name", F.lit(1).alias("f"), task.alias("task"), F.lit(0).alias("r"),
+        F.col("size").alias("listed"), F.lit(None).cast("bigint").alias("seen"))
     try:
         rows = read_parquet(spark, path, schema).select(
-            F.lit(0).alias("f"), F.lit(None).cast("int").alias("task"), F.lit(1).alias("r"))
+            F.col("_metadata.file_name").alias("name"), F.lit(0).alias("f"),
+            F.lit(None).cast("int").alias("task"), F.lit(1).alias("r"),
+            F.lit(None).cast("bigint").alias("listed"), F.col("_metadata.file_size").alias("seen"))
         parts = files.unionByName(rows)
     except AnalysisException as error:      # no file left to take a schema from
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         parts = files
-    totals = parts.agg(
+    per_file = parts.groupBy("name").agg(
+        F.sum("f").alias("f"), F.max("task").alias("task"), F.sum("r").alias("r"),
+        F.max("listed").alias("listed"), F.max("seen").alias("seen"))
+    totals = per_file.agg(
         F.sum("f").alias("n_files"), F.count_distinct("task").alias("n_tasks"),
         F.min("task").alias("first_task"),
+        F.bool_and(F.coalesce(F.col("listed") == F.col("seen"), F.col("r") == 0)).alias("sizes"),
         F.coalesce(F.sum("r"), F.lit(0)).cast("bigint").alias("n_rows"))
     match = (F.col("n_files") == F.col("n_tasks")) & (F.col("first_task") == 0)
     if expected_rows is not None:
         match = match & (F.col("n_rows") == F.lit(expected_rows))
-    return totals.select(F.coalesce(match, F.lit(False)).alias("files_match"), "n_rows")
+    return totals.select(F.coalesce(match, F.lit(False)).alias("files_match"),
+                         F.coalesce("sizes", F.lit(False)).alias("sizes_match"), "n_rows")

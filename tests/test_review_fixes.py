@@ -260,7 +260,7 @@ def test_inventory_of_a_folder_without_files_is_a_mismatch(spark):
     for name in os.listdir(local):
         if name.endswith(".parquet"):
             os.remove(os.path.join(local, name))
-    assert tuple(check_inventory(spark, path, 10).first()) == (False, 0)
+    assert tuple(check_inventory(spark, path, 10).first()) == (False, False, 0)
 
 
 def test_session_folder_is_fixed_per_session(spark):
