@@ -18,10 +18,12 @@ Sets that share a signature form a group. Links are verified exactly, on
 the sets themselves:
  1. each set against one hub, the smallest of any group it is in;
  2. the other hubs of its groups, where they are in another component by then;
- 3. all pairs of a group that still are in different components, after bounds on the
-    sizes and on per-cell counts have been checked, large groups in blocks.
-After that, every two sets with a signature in common have been compared or are
-connected already, so the components are exact.
+ 3. within a family (the groups of one hub), each set against the nearest one of another
+    component, twice; then all pairs of a family that still are in different components.
+    Pairs are compared in blocks, by their sizes and by parity sketches, which bound the
+    number of differing elements from below; only pairs within the bound are verified.
+After that, every two sets with a signature in common have been ruled out, verified or
+connected, so the components are exact.
 
 Equal sets are one class from the start (known by a 64-bit digest), so that a
 text that a third of the rows repeat is indexed once per task.
@@ -51,10 +53,8 @@ from tablejobs.llm.textbatch import SPACED, U64, WordHasher, binary_array, mix,
 SHINGLE = 5
 #: Similarity threshold: THRESHOLD[0] / THRESHOLD[1]
 THRESHOLD = (4, 5)
-#: Members of a group compared with each other in one block.
+#: Members of a family compared with each other in one block.
 BLOCK = 1024
-#: Cells of the count vectors that bound a pair's difference from below.
-CELLS = 64
 _NULL_ID = -(2**63)
 #: What an expected overloaded set costs, in signatures per element.
 _OVERLOAD_COST = 8.0
@@ -218,8 +218,7 @@ def bands_for(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature_groups(docs: DataFrame, buckets: int) -> DataFrame:
-    """(gid, hub, c): the classes ``c`` that share a signature with a smaller class ``hub``.
-    Groups of the same members have the same gid."""
+    """(hub, c): the classes ``c`` that share a signature of which the smallest class is ``hub``."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SPACED)
@@ -261,19 +260,16 @@ def signature_groups(docs: DataFrame, buckets: int) -> DataFrame:
         new[1:] = (sig[1:] != sig[:-1]) | (c[1:] != c[:-1])
         sig, c = sig[new], c[new]
         head = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, np.int64)
-        count = np.diff(np.append(head, len(sig)))
-        gid = mix(np.add.reduceat(mix(c.view(U64)), head) + count.astype(U64)) if len(head) else np.zeros(0, U64)
-        once = np.zeros(len(head), bool)
-        once[np.unique(gid, return_index=True)[1]] = True
-        once &= count > 1
-        of = np.repeat(np.arange(len(head)), count)
-        take = once[of]
-        take[head] = False
-        return pa.table([pa.array(gid.view(np.int64)[of[take]]), pa.array(c[head][of[take]]), pa.array(c[take])],
-                        names=["gid", "hub", "c"])
+        hub = np.repeat(c[head], np.diff(np.append(head, len(sig))))
+        order = np.lexsort((c, hub))
+        hub, c = hub[order], c[order]
+        new = np.ones(len(c), bool)
+        new[1:] = (hub[1:] != hub[:-1]) | (c[1:] != c[:-1])
+        new &= hub != c
+        return pa.table([pa.array(hub[new]), pa.array(c[new])], names=["hub", "c"])
 
     packed = docs.mapInArrow(collect, "bucket int, low binary, high binary, c binary, n binary")
-    return packed.groupBy("bucket").applyInArrow(group, "gid long, hub long, c long")
+    return packed.groupBy("bucket").applyInArrow(group, "hub long, c long").distinct()
 
 
 # --------------------------------------------------------------- verification
@@ -287,8 +283,19 @@ def _set(low, high) -> np.ndarray:
     return np.frombuffer(low, np.uint32).astype(U64) | np.frombuffer(high, np.uint16).astype(U64) << U64(32)
 
 
+def sketches(row: np.ndarray, shingle: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, cuts): for each text a power of two of bits, four times the set's size or more;
+    each element flips the bit it is hashed to. Two sets differ in as many elements as
+    their sketches do in bits, at least."""
+    bits = 1 << np.ceil(np.log2(np.maximum(4 * size, 512))).astype(np.int64)
+    base = np.append(0, np.cumsum(bits))
+    place = (mix(shingle) & (bits[row] - 1).astype(U64)).astype(np.int64)
+    odd = np.bincount(base[row] + place, minlength=int(base[-1])) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little"), base >> 3
+
+
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, n, low, high, cells): the sets of the wanted classes (k, c), packed, and their counts per cell."""
+    """(c, n, low, high, sketch): the sets of the wanted classes (k, c), packed."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SPACED)
@@ -296,15 +303,13 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             row, shingle = shingles(data, offsets, hasher)
             n = row_counts(row, part.num_rows)
             cuts = np.append(0, np.cumsum(n))
-            cells = np.bincount(row * CELLS + (shingle % U64(CELLS)).astype(np.int64), minlength=part.num_rows * CELLS)
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), pa.array(n), binary_array((shingle & U64(0xFFFFFFFF)).astype(np.uint32), cuts),
                  binary_array((shingle >> U64(32) & U64(0xFFFF)).astype(np.uint16), cuts),
-                 binary_array(np.minimum(cells, 255).astype(np.uint8), np.arange(part.num_rows + 1) * CELLS)],
-                ["c", "n", "low", "high", "cells"])
+                 binary_array(*sketches(row, shingle, n))], ["c", "n", "low", "high", "sketch"])
 
     return docs.join(wanted, "k").select("text", "c").mapInArrow(
-        build, "c long, n long, low binary, high binary, cells binary")
+        build, "c long, n long, low binary, high binary, sketch binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -322,37 +327,79 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "low_a", "high_a", "low_b", "high_b").mapInArrow(check, "a long, b long")
 
 
-def remaining_pairs(groups: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that share a group but not a component, as far as bounds on their
-    difference allow a link. Groups are dealt out in blocks of BLOCK members."""
-    members = groups.select("gid", "c").unionAll(groups.select("gid", F.col("hub").alias("c"))).distinct()
+def _fold(sketches: np.ndarray) -> np.ndarray:
+    """Sketches of half as many bits."""
+    half = sketches.shape[-1] // 2
+    return sketches[..., :half] ^ sketches[..., half:]
+
+
+class Block:
+    """Sketches of a block's sets, by their number of 64-bit words."""
+
+    def __init__(self, packed: list[bytes]):
+        words = np.array([len(x) // 8 for x in packed])
+        self.of = {int(w): np.flatnonzero(words == w) for w in np.unique(words)}
+        self.at = np.empty(len(packed), np.int64)
+        self.whole, self.halves = {}, {}
+        for w, rows in self.of.items():
+            self.at[rows] = np.arange(len(rows))
+            self.whole[w] = np.frombuffer(b"".join(packed[i] for i in rows), U64).reshape(-1, w)
+            self.halves[w] = _fold(self.whole[w]) if w > 1 else self.whole[w]
+        self.words = words
+
+    def differences(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Lower bounds of the differences between set ``x`` and others of about its size."""
+        w, out = int(self.words[x]), np.zeros(len(others), np.int64)
+        own, half = self.whole[w][self.at[x]], self.halves[w][self.at[x]]
+        for k, (mine, theirs) in {w: (own, self.whole), 2 * w: (own, self.halves), w // 2: (half, self.whole)}.items():
+            if k in self.of:
+                some = np.flatnonzero(self.words[others] == k)
+                out[some] = np.bitwise_count(theirs[k][self.at[others[some]]] ^ mine).sum(1)
+        return out
+
+
+def near_pairs(families: DataFrame, labels: DataFrame, sets: DataFrame, nearest: bool) -> DataFrame:
+    """The pairs (a, b) of a family (hub, c) in different components that may link; with
+    ``nearest``, just the nearest of each set and block. Families are dealt out in blocks."""
+    members = families.unionAll(families.select("hub", F.col("hub").alias("c")).distinct())
     mixed = members.join(labels.toDF("c", "label"), "c")
-    torn = mixed.groupBy("gid").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")) \
-        .filter("x <> y").select("gid", F.ceil(F.col("m") / BLOCK).cast("int").alias("m"))
-    dealt = mixed.join(torn, "gid").join(sets.select("c", "n", "cells"), "c")
+    torn = mixed.groupBy("hub").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")) \
+        .filter("x <> y").select("hub", F.ceil(F.col("m") / BLOCK).cast("int").alias("m"))
+    dealt = mixed.join(torn, "hub").join(sets.select("c", "n", "sketch"), "c")
     own = F.pmod(F.xxhash64("c"), F.col("m")).cast("int")
     # Member i meets block j in the block pair (min, max).
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    dealt = dealt.select("gid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                         "own", "c", "label", "n", "cells")
+    dealt = dealt.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                         "own", "c", "label", "n", "sketch")
 
     def compare(table: pa.Table) -> pa.Table:
         own, c, label, n = (table[x].to_numpy() for x in ("own", "c", "label", "n"))
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        cells = np.frombuffer(b"".join(table["cells"].to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        block = Block(table["sketch"].to_pylist())
+        # By size: sets that may link are a stretch.
+        right = np.flatnonzero(own == j)
+        right = right[np.argsort(n[right], kind="stable")]
+        sizes = n[right]
         a, b = [], []
-        for at, x in enumerate(left):
-            rest = left[at + 1:] if i == j else right
+        for x in np.flatnonzero(own == i):
+            lo = np.searchsorted(sizes, -(-4 * n[x] // 5), side="left")
+            hi = np.searchsorted(sizes, 5 * n[x] // 4, side="right")
+            rest = right[lo:hi]
             rest = rest[label[rest] != label[x]]
-            differ = np.abs(cells[rest] - cells[x]).sum(1)
-            rest = rest[9 * differ <= n[rest] + n[x]]
-            rest = rest[(5 * n[rest] >= 4 * n[x]) & (5 * n[x] >= 4 * n[rest])]
+            if i == j and not nearest:
+                rest = rest[c[rest] > c[x]]
+            if not len(rest):
+                continue
+            differ = block.differences(x, rest)
+            close = 9 * differ <= n[rest] + n[x]
+            rest, differ = rest[close], differ[close]
+            if nearest and len(rest):
+                rest = rest[[np.lexsort((c[rest], differ / (n[rest] + n[x])))[0]]]
             a.append(np.minimum(c[rest], c[x]))
             b.append(np.maximum(c[rest], c[x]))
         return pa.table([pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)) for v in (a, b)], names=["a", "b"])
 
-    return dealt.groupBy("gid", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return dealt.groupBy("hub", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 # -------------------------------------------------------------------- the join
@@ -373,24 +420,26 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
 
     rows = saved(slim.mapInArrow(measure, "k long, n long, c long"), "jaccard_sets")
     classes = rows.filter("n > 0").groupBy("c").agg(F.min("k").alias("k"))
-    groups = saved(signature_groups(slim, 4 * parts).dropDuplicates(["gid", "c"]), "jaccard_groups")
-    members = groups.select("c").unionAll(groups.select(F.col("hub").alias("c"))).distinct()
+    families = saved(signature_groups(slim, 4 * parts), "jaccard_families")
+    members = families.select("c").unionAll(families.select(F.col("hub").alias("c"))).distinct()
     sets = saved(class_sets(slim, classes.join(members, "c")), "jaccard_class_sets")
-
-    hubs = groups.groupBy("c").agg(F.min("hub").alias("a")).withColumnRenamed("c", "b")
-    first = saved(verified(hubs, sets), "jaccard_links")
     labels = saved(members.select(F.col("c").alias("node"), F.col("c").alias("label")), "jaccard_labels")
-    labels = join_labels(labels, first)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        la, lb = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in ("a", "b"))
-        return pairs.join(la, "a").join(lb, "b").filter("la <> lb").select("a", "b")
 
-    others = groups.select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct().join(hubs, ["a", "b"], "left_anti")
-    labels = join_labels(labels, saved(verified(apart(others), sets), "jaccard_links"))
-    tried = groups.select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct()
-    rest = remaining_pairs(groups, labels, sets).join(tried, ["a", "b"], "left_anti")
-    labels = join_labels(labels, saved(verified(rest, sets), "jaccard_links"))
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The labels after what links of ``pairs``."""
+        return join_labels(labels, saved(verified(pairs, sets), "jaccard_links"))
+
+    hubs = families.groupBy(F.col("c").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
+    labels = linked(hubs)
+    tried = families.toDF("a", "b")
+    la, lb = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in ("a", "b"))
+    others = tried.join(hubs, ["a", "b"], "left_anti").join(la, "a").join(lb, "b").filter("la <> lb").select("a", "b")
+    labels = linked(others)
+    for _ in range(2):
+        pairs = saved(near_pairs(families, labels, sets, nearest=True).join(tried, ["a", "b"], "left_anti"), "jaccard_pairs")
+        labels = linked(pairs)
+        tried = tried.unionAll(pairs)
+    labels = linked(near_pairs(families, labels, sets, nearest=False).join(tried, ["a", "b"], "left_anti"))
 
     # The smallest id of each component, then each class's.
     named = classes.join(labels.toDF("c", "label"), "c", "left").select("c", "k", F.coalesce("label", "c").alias("label"))
@@ -415,3 +464,4 @@ def op6_jaccard(spark, sf_dir: str) -> DataFrame:
     found = similar_components(read(spark, sf_dir, "documents").select("doc_id", "text"))
     back = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
     return found.select(back("k").alias("doc_id"), F.col("n").alias("n_shingles"), back("component").alias("component_id"))
+
