@@ -312,9 +312,13 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         build, "c long, n long, low binary, high binary, sketch binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+def verified(pairs: DataFrame, sets: DataFrame, few: bool = False) -> DataFrame:
+    """The pairs (a, b) of classes that link. ``few``: look up the sets that the pairs
+    need first (Spark broadcasts the pairs if they are small), instead of dealing out all sets."""
     slim = sets.select("c", "low", "high")
+    if few:
+        ends = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
+        slim = slim.join(ends, "c", "left_semi")
     joined = pairs.join(slim.toDF("b", "low_b", "high_b"), "b").join(slim.toDF("a", "low_a", "high_a"), "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,21 +429,22 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     sets = saved(class_sets(slim, classes.join(members, "c")), "jaccard_class_sets")
     labels = saved(members.select(F.col("c").alias("node"), F.col("c").alias("label")), "jaccard_labels")
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def linked(pairs: DataFrame, few: bool = True) -> DataFrame:
         """The labels after what links of ``pairs``."""
-        return join_labels(labels, saved(verified(pairs, sets), "jaccard_links"))
+        return join_labels(labels, saved(verified(pairs, sets, few), "jaccard_links"))
 
     hubs = families.groupBy(F.col("c").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
-    labels = linked(hubs)
+    labels = linked(hubs, few=False)
     tried = families.toDF("a", "b")
     la, lb = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in ("a", "b"))
     others = tried.join(hubs, ["a", "b"], "left_anti").join(la, "a").join(lb, "b").filter("la <> lb").select("a", "b")
-    labels = linked(others)
+    labels = linked(saved(others, "jaccard_pairs"))
     for _ in range(2):
         pairs = saved(near_pairs(families, labels, sets, nearest=True).join(tried, ["a", "b"], "left_anti"), "jaccard_pairs")
         labels = linked(pairs)
         tried = tried.unionAll(pairs)
-    labels = linked(near_pairs(families, labels, sets, nearest=False).join(tried, ["a", "b"], "left_anti"))
+    labels = linked(saved(near_pairs(families, labels, sets, nearest=False).join(tried, ["a", "b"], "left_anti"),
+                          "jaccard_pairs"))
 
     # The smallest id of each component, then each class's.
     named = classes.join(labels.toDF("c", "label"), "c", "left").select("c", "k", F.coalesce("label", "c").alias("label"))
