@@ -294,3 +294,28 @@ def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP10_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), p AS (
+  SELECT DISTINCT item, list_slice(w, i + 1, i + 10) AS w FROM b, unnest(range(greatest(len(w) - 9, 1))) t(i) WHERE len(w) > 0
+), o AS (
+  SELECT doc_id, i, size, item FROM (
+    SELECT doc_id, i, size, list_slice(d.w, i + 1, i + size) AS w
+    FROM d, (SELECT DISTINCT len(w) AS size FROM p) s, unnest(range(len(d.w) - size + 1)) t(i)) JOIN p USING (w)
+), h AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM o, unnest(range(i, i + size)) u(j) GROUP BY 1
+), k AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM o) GROUP BY 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)
+"""

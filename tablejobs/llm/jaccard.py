@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from tablejobs.llm.components import join_labels
 from tablejobs.llm.repeats import _unpack
-from tablejobs.llm.store import partitions, read, saved
+from tablejobs.llm.store import partitions, read, saved, temporary
 from tablejobs.llm.textbatch import SPACED, U64, WordHasher, binary_array, mix, row_counts, slices
 
 SHINGLE = 5
@@ -411,6 +411,12 @@ def near_pairs(families: DataFrame, labels: DataFrame, sets: DataFrame, nearest:
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(k, n, component) for every row: id (null: smallest long), set size and the
     smallest id reachable by links."""
+    spark = docs.sparkSession
+    with temporary(spark):
+        return saved(_components(docs, id_col, text), "jaccard_components", keep=True)
+
+
+def _components(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     parts = partitions(spark)
     slim = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("k"),
@@ -470,3 +476,23 @@ def op6_jaccard(spark, sf_dir: str) -> DataFrame:
     back = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
     return found.select(back("k").alias("doc_id"), F.col("n").alias("n_shingles"), back("component").alias("component_id"))
 
+
+OP6_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS shingle
+  FROM d, unnest(range(greatest(len(w) - 4, 1))) t(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), l AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (shingle)
+    WHERE x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN n m ON m.doc_id = a JOIN n o ON o.doc_id = b WHERE 100 * c >= 80 * (m.n + o.n - c)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY 1, 2
+"""

@@ -1,9 +1,9 @@
 """The operators' queries over the supplied tables, by name."""
 
 from tablejobs.llm.bpe import op5_bpe
-from tablejobs.llm.decontamination import op10_decontamination
+from tablejobs.llm.decontamination import OP10_SQL, op10_decontamination
 from tablejobs.llm.hilbert import op4_hilbert_sharding
-from tablejobs.llm.jaccard import op6_jaccard
+from tablejobs.llm.jaccard import OP6_SQL, op6_jaccard
 from tablejobs.llm.language_id import op7_language_id
 from tablejobs.llm.lm_scoring import op1_lm_scoring
 from tablejobs.llm.quality_rules import op9_quality_rules
@@ -27,4 +27,6 @@ QUERIES = {
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": OP3_SQL,
+    "op6_jaccard": OP6_SQL,
+    "op10_decontamination": OP10_SQL,
 }

@@ -15,10 +15,8 @@ def test_measures_match_their_definition(spark, small_dir, documents):
 
 def test_labelled_documents(spark):
     sf = "/root/testdata/sf0.1"
-    rows = op9_quality_rules(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id") \
-        .selectExpr("labels_q", "kept", "base_failed") if False else \
-        op9_quality_rules(spark, sf).select("doc_id", "kept", "base_failed").join(
-            spark.read.parquet(f"{sf}/labels.parquet").withColumnRenamed("quality", "label"), "doc_id").collect()
+    labels = spark.read.parquet(f"{sf}/labels.parquet").withColumnRenamed("quality", "label")
+    rows = op9_quality_rules(spark, sf).select("doc_id", "kept", "base_failed").join(labels, "doc_id").collect()
     good = [r.kept for r in rows if r.label == 1 and not r.base_failed]
     bad = [r.kept for r in rows if r.label == 0]
     assert sum(good) >= 0.99 * len(good)
