@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.llm.decontamination import replaced
-from tablejobs.llm.store import partitions, read, saved
+from tablejobs.llm.store import partitions, read, saved, temporary
 from tablejobs.llm.suffixes import bwt, suffix_array
 from tablejobs.llm.textbatch import (
     U64,
@@ -348,9 +348,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length:
     parts = partitions(spark)
     slim = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("k"),
                        F.col(f"`{text}`").alias("text"))
-    marks = saved(repeated_anchors(slim, length, anchor, 2 * parts), "repeat_anchors")
-    spans = spans_by_document(bucketed_segments(slim, marks, length, 4 * parts), length)
-    return saved(spans, "repeat_spans").groupBy("k").agg(
+    with temporary(spark):
+        marks = saved(repeated_anchors(slim, length, anchor, 2 * parts), "repeat_anchors")
+        spans = saved(spans_by_document(bucketed_segments(slim, marks, length, 4 * parts), length),
+                      "repeat_spans", keep=True)
+    return spans.groupBy("k").agg(
         F.collect_list("start").alias("start"), F.collect_list("end").alias("end"))
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 import tablejobs
 from pyspark.sql import DataFrame, SparkSession
 
-from tablejobs.session import scratch_path
+from tablejobs.session import release, scratch_path
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(tablejobs.__file__)))
 
@@ -21,12 +22,30 @@ def shipped(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+_WORK: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables saved inside go when this ends, but for those saved with ``keep``."""
+    paths: list[str] = []
+    _WORK.append(paths)
+    try:
+        yield
+    finally:
+        _WORK.remove(paths)
+        for path in paths:
+            release(spark, path)
+
+
+def saved(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: a lost
     executor costs a read, not the work before it."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    if _WORK and not keep:
+        _WORK[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
