@@ -9,8 +9,8 @@ over training tokens, with c counts, n(u) the number of different words after
 u, and the start of a text as the first context. The first term is what the tries hold,
 quantised to a byte.
 
-1. One scan counts training tokens and finds the frequent contexts (each with at
-   least 1 / 1000 of the tokens; so there are less than 2000).
+1. One scan counts training tokens and finds the frequent contexts (those that would
+   fill half a shard or more, and all with at least 1 / 1000 of the tokens).
 2. Documents are read in batches of rows. A batch sends each of its different pairs
    once, with its training count, to the shard of the context; pairs of a frequent
    context are dealt to several shards by the word, in proportion to its share.
@@ -47,7 +47,7 @@ from tablejobs.llm.textbatch import SPACED, U64, WordHasher, binary_array, mix,
 DISCOUNT = 0.75
 #: Rows per batch, as a power of two.
 BATCH_BITS = 11
-#: Least share of the tokens of a frequent context.
+#: A context is frequent with a share of 1 / FREQUENT of the tokens, or half a shard.
 FREQUENT = 1000
 #: Hashes of the start and the end of a text.
 START, END = U64(0x5353535353535353), U64(0xE0E0E0E0E0E0E0E0)
@@ -156,8 +156,11 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]
         yield number, pa.Table.from_batches(held)
 
 
-def frequent_contexts(slim: DataFrame) -> tuple[int, int, dict[int, int]]:
-    """(training tokens, training texts, {frequent context: training count or somewhat less})."""
+def frequent_contexts(slim: DataFrame, least: int) -> tuple[int, int, dict[int, int]]:
+    """(training tokens, training texts, {context with a share of 1 / least: its training
+    count or somewhat less}). Slices pass on what has that share in them, tasks what has
+    half of it, so no context with twice the share is missed, and a task sends 2 * least
+    rows at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, n, texts, held = WordHasher(SPACED), 0, 0, {}
@@ -166,10 +169,10 @@ def frequent_contexts(slim: DataFrame) -> tuple[int, int, dict[int, int]]:
             trained = np.asarray(part.column(0))
             u, c = np.unique(context[trained[row]], return_counts=True)
             n, texts = n + int(c.sum()), texts + int(trained.sum())
-            often = c * FREQUENT > c.sum()
+            often = c * least > c.sum()
             for x, k in zip(u[often].tolist(), c[often].tolist()):
                 held[x] = held.get(x, 0) + k
-        rows = [(None, n, texts), *((x - (1 << 63), k, 0) for x, k in held.items() if 2 * k * FREQUENT > n)]
+        rows = [(None, n, texts), *((x - (1 << 63), k, 0) for x, k in held.items() if 2 * k * least > n)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, pa.int64()) for v in zip(*rows)], ["context", "n", "texts"])
 
@@ -178,8 +181,8 @@ def frequent_contexts(slim: DataFrame) -> tuple[int, int, dict[int, int]]:
     rows = saved(rows, "lm_contexts")
     total = rows.filter("context IS NULL").first()
     n, texts = (total["n"], total["texts"]) if total else (0, 0)
-    # At most 1 / share rows can pass: their counts add up to the tokens at most.
-    often = rows.filter(F.col("context").isNotNull() & (F.col("n") * (2 * FREQUENT) > n)).collect()
+    # At most 2 * least rows can pass: their counts add up to the tokens at most.
+    often = rows.filter(F.col("context").isNotNull() & (F.col("n") * (2 * least) > n)).collect()
     return n, texts, {r["context"] + (1 << 63): r["n"] for r in often}
 
 
@@ -190,8 +193,9 @@ def score_texts(docs: DataFrame, trained: Column, id_col: str = "doc_id", text:
     slim = docs.select(F.shiftright(F.monotonically_increasing_id(), BATCH_BITS).alias("batch"),
                        F.coalesce(trained, F.lit(False)).alias("trained"),
                        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    n, texts, frequent = frequent_contexts(slim)
-    shards = Shards(2 * partitions(spark), frequent, n)     # below 2 * FREQUENT entries
+    n_shards = 2 * partitions(spark)
+    n, texts, frequent = frequent_contexts(slim, max(FREQUENT, 2 * n_shards))
+    shards = Shards(n_shards, frequent, n)      # entries in proportion to the shards at most
 
     def pairs_of(table: pa.Table):
         hasher = WordHasher(SPACED)
