@@ -56,6 +56,8 @@ THRESHOLD = (4, 5)
 #: Members of a family compared with each other in one block.
 BLOCK = 1024
 _NULL_ID = -(2**63)
+#: Pairs of 16 bytes that are broadcast at most.
+BROADCAST_PAIRS = 500_000
 #: What an expected overloaded set costs, in signatures per element.
 _OVERLOAD_COST = 8.0
 
@@ -313,12 +315,14 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, few: bool = False) -> DataFrame:
-    """The pairs (a, b) of classes that link. ``few``: look up the sets that the pairs
-    need first (Spark broadcasts the pairs if they are small), instead of dealing out all sets."""
+    """The pairs (a, b) of classes that link. ``few``: look up the sets that the (saved) pairs
+    need first, instead of dealing out all sets; up to BROADCAST_PAIRS pairs, by a broadcast."""
     slim = sets.select("c", "low", "high")
     if few:
+        small = pairs.count() <= BROADCAST_PAIRS
         ends = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
-        slim = slim.join(ends, "c", "left_semi")
+        slim = slim.join(F.broadcast(ends) if small else ends, "c", "left_semi")
+        pairs = F.broadcast(pairs) if small else pairs
     joined = pairs.join(slim.toDF("b", "low_b", "high_b"), "b").join(slim.toDF("a", "low_a", "high_a"), "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
