@@ -11,10 +11,11 @@ task infers one per host from all the pages it reads, and only these meet: a hos
 that has a third of all pages costs one row per task.
 
 A wrapper's slots are then told apart: slots in navigation, headers, footers,
-asides, adverts, notices, forms, scripts and comments are not content. Of the rest,
-those in the article element are, else in the main element, else in the deepest
-element that holds most of the variable text outside links. A page's text is
-what its stream puts into the content slots of its host's wrapper.
+asides, adverts, notices, forms, scripts and comments are not content. Of the rest
+that a page fills, those in the article element are, else in the main element, else
+in the deepest element that holds most of the host's variable text outside links (of
+the page's own, where less than half of that is in it: pages of one host may come from
+several templates). A page's text is what its stream puts into these slots.
 
 Defined results: null or empty html has the empty text; a page without host shares
 one wrapper with its like; broken markup is read as browsers do where ends are
@@ -260,63 +261,99 @@ def slots(items: list, path: str = "", skipped: bool = False) -> Iterator[tuple[
             yield from slots(content, f"{path}/{label}", skipped or _skipped(label))
 
 
-def content_paths(wrapper: list) -> list[str]:
-    """The paths of the slots that hold the main text."""
-    found = [(p, variable, chars) for p, skip, variable, chars in slots(wrapper) if not skip]
-    for element in ("article", "main"):
-        inside = re.compile(rf"/{element}(?=[./#]|$)")
-        some = [p for p, _, _ in found if inside.search(p)]
-        if some:
-            return sorted(set(some))
+def _element(path: str, element: str) -> bool:
+    return re.search(rf"/{element}(?=[./#]|$)", path) is not None
+
+
+def _linked(path: str) -> bool:
+    return any(x == "a" or x.startswith(("a.", "a#")) for x in path.split("/"))
+
+
+def _inside(path: str, holder: str) -> bool:
+    return path == holder or path.startswith(f"{holder}/")
+
+
+def _holder(weights: dict[str, int]) -> str | None:
+    """The deepest element that holds most of the characters at the given paths."""
     weight: dict[str, int] = {}
-    total = 0
-    for p, variable, chars in found:
+    for p, chars in weights.items():
         labels = p.split("/")
-        if variable and not any(x == "a" or x.startswith(("a.", "a#")) for x in labels):
-            total += chars
-            for k in range(1, len(labels) + 1):
-                prefix = "/".join(labels[:k])
-                weight[prefix] = weight.get(prefix, 0) + chars
+        for k in range(1, len(labels) + 1):
+            prefix = "/".join(labels[:k])
+            weight[prefix] = weight.get(prefix, 0) + chars
+    total = sum(weights.values())
     # Text elements themselves are parts of the article, not the element around it.
     holders = [p for p, w in weight.items() if 5 * w >= 4 * total
                and re.split(r"[.#]", p.rpartition("/")[2])[0] not in
                ("p", "li", "span", "b", "i", "em", "strong", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "pre")]
-    if not holders:
-        return sorted({p for p, _, _ in found})
-    holder = max(holders, key=lambda p: (p.count("/"), p))
-    return sorted({p for p, _, _ in found if p == holder or p.startswith(f"{holder}/")})
-
-
-def extract(page: str, paths: frozenset[str]) -> str:
-    """What a page puts into the slots at ``paths``, a line for each block."""
-    blocks: list[str] = []
-    held: list[str] = []
+    return max(holders, key=lambda p: (p.count("/"), p)) if holders else None
+
+
+class Rules:
+    """Which slots of a host's wrapper hold the main text of a page."""
+
+    def __init__(self, wrapper: list):
+        found = [(p, variable, chars) for p, skip, variable, chars in slots(wrapper) if not skip]
+        self.slots = frozenset(p for p, _, _ in found)
+        self.elements = [frozenset(p for p in self.slots if _element(p, e)) for e in ("article", "main")]
+        weights: dict[str, int] = {}
+        for p, variable, chars in found:
+            if variable and not _linked(p) and not any(p in e for e in self.elements):
+                weights[p] = weights.get(p, 0) + chars
+        self.holder = _holder(weights)
+
+    def paths(self, own: dict[str, int]) -> frozenset[str]:
+        """The content slots of a page that puts ``own`` characters into each path. Pages of
+        a host may come from different templates, so only what the page fills decides."""
+        for element in self.elements:
+            if not element.isdisjoint(own):
+                return element
+        if self.holder is None:
+            return self.slots
+        filled = {p: n for p, n in own.items() if p in self.slots}
+        weights = {p: n for p, n in filled.items() if not _linked(p)}
+        inside = [p for p in filled if _inside(p, self.holder)]
+        if inside and 2 * sum(weights.get(p, 0) for p in inside) >= sum(weights.values()):
+            return frozenset(inside)
+        # Another template than that of most of the host's plain pages.
+        holder = _holder(weights)
+        return frozenset(p for p in filled if holder is None or _inside(p, holder))
+
+
+def extract(page: str, rules: Rules) -> str:
+    """What a page puts into its content slots, a line for each block."""
+    pieces: list[tuple[str | None, str]] = []         # (path, text); without a path: a break
+    own: dict[str, int] = {}
     path = [""]
-
-    def end_block() -> None:
-        if held:
-            text = _SPACES.sub(" ", "".join(held)).strip()
-            if text:
-                blocks.append(text)
-            held.clear()
-
     for kind, value in stream(page):
         if kind == "text":
-            if path[-1] in paths:
-                held.append(markup.unescape(value))
+            if path[-1] in rules.slots:
+                pieces.append((path[-1], value))
+                chars = len(value.strip())
+                if chars:
+                    own[path[-1]] = own.get(path[-1], 0) + chars
         elif kind == "break":
-            if value == "hr":
-                end_block()
-            else:
-                held.append(" ")
+            pieces.append((None, "\n" if value == "hr" else " "))
         else:
             if re.split(r"[.#]", value, maxsplit=1)[0] in _BLOCK:
-                end_block()
+                pieces.append((None, "\n"))
             if kind == "open":
                 path.append(f"{path[-1]}/{value}")
             else:
                 path.pop()
-    end_block()
+    paths = rules.paths(own)
+    blocks: list[str] = []
+    held: list[str] = []
+    for at, value in [*pieces, (None, "\n")]:
+        if at is None and value == "\n":
+            text = _SPACES.sub(" ", "".join(held)).strip()
+            if text:
+                blocks.append(text)
+            held.clear()
+        elif at is None:
+            held.append(value)
+        elif at in paths:
+            held.append(markup.unescape(value))
     return "\n".join(blocks)
 
 
@@ -365,14 +402,14 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url: str = "url", html
     joined = slim.join(F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers, "host", "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rules: dict[str | None, frozenset[str]] = {None: frozenset()}
+        rules: dict[str | None, Rules] = {None: Rules([])}
         for part, _, _ in slices(batches, "html"):
             texts = []
             for page, wrapper in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
                 if wrapper not in rules:
                     if len(rules) > HELD_HOSTS:
-                        rules = {None: frozenset()}
-                    rules[wrapper] = frozenset(content_paths(json.loads(wrapper)))
+                        rules = {None: Rules([])}
+                    rules[wrapper] = Rules(json.loads(wrapper))
                 texts.append(extract(page, rules[wrapper]) if page else "")
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(texts, pa.string()),

@@ -106,6 +106,21 @@ def test_wrappers_on_pages(spark):
     assert wrappers.main_texts(pages.limit(0)).count() == 0
 
 
+BODY = "The text of this page, long enough to be told from the rest of what is on it, and its number is "
+
+
+def test_wrappers_of_mixed_templates(spark):
+    """Pages of one host (or of none) with an article, in main, and in plain elements."""
+    kinds = (["<body><div class=date>{d}</div><article><p>{t}</p></article></body>"] * 6
+             + ["<body><div class=date>{d}</div><main><p>{t}</p></main></body>"] * 2
+             + ["<body><div class=date>{d}</div><div class=content><p>{t}</p></div></body>"] * 20
+             + ["<body><div class=date>{d}</div><div class=story><p>{t}</p></div></body>"])
+    rows = [(f"{host}{k}", f"{host}{k}" if host else None, kind.format(t=BODY + str(k), d=k), BODY + str(k))
+            for host in ("http://mixed.example/", "") for k, kind in enumerate(kinds)]
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id string, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in wrappers.main_texts(pages).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_wrapper_inference():
     a = wrappers.wrapper_of("<ul><li>1</li><li>2</li></ul><p>same</p><h2>a</h2><p>x</p><h2>b</h2><p>y</p>")
     b = wrappers.wrapper_of("<ul><li>1</li></ul><p>same</p><hr><div>new</div><h2>c</h2><p>z</p>")
