@@ -54,11 +54,17 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 #: Elements beyond which a start tag doesn't end anything.
 _SCOPES = frozenset("table ul ol dl article section main div body aside nav form select blockquote".split())
 _SKIP_TAGS = frozenset("nav header footer aside form button select head dialog menu object".split())
-_SKIP_NAMES = re.compile(
-    r"(?:^|[.#_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|"
+#: Elements that are never left out by their names.
+_KEPT_TAGS = frozenset("html body main article".split())
+_NAME = (
+    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|"
     r"overlay|sidebar|aside|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|comments?|commentlist|replies|"
     r"disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|"
-    r"widget|toolbar|contentinfo|complementary)(?=$|[.#_-]|\d)")
+    r"widget|toolbar|contentinfo|complementary)")
+#: A whole class, id or role: such words alone, numbered, or with words of place and shape.
+_SKIP_NAMES = re.compile(
+    rf"(?:(?:site|page|main|top|bottom|global)[-_])?{_NAME}(?:[-_]{_NAME})*"
+    r"(?:[-_]?\d+|[-_](?:bar|box|block|links|buttons|items|area))?")
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(/?)>|"
     r"<[!?][^>]*>", re.S | re.I)
@@ -246,8 +252,8 @@ def expression(items: list) -> str:
 # ---------------------------------------------------------------------- rules
 
 def _skipped(label: str) -> bool:
-    tag = re.split(r"[.#]", label, maxsplit=1)[0]
-    return tag in _SKIP_TAGS or label != tag and _SKIP_NAMES.search(label[len(tag):]) is not None
+    tag, *names = re.split(r"[.#]", label)
+    return tag in _SKIP_TAGS or tag not in _KEPT_TAGS and any(map(_SKIP_NAMES.fullmatch, names))
 
 
 def slots(items: list, path: str = "", skipped: bool = False) -> Iterator[tuple[str, bool, bool, int]]:

@@ -121,6 +121,18 @@ def test_wrappers_of_mixed_templates(spark):
     assert {r.page_id: r.text for r in wrappers.main_texts(pages).collect()} == {r[0]: r[3] for r in rows}
 
 
+def test_names_that_only_hold_a_skipped_word(spark):
+    """Layout classes hide nothing; whole names of notices and the like still do."""
+    kinds = ["<body class='has-sidebar'><article><p>{t}</p></article></body>", "<body class=no-sidebar><p>{t}</p></body>",
+             "<main class='with-header menu'><p>{t}</p></main>", "<html class=menu-ready><body><div><p>{t}</p></div></body></html>",
+             "<article class='post share-enabled' id=search><p>{t}</p></article>",
+             "<body><div class='page has-sidebar'><p>{t}</p></div><div class='cookie-notice'>We use</div>"
+             "<div class='box ad3'>Buy</div><div id=site-footer>(c)</div><ul role=navigation><li>n</ul></body>"]
+    rows = [(k, f"http://{k}.example/", kind.format(t=BODY + str(k))) for k, kind in enumerate(kinds)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.main_texts(pages).collect()} == {k: BODY + str(k) for k, _, _ in rows}
+
+
 def test_wrapper_inference():
     a = wrappers.wrapper_of("<ul><li>1</li><li>2</li></ul><p>same</p><h2>a</h2><p>x</p><h2>b</h2><p>y</p>")
     b = wrappers.wrapper_of("<ul><li>1</li></ul><p>same</p><hr><div>new</div><h2>c</h2><p>z</p>")
