@@ -30,8 +30,9 @@ text that a third of the rows repeat is indexed once per task.
 
 Ids must be integers. Defined results: null texts, and texts without words, have an
 empty set and are linked with nothing; fewer than five words are one shingle; a null
-id counts as the smallest long; rows that repeat an id share its component; an empty
-table gives an empty result; other columns are not read.
+id counts as the smallest long; rows with the same id and text are one document, rows
+with the same id and other texts (null ids too) are documents of their own, told apart
+by a hash of the text; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -297,7 +298,7 @@ def sketches(row: np.ndarray, shingle: np.ndarray, size: np.ndarray) -> tuple[np
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, n, low, high, sketch): the sets of the wanted classes (k, c), packed."""
+    """(c, n, low, high, sketch): the sets of the wanted classes (k, h, c), packed."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SPACED)
@@ -310,7 +311,8 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                  binary_array((shingle >> U64(32) & U64(0xFFFF)).astype(np.uint16), cuts),
                  binary_array(*sketches(row, shingle, n))], ["c", "n", "low", "high", "sketch"])
 
-    return docs.join(wanted, "k").select("text", "c").mapInArrow(
+    # Rows that repeat are one set.
+    return docs.join(wanted, ["k", "h"]).dropDuplicates(["k", "h"]).select("text", "c").mapInArrow(
         build, "c long, n long, low binary, high binary, sketch binary")
 
 
@@ -412,9 +414,13 @@ def near_pairs(families: DataFrame, labels: DataFrame, sets: DataFrame, nearest:
 
 # -------------------------------------------------------------------- the join
 
+def _key(id_col: str):
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID))
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(k, n, component) for every row: id (null: smallest long), set size and the
-    smallest id reachable by links."""
+    """(k, h, n, component, first) for every row: id (null: smallest long), hash of the text,
+    set size, the smallest id reachable by links, and the hash of that id's text there."""
     spark = docs.sparkSession
     with temporary(spark):
         return saved(_components(docs, id_col, text), "jaccard_components", keep=True)
@@ -423,17 +429,19 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
 def _components(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     parts = partitions(spark)
-    slim = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("k"),
+    slim = docs.select(_key(id_col).alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("h"),
                        F.col(f"`{text}`").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SPACED)
         for part, data, offsets in slices(batches):
             size, cls = digests(*shingles(data, offsets, hasher), part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(cls)], ["k", "n", "c"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(size), pa.array(cls)], ["k", "h", "n", "c"])
 
-    rows = saved(slim.mapInArrow(measure, "k long, n long, c long"), "jaccard_sets")
-    classes = rows.filter("n > 0").groupBy("c").agg(F.min("k").alias("k"))
+    rows = saved(slim.mapInArrow(measure, "k long, h long, n long, c long"), "jaccard_sets")
+    least = F.min(F.struct("k", "h"))
+    classes = rows.filter("n > 0").groupBy("c").agg(least.alias("r")).select("c", "r.k", "r.h")
     families = saved(signature_groups(slim, 4 * parts), "jaccard_families")
     members = families.select("c").unionAll(families.select(F.col("hub").alias("c"))).distinct()
     sets = saved(class_sets(slim, classes.join(members, "c")), "jaccard_class_sets")
@@ -457,22 +465,23 @@ def _components(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                           "jaccard_pairs"))
 
     # The smallest id of each component, then each class's.
-    named = classes.join(labels.toDF("c", "label"), "c", "left").select("c", "k", F.coalesce("label", "c").alias("label"))
+    named = classes.join(labels.toDF("c", "label"), "c", "left").select("c", "k", "h", F.coalesce("label", "c").alias("label"))
     named = saved(named, "jaccard_classes")
-    smallest = named.groupBy("label").agg(F.min("k").alias("component"))
-    of_class = named.join(smallest, "label").select("c", "component")
-    empty = rows.filter("n = 0").select("k", "n", F.col("k").alias("component"))
-    return rows.filter("n > 0").join(of_class, "c").select("k", "n", "component").unionAll(empty)
+    smallest = named.groupBy("label").agg(least.alias("r")).select(
+        "label", F.col("r.k").alias("component"), F.col("r.h").alias("first"))
+    of_class = named.join(smallest, "label").select("c", "component", "first")
+    empty = rows.filter("n = 0").select("k", "h", "n", F.col("k").alias("component"), F.col("h").alias("first"))
+    return rows.filter("n > 0").join(of_class, "c").select("k", "h", "n", "component", "first").unionAll(empty)
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group of linked documents, the one with the smallest id (one
-    row of it, should it repeat); texts without words stay."""
+    """One document of each group of linked documents, the one with the smallest id (of
+    its texts there, the first by hash; one row of it, should it repeat); texts without
+    words stay."""
     found = similar_components(docs, id_col, text)
-    stay = found.filter("k = component").select(F.col("k").alias("_k")).distinct()
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID))
-    return docs.withColumn("_k", key).join(stay, "_k").dropDuplicates(["_k"]).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    stay = found.filter("k = component and h = first").select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
+    keyed = docs.withColumn("_k", _key(id_col)).withColumn("_h", F.xxhash64(F.col(f"`{text}`")))
+    return keyed.join(stay, ["_k", "_h"]).dropDuplicates(["_k", "_h"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_jaccard(spark, sf_dir: str) -> DataFrame:

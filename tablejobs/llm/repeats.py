@@ -25,8 +25,12 @@ anchor.
 
 Ids must be integers. Defined results: null texts are empty; a null id counts
 as smaller than all others; rows with the same id and text are one document and
-get the same result each; an empty table gives an empty result; other columns
-pass unchanged.
+get the same result each; rows with the same id (or none) and other texts are
+documents of their own, in the order of a hash of their texts; an empty table
+gives an empty result; other columns pass unchanged.
+
+A document is known by its id ``k`` and a tag ``t``: the hash of its text where some
+id has several texts, else 0, which costs next to nothing in packed columns.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.llm.decontamination import replaced
@@ -131,6 +135,26 @@ def _hasher() -> WordHasher:
     return WordHasher(word_table([]), fold=False)
 
 
+def _documents(ids: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each place's document, ids and tags of the documents), in their order."""
+    order = np.lexsort((tags, ids))
+    i, t = ids[order], tags[order]
+    new = np.ones(len(i), bool)
+    new[1:] = (i[1:] != i[:-1]) | (t[1:] != t[:-1])
+    number = np.empty(len(i), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, i[new], t[new]
+
+
+def _tagged(docs: DataFrame, id_col: str, text: str) -> tuple[Column, Column]:
+    """The columns of ``docs`` that tell documents apart: id and tag."""
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID))
+    hashed = F.xxhash64(F.col(f"`{text}`"))
+    several = docs.select(key.alias("k"), hashed.alias("t")).groupBy("k").agg(
+        F.min("t").alias("low"), F.max("t").alias("high")).filter("low <> high")
+    return key, F.lit(0).cast("long") if several.isEmpty() else hashed
+
+
 def repeated_anchors(slim: DataFrame, length: int, anchor: int, buckets: int) -> DataFrame:
     """Per document and bucket of anchors: packed starts, string counts, anchors and heat
     of its segments whose anchor occurs more than once."""
@@ -140,12 +164,12 @@ def repeated_anchors(slim: DataFrame, length: int, anchor: int, buckets: int) ->
         for part, data, offsets in slices(batches):
             row, start, count, h = segments(hasher, data, offsets, length, anchor)
             if len(row):
-                ids = np.asarray(part.column(0), np.int64)
+                ids, tags = (np.asarray(part.column(i), np.int64) for i in (0, 1))
                 yield _by_bucket((h >> U64(32)).astype(np.int64) % buckets,
-                                 [h, ids[row], (start - offsets[row]).astype(np.uint32), count.astype(np.uint16)],
-                                 ["h", "id", "start", "n"])
+                                 [h, ids[row], tags[row], (start - offsets[row]).astype(np.uint32),
+                                  count.astype(np.uint16)], ["h", "id", "tag", "start", "n"])
 
-    packed = slim.mapInArrow(collect, "bucket int, h binary, id binary, start binary, n binary")
+    packed = slim.mapInArrow(collect, "bucket int, h binary, id binary, tag binary, start binary, n binary")
 
     def repeated(table: pa.Table) -> pa.Table:
         h, _ = _unpack(table["h"], U64)
@@ -156,29 +180,30 @@ def repeated_anchors(slim: DataFrame, length: int, anchor: int, buckets: int) ->
         places = np.empty(len(h), np.int64)
         places[order] = np.repeat(size, size)
         some = np.flatnonzero(places > 1)
-        ids, start, n = (_unpack(table[c], t)[0][some] for c, t in
-                         (("id", np.int64), ("start", np.uint32), ("n", np.uint16)))
+        ids, tags, start, n = (_unpack(table[c], t)[0][some] for c, t in
+                               (("id", np.int64), ("tag", np.int64), ("start", np.uint32), ("n", np.uint16)))
         hot = (places[some] > HOT).astype(np.uint8)
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
-        cuts = np.append(first, len(ids))
-        return pa.table([pa.array(ids[first]), *[binary_array(x[order], cuts) for x in (start, n, h[some], hot)]],
-                        names=["k", "start", "n", "h", "hot"])
+        number, ids, tags = _documents(ids, tags)
+        order = np.argsort(number, kind="stable")
+        cuts = np.append(0, np.cumsum(np.bincount(number, minlength=len(ids))))
+        return pa.table([pa.array(ids), pa.array(tags),
+                         *[binary_array(x[order], cuts) for x in (start, n, h[some], hot)]],
+                        names=["k", "t", "start", "n", "h", "hot"])
 
-    return packed.groupBy("bucket").applyInArrow(repeated, "k long, start binary, n binary, h binary, hot binary")
+    return packed.groupBy("bucket").applyInArrow(
+        repeated, "k long, t long, start binary, n binary, h binary, hot binary")
 
 
 def bucketed_segments(slim: DataFrame, marks: DataFrame, length: int, buckets: int) -> DataFrame:
     """The marked segments with their bytes, each distinct one once per slice of a task."""
-    gathered = marks.groupBy("k").agg(*[F.collect_list(c).alias(c) for c in ("start", "n", "h", "hot")])
-    joined = slim.join(gathered, "k").select("k", "text", "start", "n", "h", "hot")
+    gathered = marks.groupBy("k", "t").agg(*[F.collect_list(c).alias(c) for c in ("start", "n", "h", "hot")])
+    joined = slim.join(gathered, ["k", "t"]).select("k", "t", "text", "start", "n", "h", "hot")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _hasher()
         for part, data, offsets in slices(batches):
             cols = [[np.frombuffer(b"".join(x), t) for x in part.column(i).to_pylist()]
-                    for i, t in ((2, np.uint32), (3, np.uint16), (4, U64), (5, np.uint8))]
+                    for i, t in ((3, np.uint32), (4, np.uint16), (5, U64), (6, np.uint8))]
             row = np.repeat(np.arange(part.num_rows), [len(x) for x in cols[0]])
             start, n, h, hot = (np.concatenate(c) for c in cols)
             start, n = start.astype(np.int64), n.astype(np.int64)
@@ -195,13 +220,14 @@ def bucketed_segments(slim: DataFrame, marks: DataFrame, length: int, buckets: i
             content = hasher.hashes(data, at, at + size) if len(at) else h
             target = np.where(many, content, h)
             bucket = (target >> U64(33)).astype(np.int64) % buckets
-            ids = np.asarray(part.column(0), np.int64)[row]
-            yield from _packed_segments(bucket, content ^ mix(size.astype(U64)), ids, start, size, at, data)
+            ids, tags = (np.asarray(part.column(i), np.int64)[row] for i in (0, 1))
+            yield from _packed_segments(bucket, content ^ mix(size.astype(U64)), ids, tags, start, size, at, data)
 
-    return joined.mapInArrow(collect, "bucket int, id binary, start binary, which binary, size binary, body binary")
+    return joined.mapInArrow(
+        collect, "bucket int, id binary, tag binary, start binary, which binary, size binary, body binary")
 
 
-def _packed_segments(bucket, content, ids, start, size, at, data) -> Iterator[pa.RecordBatch]:
+def _packed_segments(bucket, content, ids, tags, start, size, at, data) -> Iterator[pa.RecordBatch]:
     if not len(bucket):
         return
     order = np.lexsort((content, bucket))
@@ -218,9 +244,9 @@ def _packed_segments(bucket, content, ids, start, size, at, data) -> Iterator[pa
     local = which - np.repeat(seg[:-1], np.diff(occ))
     yield pa.RecordBatch.from_arrays(
         [pa.array(b[heads].astype(np.int32)), binary_array(ids[order], occ),
-         binary_array(start[order].astype(np.uint32), occ), binary_array(local.astype(np.uint32), occ),
+         binary_array(tags[order], occ), binary_array(start[order].astype(np.uint32), occ), binary_array(local.astype(np.uint32), occ),
          binary_array(size[first].astype(np.uint16), seg), binary_array(body, ends[seg])],
-        ["bucket", "id", "start", "which", "size", "body"])
+        ["bucket", "id", "tag", "start", "which", "size", "body"])
 
 
 def prefix_groups(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -319,6 +345,7 @@ def spans_by_document(packed: DataFrame, length: int) -> DataFrame:
 
     def expand(table: pa.Table) -> pa.Table:
         ids, per_row = _unpack(table["id"], np.int64)
+        ids, known, tags = _documents(ids, _unpack(table["tag"], np.int64)[0])
         start = _unpack(table["start"], np.uint32)[0].astype(np.int64)
         which = _unpack(table["which"], np.uint32)[0].astype(np.int64)
         size, segs = _unpack(table["size"], np.uint16)
@@ -335,24 +362,29 @@ def spans_by_document(packed: DataFrame, length: int) -> DataFrame:
         ids, start, end = merge(*found)
         first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
         cuts = np.append(first, len(ids))
-        return pa.table([pa.array(ids[first]), binary_array(start.astype(np.uint32), cuts),
-                         binary_array(end.astype(np.uint32), cuts)], names=["k", "start", "end"])
+        return pa.table([pa.array(known[ids[first]]), pa.array(tags[ids[first]]),
+                         binary_array(start.astype(np.uint32), cuts), binary_array(end.astype(np.uint32), cuts)],
+                        names=["k", "t", "start", "end"])
 
-    return packed.groupBy("bucket").applyInArrow(expand, "k long, start binary, end binary")
+    return packed.groupBy("bucket").applyInArrow(expand, "k long, t long, start binary, end binary")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH,
             anchor: int = ANCHOR) -> DataFrame:
-    """(k, start, end): per document id (null ids as the smallest long), packed spans to remove."""
+    """(k, t, start, end): per document (id, null ids as the smallest long, and tag), packed
+    spans to remove."""
+    return _repeats(docs, *_tagged(docs, id_col, text), text, length, anchor)
+
+
+def _repeats(docs: DataFrame, key: Column, tag: Column, text: str, length: int, anchor: int = ANCHOR) -> DataFrame:
     spark = docs.sparkSession
     parts = partitions(spark)
-    slim = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("k"),
-                       F.col(f"`{text}`").alias("text"))
+    slim = docs.select(key.alias("k"), tag.alias("t"), F.col(f"`{text}`").alias("text"))
     with temporary(spark):
         marks = saved(repeated_anchors(slim, length, anchor, 2 * parts), "repeat_anchors")
         spans = saved(spans_by_document(bucketed_segments(slim, marks, length, 4 * parts), length),
                       "repeat_spans", keep=True)
-    return spans.groupBy("k").agg(
+    return spans.groupBy("k", "t").agg(
         F.collect_list("start").alias("start"), F.collect_list("end").alias("end"))
 
 
@@ -369,10 +401,10 @@ def _gone(part: pa.RecordBatch, at: int, offsets: np.ndarray) -> np.ndarray:
 
 
 def _marked(docs: DataFrame, id_col: str, text: str, length: int) -> DataFrame:
-    spans = repeats(docs, id_col, text, length).select(
-        F.col("k").alias("_k"), F.col("start").alias("_start"), F.col("end").alias("_end"))
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID))
-    return docs.withColumn("_k", key).join(spans, "_k", "left").select(
+    key, tag = _tagged(docs, id_col, text)
+    spans = _repeats(docs, key, tag, text, length).select(
+        F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("start").alias("_start"), F.col("end").alias("_end"))
+    return docs.withColumn("_k", key).withColumn("_t", tag).join(spans, ["_k", "_t"], "left").select(
         *[F.col(f"`{c}`") for c in docs.columns], "_start", "_end")
 
 

@@ -177,6 +177,39 @@ def test_repeats_edges(spark, edges, nothing):
     assert repeats.repeat_digests(nothing).count() == 0 and repeats.remove_repeats(nothing).count() == 0
 
 
+def test_one_id_with_different_texts(spark):
+    """Null ids and a repeated id: rows are told apart by their texts, too."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(2000)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(12)]
+    near = texts[0] + " more"
+    rows = [(None, t) for t in texts[:5]] + [(7, t) for t in texts[5:9]] + [(8, near), (9, texts[6]), (7, texts[8]),
+                                                                           (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = Counter((r.doc_id, r.text) for r in jaccard.keep_first(docs).collect())
+    assert kept == Counter({*rows} - {(8, near), (9, texts[6])})
+    found = Counter((r.k, r.n, r.component) for r in jaccard.similar_components(docs).collect())
+    null = -(2**63)
+    assert found == Counter({(null, 56, null): 5, (null, 0, null): 2, (7, 56, 7): 5, (8, 57, null): 1, (9, 56, 7): 1})
+
+    # Two texts without an id hold a passage; a third and one more with the id 7 must stay whole.
+    passage = " ".join(rng.choice(words, 40))
+    rows = [(None, "a " + passage), (None, "b " * 60 + passage), (None, texts[1]), (7, texts[2]), (7, texts[3] + passage),
+            (7, texts[2]), (8, texts[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    cut = Counter((r.doc_id, r.text) for r in repeats.remove_repeats(docs).collect())
+    assert sum(cut.values()) == len(rows) and cut[None, texts[1]] == 1 and cut[7, texts[2]] == 2 and cut[8, texts[4]] == 1
+    holding = [(i, t) for i, t in cut if passage in t]
+    assert len(holding) == 1 and holding[0][0] is None and (7, texts[3]) in cut
+    hashed = docs.select("*", F.xxhash64("text").alias("h")).collect()
+    keyed = {(null if r.doc_id is None else r.doc_id, r.h): r.text for r in hashed}
+    gone = brute.removed(keyed)
+    expected = [(r.doc_id, *brute.repeat_row(r.text, gone[null if r.doc_id is None else r.doc_id, r.h])) for r in hashed]
+    assert Counter(tuple(r) for r in repeats.repeat_digests(docs).collect()) == Counter(expected)
+
+
 def test_whole_characters_stay(spark):
     docs = spark.createDataFrame([(1, "é" * 200), (2, "xé" + "é" * 120 + "y")], "doc_id long, text string")
     rows = {r.doc_id: r.text for r in repeats.remove_repeats(docs).collect()}
