@@ -8,7 +8,9 @@ marked as not accepted.
 The model is fitted on a bounded sample of the labelled rows (the only part
 that doesn't read everything): distinct training texts of up to
 ``SAMPLE_CHARS`` characters in the order of their hash, as many as fill
-``DICTIONARY_BYTES`` per language. Prediction is a narrow step over whole texts.
+``DICTIONARY_BYTES`` per language; where all of a language's texts are longer,
+pieces of that length from their first letter on. Prediction is a narrow step
+over whole texts.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 rows without a language teach nothing; a null id counts as the empty text when
@@ -50,20 +52,26 @@ def fit_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang"
     """(language, dictionary) for each language, most training rows first."""
     rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    rows = rows.withColumn("size", F.when(F.length("text") <= SAMPLE_CHARS, F.octet_length("text")))
-    stats = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count("size").alias("fit"),
-                                     F.avg("size").alias("mean")).filter("fit > 0").collect()
+    # Copies share a hash: a text that a third of the rows repeat counts once.
+    piece = F.regexp_extract("text", f"(?s)\\p{{L}}.{{0,{SAMPLE_CHARS - 1}}}", 0)
+    long = F.length("text") > SAMPLE_CHARS
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("long", long) \
+        .withColumn("text", F.when(long, piece).otherwise(F.col("text")))
+    distinct = rows.groupBy("lang", "h").agg(
+        F.count("*").alias("n"), F.min("long").alias("long"), F.min(F.octet_length("text")).alias("size"))
+    stats = distinct.groupBy("lang").agg(
+        F.sum("n").alias("n"), F.count_if(~F.col("long")).alias("short"), F.count("*").alias("all"),
+        F.avg(F.when(~F.col("long"), F.col("size"))).alias("mean"), F.avg("size").alias("mean_piece")).collect()
     if not stats:
         return []
     budget = max(256, min(DICTIONARY_BYTES, MODEL_BYTES // len(stats)))
-    want = {r["lang"]: int(4 * budget / r["mean"]) + 32 for r in stats}
-    share = {r["lang"]: min(1.0, want[r["lang"]] / r["fit"]) for r in stats}
+    want = {r["lang"]: int(4 * budget / (r["mean"] or r["mean_piece"])) + 32 for r in stats}
+    share = {r["lang"]: min(1.0, want[r["lang"]] / (r["short"] or r["all"])) for r in stats}
     spark = labelled.sparkSession
-    shares = spark.createDataFrame([(k, v, want[k]) for k, v in share.items()], "lang string, share double, want long")
-    # Copies share a hash: a text that a third of the rows repeat counts once.
-    h = F.xxhash64("text")
-    picked = (rows.filter("size is not null").join(F.broadcast(shares), "lang")   # one row per language
-              .withColumn("h", h)
+    shares = spark.createDataFrame([(r["lang"], share[r["lang"]], want[r["lang"]], not r["short"]) for r in stats],
+                                   "lang string, share double, want long, pieces boolean")
+    picked = (rows.join(F.broadcast(shares), "lang")                              # one row per language
+              .filter("pieces or not long")
               .filter((F.col("h") / F.lit(2.0**64) + 0.5) <= F.col("share"))
               .groupBy("lang", "h").agg(F.min("text").alias("text"), F.min("want").alias("want"))
               .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h")))

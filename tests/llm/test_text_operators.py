@@ -106,6 +106,21 @@ def test_wrappers_on_pages(spark):
     assert wrappers.main_texts(pages.limit(0)).count() == 0
 
 
+def test_language_of_many_copies_and_of_long_texts(spark):
+    """Copies of one text don't crowd out the others, and long texts teach, too."""
+    from pyspark.sql import functions as F
+
+    copies = spark.range(200_000).select(F.lit("a copy that everybody has " * 40).alias("text"))
+    others = spark.range(40).select(F.concat(F.lit("kaksi "), F.repeat(F.sha2(F.col("id").cast("string"), 256), 60)).alias("text"))
+    long = spark.createDataFrame([(" " * 40_000 + "viisi sanaa on paljon " * 4_000,)], "text string")
+    rows = copies.unionAll(others).select("text", F.lit("xx").alias("lang")).unionAll(long.select("text", F.lit("fi").alias("lang")))
+    found = language_id.fit_dictionaries(rows)
+    assert [lang for lang, _ in found] == ["xx", "fi"]
+    assert found[0][1].count(b"kaksi") > 10 and found[1][1].startswith(b"viisi sanaa") and len(found[1][1]) > 32_000
+    got = language_id.identify(spark.createDataFrame([(1, "viisi sanaa on paljon " * 9)], "doc_id long, text string"), found)
+    assert got.first().lang_pred == "fi"
+
+
 BODY = "The text of this page, long enough to be told from the rest of what is on it, and its number is "
 
 
