@@ -11,7 +11,7 @@ occurrences' spans are merged per document.
 The benchmark is the smaller side, but its size is checked, not assumed: it is
 dealt into blocks of at most ``BLOCK_BYTES`` of text, each broadcast in turn.
 One block (the usual case) is a single narrow pass over the documents; with more
-blocks the passes' spans are merged per document by a shuffle.
+blocks the passes' spans are merged per id and text by a shuffle and joined to all rows.
 
 Defined results: null texts have no words; items without words have no window;
 the same window in several items counts for each; a null item id reads as the
@@ -28,7 +28,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.llm.store import read
@@ -186,16 +186,24 @@ def _find(docs: DataFrame, items: list[tuple[str, str]], text: str) -> DataFrame
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: id, n_words, n_hit, items (sorted as strings) and merged spans.
-
-    Between blocks of the benchmark, rows of the same id and text are told from each
-    other by nothing, so they are merged into one before a second block is searched."""
+    """Per row: id, n_words, n_hit, items (sorted as strings) and merged spans."""
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
     parts = list(blocks(benchmark, block_bytes=block_bytes))
     if len(parts) == 1:
         return _find(slim, parts[0], "text").withColumnRenamed("id", id_col)
+    key = ("id", "h", "size")
     keyed = slim.select("id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"), "text")
-    passes = [_find(keyed, items, "text") for items in parts]
+    merged = _merged(keyed, parts)
+    rows = keyed.select(*[F.col(c).alias(f"_{c}") for c in key])
+    same = reduce(Column.__and__, [F.col(f"_{c}").eqNullSafe(F.col(c)) for c in key])
+    return rows.join(merged, same).select(F.col("_id").alias(id_col), "n_words", "n_hit", "items", "spans")
+
+
+def _merged(keyed: DataFrame, parts: list[list[tuple[str, str]]]) -> DataFrame:
+    """Of documents (id, h, size, text), what all blocks find: one row per id, h and size."""
+    # Rows that repeat find the same in a pass.
+    passes = [_find(keyed, items, "text").groupBy("id", "h", "size").agg(
+        *[F.first(c).alias(c) for c in ("n_words", "items", "spans")]) for items in parts]
     both = reduce(DataFrame.unionAll, passes).groupBy("id", "h", "size").agg(
         F.first("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -203,16 +211,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            merged = [merge_spans(x) for x in batch.column(3).to_pylist()]
+            merged = [merge_spans(x) for x in batch.column(5).to_pylist()]
             hits = pa.array([sum(s["words"] for s in x) for x in merged], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), hits, batch.column(2), pa.array(merged, batch.schema.field(3).type)],
-                ["id", "n_words", "n_hit", "items", "spans"])
+                [*batch.columns[:4], hits, batch.column(4), pa.array(merged, batch.schema.field(5).type)],
+                ["id", "h", "size", "n_words", "n_hit", "items", "spans"])
 
-    kind = dict(slim.dtypes)["id"]
-    return both.select("id", "n_words", "items", "spans").mapInArrow(
-        merge, f"id {kind}, n_words long, n_hit long, items array<string>, spans {_SPANS}") \
-        .withColumnRenamed("id", id_col)
+    kind = dict(keyed.dtypes)["id"]
+    return both.select("id", "h", "size", "n_words", "items", "spans").mapInArrow(
+        merge, f"id {kind}, h long, size int, n_words long, n_hit long, items array<string>, spans {_SPANS}")
 
 
 def merge_spans(spans: list[dict]) -> list[dict]:
@@ -273,10 +280,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", blo
 
         return docs.mapInArrow(work, schema)
     # Spans of several passes are looked up by the text itself (its hash and size).
-    spans = contamination(docs.select(F.sha2(F.col(f"`{text}`"), 256).alias("k"), F.col(f"`{text}`").alias("text")),
-                          benchmark, "k", "text", block_bytes).filter("n_hit > 0").select("k", F.col("spans").alias("_spans"))
-    marked = docs.withColumn("_k", F.sha2(F.col(f"`{text}`"), 256)).join(
-        spans.withColumnRenamed("k", "_k").dropDuplicates(["_k"]), "_k", "left").drop("_k")
+    key = F.sha2(F.col(f"`{text}`"), 256)
+    keyed = docs.select(key.alias("id"), F.lit(0).cast("long").alias("h"), F.lit(0).alias("size"),
+                        F.col(f"`{text}`").alias("text"))
+    spans = _merged(keyed, parts).filter("n_hit > 0").select(F.col("id").alias("_k"), F.col("spans").alias("_spans"))
+    marked = docs.withColumn("_k", key).join(spans, "_k", "left").drop("_k")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches, text):

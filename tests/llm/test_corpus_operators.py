@@ -246,5 +246,9 @@ def test_decontamination_edges_and_blocks(spark, edges, nothing):
         texts = {r.doc_id: r.text for r in cut.collect()}
         assert texts[1] is None and "quick" not in texts[10] and texts[4] == "one two"
         assert decontamination.contamination(nothing, benchmark, block_bytes=size).count() == 0
+        # Rows that repeat, with and without an id, stay rows of their own.
+        more = edges.unionAll(edges).unionAll(edges.filter("doc_id IS NULL"))
+        ids = Counter(r.doc_id for r in decontamination.contamination(more, benchmark, block_bytes=size).collect())
+        assert ids == Counter([i for i, _ in EDGES] * 2 + [None])
     empty = decontamination.contamination(edges, benchmark.limit(0)).collect()
     assert len(empty) == edges.count() and all(r.n_hit == 0 for r in empty)
