@@ -217,9 +217,8 @@ def score_texts(docs: DataFrame, trained: Column, id_col: str = "doc_id", text:
         with Mapped(levels) as trie:
             total, many, codes = trie.lookup(context, run, word)
             words = trie.contexts.values()
-            # A context in pieces counts as a word where its first piece is.
-            first = shards.shard(words, np.zeros(len(words), np.int64)) == table["shard"][0].as_py()
-            vocabulary = int((first & (words != START)).sum())
+            # Contexts in pieces are in several tries: they are counted below.
+            vocabulary = int(((shards.pieces_of(words) == 1) & (words != START)).sum())
         cuts, pair_cuts = np.append(0, np.cumsum(per_row)), np.append(0, np.cumsum(pairs))
         out = pa.table([table["batch"], table["shard"], binary_array(total, cuts),
                         binary_array(many.astype(np.uint32), cuts), binary_array(codes, pair_cuts),
@@ -271,7 +270,9 @@ def score_texts(docs: DataFrame, trained: Column, id_col: str = "doc_id", text:
     scored = saved(slim.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         finish, f"id {kind}, n_tokens long, n_known long, log_counts double, score double, unknown long, "
                 "vocabulary long"), "lm_scores")
-    v = (scored.agg(F.sum("vocabulary")).first()[0] or 0) + (texts > 0)
+    # Contexts in pieces have training tokens, so each is a word of the vocabulary.
+    split = int(((shards.pieces > 1) & (shards.contexts != START)).sum())
+    v = (scored.agg(F.sum("vocabulary")).first()[0] or 0) + split + (texts > 0)
     log_unknown = math.log10(DISCOUNT * v / n) if n else 0.0
     return scored.filter("vocabulary IS NULL").select(
         F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),

@@ -90,6 +90,20 @@ def test_lm_scores(spark, small_dir, documents, monkeypatch):
     assert sum(r.score - r.base_score for r in rows if r.held_out) > 0
 
 
+def test_lm_vocabulary_of_hot_words(spark):
+    """Words of a very frequent passage have one successor, and many shards share them."""
+    from pyspark.sql import functions as F
+
+    texts = {i: " ".join(f"w{k}" for k in range(12)) for i in range(30)} | {30: "some other words"}
+    rows = lm_scoring.score_texts(saved(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "hot"),
+                                  F.lit(True)).collect()
+    n, v = 30 * 13 + 4, 12 + 3 + 1
+    count = Counter(w for t in texts.values() for w in [*t.split(), None])
+    for r in rows:
+        expected = sum(math.log10((count[w] + 1) / (n + v + 1)) for w in [*texts[r.doc_id].split(), None])
+        assert r.train_tokens == n and r.base_score == pytest.approx(expected, abs=1e-9)
+
+
 def test_lm_edges(edges, nothing):
     from pyspark.sql import functions as F
 
