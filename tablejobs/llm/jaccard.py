@@ -23,7 +23,9 @@ the sets themselves:
     Pairs are compared in blocks, by their sizes and by parity sketches, which bound the
     number of differing elements from below; only pairs within the bound are verified.
 After that, every two sets with a signature in common have been ruled out, verified or
-connected, so the components are exact.
+connected, so the components are exact. Pairs inside a component are not all verified
+for that; ``similar_pairs`` is the join itself, which verifies all pairs of a family
+within the sketches' bound and so returns every link.
 
 Equal sets are one class from the start (known by a 64-bit digest), so that a
 text that a third of the rows repeat is indexed once per task.
@@ -426,9 +428,25 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         return saved(_components(docs, id_col, text), "jaccard_components", keep=True)
 
 
-def _components(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    spark = docs.sparkSession
-    parts = partitions(spark)
+def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every link: (a, b) for each two classes of different sets that link, once, a < b; and
+    (k, h, n, c, n_links) for every row, with its class and how many classes that links to.
+    Rows of one class (equal sets, n > 0) are linked with each other besides."""
+    with temporary(docs.sparkSession):
+        rows, _, families, members, sets = _prepared(docs, id_col, text)
+        # Each class in a component of its own: no pair is left out.
+        own = members.select("c", F.col("c").alias("label"))
+        candidates = saved(near_pairs(families, own, sets, nearest=False), "jaccard_pairs")
+        pairs = saved(verified(candidates, sets, few=True), "jaccard_all_links", keep=True)
+        many = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))) \
+            .groupBy("c").agg(F.count("*").alias("n_links"))
+        found = rows.join(many, "c", "left").select("k", "h", "n", "c", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        return pairs, saved(found, "jaccard_members", keep=True)
+
+
+def _prepared(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, ...]:
+    """(rows, classes, families, members, sets): what the rounds of links work on."""
+    parts = partitions(docs.sparkSession)
     slim = docs.select(_key(id_col).alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("h"),
                        F.col(f"`{text}`").alias("text"))
 
@@ -440,11 +458,16 @@ def _components(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                 [part.column(0), part.column(1), pa.array(size), pa.array(cls)], ["k", "h", "n", "c"])
 
     rows = saved(slim.mapInArrow(measure, "k long, h long, n long, c long"), "jaccard_sets")
-    least = F.min(F.struct("k", "h"))
-    classes = rows.filter("n > 0").groupBy("c").agg(least.alias("r")).select("c", "r.k", "r.h")
+    classes = rows.filter("n > 0").groupBy("c").agg(F.min(F.struct("k", "h")).alias("r")).select("c", "r.k", "r.h")
     families = saved(signature_groups(slim, 4 * parts), "jaccard_families")
     members = families.select("c").unionAll(families.select(F.col("hub").alias("c"))).distinct()
     sets = saved(class_sets(slim, classes.join(members, "c")), "jaccard_class_sets")
+    return rows, classes, families, members, sets
+
+
+def _components(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    rows, classes, families, members, sets = _prepared(docs, id_col, text)
+    least = F.min(F.struct("k", "h"))
     labels = saved(members.select(F.col("c").alias("node"), F.col("c").alias("label")), "jaccard_labels")
 
     def linked(pairs: DataFrame, few: bool = True) -> DataFrame:

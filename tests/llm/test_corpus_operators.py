@@ -143,6 +143,29 @@ def test_jaccard_chains_hubs_and_small_sets(spark, monkeypatch):
     assert got == brute.components(texts)
 
 
+def test_jaccard_pairs_are_all_links(spark, monkeypatch):
+    """Also those between texts that other links connect already."""
+    rng = np.random.default_rng(10)
+    words = [f"w{i}" for i in range(3000)]
+    texts = {}
+    for size in (6, 20, 45, 120):
+        base = list(rng.choice(words, size))
+        for _ in range(9):
+            texts[len(texts)] = " ".join([*base, *rng.choice(words, max(1, size // 15))])
+        texts[len(texts)] = texts[len(texts) - 1].upper()       # the same set
+    sets = {k: brute.shingle_set(t) for k, t in texts.items()}
+    expected = {(i, j) for i in sets for j in sets if i < j and sets[i] != sets[j]
+                and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    pairs, rows = jaccard.similar_pairs(docs)
+    members = {r.k: r for r in rows.collect()}
+    linked = [(r.a, r.b) for r in pairs.collect()]
+    assert len(linked) == len(set(linked)) and len(expected) > 60
+    assert set(linked) == {tuple(sorted((members[i].c, members[j].c))) for i, j in expected}
+    assert all(members[k].n_links == len({sets[j] for j in sets if (min(j, k), max(j, k)) in expected}) for k in sets)
+
+
 def test_pigeonhole_bound():
     for band in range(30):
         strict, loose, slack = jaccard.allocation(band)
