@@ -6,6 +6,7 @@ from tablejobs.llm.hilbert import op4_hilbert_sharding
 from tablejobs.llm.jaccard import OP6_SQL, op6_jaccard
 from tablejobs.llm.language_id import op7_language_id
 from tablejobs.llm.lm_scoring import op1_lm_scoring
+from tablejobs.llm.periodic_runs import op11_periodic_runs
 from tablejobs.llm.quality_rules import op9_quality_rules
 from tablejobs.llm.repeats import op8_suffix_repeats
 from tablejobs.llm.warc import OP3_SQL, op3_warc
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
