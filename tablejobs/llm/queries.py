@@ -6,6 +6,7 @@ from tablejobs.llm.hilbert import op4_hilbert_sharding
 from tablejobs.llm.jaccard import OP6_SQL, op6_jaccard
 from tablejobs.llm.language_id import op7_language_id
 from tablejobs.llm.lm_scoring import op1_lm_scoring
+from tablejobs.llm.merkle import OP12_SQL, op12_merkle_manifest
 from tablejobs.llm.periodic_runs import op11_periodic_runs
 from tablejobs.llm.quality_rules import op9_quality_rules
 from tablejobs.llm.repeats import op8_suffix_repeats
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -31,4 +33,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_warc": OP3_SQL,
     "op6_jaccard": OP6_SQL,
     "op10_decontamination": OP10_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
