@@ -8,6 +8,7 @@ from tablejobs.llm.language_id import op7_language_id
 from tablejobs.llm.lm_scoring import op1_lm_scoring
 from tablejobs.llm.merkle import OP12_SQL, op12_merkle_manifest
 from tablejobs.llm.periodic_runs import op11_periodic_runs
+from tablejobs.llm.pivot_search import OP13_SQL, op13_pivot_search
 from tablejobs.llm.quality_rules import op9_quality_rules
 from tablejobs.llm.repeats import op8_suffix_repeats
 from tablejobs.llm.warc import OP3_SQL, op3_warc
@@ -26,6 +27,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_pivot_search": op13_pivot_search,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -34,4 +36,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_jaccard": OP6_SQL,
     "op10_decontamination": OP10_SQL,
     "op12_merkle_manifest": OP12_SQL,
+    "op13_pivot_search": OP13_SQL,
 }

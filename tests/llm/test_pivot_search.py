@@ -1,0 +1,98 @@
+"""The pivot-distance index: against all scores."""
+
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tablejobs.llm import pivot_search as op
+from tests.compare import compare, duck_connection
+
+
+def expected(rows, k, every):
+    """(query_id, rank, vec_id, score), ids of equal scores ascending, null first."""
+    usable = [(i, [math.floor(Fraction(x) * 64) for x in v]) for i, v in rows
+              if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for n, (i, v) in enumerate(usable):
+        if i is None or i % every:
+            continue
+        scores = [(-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(v, w)))), j is not None, j or 0, j)
+                  for m, (j, w) in enumerate(usable) if m != n]
+        out += [(i, rank, s[3], -s[0]) for rank, s in enumerate(sorted(scores, key=lambda s: s[:3])[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect()), key=repr)
+
+
+def frame(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, v, "x", 1) for i, v in rows],
+                                 f"vec_id long, embedding array<{kind}>, grp string, home int")
+
+
+@pytest.mark.parametrize("size", [None, 64])
+def test_supplied_vectors(spark, sf_dir, size):
+    found = op.top_k(op.read(spark, sf_dir, "embeddings"), 20, 20, rows_a_group=size)
+    assert compare(found, duck_connection(sf_dir), op.OP13_SQL) == []
+
+
+@pytest.mark.parametrize("size", [None, 30])
+def test_clusters_ties_and_copies(spark, size):
+    """Tight clusters far apart (bounds rule out most groups), many equal scores, a third of
+    all rows one vector, repeated ids."""
+    rng = random.Random(4)
+    centres = [[rng.uniform(-9, 9) for _ in range(6)] for _ in range(5)]
+    rows = [(n, [round(x + rng.choice([0, 0, 0.02, -0.02]), 2) for x in rng.choice(centres)]) for n in range(260)]
+    rows += [(1000 + n // 2, [1.5, 0.0, -2.0, 0.25, 1.0, 3.0]) for n in range(130)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    found = op.top_k(frame(spark, rows).repartition(7), 9, 10, rows_a_group=size, pivots=8)
+    assert got(found) == expected(rows, 9, 10)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (10, None), (20, []), (30, [nan, 1.0]), (40, [1.0, None]), (50, [inf]), (60, [-inf, 0.0]),
+            (None, [3.0, 3.0]), (None, [0.5, 3.0]), (70, [1.0, 2.0, 3.0]), (70, [1.0, 2.0, 3.0]), (80, [-0.001, 1e-9]),
+            (90, [600.0, -700.0]), (100, [1e6, 3.0]), (110, [3e30, -1e10]), (120, [1e300, 1.0, 1.0]), (130, [1e300]),
+            (-10, [-1e300, 5.0]), (7, [1.7e308, 2.0])]
+    for k in (3, 50):
+        assert got(op.top_k(frame(spark, rows, "double"), k, 10)) == expected(rows, k, 10)
+    assert got(op.top_k(frame(spark, rows, "double"), 4, 10, rows_a_group=2)) == expected(rows, 4, 10)
+    assert got(op.top_k(frame(spark, []), 3, 10)) == []
+    assert got(op.top_k(frame(spark, rows[:1]), 3, 10)) == []
+    assert got(op.top_k(frame(spark, [(None, [1.0]), (3, [1.0])]), 3, 10)) == []
+
+
+def test_bounds_hold_and_prune():
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 400, (6, 16))
+    vectors = np.floor(centres[rng.integers(0, 6, 600)] + rng.normal(0, 9, (600, 16)))
+    pivots = op.fit_pivots(vectors, 6)
+    away = op.distances(vectors, pivots)
+    nearest = away.argmin(1)
+    annuli = [(p, away[nearest == p, p].min(), away[nearest == p, p].max(), op.squares(vectors[nearest == p]).max())
+              for p in range(len(pivots)) if (nearest == p).any()]
+    bound = op.Bounds(pivots, annuli).of(vectors)[1]
+    score = op.products(vectors, vectors)
+    for s, (p, *_) in enumerate(annuli):
+        assert (score[:, nearest == p].max(1) <= bound[:, s]).all()
+    tenth = np.sort(score, 1)[:, -10]
+    assert (bound < tenth[:, None]).mean() > 0.5        # most annuli need no visit
+
+
+def test_distant_groups_are_not_visited(spark):
+    """Two far clusters in groups of their own: no block is sent to the other's group."""
+    rows = [(n, [100.0 + n % 7, 1.0]) for n in range(200)] + [(n, [-100.0 - n % 7, 1.0]) for n in range(200, 400)]
+    usable = op.usable(frame(spark, rows), "vec_id", "embedding")
+    pivots = op.sample_pivots(usable, 2)
+    segments = op.index(usable, pivots).withColumn("grp", op.F.expr("at div 200"))
+    segments = op.saved(segments, "test_segments")
+    home = op.saved(op.search_home(segments, pivots, 5, 20), "test_home")
+    annuli = [tuple(r) for r in segments.groupBy("grp", "pivot").agg(
+        op.F.min("lo"), op.F.max("hi"), op.F.max("norm")).collect()]
+    assert home.count() == 2 and op.send(home, annuli, pivots, 5).count() == 0
+    assert got(op.merge(home, 5)) == expected(rows, 5, 20)
