@@ -13,29 +13,41 @@ each transition, once found, is a dictionary entry.
 Decoding. Token bytes are fed to an incremental UTF-8 state machine whose
 transition for a (state, token) pair is likewise computed once.
 
+What a worker remembers (states, transitions, answers, frequent pre-tokens) is
+bounded in bytes, so that memory does not depend on the texts; past a bound, that
+memory starts anew.
+
 Defined results: a null text is the empty text, with no ids; ids and bytes of a
-text don't depend on its neighbours; repeated rows, ties and very long texts
-need no special case, as every pre-token is encoded separately; an empty table
-gives an empty result.
+text don't depend on its neighbours; repeated rows and ties need no special case, as
+every pre-token is encoded separately; a very long text is read as a stream of
+pre-tokens, ``RUN`` at a time; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain, islice
+from struct import Struct
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.llm.store import read
-from tablejobs.llm.textbatch import slices
+from tablejobs.llm.textbatch import slices, trim_memory
 
-#: Bounds of one task's memories; past them, they start anew.
-MAX_STATES = 250_000
-MAX_WORDS = 250_000
+#: Bounds, in bytes, of what one worker remembers: states with their transitions, answers
+#: whether tokens stay apart, and each of two generations of pre-tokens.
+STATE_BYTES = 128 << 20
+APART_BYTES = 16 << 20
+WORD_BYTES = 40 << 20
+#: What an entry of a dictionary with an integer (or string) key takes beside the sizes of its objects.
+ENTRY = 100
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -55,8 +67,29 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int], stop: int = 1) -> list[
 
 
 _BYTES = [bytes((b,)) for b in range(256)]
-#: Alive places of a state without pending bytes.
-_START = ((0, 0),)
+#: A state: the length of the token before (-1: none), of the pending bytes, and the number of
+#: alive places; then both byte strings, the alive places and the other cuts, each number a byte
+#: (two with more than ``NARROW`` pending bytes).
+_HEAD = Struct("=hHH")
+_START = [(0, 0)]
+NARROW = 255
+
+
+def _state(before: bytes | None, pending: bytes, alive: list[tuple[int, int]],
+           others: list[tuple[int, int]]) -> bytes:
+    numbers = chain.from_iterable(alive + others)
+    places = bytes(numbers) if len(pending) <= NARROW else array("H", numbers).tobytes()
+    if before is None:
+        return _HEAD.pack(-1, len(pending), len(alive)) + pending + places
+    return _HEAD.pack(len(before), len(pending), len(alive)) + before + pending + places
+
+
+def _parts(state: bytes) -> tuple[bytes | None, bytes, list[tuple[int, int]], list[tuple[int, int]]]:
+    a, b, places = _HEAD.unpack_from(state)
+    lo = _HEAD.size + max(a, 0)
+    numbers = state[lo + b:] if b <= NARROW else array("H", state[lo + b:])
+    pairs = list(zip(numbers[::2], numbers[1::2]))
+    return None if a < 0 else state[_HEAD.size:lo], state[lo:lo + b], pairs[:places], pairs[places:]
 
 
 class Transducer:
@@ -64,21 +97,27 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.longest = max(map(len, ranks), default=1)
         self.beginnings = {t[:i] for t in ranks for i in range(1, len(t))}
         #: token: the two parts of its last merge; none for a byte or where merging doesn't give the token
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
-        self.apart: dict[tuple[bytes, bytes], bool] = {}
+        #: one token's rank plus 1 (0: none) and the next one's rank: whether they stay apart
+        self.apart: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        #: state: token before; pending bytes; (place, length of the last token there) for each
-        #: place of ``pending`` at which a later token can still start; the same for other cuts
-        #: on the way to those places
-        self.states: list[tuple] = [(None, b"", ((0, 0),), ())]
+        #: a state (see ``_state``): token before; pending bytes; (place, length of the last token
+        #: there) for each place of the pending bytes at which a later token can still start; the
+        #: same for other cuts on the way to those places
+        self.states = [_state(None, b"", _START, [])]
+        #: the state found last, with its parts: mostly the next one asked for
+        self.latest: tuple = (-1, ())
         self.numbers = {self.states[0]: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        #: number of a state, times 256, plus a byte: that of the next state, times 256, plus 1
+        #: if ids are emitted
+        self.moves: dict[int, int] = {}
+        self.emitted: dict[int, tuple[int, ...]] = {}
         self.ends: dict[int, tuple[int, ...]] = {}
+        self.bytes = 0
 
     def split(self, token: bytes) -> tuple[bytes, bytes] | None:
         known = self.halves.get(token, ())
@@ -94,10 +133,11 @@ class Transducer:
 
         Undoes the merges inside both, the latest first: the two would have joined
         if at some moment the parts that touched had a merge due before the next one."""
-        if len(self.apart) > 4 * MAX_STATES:
+        if len(self.apart) * ENTRY > APART_BYTES:
             self.apart.clear()
+        key = (0 if a is None else self.ranks[a] + 1) << 32 | self.ranks[b]
         if a is None or len(b) > 1 and self.split(b) is None:
-            known = self.apart[a, b] = len(b) == 1 or self.split(b) is not None
+            known = self.apart[key] = len(b) == 1 or self.split(b) is not None
             return known
         ranks, left, right, due = self.ranks, a, b, 1 << 60
         while True:
@@ -114,34 +154,43 @@ class Transducer:
                 due, left = ranks[left], l[1]
             else:
                 due, right = ranks[right] + 1, r[0]
-        self.apart[a, b] = known
+        self.apart[key] = known
         return known
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The transition on ``byte``: (next state, ids emitted)."""
-        before, pending, alive, others = self.states[state]
-        pending += _BYTES[byte]
+    def step(self, move: int) -> int:
+        """Find a transition (a key of ``moves``) and return its value."""
+        known, parts = self.latest
+        before, pending, alive, others = parts if known == move >> 8 else _parts(self.states[move >> 8])
+        pending += _BYTES[move & 255]
         n, size, ongoing = len(pending), 0, []
         ranks, beginnings, apart = self.ranks, self.beginnings, self.apart
         for place in alive:
             p, k = place
             token = pending[p:] if p else pending
-            if not size and token in ranks:
-                previous = pending[p - k:p] if p else before
-                fits = apart.get((previous, token))
-                if fits if fits is not None else self.stay_apart(previous, token):
-                    size = n - p                    # the longest: places ascend
+            if not size:
+                rank = ranks.get(token)
+                if rank is not None:
+                    previous = pending[p - k:p] if p else before
+                    fits = apart.get((0 if previous is None else ranks[previous] + 1) << 32 | rank)
+                    if fits if fits is not None else self.stay_apart(previous, token):
+                        size = n - p                # the longest: places ascend
             if token in beginnings:
                 ongoing.append(place)
         if not size:
             raise ValueError("bytes that no token covers")
-        last = dict(alive)
-        last.update(others)
-        last[n] = size
-        ongoing.append((n, size))
-        if len(ongoing) == 1:
-            agreed = n
+        if not ongoing:
+            emitted, cut, last = (), n, dict(others)
+            last.update(alive)
+            last[n] = size
+            while cut:
+                emitted = (ranks[pending[cut - last[cut]:cut]], *emitted)
+                cut -= last[cut]
+            parts = (pending[n - size:], b"", _START, [])
         else:
+            last = dict(alive)
+            last.update(others)
+            last[n] = size
+            ongoing.append((n, size))
             # The encodings up to these places form a tree of cuts; its deepest common
             # cut is final, as every continuation starts from one of them.
             nodes = {p for p, _ in ongoing}
@@ -149,14 +198,11 @@ class Transducer:
                 deepest = max(nodes)
                 nodes.remove(deepest)
                 nodes.add(deepest - last[deepest])
-            agreed = nodes.pop()
-        emitted, cut = (), agreed
-        while cut:
-            emitted = (ranks[pending[cut - last[cut]:cut]], *emitted)
-            cut -= last[cut]
-        if agreed == n:
-            new = (pending[n - size:], b"", _START, ())
-        else:
+            agreed = cut = nodes.pop()
+            emitted = ()
+            while cut:
+                emitted = (ranks[pending[cut - last[cut]:cut]], *emitted)
+                cut -= last[cut]
             if agreed:
                 before = pending[agreed - last[agreed]:agreed]
                 pending = pending[agreed:]
@@ -171,34 +217,47 @@ class Transducer:
             # Without a token that may start there, what comes before the first place is of no use.
             if ongoing[0][0] > agreed:
                 before = None
-            new = (before, pending, tuple([(p - agreed, k if p > agreed else 0) for p, k in ongoing]),
-                   tuple(sorted(more.items())) if more else ())
-        number = self.numbers.get(new)
+            parts = (before, pending, [(p - agreed, k if p > agreed else 0) for p, k in ongoing],
+                     sorted(more.items()))
+        state = _state(*parts)
+        number = self.numbers.get(state)
         if number is None:
-            number = self.numbers[new] = len(self.states)
-            self.states.append(new)
-        move = self.moves[state << 8 | byte] = (number, emitted)
-        return move
+            number = self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.bytes += len(state) + 40 + ENTRY
+        self.latest = (number, parts)
+        value = number << 8
+        if emitted:
+            self.emitted[move] = emitted
+            self.bytes += 8 * len(emitted) + 40 + ENTRY
+            value |= 1
+        self.moves[move] = value
+        self.bytes += 32 + ENTRY
+        return value
 
     def finish(self, state: int) -> tuple[int, ...]:
-        """The ids of the bytes still pending."""
-        _, pending, alive, others = self.states[state]
+        """The ids of the bytes still pending in a state (its number times 256)."""
+        _, pending, alive, others = _parts(self.states[state >> 8])
         last, cut, out = dict(alive) | dict(others), len(pending), []
         while cut:
             out.append(self.ranks[pending[cut - last[cut]:cut]])
             cut -= last[cut]
-        self.ends[state] = tuple(out[::-1])
-        return self.ends[state]
+        known = self.ends[state] = tuple(out[::-1])
+        self.bytes += 8 * len(known) + 40 + ENTRY
+        return known
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > MAX_STATES:
+        if self.bytes > STATE_BYTES:
             self.reset()
-        moves, state, out = self.moves.get, 0, []
+        moves, emitted, state, out = self.moves.get, self.emitted, 0, []
         for byte in piece:
-            move = moves(state << 8 | byte) or self.step(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
+            move = state | byte
+            state = moves(move)
+            if state is None:
+                state = self.step(move)
+            if state & 1:
+                out += emitted[move]
+                state -= 1
         out += self.ends.get(state) or self.finish(state)
         return out
 
@@ -254,46 +313,61 @@ class StreamDecoder:
 
 
 class Tokenizer:
-    """Pre-tokens by pattern, each encoded by the transducer; frequent ones are
-    remembered, as their ids' digits, in two generations of bounded size."""
+    """Pre-tokens by pattern, each encoded by the transducer and remembered, as their
+    ids' digits, in two generations of bounded size."""
 
-    #: Pre-tokens handled at once, so that long texts stream.
+    #: Pre-tokens handled at once, and the length from which a text is read as a stream of them.
     RUN = 20_000
+    LONG = 1 << 20
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.decoder = StreamDecoder({str(i): t for t, i in ranks.items()})
-        self.findall = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
         self.words: dict[str, str] = {}
         self.older: dict[str, str] = {}
+        self.bytes = 0
+
+    def runs(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens of a text, up to ``RUN`` at a time."""
+        if len(text) <= self.LONG:
+            found = self.pattern.findall(text)
+            for lo in range(0, len(found), self.RUN):
+                yield found[lo:lo + self.RUN]
+            return
+        matches = (m.group() for m in self.pattern.finditer(text))
+        while found := list(islice(matches, self.RUN)):
+            yield found
 
     def digits(self, found: list[str]) -> str:
         """The ids of pre-tokens, in decimal, joined by spaces."""
-        if len(self.words) > MAX_WORDS:
-            self.older, self.words = self.words, {}
+        if self.bytes > WORD_BYTES:
+            self.older, self.words, self.bytes = self.words, {}, 0
         words, older = self.words, self.older
         for piece in set(found).difference(words):
             known = older.get(piece)
             if known is None:
                 known = " ".join(map(str, self.transducer.encode(piece.encode())))
             words[piece] = known
+            self.bytes += len(piece) + len(known) + 100 + ENTRY
         return " ".join(map(words.__getitem__, found))
 
     def encode(self, text: str) -> list[int]:
-        found = self.findall(text)
-        return list(map(int, self.digits(found).split(" "))) if found else []
+        return [int(i) for found in self.runs(text) for i in self.digits(found).split(" ")]
 
-    def digest(self, text: str) -> tuple[int, str, str, bool]:
-        """(number of ids, digest of the ids, digest of the decoded bytes, decoded bytes are UTF-8)."""
-        found = self.findall(text)
+    def digest(self, text: str, packed: bytearray | None = None) -> tuple[int, str, str, bool]:
+        """(number of ids, digest of the ids, digest of the decoded bytes, decoded bytes are
+        UTF-8); the ids themselves are added to ``packed``, four bytes each."""
         n, state, plain, back = 0, START, hashlib.sha256(), hashlib.sha256()
-        for lo in range(0, len(found), self.RUN):
-            digits = self.digits(found[lo:lo + self.RUN])
+        for found in self.runs(text):
+            digits = self.digits(found)
             ids = digits.split(" ")
+            plain.update((f" {digits}" if n else digits).encode())
             n += len(ids)
-            plain.update((f" {digits}" if lo else digits).encode())
             decoded, state = self.decoder.decode(ids, state)
             back.update(decoded)
+            if packed is not None:
+                packed += np.fromstring(digits, "<i4", sep=" ").tobytes()
         return n, plain.hexdigest(), back.hexdigest(), state == START
 
 
@@ -308,24 +382,33 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", ids: bool = False) -> DataFrame:
     """Per document: id, n_tokens, ids_sha256, decoded_sha256 and whether the
-    decoded stream ended between characters. ``path``: the rank file, present on
-    every machine."""
+    decoded stream ended between characters; with ``ids`` also the ids, as a binary
+    column of little-endian 32-bit numbers (``unpack_ids``). ``path``: the rank file,
+    present on every machine."""
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "valid_utf8", *(["ids"] if ids else [])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         t = tokenizer(path, pattern)
         for part, _, _ in slices(batches):
-            rows = [t.digest(x or "") for x in part.column(1).to_pylist()]
-            n, ids, back, valid = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(back), pa.array(valid)],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256", "valid_utf8"])
+            packed = [bytearray() if ids else None for _ in range(part.num_rows)]
+            rows = [t.digest(x or "", p) for x, p in zip(part.column(1).to_pylist(), packed)]
+            n, sha, back, valid = zip(*rows)
+            columns = [part.column(0), pa.array(n, pa.int64()), pa.array(sha), pa.array(back), pa.array(valid)]
+            if ids:
+                columns.append(pa.array([bytes(p) for p in packed], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = dict(slim.dtypes)["id"]
-    return slim.mapInArrow(work, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, "
-                                 "valid_utf8 boolean").withColumnRenamed("id", id_col)
+    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, valid_utf8 boolean"
+    return slim.mapInArrow(work, schema + (", ids binary" if ids else "")).withColumnRenamed("id", id_col)
+
+
+def unpack_ids(packed: bytes) -> list[int]:
+    return np.frombuffer(packed, "<i4").tolist()
 
 
 def vocabulary() -> tuple[str, str]:

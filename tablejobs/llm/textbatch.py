@@ -6,6 +6,7 @@ the bytes of consecutive texts plus their offsets. Null texts are empty.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 
@@ -21,8 +22,11 @@ U64 = np.uint64
 
 
 def trim_memory() -> None:
-    """Give the allocator's unused pages back to the system after a large task."""
+    """Give the allocators' unused pages back to the system after a large task."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc
+    if trim is not None:
+        trim(0)
 
 
 def text_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

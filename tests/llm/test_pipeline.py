@@ -40,11 +40,13 @@ def test_stages(spark, small_dir, documents):
             library = bpe.tokenizer(*bpe.vocabulary())
             assert {i: (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.valid_utf8) for i, r in after.items()} == {
                 i: library.digest(t) for i, t in texts.items()}
+            assert {i: bpe.unpack_ids(r.ids) for i, r in after.items()} == {
+                i: library.encode(t) for i, t in texts.items()}
 
 
 def test_run_is_registered(spark, small_dir):
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert names["pipeline"](spark, small_dir).count() > 0

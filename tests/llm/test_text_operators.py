@@ -1,6 +1,7 @@
 """Operators on single texts: tokenising, language, extraction."""
 
 import random
+import sys
 
 import pytest
 import tiktoken
@@ -31,12 +32,42 @@ def test_bpe_equals_the_library(tokenizer, documents):
 
 def test_bpe_survives_forgetting(tokenizer, documents, monkeypatch):
     ours = bpe.Tokenizer(tokenizer[0].transducer.ranks, bpe.vocabulary()[1])
-    monkeypatch.setattr(bpe, "MAX_STATES", 50)
-    monkeypatch.setattr(bpe, "MAX_WORDS", 20)
+    for bound, size in (("STATE_BYTES", 9000), ("WORD_BYTES", 4000), ("APART_BYTES", 5000)):
+        monkeypatch.setattr(bpe, bound, size)
+    monkeypatch.setattr(bpe, "NARROW", 3)
     for d in documents[:20]:
         assert ours.encode(d["text"]) == tokenizer[1].encode_ordinary(d["text"])
 
 
+def test_bpe_memory_is_bounded_in_bytes(tokenizer, documents, monkeypatch):
+    """What a worker remembers of made-up words without end stays below the bounds, and
+    the bookkeeping is not below what the objects take."""
+    ours = bpe.Tokenizer(tokenizer[0].transducer.ranks, bpe.vocabulary()[1])
+    for bound, size in (("STATE_BYTES", 2 << 20), ("WORD_BYTES", 1 << 20), ("APART_BYTES", 1 << 19)):
+        monkeypatch.setattr(bpe, bound, size)
+    rng, t = random.Random(9), ours.transducer
+    for _ in range(60):
+        ours.digest(" ".join("".join(rng.choices("aeinrstöзж漢", k=rng.randint(3, 12))) for _ in range(400)))
+        deep = sum(map(sys.getsizeof, (t.states, t.numbers, t.moves, t.emitted, t.ends)))
+        deep += sum(map(sys.getsizeof, t.states)) + 60 * len(t.moves)
+        deep += sum(map(sys.getsizeof, [*t.emitted.values(), *t.ends.values()]))
+        words = sum(map(sys.getsizeof, [ours.words, ours.older, *ours.words, *ours.words.values()]))
+        assert t.bytes < (2 << 20) + 100_000 and deep < 1.3 * t.bytes + 20_000
+        assert ours.bytes < (1 << 20) + 400_000 and words < 3 * (1 << 20)
+        assert len(t.apart) * bpe.ENTRY < (1 << 19) + bpe.ENTRY * 2
+
+
+def test_bpe_long_texts_stream(tokenizer, monkeypatch):
+    """A text above ``LONG`` is read by runs of pre-tokens, with the same ids."""
+    ours = bpe.Tokenizer(tokenizer[0].transducer.ranks, bpe.vocabulary()[1])
+    text = "A long text's pre-tokens: 12 345, naïve 漢字 ... \n\n  end " * 300
+    whole = ours.digest(text)
+    monkeypatch.setattr(bpe.Tokenizer, "LONG", 100)
+    monkeypatch.setattr(bpe.Tokenizer, "RUN", 7)
+    assert max(map(len, ours.runs(text))) == 7 and ours.digest(text) == whole
+    assert ours.encode(text) == tokenizer[1].encode_ordinary(text)
+
+
 def test_streaming_utf8():
     decoder = bpe.StreamDecoder({str(i): bytes([i]) for i in range(256)})
     state, out = bpe.START, b""
