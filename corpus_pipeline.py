@@ -6,7 +6,7 @@ quality rules           documents that the weakly supervised rules reject go
 n-gram jaccard join     one document of each group of linked documents stays
 suffix-array dedup      passages that also start earlier are cut out
 decontamination         passages of the benchmark are cut out
-byte-level bpe          every text is encoded, decoded and digested
+byte-level bpe          every text is encoded (packed ids), decoded and digested
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode and decode every text."""
-    return encode_decode(docs, *vocabulary())
+    """Encode every text, and decode it again; the ids are what a training job reads."""
+    return encode_decode(docs, *vocabulary(), ids=True)
 
 
 STAGES = [("quality rules", quality), ("n-gram jaccard join", near_duplicates),
