@@ -3,15 +3,22 @@
 ``coalesce(n)`` merges partitions without a shuffle (narrow); ``repartition``
 redistributes with an Exchange (wide). ``cache`` keeps an intermediate result
 (at ``df.cache()``'s level, memory then disk) so later actions skip recomputing it; a lost executor's
-cached blocks are rebuilt from lineage. ``checkpointed`` writes the result to
-the shared checkpoint folder and cuts the lineage.
+cached blocks are rebuilt from lineage; ``held`` releases it after its last
+consumer. ``checkpointed`` writes the result to the shared checkpoint folder and
+cuts the lineage. Without either, two consumers of one DataFrame in one query
+still share its shuffle: Spark runs the Exchange once and reads it twice.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from tablejobs.operators.aggregate import group_sum
 from tablejobs.session import scratch_root
 
 
@@ -31,6 +38,26 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_DES
     return df.persist(level)
 
 
+@contextmanager
+def held(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER) -> Iterator[DataFrame]:
+    """``df`` cached for the consumers inside the ``with`` block and released when it
+    ends, also by an error. Run the consumers' actions inside: a result that is used
+    later would fill the cache again."""
+    kept = cached(df, level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist(blocking=True)
+
+
+def totals_by_each(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(key, ``value``): the sums of ``value`` by each of ``keys``, one below the other. Every
+    key is a consumer of ``counts``, so what ``counts`` costs is paid once if it is cached,
+    checkpointed, or ends in an Exchange."""
+    totals = [group_sum(counts.withColumnRenamed(k, "key"), "key", value, name=value) for k in keys]
+    return reduce(DataFrame.unionByName, totals)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the application's shared checkpoint folder and continue
     from there: the lineage is cut, so a lost executor costs a re-read of the

@@ -68,6 +68,18 @@ def read_json(spark: SparkSession, path: str,
     return reader.load(path)
 
 
+def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """``df`` (inferred from JSON, say) with the declared columns, in their order and
+    with their types, found by name; a missing one is NULL, others are left out.
+    A value that doesn't read as its declared type fails (ANSI) or becomes NULL."""
+    declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    fold = name_fold(df.sparkSession)
+    have = {fold(c): c for c in df.columns}
+    return df.select(*[
+        (F.col(f"`{have[fold(f.name)]}`") if fold(f.name) in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in declared.fields])
+
+
 def read_files(spark: SparkSession, path: str, fmt: str | None = None,
                schema: StructType | str | None = None, **options) -> DataFrame:
     """Generic ``format(f).load(p)``; with no format the session default
@@ -103,14 +115,22 @@ def raw_preview(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
 
 
 def require_columns(spark: SparkSession, path: str, schema: StructType | str,
-                    fmt: str = "parquet") -> DataFrame:
+                    fmt: str = "parquet", every_file: bool = False) -> DataFrame:
     """Read ``path`` with a declared schema after checking it against the
     schema stored in the files (one footer job).
 
     Parquet silently returns NULL for a declared name it does not find and
     fails only at an action on a wrong type; this check fails early with the
-    list of offending columns instead."""
+    list of offending columns instead. Spark takes the stored schema from one
+    footer; ``every_file`` (Parquet only) holds the declaration against all of
+    them (see ``sources.audit``)."""
     declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if every_file:
+        from tablejobs.sources.audit import schema_offences
+        found = [tuple(r) for r in schema_offences(spark, path, declared).collect()]
+        if found:
+            raise ValueError(f"schema does not match all files of {path}: {found}")
+        return spark.read.format(fmt).schema(declared).load(path)
     stored = spark.read.format(fmt).load(path).schema
     fold = name_fold(spark)
     fields = {fold(f.name): f for f in stored.fields}
