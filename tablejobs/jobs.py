@@ -12,7 +12,9 @@ event_type = unit, value = temperature), ``lineitem`` the large fact table,
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +28,19 @@ from tablejobs.operators.actions import partition_profile
 from tablejobs.schemas import CUSTOMER_SCHEMA, EVENTS_DDL, TABLE_DDL
 from tablejobs.session import scratch_path, table_path, unique_name
 from tablejobs.sources import (
+    NULL_MARKER_OPTIONS,
+    conform,
     raw_preview,
     read_csv,
+    read_csv_exact,
     read_files,
     read_json,
     read_parquet,
+    schema_audit,
     write_csv,
+    write_csv_exact,
     write_files,
+    write_numbered,
     write_with_inventory,
 )
 
@@ -145,6 +153,33 @@ def reduce_row(spark, sf_dir):
     return ops.max_row(_table(spark, sf_dir, "orders"), "o_totalprice", "o_orderkey")
 
 
+#: The prime the keys' product is taken by.
+FOLD_PRIME = 2**31 - 1
+
+
+def fold_any_rows(spark, sf_dir) -> DataFrame:
+    """What ``fold_any`` folds: a one and a number from 1 to the prime less 1 per line."""
+    key = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return _lineitem(spark, sf_dir).select(F.lit(1).cast("bigint").alias("n"),
+                                           (1 + key % (FOLD_PRIME - 1)).alias("product"))
+
+
+def fold_any(spark, sf_dir):
+    """A fold that no aggregate expresses: the number of lines and the product of their
+    keys modulo a prime."""
+    def merge(a, b, prime=FOLD_PRIME):
+        return a[0] + b[0], a[1] * b[1] % prime
+
+    def fold_batch(batch, prime=FOLD_PRIME):
+        n, left = batch.num_rows, np.asarray(batch.column(1))
+        while len(left) > 1:                # halves are multiplied pairwise; one may be left over
+            half = len(left) // 2
+            left = np.append(left[:half] * left[half:2 * half] % prime, left[2 * half:])
+        return n, int(left[0])
+
+    return ops.fold_any(fold_any_rows(spark, sf_dir), merge, fold_batch)
+
+
 # ----------------------------------------------------------- consistency check
 
 def fd_check(spark, sf_dir):
@@ -196,19 +231,40 @@ def repartition_coalesce(spark, sf_dir):
     return ops.narrow_to(repartition_rows(spark, sf_dir), _parts(spark) // 2)
 
 
+#: The keys of the counts that the reuse jobs make once and sum up twice.
+_REUSED = ["o_orderstatus", "o_orderpriority"]
+
+
+def _reused_counts(spark, sf_dir) -> DataFrame:
+    return ops.group_count(_table(spark, sf_dir, "orders"), *_REUSED, name="n", order=False)
+
+
 def cache_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """(cached counts per status and priority, both totals made from them). The
     aggregate is cached after the groupBy and read by two consumers; call
     ``unpersist()`` on the first when done."""
-    counted = ops.cached(ops.group_count(_table(spark, sf_dir, "orders"), "o_orderstatus",
-                                         "o_orderpriority", name="n", order=False))
-    totals = [ops.group_sum(counted.withColumnRenamed(key, "key"), "key", "n", name="n")
-              for key in ("o_orderstatus", "o_orderpriority")]
-    return counted, totals[0].unionByName(totals[1])
+    counted = ops.cached(_reused_counts(spark, sf_dir))
+    return counted, ops.totals_by_each(counted, _REUSED, "n")
 
 
 def cache_reuse(spark, sf_dir):
-    return cache_parts(spark, sf_dir)[1]
+    """Both totals from counts that are cached, and released after the second one."""
+    path = scratch_path(spark, "cache_reuse")
+    with ops.held(_reused_counts(spark, sf_dir)) as counted:
+        write_files(ops.totals_by_each(counted, _REUSED, "n"), path, "parquet")
+    return read_parquet(spark, path)
+
+
+def shuffle_reuse(spark, sf_dir):
+    """Both totals from the same counts in one query: Spark runs the counts' shuffle
+    once and reads it twice; nothing is kept."""
+    return ops.totals_by_each(_reused_counts(spark, sf_dir), _REUSED, "n")
+
+
+def checkpoint_reuse(spark, sf_dir):
+    """Both totals from counts checkpointed to the shared folder: a lost executor
+    costs a read of those files, not the scan."""
+    return ops.totals_by_each(ops.checkpointed(_reused_counts(spark, sf_dir)), _REUSED, "n")
 
 
 def partition_profile_job(spark, sf_dir):
@@ -280,6 +336,78 @@ def json_roundtrip(spark, sf_dir):
     return read_json(spark, path, EVENTS_DDL)
 
 
+def json_infer(spark, sf_dir):
+    """The same files without a schema: one more job to learn it, columns by name,
+    timestamps as strings."""
+    path = scratch_path(spark, "events_json")
+    write_files(_table(spark, sf_dir, "events"), path, "json", "overwrite")
+    return read_json(spark, path)
+
+
+def awkward_events(spark, sf_dir) -> DataFrame:
+    """Whole events, with what text formats lose: NULL and empty strings side by side,
+    spaces at both ends, quotes, separators, line breaks, and text like the NULL marker."""
+    third = F.col("event_id") % 3
+    props = (F.when(third == 0, F.lit(None)).when(third == 1, F.lit(""))
+             .otherwise(F.concat(F.lit('  "a",\\N\n\r'), "props", F.lit("\\ "))))
+    marker = F.when(F.col("event_id") % 7 == 0, F.lit("\\N")).otherwise(F.col("event_type"))
+    return _table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", marker.alias("event_type"),
+        F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"), props.alias("props"))
+
+
+def csv_exact(spark, sf_dir):
+    path = scratch_path(spark, "events_exact_csv")
+    write_csv_exact(awkward_events(spark, sf_dir), path)
+    return read_csv_exact(spark, path, EVENTS_DDL)
+
+
+def audited_orders(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Orders as they are, and with a narrower key, without a column and with a new one."""
+    orders = _table(spark, sf_dir, "orders")
+    later = orders.drop("o_orderpriority").withColumns({
+        "o_custkey": F.col("o_custkey").cast("int"), "o_note": F.lit("later")})
+    return orders, later
+
+
+def schema_audit_job(spark, sf_dir):
+    """What the footers of a folder say in which two schemas were written."""
+    path = scratch_path(spark, "orders_two_schemas")
+    for part, mode in zip(audited_orders(spark, sf_dir), ("errorifexists", "append")):
+        write_files(part, path, "parquet", mode)
+    return schema_audit(spark, path).select("col_name", "data_type", "n_rows", "every_file")
+
+
+def _typed_copies(spark, orders: DataFrame) -> dict[str, DataFrame]:
+    """Orders written in each format and read back without a declared schema."""
+    paths = {fmt: scratch_path(spark, f"orders_{fmt}") for fmt in ("parquet", "orc", "json", "csv")}
+    for fmt, path in paths.items():
+        if fmt == "csv":
+            write_csv(orders, path, **NULL_MARKER_OPTIONS)
+        else:
+            write_files(orders, path, fmt)
+    return {"parquet": read_parquet(spark, paths["parquet"]), "orc": read_files(spark, paths["orc"], "orc"),
+            "json": read_json(spark, paths["json"]),
+            "csv": read_csv(spark, paths["csv"], infer_schema=True, **NULL_MARKER_OPTIONS)}
+
+
+def types_survive(spark, sf_dir):
+    """Per format and column of the orders: the type before and after a write, the NULLs,
+    and the values that differ once they have their type again."""
+    orders = _table(spark, sf_dir, "orders")
+    found = []
+    for fmt, back in _typed_copies(spark, orders).items():
+        stored = dict(back.dtypes)
+        kinds = F.create_map(*[F.lit(x) for c, kind in orders.dtypes for x in (c, f"{kind} {stored[c]}")])
+        both = F.split(F.element_at(kinds, F.col("col_name")), " ")
+        found.append(ops.multiset_difference(orders, conform(back, orders.schema))
+                     .filter(F.col("col_name").isNotNull())
+                     .select(F.lit(fmt).alias("format"), "col_name", both[0].alias("written"),
+                             both[1].alias("stored"), "n_null",
+                             (F.col("only_left") + F.col("only_right")).alias("n_differ")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def default_format(spark, sf_dir):
     path = scratch_path(spark, "supplier_default")
     write_files(_table(spark, sf_dir, "supplier"), path, None, "overwrite")
@@ -309,6 +437,23 @@ def file_inventory_job(spark, sf_dir):
                                 scratch_path(spark, "orders_files"))
 
 
+#: Part files of ``file_rows``.
+ROW_FILES = 32
+
+
+def numbered_orders(spark, sf_dir) -> DataFrame:
+    return _table(spark, sf_dir, "orders").repartitionById(
+        ROW_FILES, (F.col("o_orderkey") % ROW_FILES).cast("int"))
+
+
+def file_rows(spark, sf_dir):
+    """Orders written so that the key says which part file a row is in; one row per
+    file: its task, how many rows are found in it, and whether it has a size."""
+    files = write_numbered(_table(spark, sf_dir, "orders"), scratch_path(spark, "orders_numbered"),
+                           F.col("o_orderkey") % ROW_FILES, ROW_FILES)
+    return files.select("task", "n_rows", (F.col("size") > 0).alias("has_size"))
+
+
 # ---------------------------------------------------------------------- sinks
 
 def sink_overwrite(spark, sf_dir):
@@ -374,6 +519,18 @@ def table_drop(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+def table_append(spark, sf_dir):
+    """A table of orders is read, appended to with its columns in another order, and read
+    again: the rows go by column name and the second read sees the new files."""
+    orders = _table(spark, sf_dir, "orders")
+    table = f"{catalog.new_database(spark, 'app')}.orders_app"
+    before = catalog.save_external(orders, table, scratch_path(spark, "orders_app")).count()
+    after = catalog.append_to_table(orders.select(*reversed(orders.columns)), table)
+    if after.count() != 2 * before:
+        raise AssertionError(f"{table} does not show what was appended")
+    return after
+
+
 def table_managed(spark, sf_dir):
     db = catalog.new_database(spark, "man")
     return catalog.save_managed(_table(spark, sf_dir, "supplier"), f"{db}.supplier_man")
@@ -423,8 +580,8 @@ _WHOLE = {
                  "table_external", "table_drop"],
     "supplier": ["csv_noheader", "default_format", "table_scan", "sink_append", "table_managed",
                  "table_register", "sink_error"],
-    "orders": ["file_inventory", "sink_overwrite", "sink_ignore"],
-    "events": ["json_roundtrip"],
+    "orders": ["file_inventory", "sink_overwrite", "sink_ignore", "table_append", "types_survive"],
+    "events": ["json_roundtrip", "json_infer"],
 }
 
 
@@ -435,6 +592,12 @@ def sink_aggregate_plan(spark, sf_dir) -> DataFrame:
 WRITE_PLANS: dict[str, Job] = {
     "seven_steps": seven_steps_plan,
     "sink_aggregate": sink_aggregate_plan,
+    "cache_reuse": lambda spark, sf_dir: cache_parts(spark, sf_dir)[1],
+    "checkpoint_reuse": _reused_counts,
+    "csv_exact": awkward_events,
+    "file_rows": numbered_orders,
+    "fold_any": fold_any_rows,
+    "schema_audit": lambda spark, sf_dir: audited_orders(spark, sf_dir)[1],
     **{key: (lambda spark, sf_dir, table=table: _table(spark, sf_dir, table))
        for table, keys in _WHOLE.items() for key in keys},
 }
@@ -462,6 +625,7 @@ JOBS: dict[str, Job] = {
     "top_n": top_n,
     "first_row": first_row,
     "reduce_row": reduce_row,
+    "fold_any": fold_any,
     # consistency
     "fd_check": fd_check,
     "fd_pass": fd_pass,
@@ -471,6 +635,8 @@ JOBS: dict[str, Job] = {
     "repartition_rows": repartition_rows,
     "repartition_coalesce": repartition_coalesce,
     "cache_reuse": cache_reuse,
+    "shuffle_reuse": shuffle_reuse,
+    "checkpoint_reuse": checkpoint_reuse,
     "partition_profile": partition_profile_job,
     # sources
     "csv_infer": csv_infer,
@@ -482,10 +648,15 @@ JOBS: dict[str, Job] = {
     "parquet_struct": parquet_struct,
     "parquet_ddl": parquet_ddl,
     "json_roundtrip": json_roundtrip,
+    "json_infer": json_infer,
+    "csv_exact": csv_exact,
+    "schema_audit": schema_audit_job,
+    "types_survive": types_survive,
     "default_format": default_format,
     "raw_preview": raw_preview_job,
     "table_scan": table_scan,
     "file_inventory": file_inventory_job,
+    "file_rows": file_rows,
     # sinks
     "sink_overwrite": sink_overwrite,
     "sink_append": sink_append,
@@ -493,6 +664,7 @@ JOBS: dict[str, Job] = {
     "sink_error": sink_error,
     "sink_aggregate": sink_aggregate,
     "table_external": table_external,
+    "table_append": table_append,
     "table_managed": table_managed,
     "table_register": table_register,
     "table_drop": table_drop,

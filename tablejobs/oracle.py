@@ -14,6 +14,16 @@ from __future__ import annotations
 _GROUP_COUNT = ("SELECT l_returnflag, l_linestatus, count(*) AS counts "
                 "FROM lineitem GROUP BY ALL")
 
+_TOTALS = ("SELECT o_orderstatus AS key, count(*) AS n FROM orders GROUP BY 1 UNION ALL "
+           "SELECT o_orderpriority, count(*) FROM orders GROUP BY 1")
+
+# Orders' columns: type as written, as stored by Parquet and ORC, as inferred from JSON and CSV.
+# CSV keys are INTEGER by inference until one passes 2^31.
+_ORDER_TYPES = [("o_orderkey", "bigint", "bigint", "int"), ("o_custkey", "bigint", "bigint", "int"),
+                ("o_orderstatus", "string", "string", "string"), ("o_totalprice", "double", "double", "double"),
+                ("o_orderdate", "timestamp_ntz", "string", "timestamp"),
+                ("o_orderpriority", "string", "string", "string")]
+
 ORACLE_SQL: dict[str, str] = {
     # aggregation
     "group_count": _GROUP_COUNT + " ORDER BY 1 NULLS FIRST, 2 NULLS FIRST",
@@ -47,6 +57,8 @@ ORACLE_SQL: dict[str, str] = {
     "first_row": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1",
     "reduce_row": ("SELECT o_totalprice, o_orderkey FROM orders "
                    "ORDER BY 1 DESC, 2 DESC LIMIT 1"),
+    "fold_any": ("SELECT count(*) AS n, list_reduce(list(1 + (l_orderkey * 10 + l_linenumber) % 2147483646), "
+                 "lambda a, b: a * b % 2147483647) AS product FROM lineitem"),
     # consistency
     "fd_check": ("SELECT (SELECT count(*) FROM (SELECT DISTINCT p_name FROM part)) AS n_keys, "
                  "(SELECT count(*) FROM (SELECT DISTINCT p_name, p_brand, p_type FROM part)) "
@@ -62,8 +74,9 @@ ORACLE_SQL: dict[str, str] = {
                     "GROUP BY 1 HAVING count(*) > 200"),
     "repartition_rows": "SELECT * FROM orders",
     "repartition_coalesce": "SELECT * FROM orders",
-    "cache_reuse": ("SELECT o_orderstatus AS key, count(*) AS n FROM orders GROUP BY 1 UNION ALL "
-                    "SELECT o_orderpriority, count(*) FROM orders GROUP BY 1"),
+    "cache_reuse": _TOTALS,
+    "shuffle_reuse": _TOTALS,
+    "checkpoint_reuse": _TOTALS,
     "partition_profile": "SELECT count(*) AS n_rows, count(l_shipdate) AS n_ship FROM lineitem",
     # sources
     "csv_infer": ("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, "
@@ -90,6 +103,24 @@ ORACLE_SQL: dict[str, str] = {
     "table_scan": "SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1",
     "file_inventory": ("SELECT true AS files_match, true AS sizes_match, count(*) AS n_rows "
                        "FROM orders"),
+    "file_rows": ("SELECT CAST(o_orderkey % 32 AS INTEGER) AS task, count(*) AS n_rows, true AS has_size "
+                  "FROM orders GROUP BY 1"),
+    "json_infer": ("SELECT event_id, ts.strftime('%Y-%m-%dT%H:%M:%S.%f') AS ts, user_id, event_type, "
+                   "value, props FROM events"),
+    "csv_exact": ("SELECT event_id, ts, user_id, CASE WHEN event_id % 7 = 0 THEN '\\N' ELSE event_type END "
+                  "AS event_type, CASE WHEN event_id % 5 <> 0 THEN value END AS value, "
+                  "CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE "
+                  "'  \"a\",\\N' || chr(10) || chr(13) || props || '\\ ' END AS props FROM events"),
+    "schema_audit": ("SELECT col_name, data_type, parts * (SELECT count(*) FROM orders) AS n_rows, "
+                     "parts = 2 AS every_file FROM (VALUES ('o_orderkey', 'bigint', 2), "
+                     "('o_custkey', 'bigint', 1), ('o_custkey', 'int', 1), ('o_orderstatus', 'string', 2), "
+                     "('o_totalprice', 'double', 2), ('o_orderdate', 'timestamp_ntz', 2), "
+                     "('o_orderpriority', 'string', 1), ('o_note', 'string', 1)) t(col_name, data_type, parts)"),
+    "types_survive": " UNION ALL ".join(
+        f"SELECT '{fmt}' AS format, '{name}' AS col_name, '{written}' AS written, '{stored}' AS stored, "
+        f"count(*) FILTER ({name} IS NULL) AS n_null, CAST(0 AS BIGINT) AS n_differ FROM orders"
+        for name, written, json, csv in _ORDER_TYPES
+        for fmt, stored in (("parquet", written), ("orc", written), ("json", json), ("csv", csv))),
     # sinks
     "sink_overwrite": "SELECT * FROM orders",
     "sink_append": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
@@ -98,6 +129,7 @@ ORACLE_SQL: dict[str, str] = {
     "sink_aggregate": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1",
     "table_external": "SELECT * FROM customer",
     "table_drop": "SELECT * FROM customer",
+    "table_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "table_managed": "SELECT * FROM supplier",
     "table_register": "SELECT * FROM supplier",
     # catalog and SQL entry

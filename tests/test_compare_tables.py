@@ -1,0 +1,118 @@
+"""Multiset comparison, exact CSV, and the three ways to reuse an intermediate result."""
+
+import datetime as dt
+import decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablejobs import jobs
+from tablejobs import operators as ops
+from tablejobs.plans import jobs_started, plan_text
+from tablejobs.plans.inspect import executed_plan
+from tablejobs.session import scratch_path, table_path
+from tablejobs.sources import read_csv_exact, read_parquet, write_csv_exact
+
+SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _diff(a, b):
+    return {r["col_name"]: tuple(r)[1:] for r in ops.multiset_difference(a, b).collect()}
+
+
+def test_multiset_difference_counts_copies_and_nulls(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (None, "y")], "k INT, s STRING")
+    b = spark.createDataFrame([("x", 1), (None, 2), ("y", 3), ("y", 3)], "s STRING, k INT")
+    assert _diff(a, b) == {None: (0, 2, 2), "k": (1, 2, 2), "s": (1, 1, 1)}
+    assert _diff(a, a.repartition(3)) == {None: (0, 0, 0), "k": (1, 0, 0), "s": (1, 0, 0)}
+    assert _diff(a, a.limit(0)) == {None: (0, 4, 0), "k": (1, 4, 0), "s": (1, 4, 0)}
+    assert _diff(a.limit(0), a.limit(0)) == {}
+    with pytest.raises(ValueError, match="columns differ"):
+        ops.multiset_difference(a, a.withColumn("k", F.col("k").cast("long")))
+
+
+def test_swapped_values_keep_columns_but_not_rows(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k INT, s STRING")
+    b = spark.createDataFrame([(1, "y"), (2, "x")], "k INT, s STRING")
+    assert _diff(a, b) == {None: (0, 2, 2), "k": (0, 0, 0), "s": (0, 0, 0)}
+
+
+def test_types_survive_finds_what_a_format_loses(spark, sf_dir):
+    rows = {(r["format"], r["col_name"]): r for r in jobs.types_survive(spark, sf_dir).collect()}
+    assert rows["parquet", "o_orderdate"]["stored"] == "timestamp_ntz"
+    assert rows["json", "o_orderdate"]["stored"] == "string"
+    assert len(rows) == 24 and all(r["n_differ"] == 0 for r in rows.values())
+    orders = read_parquet(spark, table_path(sf_dir, "orders"))
+    cut = orders.withColumn("o_orderdate", F.date_trunc("day", "o_orderdate").cast("timestamp_ntz"))
+    moved = orders.filter("o_orderdate <> date_trunc('day', o_orderdate)").count()
+    differ = _diff(orders, cut)
+    assert differ["o_custkey"] == (0, 0, 0) and (differ["o_orderdate"][1] > 0) == (moved > 0)
+
+
+text = st.text(st.characters(blacklist_categories=("Cs",), blacklist_characters="\x00"), max_size=10)
+awkward = st.one_of(st.none(), text, st.sampled_from(["", "\\N", "\\", "\\n", "\\bn", "\n", "\r\n", ' "q" ', ",;\t|"]))
+
+
+@SETTINGS
+@given(vals=st.lists(awkward, min_size=1, max_size=20), sep=st.sampled_from([",", "|", "\t"]))
+def test_exact_csv_keeps_every_string_on_one_line(spark, vals, sep):
+    path = scratch_path(spark, "exact")
+    df = spark.createDataFrame(list(enumerate(vals)), "id INT, v STRING").coalesce(1)
+    write_csv_exact(df, path, sep=sep)
+    assert [r["v"] for r in read_csv_exact(spark, path, df.schema, sep=sep).orderBy("id").collect()] == vals
+
+
+def test_exact_csv_is_one_line_per_row(spark, sf_dir):
+    events = jobs.awkward_events(spark, sf_dir)
+    path = scratch_path(spark, "exact_lines")
+    write_csv_exact(events, path, header=False)
+    assert spark.read.text(path).count() == events.count()
+
+
+def test_exact_csv_keeps_every_kind(spark):
+    rows = [(1, 1.1, decimal.Decimal("1.230"), True, dt.date(1, 1, 1), dt.datetime(2020, 2, 29, 1, 2, 3, 456789),
+             bytearray(b"\x00\xff\n"), float("inf")),
+            (None,) * 8,
+            (-(2**63), 5e-324, decimal.Decimal("-99999.999"), False, dt.date(9999, 12, 31),
+             dt.datetime(1969, 12, 31, 23, 59, 59, 999999), bytearray(b""), float("-inf"))]
+    df = spark.createDataFrame(rows, "l BIGINT, d DOUBLE, dec DECIMAL(8,3), b BOOLEAN, da DATE, tn TIMESTAMP_NTZ, "
+                                     "bi BINARY, i DOUBLE")
+    df = df.withColumn("ts", F.col("tn").cast("timestamp"))
+    path = scratch_path(spark, "exact_kinds")
+    write_csv_exact(df, path)
+    back = read_csv_exact(spark, path, df.schema)
+    assert back.dtypes == df.dtypes and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(ValueError, match="no exact text form"):
+        write_csv_exact(spark.sql("SELECT array(1) AS a"), scratch_path(spark, "exact_nested"))
+
+
+def test_cache_is_released_after_its_last_consumer(spark, sf_dir):
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    result = jobs.cache_reuse(spark, sf_dir)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+    assert "InMemoryTableScan" not in plan_text(result, "simple")
+    with pytest.raises(RuntimeError):
+        with ops.held(spark.range(5)) as kept:
+            kept.count()
+            raise RuntimeError
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_one_shuffle_serves_two_consumers(spark, sf_dir):
+    totals = jobs.shuffle_reuse(spark, sf_dir)
+    totals.collect()
+    assert "ReusedExchange" in executed_plan(totals)
+
+
+def test_lineage_ends_at_the_checkpoint(spark, sf_dir):
+    started, totals = jobs_started(spark, lambda: jobs.checkpoint_reuse(spark, sf_dir))
+    plan = plan_text(totals, "simple")
+    assert started >= 1 and "FileScan" not in plan and plan.count("ExistingRDD") == 2
+
+
+def test_totals_by_each_of_many_keys(spark):
+    counts = spark.createDataFrame([("a", "x", 2), ("a", "y", 3), (None, "x", 4)], "p STRING, q STRING, n LONG")
+    rows = sorted((tuple(r) for r in ops.totals_by_each(counts, ["p", "q"], "n").collect()), key=repr)
+    assert rows == sorted([("a", 5), (None, 4), ("x", 6), ("y", 3)], key=repr)

@@ -141,7 +141,7 @@ READ_ONLY_JOBS = [
     "row_count", "distinct_count", "unit_stats", "filter_post_agg", "select_cols", "filter_eq",
     "filter_like", "drop_cols", "derive_cols", "convert_units", "distinct_rows", "top_n",
     "first_row", "reduce_row", "fd_check", "fd_pass", "fd_violations", "repartition_rows", "repartition_coalesce",
-    "cache_reuse", "partition_profile", "parquet_struct", "parquet_ddl", "view_from_df",
+    "shuffle_reuse", "partition_profile", "parquet_struct", "parquet_ddl", "view_from_df",
     "view_from_sql", "sql_params",
 ]
 
