@@ -31,7 +31,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablejobs.llm.store import read
+from tablejobs.llm.store import free_names, read
 from tablejobs.llm.suffixes import FMIndex
 from tablejobs.llm.textbatch import ALNUM, WordHasher, ranges, row_counts, slices, text_view
 
@@ -283,8 +283,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", blo
     key = F.sha2(F.col(f"`{text}`"), 256)
     keyed = docs.select(key.alias("id"), F.lit(0).cast("long").alias("h"), F.lit(0).alias("size"),
                         F.col(f"`{text}`").alias("text"))
-    spans = _merged(keyed, parts).filter("n_hit > 0").select(F.col("id").alias("_k"), F.col("spans").alias("_spans"))
-    marked = docs.withColumn("_k", key).join(spans, "_k", "left").drop("_k")
+    by, cuts = free_names(docs, "_k", "_spans")
+    spans = _merged(keyed, parts).filter("n_hit > 0").select(F.col("id").alias(by), F.col("spans").alias(cuts))
+    marked = docs.withColumn(by, key).join(spans, by, "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches, text):
@@ -294,7 +295,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", blo
             part = part.drop_columns([part.schema.names[-1]])
             yield replaced(part, text, *_cut(data, offsets, row, start, end)) if len(row) else part
 
-    return marked.select(*[F.col(f"`{c}`") for c in docs.columns], "_spans").mapInArrow(cut, schema)
+    return marked.select(*[F.col(f"`{c}`") for c in docs.columns], cuts).mapInArrow(cut, schema)
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:

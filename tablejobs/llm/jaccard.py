@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from tablejobs.llm.components import join_labels
 from tablejobs.llm.repeats import _unpack
-from tablejobs.llm.store import partitions, read, saved, temporary
+from tablejobs.llm.store import free_names, partitions, read, saved, temporary
 from tablejobs.llm.textbatch import SPACED, U64, WordHasher, binary_array, mix, row_counts, slices
 
 SHINGLE = 5
@@ -502,9 +502,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     its texts there, the first by hash; one row of it, should it repeat); texts without
     words stay."""
     found = similar_components(docs, id_col, text)
-    stay = found.filter("k = component and h = first").select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
-    keyed = docs.withColumn("_k", _key(id_col)).withColumn("_h", F.xxhash64(F.col(f"`{text}`")))
-    return keyed.join(stay, ["_k", "_h"]).dropDuplicates(["_k", "_h"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    k, h = free_names(docs, "_k", "_h")
+    stay = found.filter("k = component and h = first").select(F.col("k").alias(k), F.col("h").alias(h)).distinct()
+    keyed = docs.withColumns({k: _key(id_col), h: F.xxhash64(F.col(f"`{text}`"))})
+    return keyed.join(stay, [k, h]).dropDuplicates([k, h]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_jaccard(spark, sf_dir: str) -> DataFrame:

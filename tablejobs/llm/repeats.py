@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.llm.decontamination import replaced
-from tablejobs.llm.store import partitions, read, saved, temporary
+from tablejobs.llm.store import free_names, partitions, read, saved, temporary
 from tablejobs.llm.suffixes import bwt, suffix_array
 from tablejobs.llm.textbatch import (
     U64,
@@ -402,10 +402,10 @@ def _gone(part: pa.RecordBatch, at: int, offsets: np.ndarray) -> np.ndarray:
 
 def _marked(docs: DataFrame, id_col: str, text: str, length: int) -> DataFrame:
     key, tag = _tagged(docs, id_col, text)
-    spans = _repeats(docs, key, tag, text, length).select(
-        F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("start").alias("_start"), F.col("end").alias("_end"))
-    return docs.withColumn("_k", key).withColumn("_t", tag).join(spans, ["_k", "_t"], "left").select(
-        *[F.col(f"`{c}`") for c in docs.columns], "_start", "_end")
+    k, t, start, end = free_names(docs, "_k", "_t", "_start", "_end")
+    spans = _repeats(docs, key, tag, text, length).toDF(k, t, start, end)
+    return docs.withColumns({k: key, t: tag}).join(spans, [k, t], "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], start, end)
 
 
 def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:

@@ -49,6 +49,19 @@ def saved(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """``wanted``, each with underscores before it until no column of ``df`` has that name
+    (in any case): for columns that are added for a while."""
+    taken = {c.casefold() for c in df.columns}
+    names = []
+    for name in wanted:
+        while name.casefold() in taken:
+            name = f"_{name}"
+        taken.add(name.casefold())
+        names.append(name)
+    return names
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

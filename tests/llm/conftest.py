@@ -29,8 +29,16 @@ EDGES = [
 def edges(spark):
     """Nulls, empty and very long texts, ties and repeated rows, and columns whose names
     operators may want to use themselves."""
-    rows = [(i, t, "en" if (i or 0) % 2 else None, "k", 1, "h") for i, t in EDGES]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, k string, n int, bucket string")
+    rows = [(i, t, "en" if (i or 0) % 2 else None, "k", 1, "h", 77 + (i or 0), "own", None, 5, 6, ["s"])
+            for i, t in EDGES]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, k string, n int, bucket string, "
+                                       "_k long, _H string, _t string, _start int, _end int, _spans array<string>")
+
+
+def untouched(rows):
+    """Whether the columns of ``edges`` that no operator may touch have their values."""
+    return all((r["k"], r["n"], r["bucket"], r["_k"], r["_H"], r["_t"], r["_start"], r["_end"], r["_spans"])
+               == ("k", 1, "h", 77 + (r["doc_id"] or 0), "own", None, 5, 6, ["s"]) for r in rows)
 
 
 @pytest.fixture(scope="session")

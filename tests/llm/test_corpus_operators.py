@@ -12,6 +12,7 @@ from tablejobs.llm.eftrie import EliasFano, Mapped, Trie, to_bytes
 from tablejobs.llm.store import read, saved
 from tablejobs.llm.suffixes import FMIndex, suffix_array
 from tests.llm import brute
+from tests.llm.conftest import untouched
 
 
 def test_suffix_array_and_fm_index():
@@ -179,7 +180,7 @@ def test_jaccard_edges(edges, nothing):
     found = {r.k: (r.n, r.component) for r in rows}
     assert found[1] == (0, 1) and found[3] == (0, 3) and found[5] == (1, 4) and found[11][1] == 10
     kept = jaccard.keep_first(edges)
-    assert kept.columns == edges.columns
+    assert kept.columns == edges.columns and untouched(kept.collect())
     ids = sorted((r.doc_id or 0) for r in kept.collect())
     assert ids == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10]
     assert jaccard.similar_components(nothing).count() == 0 and jaccard.keep_first(nothing).count() == 0
@@ -209,7 +210,7 @@ def test_repeats_edges(spark, edges, nothing):
         k = -(2**63) if r.doc_id is None else r.doc_id
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == brute.repeat_row(texts[k], gone[k])
     cut = repeats.remove_repeats(edges)
-    assert cut.columns == edges.columns and cut.count() == len(EDGES)
+    assert cut.columns == edges.columns and cut.count() == len(EDGES) and untouched(cut.collect())
     assert {r.text for r in cut.collect() if r.doc_id == 1} == {None}
     assert repeats.repeat_digests(nothing).count() == 0 and repeats.remove_repeats(nothing).count() == 0
 
@@ -279,7 +280,7 @@ def test_decontamination_edges_and_blocks(spark, edges, nothing):
             assert (r.n_words, r.n_hit, sorted(r["items"])) == (n, len(hit), ids)
             assert sum(s.words for s in r.spans) == len(hit)
         cut = decontamination.decontaminate(edges, benchmark, block_bytes=size)
-        assert cut.columns == edges.columns and cut.count() == edges.count()
+        assert cut.columns == edges.columns and cut.count() == edges.count() and untouched(cut.collect())
         texts = {r.doc_id: r.text for r in cut.collect()}
         assert texts[1] is None and "quick" not in texts[10] and texts[4] == "one two"
         assert decontamination.contamination(nothing, benchmark, block_bytes=size).count() == 0
