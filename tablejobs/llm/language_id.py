@@ -6,11 +6,11 @@ the fewest bytes; where the runner-up comes close, the prediction is kept but
 marked as not accepted.
 
 The model is fitted on a bounded sample of the labelled rows (the only part
-that doesn't read everything): distinct training texts of up to
-``SAMPLE_CHARS`` characters in the order of their hash, as many as fill
-``DICTIONARY_BYTES`` per language; where all of a language's texts are longer,
-pieces of that length from their first letter on. Prediction is a narrow step
-over whole texts.
+that doesn't read everything). Distinct training texts are cut, from their first
+letter on, into pieces of ``PIECE_CHARS`` characters; those of smallest hash, as
+many as fill ``DICTIONARY_BYTES`` per language, are its dictionary. So every part
+of long and short texts teaches alike. Prediction is a narrow step over whole
+texts, however long.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 rows without a language teach nothing; a null id counts as the empty text when
@@ -22,6 +22,8 @@ empty table gives an empty result; repeated rows are judged row by row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, groupby
+from operator import itemgetter
 
 import pyarrow as pa
 import zstandard
@@ -36,8 +38,8 @@ from tablejobs.llm.textbatch import slices
 #: languages that all dictionaries would exceed MODEL_BYTES.
 DICTIONARY_BYTES = 64 << 10
 MODEL_BYTES = 32 << 20
-#: Longest text taken into a dictionary.
-SAMPLE_CHARS = 32_768
+#: Characters of a piece of training text.
+PIECE_CHARS = 4096
 LEVEL = 6
 #: Least relative distance to the runner-up for an accepted prediction.
 MIN_MARGIN = 0.02
@@ -53,33 +55,38 @@ def fit_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang"
     rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
     # Copies share a hash: a text that a third of the rows repeat counts once.
-    piece = F.regexp_extract("text", f"(?s)\\p{{L}}.{{0,{SAMPLE_CHARS - 1}}}", 0)
-    long = F.length("text") > SAMPLE_CHARS
-    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("long", long) \
-        .withColumn("text", F.when(long, piece).otherwise(F.col("text")))
+    rows = rows.select("lang", F.xxhash64("text").alias("h"), F.regexp_replace("text", "^\\P{L}+", "").alias("text"))
+    pieces = F.ceil(F.length("text") / PIECE_CHARS).cast("int")
     distinct = rows.groupBy("lang", "h").agg(
-        F.count("*").alias("n"), F.min("long").alias("long"), F.min(F.octet_length("text")).alias("size"))
+        F.count("*").alias("n"), F.min(pieces).alias("pieces"), F.min(F.octet_length("text")).alias("size"))
     stats = distinct.groupBy("lang").agg(
-        F.sum("n").alias("n"), F.count_if(~F.col("long")).alias("short"), F.count("*").alias("all"),
-        F.avg(F.when(~F.col("long"), F.col("size"))).alias("mean"), F.avg("size").alias("mean_piece")).collect()
+        F.sum("n").alias("n"), F.sum("pieces").alias("pieces"), F.sum("size").alias("size")).collect()
     if not stats:
         return []
-    budget = max(256, min(DICTIONARY_BYTES, MODEL_BYTES // len(stats)))
-    want = {r["lang"]: int(4 * budget / (r["mean"] or r["mean_piece"])) + 32 for r in stats}
-    share = {r["lang"]: min(1.0, want[r["lang"]] / (r["short"] or r["all"])) for r in stats}
+    budget = max(1, min(DICTIONARY_BYTES, MODEL_BYTES // len(stats)))
+    want = {r["lang"]: 4 * budget * r["pieces"] // r["size"] + 32 for r in stats}
     spark = labelled.sparkSession
-    shares = spark.createDataFrame([(r["lang"], share[r["lang"]], want[r["lang"]], not r["short"]) for r in stats],
-                                   "lang string, share double, want long, pieces boolean")
+    shares = spark.createDataFrame([(r["lang"], want[r["lang"]] / r["pieces"], want[r["lang"]]) for r in stats],
+                                   "lang string, share double, want long")
+    # Which pieces of a text are taken is known before any is cut.
+    taken = F.filter(F.sequence(F.lit(0), pieces - 1),
+                     lambda i: F.xxhash64("h", i) / F.lit(2.0**64) + 0.5 <= F.col("share"))
+    piece = F.substring("text", F.col("i") * PIECE_CHARS + 1, F.lit(PIECE_CHARS))
     picked = (rows.join(F.broadcast(shares), "lang")                              # one row per language
-              .filter("pieces or not long")
-              .filter((F.col("h") / F.lit(2.0**64) + 0.5) <= F.col("share"))
-              .groupBy("lang", "h").agg(F.min("text").alias("text"), F.min("want").alias("want"))
-              .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-              .filter("k <= want").select("lang", "h", "text").collect())
-    content: dict[str, bytes] = {r["lang"]: b"" for r in stats}
-    for r in sorted(picked, key=lambda r: (r["lang"], r["h"])):
-        if len(content[r["lang"]]) < budget:
-            content[r["lang"]] += r["text"].encode() + b"\n"
+              .select("lang", "h", "text", "want", F.explode(taken).alias("i"))
+              .select("lang", "h", "i", "want", piece.alias("text")).filter(F.col("text").rlike("\\p{L}"))
+              .groupBy("lang", "h", "i").agg(F.min("text").alias("text"), F.min("want").alias("want"))
+              .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h", "i"), "h", "i")))
+              .filter("k <= want").select("lang", "h", "i", "text").collect())
+    # Texts take turns: the first picked piece of each, then the second, as long as there is room.
+    turns: dict[str, list[tuple]] = {r["lang"]: [] for r in stats}
+    for (lang, h), mine in groupby(sorted(picked, key=itemgetter("lang", "h", "i")), key=itemgetter("lang", "h")):
+        turns[lang] += [(turn, h, r["i"], r["text"].encode() + b"\n") for turn, r in enumerate(mine)]
+    content: dict[str, bytes] = {}
+    for lang, pieces_of in turns.items():
+        ends = accumulate(len(p[3]) for p in sorted(pieces_of))
+        room = [p for p, end in zip(sorted(pieces_of), ends) if end - len(p[3]) < budget]
+        content[lang] = b"".join(p[3] for p in sorted(room, key=itemgetter(1, 2)))
     order = sorted(stats, key=lambda r: (-r["n"], r["lang"]))
     return [(r["lang"], content[r["lang"]][:budget]) for r in order]
 

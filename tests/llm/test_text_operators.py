@@ -152,6 +152,15 @@ def test_language_of_many_copies_and_of_long_texts(spark):
     assert got.first().lang_pred == "fi"
 
 
+def test_short_texts_do_not_silence_long_ones(spark):
+    """One short text and five long ones of a language all teach it."""
+    rows = [("kurz genug", "de")] + [(f"langer text nummer {i} mit vielen verschiedenen woertern " * 1000, "de") for i in range(5)]
+    rows += [("short one", "en"), ("another long text with words of its own " * 2000, "en")]
+    found = dict(language_id.fit_dictionaries(spark.createDataFrame(rows, "text string, lang string")))
+    assert all(len(d) > 60_000 for d in found.values())
+    assert sum(f"nummer {i}".encode() in found["de"] for i in range(5)) >= 4
+
+
 BODY = "The text of this page, long enough to be told from the rest of what is on it, and its number is "
 
 
