@@ -7,6 +7,7 @@ the bytes of consecutive texts plus their offsets. Null texts are empty.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -88,15 +89,22 @@ class WordHasher:
     ``is_word`` marks the bytes words are made of; ``A-Z`` hash as ``a-z`` when
     ``fold`` is set. The hash is a polynomial over random byte values, taken as
     a difference of prefix sums, so its cost does not depend on word lengths.
+    Modulo 2 ** 64 such polynomials agree on some pairs of long patterned words
+    whatever the base, so words above ``LONG`` bytes, of which there are few, are
+    hashed one by one (BLAKE2); below that the pattern is too short to cancel.
+    Words with equal hashes are taken for equal: 64 bits, by chance only.
     """
 
     BASE = U64(0x2545F4914F6CDD1D)
+    LONG = 64
 
     def __init__(self, is_word: np.ndarray, fold: bool = True):
         self.is_word = is_word
         self.values = _byte_values(7)
+        self.folded = bytes(range(256))
         if fold:
             self.values[65:91] = self.values[97:123]
+            self.folded = self.folded.lower()
         self._powers = np.ones(1, U64)
 
     def powers(self, n: int) -> np.ndarray:
@@ -138,7 +146,11 @@ class WordHasher:
         np.cumsum(self.values[data] * power[:n], out=sums[1:])
         h = (sums[ends] - sums[starts]) * power[n - starts]
         # the shift by n - start leaves a factor that depends on n only
-        return mix(h * inverse(power[n]))
+        h = mix(h * inverse(power[n]))
+        for k in np.flatnonzero(ends - starts > self.LONG).tolist():
+            word = data[starts[k]:ends[k]].tobytes().translate(self.folded)
+            h[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
 
 
 def inverse(x) -> np.uint64:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablejobs.llm import decontamination, jaccard, lm_scoring, repeats
 from tablejobs.llm.eftrie import EliasFano, Mapped, Trie, to_bytes
@@ -290,3 +291,24 @@ def test_decontamination_edges_and_blocks(spark, edges, nothing):
         assert ids == Counter([i for i, _ in EDGES] * 2 + [None])
     empty = decontamination.contamination(edges, benchmark.limit(0)).collect()
     assert len(empty) == edges.count() and all(r.n_hit == 0 for r in empty)
+
+
+def patterned():
+    """Two words whose polynomial hashes modulo 2 ** 64 agree whatever the base."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_patterned_words_are_told_apart(spark):
+    one, two = patterned()
+    texts = [(1, f"{one} " * 6), (2, f"{two} " * 6), (3, f"{one.upper()}\n" * 6)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.k: r.component for r in jaccard.similar_components(docs).collect()}
+    assert found == {1: 1, 2: 2, 3: 1}
+    items = spark.createDataFrame([("i", two)], "item_id string, text string")
+    hits = {r.doc_id: r.n_hit for r in decontamination.contamination(docs, items).collect()}
+    assert hits == {1: 0, 2: 6, 3: 0}
+    scores = lm_scoring.score_texts(saved(docs, "patterned"), F.col("doc_id") == 1)
+    assert {r.doc_id: r.n_known for r in scores.collect()} == {1: 7, 2: 1, 3: 7}
