@@ -14,14 +14,15 @@ weight than needed, so that every set may leave out empty segments up to that
 slack. A set with more of them is overloaded and does index them; as whatever
 pair agrees in empty segments alone is overloaded on both sides, nothing is lost.
 
-Sets that share a signature form a group. Links are verified exactly, on
-the sets themselves:
- 1. each set against one hub, the smallest of any group it is in;
+Sets that share a signature form a group. Every candidate pair is first held against
+its sizes and parity sketches (a bit or two per element), which bound the number of
+differing elements from below; sets are shuffled for pairs within the bound only, and
+links are verified exactly, on the sets themselves:
+ 1. each set against one hub, the smallest within the bound of any group it is in;
  2. the other hubs of its groups, where they are in another component by then;
  3. within a family (the groups of one hub), each set against the nearest one of another
     component, twice; then all pairs of a family that still are in different components.
-    Pairs are compared in blocks, by their sizes and by parity sketches, which bound the
-    number of differing elements from below; only pairs within the bound are verified.
+    Families are compared in blocks.
 After that, every two sets with a signature in common have been ruled out, verified or
 connected, so the components are exact. Pairs inside a component are not all verified
 for that; ``similar_pairs`` is the join itself, which verifies all pairs of a family
@@ -61,6 +62,8 @@ BLOCK = 1024
 _NULL_ID = -(2**63)
 #: Pairs of 16 bytes that are broadcast at most.
 BROADCAST_PAIRS = 500_000
+#: Classes of 24 bytes that are broadcast to find their texts at most.
+BROADCAST_SETS = 500_000
 #: What an expected overloaded set costs, in signatures per element.
 _OVERLOAD_COST = 8.0
 
@@ -289,10 +292,10 @@ def _set(low, high) -> np.ndarray:
 
 
 def sketches(row: np.ndarray, shingle: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, cuts): for each text a power of two of bits, four times the set's size or more;
+    """(bytes, cuts): for each text a power of two of bits, the set's size or more;
     each element flips the bit it is hashed to. Two sets differ in as many elements as
     their sketches do in bits, at least."""
-    bits = 1 << np.ceil(np.log2(np.maximum(4 * size, 512))).astype(np.int64)
+    bits = 1 << np.ceil(np.log2(np.maximum(size, 256))).astype(np.int64)
     base = np.append(0, np.cumsum(bits))
     place = (mix(shingle) & (bits[row] - 1).astype(U64)).astype(np.int64)
     odd = np.bincount(base[row] + place, minlength=int(base[-1])) & 1
@@ -300,34 +303,58 @@ def sketches(row: np.ndarray, shingle: np.ndarray, size: np.ndarray) -> tuple[np
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, n, low, high, sketch): the sets of the wanted classes (k, h, c), packed."""
+    """(c, low, high): the sets of the wanted classes (k, h, c), packed, one row each."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(SPACED)
+        hasher, done = WordHasher(SPACED), set()
         for part, data, offsets in slices(batches):
             row, shingle = shingles(data, offsets, hasher)
-            n = row_counts(row, part.num_rows)
-            cuts = np.append(0, np.cumsum(n))
+            cuts = np.append(0, np.cumsum(row_counts(row, part.num_rows)))
+            new = []
+            for c in part.column(1).to_pylist():        # rows that repeat are one set
+                new.append(c not in done)
+                done.add(c)
             yield pa.RecordBatch.from_arrays(
-                [part.column(1), pa.array(n), binary_array((shingle & U64(0xFFFFFFFF)).astype(np.uint32), cuts),
-                 binary_array((shingle >> U64(32) & U64(0xFFFF)).astype(np.uint16), cuts),
-                 binary_array(*sketches(row, shingle, n))], ["c", "n", "low", "high", "sketch"])
-
-    # Rows that repeat are one set.
-    return docs.join(wanted, ["k", "h"]).dropDuplicates(["k", "h"]).select("text", "c").mapInArrow(
-        build, "c long, n long, low binary, high binary, sketch binary")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, few: bool = False) -> DataFrame:
-    """The pairs (a, b) of classes that link. ``few``: look up the sets that the (saved) pairs
-    need first, instead of dealing out all sets; up to BROADCAST_PAIRS pairs, by a broadcast."""
-    slim = sets.select("c", "low", "high")
-    if few:
-        small = pairs.count() <= BROADCAST_PAIRS
-        ends = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
-        slim = slim.join(F.broadcast(ends) if small else ends, "c", "left_semi")
-        pairs = F.broadcast(pairs) if small else pairs
-    joined = pairs.join(slim.toDF("b", "low_b", "high_b"), "b").join(slim.toDF("a", "low_a", "high_a"), "a")
+                [part.column(1), binary_array((shingle & U64(0xFFFFFFFF)).astype(np.uint32), cuts),
+                 binary_array((shingle >> U64(32) & U64(0xFFFF)).astype(np.uint16), cuts)],
+                ["c", "low", "high"]).filter(pa.array(new))
+
+    small = wanted.count() <= BROADCAST_SETS
+    sets = saved(docs.join(F.broadcast(wanted) if small else wanted, ["k", "h"]).select("text", "c").mapInArrow(
+        build, "c long, low binary, high binary"), "jaccard_class_sets")
+    if sets.count() > sets.select("c").distinct().count():      # rows that repeat in several tasks
+        sets = saved(sets.dropDuplicates(["c"]), "jaccard_class_sets")
+    return sets
+
+
+def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose sizes and sketches leave room for a link."""
+    slim = classes.select("c", "n", "sketch")
+    joined = pairs.join(slim.toDF("b", "n_b", "sketch_b"), "b").filter("n_b > 0").join(
+        slim.toDF("a", "n_a", "sketch_a"), "a").filter("4 * n_a <= 5 * n_b and 4 * n_b <= 5 * n_a")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = np.asarray(batch.column(2)) + np.asarray(batch.column(3))
+            differ = [sketch_difference(np.frombuffer(x, U64), np.frombuffer(y, U64))
+                      for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
+            keep = pa.array(9 * np.array(differ, np.int64) <= both)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    return joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(check, "a long, b long")
+
+
+def sketch_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """A lower bound of the difference of two sets: the longer sketch is folded first."""
+    while len(x) != len(y):
+        x, y = (_fold(x), y) if len(x) > len(y) else (x, _fold(y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (saved) pairs (a, b) of classes that link; up to BROADCAST_PAIRS pairs go by a broadcast."""
+    pairs = F.broadcast(pairs) if pairs.count() <= BROADCAST_PAIRS else pairs
+    joined = pairs.join(sets.toDF("b", "low_b", "high_b"), "b").join(sets.toDF("a", "low_a", "high_a"), "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -372,15 +399,21 @@ class Block:
 
 def near_pairs(families: DataFrame, labels: DataFrame, sets: DataFrame, nearest: bool) -> DataFrame:
     """The pairs (a, b) of a family (hub, c) in different components that may link; with
-    ``nearest``, just the nearest of each set and block. Families are dealt out in blocks."""
+    ``nearest``, just the nearest of each set and block. Families are dealt out in blocks.
+    The members of a family's largest component meet the others but not each other, so a
+    family of copies that are connected already costs no more than its size."""
     members = families.unionAll(families.select("hub", F.col("hub").alias("c")).distinct())
     mixed = members.join(labels.toDF("c", "label"), "c")
-    torn = mixed.groupBy("hub").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")) \
-        .filter("x <> y").select("hub", F.ceil(F.col("m") / BLOCK).cast("int").alias("m"))
+    torn = mixed.groupBy("hub", "label").agg(F.count("*").alias("m")).groupBy("hub").agg(
+        F.max(F.struct("m", "label")).alias("most"), F.sum("m").alias("m")).filter("most.m < m").select(
+        "hub", F.col("most.label").alias("largest"), F.ceil(F.col("most.m") / BLOCK).cast("int").alias("large"),
+        F.ceil((F.col("m") - F.col("most.m")) / BLOCK).cast("int").alias("small"))
     dealt = mixed.join(torn, "hub").join(sets.select("c", "n", "sketch"), "c")
-    own = F.pmod(F.xxhash64("c"), F.col("m")).cast("int")
+    inside, hash_ = F.col("label") == F.col("largest"), F.xxhash64("c")
+    own = F.when(inside, F.pmod(hash_, F.col("large"))).otherwise(F.col("large") + F.pmod(hash_, F.col("small")))
     # Member i meets block j in the block pair (min, max).
-    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    others = F.sequence(F.when(inside, F.col("large")).otherwise(0), F.col("large") + F.col("small") - 1)
+    dealt = dealt.withColumn("own", own.cast("int")).withColumn("other", F.explode(others))
     dealt = dealt.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                          "own", "c", "label", "n", "sketch")
 
@@ -389,11 +422,11 @@ def near_pairs(families: DataFrame, labels: DataFrame, sets: DataFrame, nearest:
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         block = Block(table["sketch"].to_pylist())
         # By size: sets that may link are a stretch.
-        right = np.flatnonzero(own == j)
+        right = np.flatnonzero(own == i)
         right = right[np.argsort(n[right], kind="stable")]
         sizes = n[right]
         a, b = [], []
-        for x in np.flatnonzero(own == i):
+        for x in np.flatnonzero(own == j):
             lo = np.searchsorted(sizes, -(-4 * n[x] // 5), side="left")
             hi = np.searchsorted(sizes, 5 * n[x] // 4, side="right")
             rest = right[lo:hi]
@@ -433,11 +466,11 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     (k, h, n, c, n_links) for every row, with its class and how many classes that links to.
     Rows of one class (equal sets, n > 0) are linked with each other besides."""
     with temporary(docs.sparkSession):
-        rows, _, families, members, sets = _prepared(docs, id_col, text)
+        slim, rows, classes, families, members = _prepared(docs, id_col, text)
         # Each class in a component of its own: no pair is left out.
         own = members.select("c", F.col("c").alias("label"))
-        candidates = saved(near_pairs(families, own, sets, nearest=False), "jaccard_pairs")
-        pairs = saved(verified(candidates, sets, few=True), "jaccard_all_links", keep=True)
+        candidates = saved(near_pairs(families, own, classes, nearest=False), "jaccard_pairs")
+        pairs = saved(verified(candidates, _sets_of(candidates, slim, classes)), "jaccard_all_links", keep=True)
         many = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))) \
             .groupBy("c").agg(F.count("*").alias("n_links"))
         found = rows.join(many, "c", "left").select("k", "h", "n", "c", F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -445,7 +478,7 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
 
 
 def _prepared(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, ...]:
-    """(rows, classes, families, members, sets): what the rounds of links work on."""
+    """(texts, rows, classes, families, members): what the rounds of links work on."""
     parts = partitions(docs.sparkSession)
     slim = docs.select(_key(id_col).alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("h"),
                        F.col(f"`{text}`").alias("text"))
@@ -453,48 +486,60 @@ def _prepared(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, ...]:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SPACED)
         for part, data, offsets in slices(batches):
-            size, cls = digests(*shingles(data, offsets, hasher), part.num_rows)
+            row, shingle = shingles(data, offsets, hasher)
+            size, cls = digests(row, shingle, part.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(size), pa.array(cls)], ["k", "h", "n", "c"])
+                [part.column(0), part.column(1), pa.array(size), pa.array(cls),
+                 binary_array(*sketches(row, shingle, size))], ["k", "h", "n", "c", "sketch"])
 
-    rows = saved(slim.mapInArrow(measure, "k long, h long, n long, c long"), "jaccard_sets")
-    classes = rows.filter("n > 0").groupBy("c").agg(F.min(F.struct("k", "h")).alias("r")).select("c", "r.k", "r.h")
+    rows = saved(slim.mapInArrow(measure, "k long, h long, n long, c long, sketch binary"), "jaccard_sets")
     families = saved(signature_groups(slim, 4 * parts), "jaccard_families")
-    members = families.select("c").unionAll(families.select(F.col("hub").alias("c"))).distinct()
-    sets = saved(class_sets(slim, classes.join(members, "c")), "jaccard_class_sets")
-    return rows, classes, families, members, sets
+    members = saved(families.select("c").unionAll(families.select(F.col("hub").alias("c"))).distinct(), "jaccard_members")
+    classes = saved(rows.filter("n > 0").groupBy("c").agg(
+        F.min(F.struct("k", "h")).alias("r"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+        .select("c", "r.k", "r.h", "n", "sketch"), "jaccard_classes")
+    return slim, rows, classes, families, members
+
+
+def _sets_of(pairs: DataFrame, slim: DataFrame, classes: DataFrame) -> DataFrame:
+    """The sets of the classes in ``pairs`` (a, b)."""
+    ends = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
+    return class_sets(slim, saved(classes.select("c", "k", "h").join(ends, "c"), "jaccard_wanted"))
 
 
 def _components(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    rows, classes, families, members, sets = _prepared(docs, id_col, text)
+    slim, rows, classes, families, members = _prepared(docs, id_col, text)
     least = F.min(F.struct("k", "h"))
     labels = saved(members.select(F.col("c").alias("node"), F.col("c").alias("label")), "jaccard_labels")
 
-    def linked(pairs: DataFrame, few: bool = True) -> DataFrame:
-        """The labels after what links of ``pairs``."""
-        return join_labels(labels, saved(verified(pairs, sets, few), "jaccard_links"))
+    def linked(pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """The labels after what links of the saved ``pairs``."""
+        sets = _sets_of(pairs, slim, classes) if sets is None else sets
+        return join_labels(labels, saved(verified(pairs, sets), "jaccard_links"))
 
-    hubs = families.groupBy(F.col("c").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
-    labels = linked(hubs, few=False)
     tried = families.toDF("a", "b")
+    close = saved(close_pairs(tried, classes), "jaccard_close")
+    sets = _sets_of(close, slim, classes)
+    hubs = saved(close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard_hubs")
+    labels = linked(hubs, sets)
     la, lb = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in ("a", "b"))
-    others = tried.join(hubs, ["a", "b"], "left_anti").join(la, "a").join(lb, "b").filter("la <> lb").select("a", "b")
-    labels = linked(saved(others, "jaccard_pairs"))
-    for _ in range(2):
-        pairs = saved(near_pairs(families, labels, sets, nearest=True).join(tried, ["a", "b"], "left_anti"), "jaccard_pairs")
+    others = close.join(hubs, ["a", "b"], "left_anti").join(la, "a").join(lb, "b").filter("la <> lb").select("a", "b")
+    labels = linked(saved(others, "jaccard_pairs"), sets)
+    for nearest in (True, True, False):
+        pairs = near_pairs(families, labels, classes, nearest).join(tried, ["a", "b"], "left_anti")
+        pairs = saved(pairs, "jaccard_pairs")
         labels = linked(pairs)
         tried = tried.unionAll(pairs)
-    labels = linked(saved(near_pairs(families, labels, sets, nearest=False).join(tried, ["a", "b"], "left_anti"),
-                          "jaccard_pairs"))
 
     # The smallest id of each component, then each class's.
     named = classes.join(labels.toDF("c", "label"), "c", "left").select("c", "k", "h", F.coalesce("label", "c").alias("label"))
-    named = saved(named, "jaccard_classes")
+    named = saved(named, "jaccard_named")
     smallest = named.groupBy("label").agg(least.alias("r")).select(
         "label", F.col("r.k").alias("component"), F.col("r.h").alias("first"))
     of_class = named.join(smallest, "label").select("c", "component", "first")
     empty = rows.filter("n = 0").select("k", "h", "n", F.col("k").alias("component"), F.col("h").alias("first"))
-    return rows.filter("n > 0").join(of_class, "c").select("k", "h", "n", "component", "first").unionAll(empty)
+    return rows.filter("n > 0").select("c", "k", "h", "n").join(of_class, "c").select(
+        "k", "h", "n", "component", "first").unionAll(empty)
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
