@@ -5,22 +5,29 @@ expression over their tag streams: sequences, optional items, repeated items and
 groups, and text slots, but no alternatives. It starts as the first page's stream
 and is aligned with one page after another: where labels agree, it goes on inside;
 items that only one side has become optional; neighbours of the same label (or of
-the same few labels) become a repeated item (or group); texts that differ make a
-slot variable. Wrappers of two sets of pages are aligned in the same way, so each
-task infers one per host from all the pages it reads, and only these meet: a host
-that has a third of all pages costs one row per task.
+the same few labels) become a repeated item (or group); a text slot counts on how many
+pages it is filled and by which texts (digests of whole texts, however long). Wrappers
+of two sets of pages are aligned in the same way, so each task infers one per host from
+all the pages it reads, and only these meet: a host that has a third of all pages costs
+one row per task.
 
 A wrapper's slots are then told apart: slots in navigation, headers, footers,
 asides, adverts, notices, forms, scripts and comments are not content. Of the rest
 that a page fills, those in the article element are, else in the main element, else
 in the deepest element that holds most of the host's variable text outside links (of
 the page's own, where less than half of that is in it: pages of one host may come from
-several templates). A page's text is what its stream puts into these slots.
+several templates). There, without an element that says what is content, a text that a
+slot has on most of the pages that fill it is the template's, not the page's, whatever
+its element is called; unless that is most of the page's text, as on a host of copies.
+A page's text is what its stream puts into the slots that are left.
 
 Defined results: null or empty html has the empty text; a page without host shares
 one wrapper with its like; broken markup is read as browsers do where ends are
-missing, unknown ends are skipped; rows that repeat have the same text; an empty
-table gives an empty result; other columns are not read.
+missing, unknown ends are skipped; elements nested more than ``DEPTH`` deep count as
+part of the one around them; rows that repeat have the same text; an empty table gives
+an empty result; other columns are not read. Pages may come in any order and
+partitioning: what decides about a slot are sums over pages. (Of slots with more than
+``TEXTS`` different texts, the rarer ones are forgotten.)
 """
 
 from __future__ import annotations
@@ -28,7 +35,9 @@ from __future__ import annotations
 import html as markup
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +50,13 @@ from tablejobs.llm.textbatch import slices
 BROADCAST_BYTES = 8 << 20
 #: Hosts one task holds wrappers of before it passes them on.
 HELD_HOSTS = 5_000
+#: Nested elements that have labels of their own.
+DEPTH = 150
+#: Different texts that a slot remembers.
+TEXTS = 256
+#: A text is the template's when it is on so many of the pages that fill the slot, and on this
+#: share of them; unless more than the other share of a page's text would go.
+TEMPLATE_PAGES, TEMPLATE_SHARE, MOST = 3, 0.6, 0.5
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = "script|style|textarea|title|noscript|template|svg|iframe|math"
@@ -92,6 +108,7 @@ def label_of(tag: str, attributes: str) -> str:
 def stream(page: str) -> Iterator[tuple[str, str]]:
     """Events of a page: ("open", label), ("close", label), ("text", raw), ("break", "")."""
     stack: list[tuple[str, str]] = []
+    open_tags: Counter = Counter()
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -102,9 +119,10 @@ def stream(page: str) -> Iterator[tuple[str, str]]:
             continue
         tag = tag.lower()
         if m[2]:
-            if any(t == tag for t, _ in stack):
+            if open_tags[tag]:
                 while True:
                     t, label = stack.pop()
+                    open_tags[t] -= 1
                     yield "close", label
                     if t == tag:
                         break
@@ -119,6 +137,7 @@ def stream(page: str) -> Iterator[tuple[str, str]]:
                 t = stack[depth][0]
                 if t in ends:
                     while len(stack) > depth:
+                        open_tags[stack[-1][0]] -= 1
                         yield "close", stack.pop()[1]
                     break
                 if t in _SCOPES:
@@ -129,6 +148,7 @@ def stream(page: str) -> Iterator[tuple[str, str]]:
             yield "close", label
         else:
             stack.append((tag, label))
+            open_tags[tag] += 1
     if at < len(page):
         yield "text", page[at:]
     while stack:
@@ -138,7 +158,23 @@ def stream(page: str) -> Iterator[tuple[str, str]]:
 # ------------------------------------------------------------------- wrappers
 # A node is [label, repeated, optional, content]. The content of an element or a
 # group (label "(") is its list of nodes, that of a text slot ("#") is
-# [text if constant else None, characters].
+# [{digest of a text: pages that have it there, "": pages that fill the slot}, characters,
+#  the text while it is the only one (cut to 80 characters, to be shown)].
+# A page counts once for a path, in the first slot of that path.
+
+def _digest(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def _added(a: dict[str, int], b: dict[str, int]) -> dict[str, int]:
+    out = dict(a)
+    for text, n in b.items():
+        out[text] = out.get(text, 0) + n
+    if len(out) > 2 * TEXTS:                            # the frequent ones stay
+        kept = sorted(out, key=lambda t: (t != "", -out[t], t))[:TEXTS]
+        out = {t: out[t] for t in kept}
+    return out
+
 
 def _key(node: list) -> str:
     return "(" + " ".join(x[0] for x in node[3]) if node[0] == "(" else node[0]
@@ -186,7 +222,8 @@ def _as_groups(items: list, others: list) -> list:
 def _join(a: list, b: list) -> list:
     """The node that covers two nodes of the same key."""
     if a[0] == "#":
-        return ["#", False, a[2] or b[2], [a[3][0] if a[3][0] == b[3][0] else None, a[3][1] + b[3][1]]]
+        return ["#", False, a[2] or b[2], [_added(a[3][0], b[3][0]), a[3][1] + b[3][1],
+                                             a[3][2] if a[3][2] == b[3][2] else None]]
     return [a[0], a[1] or b[1], a[2] or b[2], align(a[3], b[3])]
 
 
@@ -221,25 +258,46 @@ def align(a: list, b: list) -> list:
 def wrapper_of(page: str) -> list:
     """The wrapper of a single page."""
     levels: list[tuple[str, list]] = [("", [])]
+    seen: set[tuple[str, str]] = set()
+    deeper, paths = 0, [""]
     for kind, value in stream(page):
         if kind == "open":
-            levels.append((value, []))
+            if len(levels) > DEPTH:
+                deeper += 1
+            else:
+                levels.append((value, []))
+                paths.append(f"{paths[-1]}/{value}")
         elif kind == "close":
-            label, items = levels.pop()
-            _append(levels[-1][1], [label, False, False, _fold(items)])
+            if deeper:
+                deeper -= 1
+            else:
+                label, items = levels.pop()
+                paths.pop()
+                _append(levels[-1][1], [label, False, False, _fold(items)])
         elif kind == "text":
             text = _SPACES.sub(" ", value).strip()
             if text:
-                _append(levels[-1][1], ["#", False, False, [text[:80] if len(text) <= 80 else None, len(text)]])
+                counts = {}
+                for name in ("", _digest(text)):
+                    if (paths[-1], name) not in seen:
+                        seen.add((paths[-1], name))
+                        counts[name] = 1
+                _append(levels[-1][1], ["#", False, False, [counts, len(text), text[:80]]])
     return _fold(levels[0][1])
 
 
+def template_texts(counts: dict[str, int]) -> set[str]:
+    """Of a slot's texts, those that most of the pages that fill it have."""
+    least = max(TEMPLATE_PAGES, TEMPLATE_SHARE * counts.get("", 0))
+    return {text for text, n in counts.items() if text and n >= least}
+
+
 def expression(items: list) -> str:
     """A wrapper as a regular expression, for people."""
     out = []
     for label, repeated, optional, content in items:
         if label == "#":
-            text = "#" if content[0] is None else repr(content[0])
+            text = "#" if content[2] is None else repr(content[2])
         elif label == "(":
             text = f"({expression(content)})"
         else:
@@ -256,11 +314,11 @@ def _skipped(label: str) -> bool:
     return tag in _SKIP_TAGS or tag not in _KEPT_TAGS and any(map(_SKIP_NAMES.fullmatch, names))
 
 
-def slots(items: list, path: str = "", skipped: bool = False) -> Iterator[tuple[str, bool, bool, int]]:
-    """(path, skipped, variable, characters) of each text slot."""
+def slots(items: list, path: str = "", skipped: bool = False) -> Iterator[tuple[str, bool, dict, int]]:
+    """(path, skipped, pages by text, characters) of each text slot."""
     for label, _, _, content in items:
         if label == "#":
-            yield path, skipped, content[0] is None, content[1]
+            yield path, skipped, content[0], content[1]
         elif label == "(":
             yield from slots(content, path, skipped)
         else:
@@ -299,15 +357,29 @@ class Rules:
     """Which slots of a host's wrapper hold the main text of a page."""
 
     def __init__(self, wrapper: list):
-        found = [(p, variable, chars) for p, skip, variable, chars in slots(wrapper) if not skip]
-        self.slots = frozenset(p for p, _, _ in found)
+        found: dict[str, tuple[dict, int]] = {}
+        for p, skip, counts, chars in slots(wrapper):
+            if not skip:
+                known, before = found.get(p, ({}, 0))
+                found[p] = _added(known, counts), before + chars
+        self.slots = frozenset(found)
         self.elements = [frozenset(p for p in self.slots if _element(p, e)) for e in ("article", "main")]
+        self.template = {p: template_texts(counts) for p, (counts, _) in found.items()}
         weights: dict[str, int] = {}
-        for p, variable, chars in found:
+        for p, (counts, chars) in found.items():
+            variable = len(counts) - 1 > len(self.template[p])
             if variable and not _linked(p) and not any(p in e for e in self.elements):
-                weights[p] = weights.get(p, 0) + chars
+                weights[p] = chars
         self.holder = _holder(weights)
 
+    def named(self, own: dict[str, int]) -> bool:
+        """Whether a page that fills these paths has an element that says what is content."""
+        return any(not element.isdisjoint(own) for element in self.elements)
+
+    def of_template(self, path: str, text: str) -> bool:
+        known = self.template.get(path)
+        return bool(known) and _digest(_SPACES.sub(" ", text).strip()) in known
+
     def paths(self, own: dict[str, int]) -> frozenset[str]:
         """The content slots of a page that puts ``own`` characters into each path. Pages of
         a host may come from different templates, so only what the page fills decides."""
@@ -330,7 +402,7 @@ def extract(page: str, rules: Rules) -> str:
     """What a page puts into its content slots, a line for each block."""
     pieces: list[tuple[str | None, str]] = []         # (path, text); without a path: a break
     own: dict[str, int] = {}
-    path = [""]
+    path, deeper = [""], 0
     for kind, value in stream(page):
         if kind == "text":
             if path[-1] in rules.slots:
@@ -343,11 +415,21 @@ def extract(page: str, rules: Rules) -> str:
         else:
             if re.split(r"[.#]", value, maxsplit=1)[0] in _BLOCK:
                 pieces.append((None, "\n"))
-            if kind == "open":
+            if kind == "open" and len(path) > DEPTH:
+                deeper += 1
+            elif kind == "open":
                 path.append(f"{path[-1]}/{value}")
+            elif deeper:
+                deeper -= 1
             else:
                 path.pop()
     paths = rules.paths(own)
+    if not rules.named(own):
+        mine = [k for k, (at, value) in enumerate(pieces) if at in paths and rules.of_template(at, value)]
+        whole = sum(len(value.strip()) for at, value in pieces if at in paths)
+        if mine and sum(len(pieces[k][1].strip()) for k in mine) <= MOST * whole:
+            for k in mine:
+                pieces[k] = (None, "")
     blocks: list[str] = []
     held: list[str] = []
     for at, value in [*pieces, (None, "\n")]:

@@ -196,6 +196,40 @@ def test_wrapper_inference():
     assert text.startswith("<ul>(<li>#</li>)+</ul>") and "(<div>'new'</div>)?" in text and ")+" in text
 
 
+MENU = "<div><div><a>Start</a> <a>Products and services of ours</a> <a>Contact</a></div><div>{long}</div></div>"
+
+
+def test_the_hosts_wrapper_decides(spark):
+    """A menu and a long notice without names are on all pages of a host: they are the
+    template's. The same page alone, or on a host of copies, keeps them."""
+    long = "We have been in this business for a very long time and say so on every page, at some length. " * 2
+    menu = MENU.format(long=long)
+    page = "<body>{m}<div><p>{t}</p><p>Second part of {k}, which is its own as well.</p></div></body>"
+    rows = [(k, f"http://many.example/{k}", page.format(m=menu, t=(BODY + str(k) + ". ") * 6, k=k)) for k in range(6)]
+    rows += [(10, "http://single.example/", page.format(m=menu, t=(BODY + "10. ") * 6, k=10))]
+    rows += [(20 + k, "http://copies.example/", page.format(m=menu, t=(BODY + "20. ") * 6, k=20)) for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    expected = {k: (BODY + str(k) + ". ") * 6 for k, _, _ in rows if k < 10}
+    found = {}
+    for parts in (1, 2, 7):                             # whatever the partitioning
+        found[parts] = {r.page_id: r.text for r in wrappers.main_texts(pages.repartition(parts)).collect()}
+        for k, body in expected.items():
+            assert found[parts][k] == f"{body.strip()}\nSecond part of {k}, which is its own as well."
+        assert found[parts][10].startswith("Start Products") and len({found[parts][20 + k] for k in range(4)}) == 1
+        assert "20. " in found[parts][20]
+    assert found[1] == found[2] == found[7]
+
+
+def test_deep_pages(spark):
+    deep = "<div>" * 10_000 + "<p>the bottom</p>" + "</div>" * 10_000
+    spans = "<article>" + "<span>" * 5_000 + "inside" + "</span>" * 5_000 + "<p>after</p></article>"
+    rows = [(1, "http://deep.example/1", deep), (2, "http://deep.example/2", deep.replace("bottom", "end")),
+            (3, "http://spans.example/", spans), (4, "http://deep.example/3", "<b>" * 20_000 + "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.main_texts(pages).collect()} == {
+        1: "the bottom", 2: "the end", 3: "inside\nafter", 4: "x"}
+
+
 def test_wrappers_on_the_table(spark, small_dir):
     rows = wrappers.op2_html_wrappers(spark, small_dir).collect()
     assert len(rows) == spark.read.parquet(f"{small_dir}/pages.parquet").count()
