@@ -71,9 +71,11 @@ def group_count_one(spark, sf_dir):
 
 
 def view_counts_coded(spark, sf_dir):
-    """Temp view with the measured value as a grouping key, sorted by the keys."""
+    """Temp view with the measured value as a grouping key, sorted by the positions of
+    the keys."""
     events = _table(spark, sf_dir, "events")
-    counted = ops.group_count(events, "user_id", "event_type", "value", name="n_readings")
+    counted = ops.group_count(events, "user_id", "event_type", "value", name="n_readings", order=False)
+    counted = ops.sort_by_position(counted, 1, 2, 3)
     return catalog.view_from_df(counted, unique_name("station_counts"))
 
 

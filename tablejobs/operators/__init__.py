@@ -5,7 +5,7 @@ from tablejobs.operators.aggregate import (
 )
 from tablejobs.operators.compare import multiset_difference
 from tablejobs.operators.fold import fold_any
-from tablejobs.operators.ordering import distinct_rows, first_row, max_row, top_n
+from tablejobs.operators.ordering import distinct_rows, first_row, max_row, sort_by_position, top_n
 from tablejobs.operators.quality import combos_per_key, fd_holds, fd_summary, fd_violations
 from tablejobs.operators.relational import (
     convert_units, derive_dates, drop_cols, filter_eq, filter_like, rename, select_cols,
@@ -17,5 +17,5 @@ __all__ = [
     "distinct_count", "distinct_rows", "drop_cols", "fd_holds", "fd_summary",
     "fd_violations", "filter_eq", "filter_like", "first_row", "fold_any", "group_count", "group_sum",
     "having_count", "held", "max_row", "multiset_difference", "narrow_to", "rename", "row_count",
-    "select_cols", "spread", "stats_by", "top_n", "totals_by_each",
+    "select_cols", "sort_by_position", "spread", "stats_by", "top_n", "totals_by_each",
 ]

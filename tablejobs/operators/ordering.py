@@ -18,6 +18,14 @@ def distinct_rows(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*cols).distinct() if cols else df.distinct()
 
 
+def sort_by_position(df: DataFrame, *positions: int) -> DataFrame:
+    """Global sort by output positions (from 1; a negative one descends), NULLs first going up."""
+    for position in positions:
+        if not 1 <= abs(position) <= len(df.columns):
+            raise ValueError(f"no column at position {position}")
+    return df.orderBy(*positions)
+
+
 def top_n(df: DataFrame, n: int, *order_by) -> DataFrame:
     """The first ``n`` rows by the ordering (tied rows at the cut-off are
     picked by the execution unless the ordering is unique)."""

@@ -24,7 +24,7 @@ IRIS_ROWS = [
     (17, "5.4", "3.9", "1.3", "0.4"), (18, "5.1", "3.5", "1.4", "0.3"),
     (19, "5.7", "3.8", "1.7", "0.3"), (20, "5.1", "3.8", "1.5", "0.3"),
 ]
-# Our own extra rows of another species, so the species filter removes some.
+# Rows of another species of the public iris data, so the species filter removes some.
 IRIS_EXTRA = [(21, "7", "3.2", "4.7", "1.4"), (22, "6.4", "3.2", "4.5", "1.5"),
               (23, "6.9", "3.1", "4.9", "1.5")]
 # Fixed value: the header line.

@@ -135,3 +135,12 @@ def test_projection_operators_refuse_duplicate_outputs(spark):
     with pytest.raises(ValueError):
         ops.max_row(df, "y", "y")
     assert [r[0] for r in df.select(to_celsius("value_c", "u", " f ", "C")).collect()] == [10.0]
+
+
+def test_sort_by_position(spark):
+    df = spark.createDataFrame([(2, None), (1, "b"), (1, "a"), (None, "c")], "k INT, s STRING")
+    assert [tuple(r) for r in ops.sort_by_position(df, 1, 2).collect()] == [(None, "c"), (1, "a"), (1, "b"), (2, None)]
+    assert [r["s"] for r in ops.sort_by_position(df, -2).collect()] == ["c", "b", "a", None]
+    for bad in (0, 3, -3):
+        with pytest.raises(ValueError, match="no column"):
+            ops.sort_by_position(df, bad)
