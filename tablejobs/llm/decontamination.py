@@ -37,8 +37,9 @@ from tablejobs.llm.textbatch import ALNUM, WordHasher, ranges, row_counts, slice
 
 #: Words per window.
 WINDOW = 10
-#: Benchmark text broadcast at once, and document text per shard.
-BLOCK_BYTES = 16 << 20
+#: Benchmark text broadcast at once (its windows take some 80 times as much in the driver and
+#: in each worker, about 160 MB), and document text per shard.
+BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 4 << 20
 
 
