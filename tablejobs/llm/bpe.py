@@ -43,9 +43,9 @@ from tablejobs.llm.textbatch import slices, trim_memory
 
 #: Bounds, in bytes, of what one worker remembers: states with their transitions, answers
 #: whether tokens stay apart, and each of two generations of pre-tokens.
-STATE_BYTES = 128 << 20
-APART_BYTES = 16 << 20
-WORD_BYTES = 40 << 20
+STATE_BYTES = 224 << 20
+APART_BYTES = 24 << 20
+WORD_BYTES = 64 << 20
 #: What an entry of a dictionary with an integer (or string) key takes beside the sizes of its objects.
 ENTRY = 100
 
