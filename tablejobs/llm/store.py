@@ -27,7 +27,7 @@ _WORK: list[list[str]] = []
 
 @contextmanager
 def temporary(spark: SparkSession):
-    """Tables saved inside go when this ends, but for those saved with ``keep``."""
+    """Tables saved inside go when this ends; those saved with ``keep`` go with the one around it, if any."""
     paths: list[str] = []
     _WORK.append(paths)
     try:
@@ -44,8 +44,9 @@ def saved(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    if _WORK and not keep:
-        _WORK[-1].append(path)
+    owners = _WORK[:-1] if keep else _WORK
+    if owners:
+        owners[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

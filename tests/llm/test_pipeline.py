@@ -50,3 +50,14 @@ def test_run_is_registered(spark, small_dir):
     names = entry.queries()
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert names["pipeline"](spark, small_dir).count() > 0
+
+
+def test_only_the_result_stays(spark, small_dir):
+    from tablejobs.session import hadoop_fs, session_scratch
+
+    fs, path = hadoop_fs(spark, session_scratch(spark))
+    names = lambda: {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+    before = names()
+    result = pipeline.run(spark, small_dir)
+    assert {n.rsplit("-", 1)[0] for n in names() - before} == {"pipeline_byte-level_bpe"}
+    assert result.count() > 0 and "ids" in result.columns
