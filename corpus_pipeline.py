@@ -18,7 +18,7 @@ from tablejobs.llm.decontamination import decontaminate
 from tablejobs.llm.jaccard import keep_first
 from tablejobs.llm.quality_rules import keep_good
 from tablejobs.llm.repeats import remove_repeats
-from tablejobs.llm.store import read, saved
+from tablejobs.llm.store import read, saved, temporary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what the stages before it and their operators saved goes."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), "pipeline_" + name.replace(" ", "_"))
+    with temporary(spark):
+        for name, stage in STAGES:
+            docs = saved(stage(spark, docs, sf_dir), "pipeline_" + name.replace(" ", "_"), keep=name == STAGES[-1][0])
     return docs
