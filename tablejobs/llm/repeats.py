@@ -15,8 +15,9 @@ anchor.
    distinct one once per task with the places where it occurs. Strings of an
    anchor with more than ``HOT`` places are dealt out by the hash of the whole
    string instead, so a passage that a third of all rows share is spread.
-3. In each bucket, the distinct segments are suffix sorted and transformed
-   (Burrows-Wheeler). Starting from the interval of all suffixes, intervals of
+3. In each bucket, equal segments become one, and anchors are counted again: a
+   distinct segment whose anchor no other one has shares no string with another. The
+   rest are suffix sorted and transformed (Burrows-Wheeler). Starting from the interval of all suffixes, intervals of
    longer and longer strings are found breadth first by backward extension.
    Each new right end gets the current length as its common prefix, so values
    are derived in increasing order; the expansion stops at ``LENGTH``, and
@@ -54,6 +55,7 @@ from tablejobs.llm.textbatch import (
     mix,
     ranges,
     slices,
+    text_view,
     word_table,
 )
 
@@ -217,17 +219,18 @@ def bucketed_segments(slim: DataFrame, marks: DataFrame, length: int, buckets: i
             n = np.where(many, 1, np.repeat(n, each))
             size = n + length - 1
             at = offsets[row] + start
-            content = hasher.hashes(data, at, at + size) if len(at) else h
+            content = hasher.passages(data, at, at + size)
             target = np.where(many, content, h)
             bucket = (target >> U64(33)).astype(np.int64) % buckets
             ids, tags = (np.asarray(part.column(i), np.int64)[row] for i in (0, 1))
-            yield from _packed_segments(bucket, content ^ mix(size.astype(U64)), ids, tags, start, size, at, data)
+            anchors = (target & U64(0xFFFFFFFF)).astype(np.uint32)
+            yield from _packed_segments(bucket, content, anchors, ids, tags, start, size, at, data)
 
     return joined.mapInArrow(
-        collect, "bucket int, id binary, tag binary, start binary, which binary, size binary, body binary")
+        collect, "bucket int, id binary, tag binary, start binary, which binary, size binary, anchor binary, body binary")
 
 
-def _packed_segments(bucket, content, ids, tags, start, size, at, data) -> Iterator[pa.RecordBatch]:
+def _packed_segments(bucket, content, anchors, ids, tags, start, size, at, data) -> Iterator[pa.RecordBatch]:
     if not len(bucket):
         return
     order = np.lexsort((content, bucket))
@@ -245,8 +248,9 @@ def _packed_segments(bucket, content, ids, tags, start, size, at, data) -> Itera
     yield pa.RecordBatch.from_arrays(
         [pa.array(b[heads].astype(np.int32)), binary_array(ids[order], occ),
          binary_array(tags[order], occ), binary_array(start[order].astype(np.uint32), occ), binary_array(local.astype(np.uint32), occ),
-         binary_array(size[first].astype(np.uint16), seg), binary_array(body, ends[seg])],
-        ["bucket", "id", "tag", "start", "which", "size", "body"])
+         binary_array(size[first].astype(np.uint16), seg), binary_array(anchors[first], seg),
+         binary_array(body, ends[seg])],
+        ["bucket", "id", "tag", "start", "which", "size", "anchor", "body"])
 
 
 def prefix_groups(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -275,7 +279,7 @@ def prefix_groups(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
         images = back[places]
         owner = np.repeat(np.arange(len(lo)), size)
         # Images of one interval under one symbol lie side by side.
-        by_image = np.argsort(images, kind="stable")
+        by_image = np.argsort(images)
         images, owner, symbol = images[by_image], owner[by_image], transform[places][by_image]
         new = np.ones(len(images), bool)
         new[1:] = (images[1:] != images[:-1] + 1) | (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])
@@ -288,10 +292,10 @@ def prefix_groups(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
     return order, np.cumsum(known[:-1])
 
 
-def repeated_spans(ids: np.ndarray, start: np.ndarray, which: np.ndarray, size: np.ndarray,
+def repeated_spans(ids: np.ndarray, start: np.ndarray, which: np.ndarray, size: np.ndarray, anchor: np.ndarray,
                    body: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(id, start, end) of spans to remove, for one bucket: the places (id, start, number of
-    the segment) of distinct segments of the given sizes and bytes."""
+    the segment) of distinct segments of the given sizes, anchors (hashed) and bytes."""
     order = np.lexsort((start, ids, which))
     w = which[order]
     head = np.append(True, w[1:] != w[:-1])
@@ -300,6 +304,11 @@ def repeated_spans(ids: np.ndarray, start: np.ndarray, which: np.ndarray, size:
     copy = ~head & ((ids[order] != ids[first[w]]) | (start[order] != start[first[w]]))
     again = order[copy]
     spans = [(ids[again], start[again], start[again] + size[which[again]])]
+    # Strings are in segments with their anchor, and one segment has each of its strings once.
+    _, of, many = np.unique(anchor, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(many[of] > 1)
+    body = body[ranges(np.append(0, np.cumsum(size))[shared], size[shared])]
+    first, size = first[shared], size[shared]
     at = np.append(0, np.cumsum(size + 1))
     symbols = np.ones(int(at[-1]) + 1, np.int32)
     symbols[ranges(at[:-1], size)] = body.astype(np.int32) + 2
@@ -353,12 +362,12 @@ def spans_by_document(packed: DataFrame, length: int) -> DataFrame:
         body = _unpack(table["body"], np.uint8)[0]
         which += np.repeat(np.append(0, np.cumsum(segs))[:-1], per_row)
         # Segments that several tasks sent become one.
-        at = np.append(0, np.cumsum(size))
-        hasher = _hasher()
-        content = hasher.hashes(body, at[:-1], at[1:])
-        _, first, number = np.unique(content, return_index=True, return_inverse=True)
-        kept = size[first]
-        found = repeated_spans(ids, start, number[which], kept, body[ranges(at[first], kept)], length)
+        distinct = binary_array(body, np.append(0, np.cumsum(size))).dictionary_encode()
+        number = distinct.indices.to_numpy().astype(np.int64)
+        first = np.unique(number, return_index=True)[1]
+        anchor = _unpack(table["anchor"], np.uint32)[0][first]
+        body, at = text_view(distinct.dictionary)
+        found = repeated_spans(ids, start, number[which], np.diff(at), anchor, body, length)
         ids, start, end = merge(*found)
         first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
         cuts = np.append(first, len(ids))

@@ -30,7 +30,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
         key <<= bits
         if i < n:
             key[:n - i] |= symbols[i:].astype(np.int64)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     rank, classes = _ranks(key, order)
     done = width
     while classes < n:
@@ -45,7 +45,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
         tied[:-1] |= same[1:]
         places = np.flatnonzero(tied)
         some = order[places]
-        order[places] = some[np.argsort(key[some], kind="stable")]
+        order[places] = some[np.argsort(key[some])]
         rank, classes = _ranks(key, order)
         done *= 2
     return order

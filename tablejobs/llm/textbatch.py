@@ -137,21 +137,37 @@ class WordHasher:
         row = np.searchsorted(offsets, starts, side="right") - 1
         return starts, ends, row
 
-    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        n = len(data)
-        if not len(starts):
-            return np.zeros(0, U64)
+    def _sums(self, data: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(data) + 1, U64)
+        np.cumsum(self.values[data] * self.powers(len(data) + 1)[:len(data)], out=sums[1:])
+        return sums
+
+    def _polynomials(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = len(sums) - 1
         power = self.powers(n + 1)
-        sums = np.zeros(n + 1, U64)
-        np.cumsum(self.values[data] * power[:n], out=sums[1:])
         h = (sums[ends] - sums[starts]) * power[n - starts]
         # the shift by n - start leaves a factor that depends on n only
-        h = mix(h * inverse(power[n]))
+        return mix(h * inverse(power[n]))
+
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if not len(starts):
+            return np.zeros(0, U64)
+        h = self._polynomials(self._sums(data), starts, ends)
         for k in np.flatnonzero(ends - starts > self.LONG).tolist():
             word = data[starts[k]:ends[k]].tobytes().translate(self.folded)
             h[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
 
+    def passages(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each of many passages above ``LONG`` bytes, as a chain of
+        the polynomials of their pieces of up to ``LONG`` bytes."""
+        h = mix((ends - starts).astype(U64))
+        sums, most = self._sums(data), int((ends - starts).max(initial=0))
+        for at in range(0, most, self.LONG):
+            lo = np.minimum(starts + at, ends)
+            h = mix(h * self.BASE + self._polynomials(sums, lo, np.minimum(lo + self.LONG, ends)))
+        return h
+
 
 def inverse(x) -> np.uint64:
     """The inverse of an odd number modulo 2**64."""
