@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.llm.store import read
-from tablejobs.llm.textbatch import slices, trim_memory
+from tablejobs.llm.textbatch import kept, slices, trim_memory
 
 #: Bounds, in bytes, of what one worker remembers: states with their transitions, answers
 #: whether tokens stay apart, and each of two generations of pre-tokens.
@@ -371,14 +371,9 @@ class Tokenizer:
         return n, plain.hexdigest(), back.hexdigest(), state == START
 
 
-_TOKENIZERS: dict[tuple[str, str], Tokenizer] = {}
-
-
 def tokenizer(path: str, pattern: str) -> Tokenizer:
-    """One per Python worker and vocabulary."""
-    if (path, pattern) not in _TOKENIZERS:
-        _TOKENIZERS[path, pattern] = Tokenizer(load_ranks(path), pattern)
-    return _TOKENIZERS[path, pattern]
+    """One per Python worker and vocabulary, until the worker gets other work."""
+    return kept(("bpe", path, pattern), lambda: Tokenizer(load_ranks(path), pattern))
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",

@@ -52,13 +52,15 @@ from pyspark.sql import functions as F
 from tablejobs.llm.components import join_labels
 from tablejobs.llm.repeats import _unpack
 from tablejobs.llm.store import free_names, partitions, read, saved, temporary
-from tablejobs.llm.textbatch import SPACED, U64, WordHasher, binary_array, mix, row_counts, slices
+from tablejobs.llm.textbatch import SPACED, U64, WordHasher, binary_array, kept, mix, row_counts, slices, trim_memory
 
 SHINGLE = 5
 #: Similarity threshold: THRESHOLD[0] / THRESHOLD[1]
 THRESHOLD = (4, 5)
 #: Members of a family compared with each other in one block.
 BLOCK = 1024
+#: Bytes of text handled at once: shingles and signatures take many times as much.
+SLICE = 1 << 20
 _NULL_ID = -(2**63)
 #: Pairs of 16 bytes that are broadcast at most.
 BROADCAST_PAIRS = 500_000
@@ -70,6 +72,12 @@ _OVERLOAD_COST = 8.0
 
 # ------------------------------------------------------------------- shingles
 
+def _hasher() -> WordHasher:
+    """The worker's hasher; what the worker kept for other operators goes."""
+    trim_memory()
+    return kept("jaccard", lambda: WordHasher(SPACED))
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
     """(row, 52-bit shingle) of the distinct shingles of each text, sorted."""
     n_rows = len(offsets) - 1
@@ -229,8 +237,8 @@ def signature_groups(docs: DataFrame, buckets: int) -> DataFrame:
     """(hub, c): the classes ``c`` that share a signature of which the smallest class is ``hub``."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(SPACED)
-        for part, data, offsets in slices(batches):
+        hasher = _hasher()
+        for part, data, offsets in slices(batches, limit=SLICE):
             row, shingle = shingles(data, offsets, hasher)
             size, cls = digests(row, shingle, part.num_rows)
             keep = np.zeros(part.num_rows, bool)
@@ -306,8 +314,8 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(c, low, high): the sets of the wanted classes (k, h, c), packed, one row each."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, done = WordHasher(SPACED), set()
-        for part, data, offsets in slices(batches):
+        hasher, done = _hasher(), set()
+        for part, data, offsets in slices(batches, limit=SLICE):
             row, shingle = shingles(data, offsets, hasher)
             cuts = np.append(0, np.cumsum(row_counts(row, part.num_rows)))
             new = []
@@ -484,8 +492,8 @@ def _prepared(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, ...]:
                        F.col(f"`{text}`").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(SPACED)
-        for part, data, offsets in slices(batches):
+        hasher = _hasher()
+        for part, data, offsets in slices(batches, limit=SLICE):
             row, shingle = shingles(data, offsets, hasher)
             size, cls = digests(row, shingle, part.num_rows)
             yield pa.RecordBatch.from_arrays(

@@ -7,9 +7,10 @@ the bytes of consecutive texts plus their offsets. Null texts are empty.
 from __future__ import annotations
 
 import ctypes
+import gc
 import hashlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,21 @@ def trim_memory() -> None:
         trim(0)
 
 
+#: What this Python worker keeps from task to task, by what it is for.
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """``make()``, kept for the worker's next tasks with the same key. Workers outlive a
+    stage: what they kept for another one goes first, or the stages' caches would add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        trim_memory()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def text_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary array, without a copy. ``offsets``
     has one entry more than there are rows and starts at 0."""
