@@ -1,5 +1,6 @@
 """Archives and shards."""
 
+import collections
 import gzip
 import random
 import zlib
@@ -96,6 +97,46 @@ def test_a_hot_value_fills_one_cell(spark):
     assert cells[62] <= cells[0] <= cells[63] and cells[60] == 0 and len({cells[i] for i in range(60)}) == 1
 
 
+def cells_by_rows(values, cells):
+    """Each string's cell by going through all of them in order: a value starts a cell
+    where more borders of equal row counts were crossed than cells were started."""
+    counts = collections.Counter(v.encode() for v in values if v is not None)
+    total, before, started, out = sum(counts.values()), 0, 0, {}
+    for value in sorted(counts):
+        started += before * cells // total > started
+        out[value.decode()] = started
+        before += counts[value]
+    return out
+
+
+def test_string_cells_count_all_values(spark):
+    """More different strings than the driver holds, long ones among them, hot ones and
+    common beginnings of any length: every value counts for the cells."""
+    rng = random.Random(4)
+    many = [f"https://www.example.org/{rng.randrange(10 ** 9)}" for _ in range(11_000)]
+    hot = [f"https://www.example.org/{x}" for x in ("", "31", "55", "9" * 12)]
+    far = [f"{'same ' * 400}{i:03d}" for i in range(300)]
+    cases = [
+        (many + many[:500] + hot[:1] * 4000 + hot[1:2] * 700 + hot[2:3] * 3000 + hot[3:] * 2000 + [None] * 50, 8),
+        (many[:400] + ["https://www.example.org/4" + "x" * 3_000_000, "", "é"], 3),
+        (far + far[:40] * 6 + ["same", "same " * 320], 4),
+        (["y" * 2000], 3),
+    ]
+    for values, bits in cases:
+        rng.shuffle(values)
+        cells, expected = cells_of(spark, values, "string", bits), cells_by_rows(values, 1 << bits)
+        assert [cells[i] for i in range(len(values))] == [expected.get(v, 0) for v in values]
+
+
+@pytest.mark.parametrize("held", [3, 40])
+def test_string_cells_do_not_depend_on_what_the_driver_holds(spark, monkeypatch, held):
+    """Values of a few rows each, dealt to a few ranges: the same cells as with all on the driver."""
+    values = [f"src{i * i % 97}" for i in range(400)] + ["src5"] * 150 + [None] * 3
+    assert (whole := cells_of(spark, values, "string", 5))[0] == cells_by_rows(values, 32)["src0"]
+    monkeypatch.setattr(hilbert, "SAMPLE_VALUES", held)
+    assert cells_of(spark, values, "string", 5) == whole
+
+
 def test_shard_edges(edges, nothing):
     rows = hilbert.shard_documents(edges, ["lang", "n"], 3).collect()
     assert len(rows) == edges.count()
